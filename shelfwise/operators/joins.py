@@ -1,0 +1,78 @@
+"""Join helpers.
+
+Broadcast is only used behind a size check: ``sized_broadcast`` asks Catalyst for
+the optimized-plan size estimate of the (already pruned and filtered) side and
+broadcasts it only below ``max_bytes``; above that the plain join is kept and
+Spark shuffles both sides (AQE may still demote it at runtime on real sizes).
+Literal lookup tables of fixed cardinality are marked with ``fixed_broadcast``.
+"""
+
+from __future__ import annotations
+
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..session import estimated_bytes
+
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if its estimated size is known and below ``max_bytes``."""
+    size = estimated_bytes(df)
+    if size is not None and size <= max_bytes:
+        return F.broadcast(df)
+    return df
+
+
+def fixed_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a side whose cardinality is fixed by construction (literal tables,
+    rule catalogues, 25-row nation lists).  Still size-checked as a guard."""
+    return sized_broadcast(df, max_bytes=256 * 1024 * 1024)
+
+
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Fact × dimension, broadcasting the dimension only if it is small."""
+    return fact.join(sized_broadcast(dim, max_bytes), on, how)
+
+
+def full_outer_coalesced(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                         how: str = "full") -> DataFrame:
+    """Full outer join on ``keys`` with the keys coalesced from both sides.
+
+    Joining with a list of names already yields one coalesced key column each.
+    """
+    return left.join(right, list(keys), how)
+
+
+def with_missing_flags(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
+    """Indicator columns such as ``dim.key IS NULL`` after a left join."""
+    return df.withColumns(flags)
+
+
+def anti(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
+    """Rows of ``fact`` without a partner in ``dim``."""
+    return fact.join(dim, on, "left_anti")
+
+
+def semi(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
+    """EXISTS."""
+    return fact.join(dim, on, "left_semi")
+
+
+def range_join(activity: DataFrame, ref: DataFrame, equi: Sequence[tuple[str, str]],
+               date_col: str, start_col: str, end_col: str, how: str = "left",
+               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Equi keys plus ``start <= date <= end`` (open end = null end).
+
+    The equality keys drive a hash/sort-merge (or size-checked broadcast) join;
+    the range is a residual predicate, so no cartesian product is formed.
+    """
+    r = sized_broadcast(ref, max_bytes)
+    cond = [activity[a] == r[b] for a, b in equi]
+    cond.append(activity[date_col] >= r[start_col])
+    cond.append(r[end_col].isNull() | (activity[date_col] <= r[end_col]))
+    return activity.join(r, cond, how)
