@@ -42,17 +42,17 @@ def blank_to_null(c: ColumnOrName) -> Column:
 def parse_date(typed: ColumnOrName | None, raw: ColumnOrName) -> Column:
     """Typed column first, else ``YYYY-MM-DD`` or ``MM/DD/YYYY`` text, else null."""
     r = F.trim(_c(raw))
-    from_text = (F.when(r.rlike(ISO_DATE_RE), F.try_to_date(r, F.lit("yyyy-MM-dd")))
-                 .when(r.rlike(US_DATE_RE), F.try_to_date(r, F.lit("MM/dd/yyyy"))))
+    from_text = (F.when(r.rlike(ISO_DATE_RE), F.try_to_date(r, "yyyy-MM-dd"))
+                 .when(r.rlike(US_DATE_RE), F.try_to_date(r, "MM/dd/yyyy")))
     return from_text if typed is None else F.coalesce(_c(typed).cast("date"), from_text)
 
 
 def parse_month(raw: ColumnOrName) -> Column:
     """First day of month from ``YYYY-MM-DD``, ``Mon-YYYY`` or ``M/D/YYYY`` text."""
     r = F.trim(_c(raw))
-    d = (F.when(r.rlike(ISO_DATE_RE), F.try_to_date(r, F.lit("yyyy-MM-dd")))
-         .when(r.rlike(MON_YEAR_RE), F.try_to_date(F.initcap(r), F.lit("MMM-yyyy")))
-         .when(r.rlike(US_DATE_LOOSE_RE), F.try_to_date(r, F.lit("M/d/yyyy"))))
+    d = (F.when(r.rlike(ISO_DATE_RE), F.try_to_date(r, "yyyy-MM-dd"))
+         .when(r.rlike(MON_YEAR_RE), F.try_to_date(F.initcap(r), "MMM-yyyy"))
+         .when(r.rlike(US_DATE_LOOSE_RE), F.try_to_date(r, "M/d/yyyy")))
     return F.trunc(d, "month")
 
 
@@ -68,7 +68,8 @@ def parse_ts(typed: ColumnOrName | None, raw: ColumnOrName) -> Column:
               F.coalesce(F.try_to_timestamp(r, F.lit("MM/dd/yyyy HH:mm:ss")),
                          F.try_to_timestamp(r, F.lit("MM/dd/yyyy HH:mm"))))
     )
-    return from_text if typed is None else F.coalesce(_c(typed).cast("timestamp"), from_text)
+    from_text = from_text.cast("timestamp_ntz")
+    return from_text if typed is None else F.coalesce(_c(typed).cast("timestamp_ntz"), from_text)
 
 
 def date_from_ts_prefix(raw: ColumnOrName) -> Column:

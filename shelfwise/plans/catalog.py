@@ -1,41 +1,10 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
+"""All registered queries (imports the per-area modules for their side effect).
 
-Every query reads the driver's test tables (or data Spark derives from them)
-and runs over whole tables.  Doubles are rounded at the end so results can be
-compared value-for-value with the SQL oracle in ``plans/oracle.py``.
+Every query reads the driver's test tables, or data Spark derives from them,
+and runs over whole tables.  See ``plans/model.py`` for the role mapping.
 """
 
 from __future__ import annotations
 
-from typing import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..operators import kpi
-from ..sources.testdata import Tables
-from . import model
-
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-
-def register(name: str):
-    def deco(fn):
-        REGISTRY[name] = fn
-        return fn
-    return deco
-
-
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every double column (comparison hygiene, applied to both sides)."""
-    cols = [F.round(F.col(f.name), digits).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)) else F.col(f.name)
-            for f in df.schema.fields]
-    return df.select(*cols)
-
-
-@register("k1_exec_summary")
-def q_k1(spark, d):
-    t = Tables(spark, d)
-    return rounded(kpi.exec_summary(model.sales_lines(t)))
+from .registry import REGISTRY, SQL  # noqa: F401
+from . import q_sales, q_clean  # noqa: F401

@@ -102,3 +102,61 @@ def punches(t: Tables) -> DataFrame:
         map_synonyms(F.col("event_type"), PUNCH_ACTIONS).alias("action"),
         F.col("value").alias("value"),
     )
+
+
+# Fixed labels used to turn order status into account-status text.
+STATUS_TEXT = {"F": "Active", "O": "Pending approval", "P": "INACTIVE - closed"}
+
+
+def account_status_history(t: Tables) -> DataFrame:
+    """Account status events: one per order (date, customer, status text).
+
+    Odd order keys carry padded text so the staging trim / classify is exercised.
+    """
+    o = t.orders
+    label = F.create_map(*[F.lit(x) for kv in STATUS_TEXT.items() for x in kv])[F.col("o_orderstatus")]
+    padded = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit("  "), label, F.lit(" "))).otherwise(label)
+    return o.select(F.col("o_orderkey").alias("load_seq"),
+                    F.col("o_custkey").alias("store_code"),
+                    F.col("o_orderdate").cast("date").alias("status_date"),
+                    padded.alias("account_status_raw"))
+
+
+def shipments(t: Tables) -> DataFrame:
+    """WMS-like shipments: one per line; line 1 of an order has no shipment id."""
+    li = t.lineitem
+    sid = F.when(F.col("l_linenumber") != 1,
+                 F.concat(F.lit("SH"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                          F.col("l_linenumber").cast("string")))
+    return li.select(sid.alias("shipment_id"),
+                     F.concat(F.lit("L"), F.col("l_orderkey").cast("string")).alias("load_id"),
+                     F.col("l_shipdate").cast("date").alias("ship_date"),
+                     F.col("l_suppkey").alias("site_id"), F.col("l_partkey").alias("sku"),
+                     F.col("l_quantity").alias("units_shipped"),
+                     F.col("l_returnflag").alias("carrier"))
+
+
+def raw_orders_text(t: Tables) -> DataFrame:
+    """Orders rendered as an all-text extract with mixed formats and blanks.
+
+    Even keys: ISO dates and plain amounts; odd keys: ``MM/dd/yyyy`` dates and
+    ``$``-prefixed amounts with thousands separators stripped of nothing; keys
+    divisible by 7: blank dates; every 11th: junk text in the amount.
+    """
+    o = t.orders
+    k = F.col("o_orderkey")
+    d = F.col("o_orderdate").cast("date")
+    amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    date_txt = (F.when(k % 7 == 0, F.lit("  "))
+                .when(k % 2 == 0, F.date_format(d, "yyyy-MM-dd"))
+                .otherwise(F.date_format(d, "MM/dd/yyyy")))
+    amt_txt = (F.when(k % 11 == 0, F.lit("n/a"))
+               .when(k % 2 == 1, F.concat(F.lit("$"), amount))
+               .otherwise(amount))
+    cust_txt = F.when(k % 3 == 0, F.concat(F.lit(" c-"), F.col("o_custkey").cast("string"), F.lit(" ")))\
+        .otherwise(F.col("o_custkey").cast("string"))
+    prio_txt = F.when(k % 2 == 1, F.lower(F.col("o_orderpriority"))).otherwise(
+        F.concat(F.col("o_orderpriority"), F.lit("  ")))
+    return o.select(k.cast("string").alias("order_id_raw"), date_txt.alias("order_date_raw"),
+                    amt_txt.alias("total_raw"), cust_txt.alias("customer_raw"),
+                    prio_txt.alias("priority_raw"), F.col("o_orderstatus").alias("status_raw"))

@@ -5,6 +5,8 @@ Shared CTE text mirrors ``plans/model.py`` role for role.
 
 from __future__ import annotations
 
+from .registry import SQL  # noqa: F401
+
 SALES_LINES = """
 sales_lines AS (
   SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_number,
@@ -28,9 +30,7 @@ sales_lines AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 
-SQL: dict[str, str] = {}
-
-SQL["k1_exec_summary"] = f"""
+K1_SQL = f"""
 WITH {SALES_LINES},
 b AS (
   SELECT month_start, state, channel, SUM(units) AS units_sold, SUM(gross_sales) AS gross_sales,
@@ -47,3 +47,71 @@ SELECT month_start, state, channel,
        round(CASE WHEN gross_sales = 0 THEN NULL ELSE (gross_sales - net_sales) / gross_sales END, 4) AS discount_rate
 FROM b
 """
+
+
+ACCOUNT_STATUS_EXTRACT = """
+account_status_extract AS (
+  SELECT 'L' || CAST(o_orderkey % 4 AS VARCHAR) AS load_id,
+         CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END AS status_date,
+         CASE WHEN o_orderkey % 2 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d')
+              ELSE strftime(CAST(o_orderdate AS DATE), '%m/%d/%Y') END AS status_date_raw,
+         CASE WHEN o_orderkey % 13 = 0 THEN ' ' ELSE CAST(o_custkey AS VARCHAR) END AS store_code_norm,
+         CASE WHEN o_orderkey % 2 = 1 THEN '  ' || lbl || ' ' ELSE lbl END AS account_status_raw,
+         o_orderpriority AS status_reason_norm
+  FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'Active' WHEN 'O' THEN 'Pending approval'
+                                     WHEN 'P' THEN 'INACTIVE - closed' END AS lbl FROM orders)
+)"""
+
+SALES_DISTRIBUTOR_EXTRACT = SALES_LINES + """,
+sales_distributor_extract AS (
+  SELECT 'L' || CAST(order_id % 3 AS VARCHAR) AS load_id,
+         CASE WHEN line_number % 2 = 0 THEN sale_date END AS sale_date,
+         strftime(sale_date, '%m/%d/%Y') AS sale_date_raw,
+         CAST(store_id AS VARCHAR) AS store_id_norm,
+         CAST(sku AS VARCHAR) AS sku,
+         CASE upper(channel) WHEN 'AUTOMOBILE' THEN ' Retail ' WHEN 'BUILDING' THEN 'WHOLESALE club'
+              WHEN 'FURNITURE' THEN 'Distributor' WHEN 'HOUSEHOLD' THEN 'retail' WHEN 'MACHINERY' THEN 'eCommerce' END
+           AS channel_norm,
+         CASE WHEN line_number % 3 <> 0 THEN CAST(units AS INTEGER) END AS qty,
+         CAST(CAST(units AS INTEGER) AS VARCHAR) || ' units' AS qty_raw,
+         list_price AS unit_list_price, gross_sales, discount_amount,
+         CASE WHEN return_flag = 'R' THEN -net_sales ELSE net_sales END AS net_sales, cogs
+  FROM sales_lines
+)"""
+
+TIMECLOCK_EXTRACT = """
+timeclock_extract AS (
+  SELECT CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+              ELSE strftime(ts, '%m/%d/%Y %H:%M:%S') END AS punch_ts_raw,
+         'E' || CAST(user_id AS VARCHAR) AS employee_id_raw,
+         'S' || lpad(CAST(user_id % 8 AS VARCHAR), 2, '0') AS site_code_norm,
+         event_type AS action_raw,
+         'L' || CAST(event_id % 2 AS VARCHAR) AS load_id
+  FROM events
+)"""
+
+PUNCHES = """
+punches AS (
+  SELECT event_id AS punch_id, 'S' || lpad(CAST(user_id % 8 AS VARCHAR), 2, '0') AS store_code,
+         user_id AS employee_id, ts AS punch_ts, CAST(ts AS DATE) AS work_date, event_type AS action_raw,
+         CASE upper(NULLIF(trim(event_type), '')) WHEN 'CLICK' THEN 'IN' WHEN 'VIEW' THEN 'OUT'
+              ELSE upper(NULLIF(trim(event_type), '')) END AS action,
+         value
+  FROM events
+)"""
+
+ORDERS_TEXT = """
+orders_text AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id_raw,
+         CASE WHEN o_orderkey % 7 = 0 THEN '  '
+              WHEN o_orderkey % 2 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d')
+              ELSE strftime(CAST(o_orderdate AS DATE), '%m/%d/%Y') END AS order_date_raw,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'n/a'
+              WHEN o_orderkey % 2 = 1 THEN '$' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS total_raw,
+         CASE WHEN o_orderkey % 3 = 0 THEN ' c-' || CAST(o_custkey AS VARCHAR) || ' '
+              ELSE CAST(o_custkey AS VARCHAR) END AS customer_raw,
+         CASE WHEN o_orderkey % 2 = 1 THEN lower(o_orderpriority) ELSE o_orderpriority || '  ' END AS priority_raw,
+         o_orderstatus AS status_raw
+  FROM orders
+)"""
