@@ -399,8 +399,18 @@ def distinct_from(a: ColumnOrName, b: ColumnOrName) -> Column:
     return ~_c(a).eqNullSafe(_c(b))
 
 
+TIE_NUDGE = 1e-9
+
+
 def round_to(c: ColumnOrName, digits_: int = 2) -> Column:
-    return F.round(_c(c), digits_)
+    """Half-up rounding that treats decimal ties as ties.
+
+    Money arithmetic in doubles turns an exact decimal tie such as 4.97005 into
+    4.9700499999…; the reference computes in exact ``numeric`` and rounds it up.
+    A 1e-9 nudge away from zero restores the decimal result.
+    """
+    x = _c(c)
+    return F.round(x + F.signum(x) * F.lit(TIE_NUDGE), digits_)
 
 
 def any_true(conds: Iterable[Column]) -> Column:

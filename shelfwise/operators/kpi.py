@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.clean import ratio
+from ..functions.clean import ratio, round_to
 
 SALES_MEASURES = ("units", "gross_sales", "net_sales", "cogs")
 
@@ -41,3 +41,256 @@ def exec_summary(sales: DataFrame, by: Sequence[str] = ("month_start", "state",
         ratio("net_sales", "units_sold").alias("net_vwap"),
         ratio(F.col("gross_sales") - F.col("net_sales"), "gross_sales").alias("discount_rate"),
     )
+
+
+def _share(x: str, total: str, digits: int = 4) -> Column:
+    return round_to(ratio(x, total), digits)
+
+
+def product_mix(sales: DataFrame, group: Sequence[str] = ("category", "brand"), period: str = "month_start",
+                brand: str | None = None) -> DataFrame:
+    """K2: unit / revenue / margin share of the period total.
+
+    The period total is a window sum over the already-aggregated mix rows
+    (W4), which avoids the reference's second scan + self join.
+    """
+    mix = _brand(sales, brand).groupBy(period, *group).agg(
+        F.sum("units").alias("units_sold"), F.sum("net_sales").alias("net_sales"),
+        F.sum(F.col("net_sales") - F.col("cogs")).alias("gross_margin_dollars"))
+    w = Window.partitionBy(period)
+    return mix.select(
+        period, *group, "units_sold", "net_sales", "gross_margin_dollars",
+        round_to(ratio("units_sold", F.sum("units_sold").over(w)), 4).alias("unit_mix_pct"),
+        round_to(ratio("net_sales", F.sum("net_sales").over(w)), 4).alias("revenue_mix_pct"),
+        round_to(ratio("gross_margin_dollars", F.sum("gross_margin_dollars").over(w)), 4).alias("margin_mix_pct"))
+
+
+def price_pack(sales: DataFrame, by: Sequence[str] = ("month_start", "state", "category", "pack_size"),
+               mg_col: str = "pack_size", brand: str | None = None) -> DataFrame:
+    """K3: net price per pack, revenue and margin per mg."""
+    s = _brand(sales, brand)
+    mg_units = F.col("units") * F.coalesce(F.col(mg_col), F.lit(0))
+    agg = s.groupBy(*by).agg(
+        F.sum("units").alias("units_sold"), F.sum("net_sales").alias("net_sales"),
+        F.sum(F.col("net_sales") - F.col("cogs")).alias("gross_margin_dollars"),
+        F.sum(mg_units).alias("__mg"))
+    return agg.select(*by, "units_sold", "net_sales", "gross_margin_dollars",
+                      ratio("net_sales", "units_sold").alias("net_price_per_pack"),
+                      ratio("net_sales", "__mg").alias("net_revenue_per_mg"),
+                      ratio("gross_margin_dollars", "__mg").alias("margin_per_mg"))
+
+
+def promo_performance(sales: DataFrame, week: str = "week_start", location: str = "store_id",
+                      state: str = "state", product: str = "category", promo: str = "promo_flag",
+                      brand: str | None = None) -> DataFrame:
+    """K4: promo penetration, promo vs non-promo rate of sale per store, lift."""
+    sw = _brand(sales, brand).groupBy(week, location, state, product).agg(
+        F.max(F.when(F.col(promo), 1).otherwise(0)).alias("any_promo"), F.sum("units").alias("units_sold"))
+    promo_ = F.col("any_promo") == 1
+    s = sw.groupBy(week, state, product).agg(
+        F.sum(F.when(promo_, F.col("units_sold")).otherwise(0)).alias("promo_units"),
+        F.sum(F.when(~promo_, F.col("units_sold")).otherwise(0)).alias("nonpromo_units"),
+        F.count_distinct(F.when(promo_, F.col(location))).alias("promo_locations"),
+        F.count_distinct(F.when(~promo_, F.col(location))).alias("nonpromo_locations"))
+    p_ros = ratio("promo_units", "promo_locations")
+    n_ros = ratio("nonpromo_units", "nonpromo_locations")
+    return s.select(week, state, product, "promo_units", "nonpromo_units",
+                    round_to(ratio("promo_units", F.col("promo_units") + F.col("nonpromo_units")), 4).alias("promo_penetration_pct"),
+                    round_to(p_ros, 2).alias("promo_ros_units_per_store"),
+                    round_to(n_ros, 2).alias("nonpromo_ros_units_per_store"),
+                    round_to(ratio(p_ros - n_ros, n_ros), 4).alias("promo_lift_pct"))
+
+
+def distribution_ros(sales: DataFrame, week: str = "week_start", state: str = "state",
+                     product: str = "category", location: str = "store_id", brand: str | None = None) -> DataFrame:
+    """K5: active doors (distinct selling locations) and units per active door."""
+    r = _brand(sales, brand).groupBy(week, state, product).agg(
+        F.count_distinct(F.when(F.col("units") > 0, F.col(location))).alias("active_doors"),
+        F.sum("units").alias("units_sold"))
+    return r.withColumn("rate_of_sale_units_per_active_door", round_to(ratio("units_sold", "active_doors"), 2))
+
+
+def inventory_health(inv: DataFrame, sales: DataFrame, product: str = "sku", location: str = "site_id",
+                     labels: Sequence[str] = ("state", "category"), period: str = "month_start") -> DataFrame:
+    """K6: average on hand, in-stock %, stockout rate, days on hand, turnover.
+
+    ``inv`` rows: (period, product, location, on_hand_units, in_stock_flag, *labels);
+    ``sales`` rows: (period, product, location, units).
+    """
+    in_stock = (F.when(F.col("in_stock_flag").isNotNull(), F.col("in_stock_flag").cast("double"))
+                .when(F.col("on_hand_units") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+    i = inv.groupBy(period, product, location, *labels).agg(
+        F.avg("on_hand_units").alias("avg_on_hand_units"), F.avg(in_stock).alias("in_stock_pct"))
+    s = sales.groupBy(period, product, location).agg(F.sum("units").alias("units_sold"))
+    j = i.join(s, [period, product, location], "left")
+    g = j.groupBy(period, *labels).agg(
+        F.avg("avg_on_hand_units").alias("avg_on_hand_units"),
+        F.sum(F.coalesce("units_sold", F.lit(0.0))).alias("units_sold"),
+        F.sum("units_sold").alias("__units_raw"),
+        F.avg("in_stock_pct").alias("in_stock_pct"))
+    dim = F.dayofmonth(F.last_day(F.col(period)))
+    return g.select(
+        period, *labels, "avg_on_hand_units", "units_sold", "in_stock_pct",
+        (F.lit(1.0) - F.col("in_stock_pct")).alias("stockout_rate"),
+        F.when(F.col("units_sold") != 0,
+               ratio("avg_on_hand_units", ratio("__units_raw", dim))).alias("approx_days_on_hand"),
+        ratio("units_sold", "avg_on_hand_units").alias("inventory_turnover_units"))
+
+
+def date_location_grid(locations: DataFrame, location_cols: Sequence[str], start, end,
+                       date_col: str = "full_date") -> DataFrame:
+    """Dense date × location scaffold, generated per location (no join).
+
+    ``start`` / ``end`` are date Columns or literals; each location row explodes
+    into its own date sequence, so the grid is produced in parallel where the
+    location rows live.
+    """
+    return locations.select(*location_cols, F.explode(F.sequence(F.lit(start).cast("date") if not isinstance(start, Column) else start,
+                                                                  F.lit(end).cast("date") if not isinstance(end, Column) else end)).alias(date_col))
+
+
+def sales_labor_productivity(sales_day: DataFrame, labor_day: DataFrame, locations: DataFrame,
+                             as_of, days: int = 90, location: str = "store_code",
+                             labels: Sequence[str] = ()) -> DataFrame:
+    """K7: sales vs labor on a dense (date × location) grid for the trailing ``days``.
+
+    ``sales_day``: (sale_date, location, net_sales, units, gross_margin_dollars);
+    ``labor_day``: (work_date, location, labor_hours, headcount, labor_cost).
+    ``as_of`` replaces the reference's ``current_date``.
+    """
+    as_of_c = F.lit(as_of).cast("date") if not isinstance(as_of, Column) else as_of
+    grid = date_location_grid(locations.select(location, *labels).distinct(), [location, *labels],
+                              F.date_sub(as_of_c, days), as_of_c)
+    s = sales_day.groupBy(F.col("sale_date").alias("full_date"), location).agg(
+        F.sum("net_sales").alias("net_sales"), F.sum("units").alias("units_sold"),
+        F.sum("gross_margin_dollars").alias("gross_margin_dollars"))
+    lb = labor_day.groupBy(F.col("work_date").alias("full_date"), location).agg(
+        F.sum("labor_hours").alias("labor_hours"), F.sum(F.coalesce("headcount", F.lit(0))).alias("headcount"),
+        F.sum(F.coalesce("labor_cost", F.lit(0.0))).alias("labor_cost"))
+    j = grid.join(s, ["full_date", location], "left").join(lb, ["full_date", location], "left")
+    hours = F.coalesce("labor_hours", F.lit(0.0))
+    cost = F.coalesce("labor_cost", F.lit(0.0))
+    return j.select(
+        "full_date", location, *labels,
+        F.coalesce("net_sales", F.lit(0.0)).alias("net_sales"),
+        F.coalesce("units_sold", F.lit(0.0)).alias("units_sold"),
+        F.coalesce("gross_margin_dollars", F.lit(0.0)).alias("gross_margin_dollars"),
+        hours.alias("labor_hours"), F.coalesce("headcount", F.lit(0)).cast("bigint").alias("headcount"),
+        cost.alias("labor_cost"),
+        F.when(hours != 0, F.col("net_sales") / F.col("labor_hours")).alias("revenue_per_labor_hour"),
+        F.when(hours != 0, F.col("units_sold") / F.col("labor_hours")).alias("units_per_labor_hour"),
+        F.when(cost != 0, F.col("gross_margin_dollars") / F.col("labor_cost")).alias("gross_margin_to_labor_cost_ratio"))
+
+
+def top_n_share(df: DataFrame, period: str, entity: str, value: str, n: int = 10,
+                prefix: str | None = None) -> DataFrame:
+    """T5 / K8: share of the period total held by the top ``n`` entities.
+
+    ``row_number() <= n`` lets Spark insert a partial window-group limit before
+    the shuffle (only ``n`` rows per period leave each map task); the period
+    total is a separate partial-combined sum.  Ties are broken by the entity.
+    """
+    prefix = prefix or f"top_{n}"
+    w = Window.partitionBy(period).orderBy(F.col(value).desc(), F.col(entity).asc())
+    top = (df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n)
+             .groupBy(period).agg(F.sum(value).alias(f"{prefix}_sales")))
+    tot = df.groupBy(period).agg(F.sum(value).alias("total_period_sales"))
+    j = tot.join(top, period, "left")
+    return j.select(period, F.coalesce(F.col(f"{prefix}_sales"), F.lit(0.0)).alias(f"{prefix}_sales"),
+                    "total_period_sales",
+                    round_to(ratio(F.coalesce(F.col(f"{prefix}_sales"), F.lit(0.0)), "total_period_sales"), 4)
+                    .alias(f"{prefix}_concentration_pct"))
+
+
+def account_concentration(sales: DataFrame, account: str = "store_id", period: str = "month_start",
+                          n: int = 10, brand: str | None = None) -> DataFrame:
+    """K8: top-N account share of monthly net sales."""
+    acct = _brand(sales, brand).groupBy(period, account).agg(F.sum("net_sales").alias("net_sales"))
+    return top_n_share(acct, period, account, "net_sales", n)
+
+
+def account_retention(sales: DataFrame, account: str = "store_id", period: str = "month_start",
+                      brand: str | None = None) -> DataFrame:
+    """K9: active, prior-active and retained accounts month over month."""
+    active = _brand(sales, brand).filter(F.col("units") > 0).select(period, account).distinct()
+    prev = active.select(F.add_months(F.col(period), 1).alias(period), F.col(account), F.lit(True).alias("__was"))
+    cur = active.join(prev, [period, account], "left")
+    r = cur.groupBy(period).agg(
+        F.count_distinct(account).alias("active_accounts_current"),
+        F.count_distinct(F.when(F.col("__was"), F.col(account))).alias("retained_accounts"))
+    prior = active.groupBy(F.add_months(F.col(period), 1).alias(period)).agg(
+        F.count_distinct(account).alias("active_accounts_prior"))
+    j = r.join(prior, period, "left")
+    return j.select(period, "active_accounts_current",
+                    F.coalesce("active_accounts_prior", F.lit(0)).alias("active_accounts_prior"),
+                    "retained_accounts",
+                    round_to(ratio("retained_accounts", "active_accounts_prior"), 4).alias("account_retention_pct"))
+
+
+def forecast_accuracy(actuals: DataFrame, forecast: DataFrame, keys: Sequence[str] = ("sku", "store_id"),
+                      week: str = "week_start") -> DataFrame:
+    """Actual vs forecast units per week: absolute error, WAPE, bias."""
+    a = actuals.groupBy(week, *keys).agg(F.sum("units").alias("actual_units"))
+    f = forecast.groupBy(week, *keys).agg(F.sum("forecast_units").alias("forecast_units"))
+    j = a.join(f, [week, *keys], "left")
+    fc = F.coalesce("forecast_units", F.lit(0.0))
+    g = j.groupBy(week).agg(
+        F.sum("actual_units").alias("actual_units"), F.sum(fc).alias("forecast_units"),
+        F.sum(F.abs(F.col("actual_units") - fc)).alias("abs_error_units"),
+        F.sum(F.col("actual_units") - fc).alias("__bias"))
+    return g.select(week, "actual_units", "forecast_units", "abs_error_units",
+                    round_to(ratio("abs_error_units", "actual_units"), 4).alias("wape"),
+                    round_to(ratio("__bias", "actual_units"), 4).alias("forecast_bias_pct"))
+
+
+def sales_quality_counters(sales: DataFrame) -> DataFrame:
+    """One-pass row-quality counters over the sales fact."""
+    u, n, g, c = F.col("units"), F.col("net_sales"), F.col("gross_sales"), F.col("cogs")
+    return sales.agg(
+        F.count(F.lit(1)).alias("rows_checked"),
+        F.count_if(u < 0).alias("negative_units_rows"),
+        F.count_if(n < 0).alias("negative_net_sales_rows"),
+        F.count_if(g < n).alias("gross_less_than_net_rows"),
+        F.count_if(c < 0).alias("negative_cogs_rows"),
+        F.count_if((u == 0) & (n != 0)).alias("zero_units_nonzero_sales_rows"))
+
+
+def gross_margin_daily(sales: DataFrame, by: Sequence[str] = ("sale_date", "store_id")) -> DataFrame:
+    """Net sales, COGS, margin and margin % per day (and store)."""
+    g = sales.groupBy(*by).agg(F.sum("net_sales").alias("net_sales"), F.sum("cogs").alias("cogs"),
+                               F.count(F.lit(1)).alias("line_count"))
+    return g.select(*by, "net_sales", "cogs", (F.col("net_sales") - F.col("cogs")).alias("gross_margin"),
+                    ratio(F.col("net_sales") - F.col("cogs"), "net_sales").alias("gross_margin_pct"), "line_count")
+
+
+def days_of_supply(inv: DataFrame, sales: DataFrame, keys: Sequence[str] = ("site_id", "sku"),
+                   date: str = "snapshot_date", window_days: int = 28) -> DataFrame:
+    """On hand ÷ average daily units over the trailing ``window_days``.
+
+    The reference's lateral join expands every snapshot by 28 days of sales.
+    Here daily sales and snapshots are unioned into one series per key and a
+    ``RANGE`` frame over the day number sums the trailing window in one pass;
+    snapshot rows carry null units so they do not count as sales days.
+    """
+    day = F.unix_date(F.col(date))
+    s = sales.groupBy(*keys, F.col("sale_date").alias(date)).agg(F.sum("units").alias("__u"))
+    i = inv.groupBy(*keys, date).agg(F.sum("on_hand_units").alias("on_hand_units"))
+    series = (s.select(*keys, date, "__u", F.lit(None).cast("double").alias("on_hand_units"), F.lit(False).alias("__inv"))
+               .unionByName(i.select(*keys, date, F.lit(None).cast("double").alias("__u"),
+                                     F.col("on_hand_units").cast("double"), F.lit(True).alias("__inv"))))
+    w = Window.partitionBy(*keys).orderBy(day).rangeBetween(-(window_days - 1), 0)
+    series = series.withColumn("units_trailing", F.sum("__u").over(w))
+    out = series.filter(F.col("__inv")).select(
+        *keys, date, "on_hand_units", "units_trailing",
+        (F.col("units_trailing") / F.lit(float(window_days))).alias("avg_daily_units"))
+    return out.withColumn("days_of_supply", ratio("on_hand_units", "avg_daily_units"))
+
+
+def instock_rate_daily(inv: DataFrame, date: str = "snapshot_date", by: Sequence[str] = ("site_id",),
+                       carried: DataFrame | None = None, keys: Sequence[str] = ("site_id", "sku")) -> DataFrame:
+    """Share of the inventory universe (and optionally the carried universe) in stock."""
+    g = inv.groupBy(date, *by).agg(
+        F.count(F.lit(1)).alias("inventory_rows"),
+        F.count_if(F.col("on_hand_units") > 0).alias("in_stock_rows"),
+        F.count_if(F.col("on_hand_units") <= 0).alias("out_of_stock_rows"))
+    return g.withColumn("instock_rate", ratio("in_stock_rows", "inventory_rows"))

@@ -69,6 +69,7 @@ def sales_lines(t: Tables) -> DataFrame:
     return base.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"),
         sale_date.alias("sale_date"), F.trunc(sale_date, "month").alias("month_start"),
+        F.date_trunc("week", sale_date).cast("date").alias("week_start"),
         "store_id", "store_name", "state", "region", "channel",
         "sku", "product_name", "brand", "category", "pack_size", "promo_flag", "list_price",
         F.col("l_suppkey").alias("site_id"), F.col("l_shipdate").cast("date").alias("ship_date"),
@@ -160,3 +161,24 @@ def raw_orders_text(t: Tables) -> DataFrame:
     return o.select(k.cast("string").alias("order_id_raw"), date_txt.alias("order_date_raw"),
                     amt_txt.alias("total_raw"), cust_txt.alias("customer_raw"),
                     prio_txt.alias("priority_raw"), F.col("o_orderstatus").alias("status_raw"))
+
+
+def inventory(t: Tables) -> DataFrame:
+    """Inventory snapshots: one per line at ship date, supplier site and SKU.
+
+    on hand = quantity − 10 (so some snapshots are negative / out of stock);
+    the typed in-stock flag is missing on even line numbers.
+    """
+    li = t.lineitem
+    sup = t.supplier.join(fixed_broadcast(geography(t)), F.col("s_nationkey") == F.col("n_nationkey")) \
+        .select(F.col("s_suppkey"), F.col("state"))
+    base = li.join(sized_broadcast(sup), F.col("l_suppkey") == F.col("s_suppkey")) \
+        .join(sized_broadcast(t.part.select("p_partkey", "p_type")), F.col("l_partkey") == F.col("p_partkey"))
+    d = F.col("l_shipdate").cast("date")
+    on_hand = F.col("l_quantity") - F.lit(10.0)
+    return base.select(
+        d.alias("snapshot_date"), F.trunc(d, "month").alias("month_start"),
+        F.col("l_suppkey").alias("site_id"), F.col("l_partkey").alias("sku"),
+        F.col("state"), F.col("p_type").alias("category"),
+        on_hand.alias("on_hand_units"), F.col("l_quantity").alias("received_units"),
+        F.when(F.col("l_linenumber") % 2 == 1, on_hand > 0).alias("in_stock_flag"))

@@ -12,6 +12,7 @@ sales_lines AS (
   SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_number,
          CAST(o.o_orderdate AS DATE) AS sale_date,
          CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month_start,
+         CAST(date_trunc('week', o.o_orderdate) AS DATE) AS week_start,
          c.c_custkey AS store_id, c.c_name AS store_name, n.n_name AS state, r.r_name AS region,
          lower(c.c_mktsegment) AS channel,
          p.p_partkey AS sku, p.p_name AS product_name, p.p_brand AS brand, p.p_type AS category,
@@ -115,3 +116,15 @@ orders_text AS (
          o_orderstatus AS status_raw
   FROM orders
 )"""
+
+
+INVENTORY = """
+inventory AS (
+  SELECT CAST(l.l_shipdate AS DATE) AS snapshot_date, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS month_start,
+         l.l_suppkey AS site_id, l.l_partkey AS sku, n.n_name AS state, p.p_type AS category,
+         l.l_quantity - 10.0 AS on_hand_units, l.l_quantity AS received_units,
+         CASE WHEN l.l_linenumber % 2 = 1 THEN l.l_quantity - 10.0 > 0 END AS in_stock_flag
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+)"""

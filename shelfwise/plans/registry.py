@@ -12,6 +12,47 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def _split_round(sql: str, start: int) -> tuple[str, str, int]:
+    """Parse ``round(a, n)`` starting at the open paren; return (a, n, end index)."""
+    depth, i, comma = 0, start, None
+    while i < len(sql):
+        ch = sql[i]
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+            if depth == 0:
+                break
+        elif ch == "," and depth == 1:
+            comma = i
+        elif ch == "'":
+            i = sql.index("'", i + 1)
+        i += 1
+    return sql[start + 1:comma], sql[comma + 1:i], i
+
+
+def tie_safe_rounding(sql: str) -> str:
+    """Rewrite every ``round(a, n)`` as half-up-with-nudge and drop negative zero.
+
+    Mirrors ``functions.clean.round_to`` so both engines round decimal ties alike.
+    """
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        a, n, end = _split_round(sql, j + 5)
+        a = tie_safe_rounding(a)
+        out.append(sql[i:j])
+        out.append(f"(round(({a}) + sign({a}) * 1e-9, {n.strip()}) + 0.0)")
+        i = end + 1
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name`` with its oracle SQL."""
     def deco(fn):
@@ -19,14 +60,15 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         REGISTRY[name] = fn
         if sql is not None:
-            SQL[name] = sql
+            SQL[name] = tie_safe_rounding(sql)
         return fn
     return deco
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every floating column (comparison hygiene, mirrored in the SQL)."""
-    cols = [F.round(F.col(f.name), digits).alias(f.name)
+    from ..functions.clean import round_to
+    cols = [round_to(F.col(f.name), digits).alias(f.name)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)) else F.col(f.name)
             for f in df.schema.fields]
     return df.select(*cols)
