@@ -128,3 +128,87 @@ inventory AS (
   JOIN nation n ON s.s_nationkey = n.n_nationkey
   JOIN part p ON l.l_partkey = p.p_partkey
 )"""
+
+
+def _txt(x, scale=4):
+    return f"CAST(CAST(round({x}, {scale}) AS DECIMAL(18,{scale})) AS VARCHAR)"
+
+
+FORECAST_EXTRACT = SALES_LINES + f""",
+fa AS (SELECT week_start, store_id, state, region, sku, product_name, category, channel,
+              SUM(units) AS actual_units, SUM(net_sales) AS actual_net_sales
+       FROM sales_lines GROUP BY ALL),
+ff AS (SELECT CAST(week_start + INTERVAL 364 DAY AS DATE) AS week_start, store_id, state, region, sku, product_name,
+              category, channel, actual_units AS forecast_units, actual_net_sales AS forecast_net_sales FROM fa),
+fj AS (SELECT COALESCE(fa.week_start, ff.week_start) AS week_start, COALESCE(fa.store_id, ff.store_id) AS store_id,
+              COALESCE(fa.state, ff.state) AS state, COALESCE(fa.region, ff.region) AS region,
+              COALESCE(fa.sku, ff.sku) AS sku, COALESCE(fa.product_name, ff.product_name) AS product_name,
+              COALESCE(fa.category, ff.category) AS category, COALESCE(fa.channel, ff.channel) AS channel,
+              actual_units, actual_net_sales, forecast_units, forecast_net_sales
+       FROM fa FULL OUTER JOIN ff ON fa.week_start = ff.week_start AND fa.store_id = ff.store_id
+         AND fa.state = ff.state AND fa.region = ff.region AND fa.sku = ff.sku AND fa.product_name = ff.product_name
+         AND fa.category = ff.category AND fa.channel = ff.channel),
+forecast_extract AS (
+  SELECT strftime(week_start, '%Y-%m-%d') AS week_start_date, CAST(store_id AS VARCHAR) AS store_code, state, region,
+         CAST(sku AS VARCHAR) AS sku, product_name, category AS product_family,
+         CASE WHEN store_id % 2 = 1 THEN ' ' || upper(channel) ELSE channel END AS channel,
+         {_txt('forecast_units')} AS forecast_units, {_txt('actual_units')} AS actual_units,
+         {_txt('forecast_net_sales')} AS forecast_net_sales, {_txt('actual_net_sales')} AS actual_net_sales,
+         {_txt('forecast_net_sales / forecast_units')} AS forecast_unit_price,
+         {_txt('actual_net_sales / actual_units')} AS actual_unit_price,
+         CASE WHEN category = 'PROMO' THEN 'Yes' ELSE 'no' END AS promo_flag,
+         CASE WHEN actual_units < 5 THEN 'Y' WHEN actual_units IS NOT NULL THEN 'N' END AS stockout_flag,
+         CASE WHEN actual_net_sales IS NULL THEN 'true' ELSE 'false' END AS is_partial_actual,
+         strftime(week_start, '%B') AS seasonality_label, 'baseline' AS plan_version
+  FROM fj
+),
+staged_forecast AS (
+  SELECT TRY_CAST(NULLIF(trim(week_start_date), '') AS DATE) AS week_start_date,
+         NULLIF(trim(store_code), '') AS store_code, NULLIF(trim(state), '') AS state, NULLIF(trim(region), '') AS region,
+         NULLIF(trim(sku), '') AS sku, NULLIF(trim(product_name), '') AS product_name,
+         NULLIF(trim(product_family), '') AS product_family, lower(NULLIF(trim(channel), '')) AS channel,
+         TRY_CAST(NULLIF(trim(forecast_units), '') AS DOUBLE) AS forecast_units,
+         TRY_CAST(NULLIF(trim(actual_units), '') AS DOUBLE) AS actual_units,
+         TRY_CAST(NULLIF(trim(forecast_net_sales), '') AS DOUBLE) AS forecast_net_sales,
+         TRY_CAST(NULLIF(trim(actual_net_sales), '') AS DOUBLE) AS actual_net_sales,
+         TRY_CAST(NULLIF(trim(forecast_unit_price), '') AS DOUBLE) AS forecast_unit_price,
+         TRY_CAST(NULLIF(trim(actual_unit_price), '') AS DOUBLE) AS actual_unit_price,
+         CASE WHEN lower(trim(promo_flag)) IN ('true','t','yes','y','1') THEN TRUE
+              WHEN lower(trim(promo_flag)) IN ('false','f','no','n','0') THEN FALSE END AS promo_flag,
+         CASE WHEN lower(trim(stockout_flag)) IN ('true','t','yes','y','1') THEN TRUE
+              WHEN lower(trim(stockout_flag)) IN ('false','f','no','n','0') THEN FALSE END AS stockout_flag,
+         COALESCE(CASE WHEN lower(trim(is_partial_actual)) IN ('true','t','yes','y','1') THEN TRUE
+                       WHEN lower(trim(is_partial_actual)) IN ('false','f','no','n','0') THEN FALSE END, FALSE)
+           AS is_partial_actual,
+         NULLIF(trim(seasonality_label), '') AS seasonality_label, NULLIF(trim(plan_version), '') AS plan_version
+  FROM forecast_extract
+),
+fva AS (
+  SELECT *, actual_units - forecast_units AS unit_variance, actual_net_sales - forecast_net_sales AS sales_variance,
+         CASE WHEN forecast_net_sales <> 0 THEN (actual_net_sales - forecast_net_sales) / forecast_net_sales END
+           AS sales_variance_pct,
+         abs(actual_net_sales - forecast_net_sales) AS absolute_sales_error,
+         CASE WHEN actual_net_sales <> 0 THEN abs(actual_net_sales - forecast_net_sales) / actual_net_sales END
+           AS absolute_percent_error,
+         actual_net_sales IS NULL AS is_missing_actual,
+         CASE WHEN actual_net_sales IS NULL THEN 'partial_actual'
+              WHEN actual_net_sales > forecast_net_sales THEN 'above_forecast'
+              WHEN actual_net_sales < forecast_net_sales THEN 'below_forecast' ELSE 'on_forecast' END
+           AS forecast_performance_status
+  FROM staged_forecast
+),
+pvm AS (
+  SELECT *, sales_variance AS total_sales_variance,
+         CASE WHEN actual_net_sales IS NOT NULL THEN (actual_units - forecast_units) * forecast_unit_price END AS volume_effect,
+         CASE WHEN actual_net_sales IS NOT NULL THEN (actual_unit_price - forecast_unit_price) * actual_units END AS price_effect,
+         CASE WHEN actual_net_sales IS NOT NULL THEN sales_variance - (actual_units - forecast_units) * forecast_unit_price
+              - (actual_unit_price - forecast_unit_price) * actual_units END AS mix_or_residual_effect,
+         CASE WHEN actual_net_sales IS NULL THEN 'partial_actual' WHEN stockout_flag = TRUE THEN 'stockout'
+              WHEN promo_flag = TRUE THEN 'promo'
+              WHEN actual_units > forecast_units AND actual_unit_price >= forecast_unit_price THEN 'volume_up'
+              WHEN actual_units < forecast_units AND actual_unit_price <= forecast_unit_price THEN 'volume_down'
+              WHEN actual_unit_price > forecast_unit_price THEN 'price_up'
+              WHEN actual_unit_price < forecast_unit_price THEN 'price_down' ELSE 'base_business' END
+           AS primary_variance_driver
+  FROM fva
+)"""

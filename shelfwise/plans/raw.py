@@ -76,3 +76,39 @@ def timeclock_extract(t: Tables) -> DataFrame:
         F.col("event_type").alias("action_raw"),
         F.concat(F.lit("L"), (k % 2).cast("string")).alias("load_id"),
     )
+
+
+def _txt(c, scale: int = 4):
+    """Number → fixed-scale text (rounded first so both engines render alike)."""
+    from ..functions.clean import round_to
+    return round_to(c, scale).cast(f"decimal(18,{scale})").cast("string")
+
+
+def forecast_weekly_extract(t: Tables) -> DataFrame:
+    """H12 input: weekly actuals full-outer-joined with a seasonal-naive forecast.
+
+    forecast(week) = actuals of the same store / SKU 364 days earlier; rows with
+    a forecast but no actual are partial actuals.  Everything is text.
+    """
+    s = model.sales_lines(t)
+    dims = ["store_id", "state", "region", "sku", "product_name", "category", "channel"]
+    a = s.groupBy("week_start", *dims).agg(F.sum("units").alias("actual_units"),
+                                           F.sum("net_sales").alias("actual_net_sales"))
+    f = a.select(F.date_add("week_start", 364).alias("week_start"), *dims,
+                 F.col("actual_units").alias("forecast_units"), F.col("actual_net_sales").alias("forecast_net_sales"))
+    j = a.join(f, ["week_start", *dims], "full")
+    au, an, fu, fn = F.col("actual_units"), F.col("actual_net_sales"), F.col("forecast_units"), F.col("forecast_net_sales")
+    return j.select(
+        F.date_format("week_start", "yyyy-MM-dd").alias("week_start_date"),
+        F.col("store_id").cast("string").alias("store_code"), "state", "region",
+        F.col("sku").cast("string").alias("sku"), "product_name", F.col("category").alias("product_family"),
+        F.when(F.col("store_id") % 2 == 1, F.concat(F.lit(" "), F.upper("channel"))).otherwise(F.col("channel")).alias("channel"),
+        _txt(fu).alias("forecast_units"), _txt(au).alias("actual_units"),
+        _txt(fn).alias("forecast_net_sales"), _txt(an).alias("actual_net_sales"),
+        _txt(fn / fu).alias("forecast_unit_price"), _txt(an / au).alias("actual_unit_price"),
+        F.when(F.col("category") == "PROMO", F.lit("Yes")).otherwise(F.lit("no")).alias("promo_flag"),
+        F.when(au < 5, F.lit("Y")).when(au.isNotNull(), F.lit("N")).alias("stockout_flag"),
+        F.when(an.isNull(), F.lit("true")).otherwise(F.lit("false")).alias("is_partial_actual"),
+        F.date_format("week_start", "MMMM").alias("seasonality_label"),
+        F.lit("baseline").alias("plan_version"),
+    )
