@@ -212,3 +212,27 @@ pvm AS (
            AS primary_variance_driver
   FROM fva
 )"""
+
+
+RETAIL_QUARTERLY = SALES_LINES + f""",
+rq_extract AS (
+  SELECT CASE WHEN order_id % 17 = 0 THEN ' '
+              ELSE CAST(year(sale_date) AS VARCHAR) || 'Q' || CAST(quarter(sale_date) AS VARCHAR) END AS quarter_id,
+         CASE WHEN order_id % 19 = 0 THEN '' ELSE strftime(CAST(week_start + INTERVAL 6 DAY AS DATE), '%Y-%m-%d') END
+           AS week_end_date,
+         CASE WHEN line_number = 7 THEN NULL ELSE CAST(store_id AS VARCHAR) END AS dispensary_account_id,
+         CAST(sku AS VARCHAR) AS sku_id,
+         {_txt("CASE WHEN return_flag = 'R' THEN -units ELSE units END", 2)} AS units_sold,
+         {_txt('gross_sales', 2)} AS gross_sales, {_txt('discount_amount', 2)} AS discount_amount,
+         {_txt('net_sales', 2)} AS net_sales
+  FROM sales_lines
+),
+rq AS (
+  SELECT NULLIF(trim(quarter_id), '') AS quarter_id, TRY_CAST(NULLIF(trim(week_end_date), '') AS DATE) AS week_end_date,
+         NULLIF(trim(dispensary_account_id), '') AS dispensary_account_id, NULLIF(trim(sku_id), '') AS sku_id,
+         TRY_CAST(NULLIF(trim(units_sold), '') AS DOUBLE) AS units_sold,
+         TRY_CAST(NULLIF(trim(gross_sales), '') AS DOUBLE) AS gross_sales,
+         TRY_CAST(NULLIF(trim(discount_amount), '') AS DOUBLE) AS discount_amount,
+         TRY_CAST(NULLIF(trim(net_sales), '') AS DOUBLE) AS net_sales
+  FROM rq_extract
+)"""

@@ -112,3 +112,26 @@ def forecast_weekly_extract(t: Tables) -> DataFrame:
         F.date_format("week_start", "MMMM").alias("seasonality_label"),
         F.lit("baseline").alias("plan_version"),
     )
+
+
+RETAIL_QUARTERLY_TYPES = {"week_end_date": "date", "units_sold": "double", "gross_sales": "double",
+                          "discount_amount": "double", "net_sales": "double"}
+
+
+def retail_quarterly_extract(t: Tables) -> DataFrame:
+    """Quarterly retail account sales extract (all text) from sales lines.
+
+    Returns carry negative units; some keys are blank so completeness rules fire.
+    """
+    s = model.sales_lines(t)
+    q = F.concat(F.year("sale_date").cast("string"), F.lit("Q"), F.quarter("sale_date").cast("string"))
+    units = F.when(F.col("return_flag") == "R", -F.col("units")).otherwise(F.col("units"))
+    return s.select(
+        F.when(F.col("order_id") % 17 == 0, F.lit(" ")).otherwise(q).alias("quarter_id"),
+        F.when(F.col("order_id") % 19 == 0, F.lit("")).otherwise(
+            F.date_format(F.date_add("week_start", 6), "yyyy-MM-dd")).alias("week_end_date"),
+        F.when(F.col("line_number") == 7, F.lit(None)).otherwise(F.col("store_id").cast("string")).alias("dispensary_account_id"),
+        F.col("sku").cast("string").alias("sku_id"),
+        _txt(units, 2).alias("units_sold"), _txt(F.col("gross_sales"), 2).alias("gross_sales"),
+        _txt(F.col("discount_amount"), 2).alias("discount_amount"), _txt(F.col("net_sales"), 2).alias("net_sales"),
+    )
