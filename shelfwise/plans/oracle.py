@@ -236,3 +236,100 @@ rq AS (
          TRY_CAST(NULLIF(trim(net_sales), '') AS DOUBLE) AS net_sales
   FROM rq_extract
 )"""
+
+
+GHG = """
+factors(factor_id, scope, factor_type, region, activity_unit, factor_value_kg_co2e_per_unit, source_authority,
+        effective_start, effective_end, factor_version, is_current) AS (VALUES
+  (1, 'Scope 2', 'electricity', 'AFRICA', 'kwh', 0.3, 'grid authority', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (2, 'Scope 2', 'electricity', 'AFRICA', 'kwh', 0.28, 'grid authority', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y'),
+  (3, 'Scope 2', 'electricity', 'AMERICA', 'kwh', 0.35, 'grid authority', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (4, 'Scope 2', 'electricity', 'AMERICA', 'kwh', 0.33, 'grid authority', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y'),
+  (5, 'Scope 2', 'electricity', 'ASIA', 'kwh', 0.4, 'grid authority', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (6, 'Scope 2', 'electricity', 'ASIA', 'kwh', 0.38, 'grid authority', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y'),
+  (7, 'Scope 2', 'electricity', 'EUROPE', 'kwh', 0.45, 'grid authority', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (8, 'Scope 2', 'electricity', 'EUROPE', 'kwh', 0.43, 'grid authority', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y'),
+  (9, 'Scope 2', 'electricity', 'MIDDLE EAST', 'kwh', 0.5, 'grid authority', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (10, 'Scope 1', 'diesel', 'US', 'gallon', 10.21, 'national inventory', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (11, 'Scope 1', 'diesel', 'US', 'gallon', 10.18, 'national inventory', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y'),
+  (12, 'Scope 1', 'natural_gas', 'US', 'therm', 5.3, 'national inventory', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (13, 'Scope 1', 'natural_gas', 'US', 'therm', 5.31, 'national inventory', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y'),
+  (14, 'Scope 3', 'freight_truck', 'US', 'ton_mile', 0.161, 'national inventory', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (15, 'Scope 3', 'freight_truck', 'US', 'ton_mile', 0.158, 'national inventory', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y'),
+  (16, 'Scope 3', 'corrugate', 'US', 'kg', 0.9, 'national inventory', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (17, 'Scope 3', 'corrugate', 'US', 'kg', 0.88, 'national inventory', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y'),
+  (18, 'Scope 3', 'plastic_film', 'US', 'kg', 2.1, 'national inventory', DATE '1990-01-01', DATE '1998-12-31', 'v1', 'N'),
+  (19, 'Scope 3', 'plastic_film', 'US', 'kg', 2.05, 'national inventory', DATE '1999-01-01', DATE '2099-12-31', 'v2', 'Y')),
+facilities AS (
+  SELECT upper(trim(' f' || CAST(s_suppkey AS VARCHAR))) AS facility_id, s_name AS facility_name,
+         'Warehouse' AS facility_type, n_name AS state_province, 'US' AS country, upper(r_name) AS grid_region
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+product_lines AS (
+  SELECT upper('pl-' || lower(p_type)) AS product_line_id, p_type AS pt FROM (SELECT DISTINCT p_type FROM part)
+  WHERE p_type <> 'PROMO'),
+li AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS source_record_id,
+         CAST(date_trunc('month', l_shipdate) AS DATE) AS activity_month,
+         CASE WHEN l_suppkey % 10 = 9 THEN 'FX' ELSE 'F' END || CAST(l_suppkey AS VARCHAR) AS facility_id, *
+  FROM lineitem),
+act0 AS (
+  SELECT 'utility_bills' AS source_system, source_record_id, activity_month, 'Scope 2' AS scope, facility_id,
+         CAST(NULL AS VARCHAR) AS product_line_id, 'Purchased electricity' AS activity_category,
+         'electricity' AS factor_type, l_quantity * 100.0 * CASE WHEN l_tax = 0 THEN -1.0 ELSE 1.0 END AS activity_amount,
+         'kwh' AS activity_unit, l_extendedprice * 0.1 AS cost_usd FROM li WHERE l_returnflag = 'A'
+  UNION ALL
+  SELECT 'fuel_usage', source_record_id, activity_month, 'Scope 1', facility_id, NULL, 'Stationary combustion',
+         CASE WHEN l_linestatus = 'O' THEN 'diesel' ELSE 'natural_gas' END, l_quantity,
+         CASE WHEN l_linestatus = 'O' THEN 'gallon' ELSE 'therm' END, l_extendedprice * 0.05 FROM li WHERE l_returnflag = 'N'
+  UNION ALL
+  SELECT 'shipping_logistics', source_record_id, activity_month, 'Scope 3', facility_id, 'PL-' || upper(p_type),
+         'Upstream transportation', 'freight_truck', l_quantity * 12.5, 'ton_mile', l_extendedprice * 0.02
+  FROM li JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'
+  UNION ALL
+  SELECT 'packaging_procurement', CAST(o_orderkey AS VARCHAR), CAST(date_trunc('month', o_orderdate) AS DATE), 'Scope 3',
+         'F' || CAST(o_orderkey % 100 AS VARCHAR), NULL, 'Purchased goods - packaging',
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'unknown_material' WHEN o_orderpriority = '1-URGENT' THEN 'corrugate'
+              ELSE 'plastic_film' END, o_totalprice / 1000.0, 'kg', o_totalprice * 0.01 FROM orders),
+act AS (
+  SELECT md5(concat_ws('|', source_system, source_record_id)) AS activity_id, *,
+         concat_ws(':', source_system, source_record_id) AS evidence_reference,
+         COALESCE(activity_amount < 0, FALSE) AS has_negative_activity, facility_id IS NULL AS has_missing_facility_id,
+         (product_line_id IS NULL AND scope = 'Scope 3') AS has_missing_product_line_id,
+         activity_month IS NULL AS has_invalid_activity_month,
+         (factor_type IS NULL OR factor_type NOT IN ('electricity','diesel','natural_gas','freight_truck','corrugate','plastic_film'))
+           AS has_unknown_activity_type
+  FROM act0),
+matched AS (
+  SELECT a.*, f.grid_region, pl.product_line_id IS NOT NULL AS pl_found, f.facility_id IS NOT NULL AS fac_found,
+         upper(left(pl.pt, 1)) || lower(substr(pl.pt, 2)) AS product_line_name,
+         ef.factor_id, ef.factor_version, ef.factor_value_kg_co2e_per_unit
+  FROM act a LEFT JOIN facilities f ON a.facility_id = f.facility_id
+  LEFT JOIN product_lines pl ON a.product_line_id = pl.product_line_id
+  LEFT JOIN factors ef ON a.factor_type = ef.factor_type AND a.activity_unit = ef.activity_unit
+       AND (CASE WHEN a.scope = 'Scope 2' THEN f.grid_region ELSE 'US' END) = ef.region
+       AND a.activity_month >= ef.effective_start AND a.activity_month <= ef.effective_end),
+fact0 AS (
+  SELECT *,
+         CASE WHEN activity_amount IS NOT NULL AND factor_value_kg_co2e_per_unit IS NOT NULL AND activity_amount >= 0
+              THEN activity_amount * factor_value_kg_co2e_per_unit END AS kg_co2e,
+         CASE WHEN activity_amount IS NOT NULL AND factor_value_kg_co2e_per_unit IS NOT NULL AND activity_amount >= 0
+              THEN activity_amount * factor_value_kg_co2e_per_unit / 1000.0 END AS metric_tons_co2e,
+         NOT fac_found AS has_missing_facility_join,
+         (NOT pl_found AND product_line_id IS NOT NULL) AS has_missing_product_line_join,
+         factor_id IS NULL AS has_missing_factor_join
+  FROM matched),
+fact AS (
+  SELECT *,
+         NOT (has_negative_activity OR has_missing_facility_id OR has_invalid_activity_month OR has_unknown_activity_type
+              OR has_missing_facility_join OR has_missing_factor_join) AS is_reportable_emissions_row,
+         CASE WHEN has_missing_factor_join THEN '❌ Missing factor join'
+              WHEN has_negative_activity THEN '⚠️ Negative activity'
+              WHEN has_missing_facility_id THEN '⚠️ Missing facility ID'
+              WHEN has_invalid_activity_month THEN '⚠️ Invalid activity month'
+              WHEN has_unknown_activity_type THEN '⚠️ Unknown activity type'
+              WHEN has_missing_facility_join THEN '⚠️ Missing facility join'
+              WHEN has_missing_product_line_join THEN '⚠️ Missing product line join'
+              WHEN NOT (has_negative_activity OR has_missing_facility_id OR has_invalid_activity_month
+                        OR has_unknown_activity_type OR has_missing_facility_join OR has_missing_factor_join)
+                THEN '✅ Reportable' ELSE 'Review' END AS qa_status
+  FROM fact0)"""
