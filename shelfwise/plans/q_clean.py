@@ -151,6 +151,12 @@ FROM s
 """
 
 
+import re as _re  # noqa: E402
+
+# Same query without output rounding, for reuse as an input CTE.
+H4_CORE = _re.sub(r"round\((\w+), 4\) AS \1", r"\1", H4_SQL)
+
+
 @query("h4_stage_sales_distributor", H4_SQL)
 def q_h4(spark, d):
     return rounded(staging.stage_sales_distributor(raw.sales_distributor_extract(Tables(spark, d))))

@@ -135,3 +135,33 @@ def retail_quarterly_extract(t: Tables) -> DataFrame:
         _txt(units, 2).alias("units_sold"), _txt(F.col("gross_sales"), 2).alias("gross_sales"),
         _txt(F.col("discount_amount"), 2).alias("discount_amount"), _txt(F.col("net_sales"), 2).alias("net_sales"),
     )
+
+
+def pos_lines(t: Tables) -> DataFrame:
+    """POS transaction lines: order = transaction, line = basket line (keys repeat → D5 dedup)."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.select(F.col("l_orderkey").alias("txn_id"), F.col("l_linenumber").alias("line_number"),
+                    F.col("o_orderdate").cast("date").alias("txn_date"),
+                    F.col("o_custkey").cast("string").alias("store_code"), F.col("l_partkey").cast("string").alias("sku"),
+                    F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("gross_amount"),
+                    (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net_amount"))
+
+
+# Fixed finance labels by order priority (exercise the KPI-category classifier).
+PRIORITY_METRIC = {"1-URGENT": "Gross Sales", "2-HIGH": "net sales total", "3-MEDIUM": "COGS - product",
+                   "4-NOT SPECIFIED": "Labor Cost", "5-LOW": "Other income"}
+
+
+def finance_actuals_extract(t: Tables) -> DataFrame:
+    """H10 input: one GL-like actual per order with text month and amount."""
+    o = t.orders
+    k = F.col("o_orderkey")
+    d = F.col("o_orderdate").cast("date")
+    return o.select(
+        F.when(k % 2 == 0, F.date_format(d, "yyyy-MM-dd")).otherwise(F.date_format(d, "MM/dd/yyyy")).alias("month_start_raw"),
+        _map(PRIORITY_METRIC, F.col("o_orderpriority")).alias("metric_name_norm"),
+        F.when(k % 3 == 0, F.concat(F.lit("$"), _txt(F.col("o_totalprice"), 2))).otherwise(_txt(F.col("o_totalprice"), 2))
+         .alias("actual_amount_raw"),
+        F.lit("usd").alias("currency_code_norm"))
