@@ -38,45 +38,104 @@ def reconcile_totals(left: DataFrame, right: DataFrame, keys: Sequence[str], lef
     return out
 
 
-def recon_two_sources(a: DataFrame, b: DataFrame, keys: Sequence[str], a_cols: dict[str, str],
-                      b_cols: dict[str, str], measure: str, warn_tol: float = 0.02,
-                      fail_mult: float = 2.0) -> DataFrame:
-    """Q21: distributor vs POS per key: both sides aggregated, full outer joined,
-    symmetric relative difference, Pass / Warning (≤ 2× tol) / Fail, missing-side labels."""
-    sa = a.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in a_cols.items()])
-    sb = b.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in b_cols.items()])
-    j = sa.join(sb, list(keys), "full")
-    ma, mb = f"a_{measure}", f"b_{measure}"
-    rd = sym_rel_diff(F.coalesce(ma, F.lit(0.0)), F.coalesce(mb, F.lit(0.0)))
-    status = (F.when(F.col(ma).isNull(), F.lit("Missing in A")).when(F.col(mb).isNull(), F.lit("Missing in B"))
-              .when(rd <= warn_tol, F.lit("Pass")).when(rd <= warn_tol * fail_mult, F.lit("Warning"))
-              .otherwise(F.lit("Fail")))
-    return j.withColumns({"abs_diff": F.abs(F.coalesce(ma, F.lit(0.0)) - F.coalesce(mb, F.lit(0.0))),
-                          "rel_diff": rd, "recon_status": status})
-
-
-def sales_to_ledger(sales: DataFrame, ledger: DataFrame, keys: Sequence[str], sales_measures: dict[str, str],
-                    ledger_measures: dict[str, str], abs_tol: float = 500.0, rel_tol: float = 0.02,
-                    margin_rel_tol: float = 0.035) -> DataFrame:
-    """Q22: monthly sales vs ledger per metric.
-
-    Both sides are unpivoted to (keys, metric, amount) (A13), full outer joined,
-    and flagged when the gap exceeds $``abs_tol`` *and* the relative tolerance
-    (3.5 % for margin metrics); one-sided rows are labelled.
+def recon_distributor_vs_pos(dist: DataFrame, pos: DataFrame, keys: Sequence[str] = ("sale_date", "store_code"),
+                             start=None, tolerance_pct: float = 0.01, date_col: str = "sale_date") -> DataFrame:
+    """Q21: distributor vs POS at store-day grain: both sides summed (nulls as 0), full outer joined (J3),
+    deltas (POS − distributor), symmetric % delta on net sales, Pass / Warning (≤ 2× tol) / Fail.
+
+    ``start`` replaces the reference's ``current_date - 90`` window (None = whole history).
+    """
+    def side(df, prefix):
+        if start is not None:
+            df = df.filter(F.col(date_col) >= F.lit(start).cast("date"))
+        z = F.lit(0.0)
+        return df.groupBy(*keys).agg(F.sum(F.coalesce(F.col("net_sales").cast("double"), z)).alias(f"{prefix}_net_sales"),
+                                     F.sum(F.coalesce(F.col("gross_sales").cast("double"), z)).alias(f"{prefix}_gross_sales"),
+                                     F.sum(F.coalesce(F.col("units").cast("double"), z)).alias(f"{prefix}_qty"))
+    j = side(dist, "dist").join(side(pos, "pos"), list(keys), "full")
+    z = F.lit(0.0)
+    out = j.select(*keys, "dist_net_sales", "pos_net_sales",
+                   (F.coalesce("pos_net_sales", z) - F.coalesce("dist_net_sales", z)).alias("delta_net_sales"),
+                   "dist_gross_sales", "pos_gross_sales",
+                   (F.coalesce("pos_gross_sales", z) - F.coalesce("dist_gross_sales", z)).alias("delta_gross_sales"),
+                   "dist_qty", "pos_qty", (F.coalesce("pos_qty", z) - F.coalesce("dist_qty", z)).alias("delta_qty"),
+                   sym_rel_diff(F.coalesce("dist_net_sales", z), F.coalesce("pos_net_sales", z)).alias("delta_pct_net_sales"),
+                   F.lit(tolerance_pct).alias("tolerance_pct"))
+    key_null = None
+    for k in keys:
+        key_null = F.col(k).isNull() if key_null is None else key_null | F.col(k).isNull()
+    status = (F.when(key_null, F.lit("Fail")).when(F.col("delta_pct_net_sales") <= tolerance_pct, F.lit("Pass"))
+              .when(F.col("delta_pct_net_sales") <= tolerance_pct * 2, F.lit("Warning")).otherwise(F.lit("Fail")))
+    return out.withColumn("status", status)
+
+
+def recon_sales_to_ledger(sales: DataFrame, ledger: DataFrame, period: str = "period_month",
+                          abs_tol: float = 500.0, pct_tol: float = 0.02, margin_pct_tol: float = 0.035) -> DataFrame:
+    """Q22: monthly mart sales vs ledger actuals per metric.
+
+    ``sales`` rows: (period, net_sales, gross_sales, cogs); ``ledger`` rows:
+    (period, kpi_category, actual_amount).  The ledger side is pivoted with
+    filtered sums (A4), both sides are melted (A13) after a full outer join on
+    the month, and each metric is PASS within $``abs_tol`` or within the
+    relative tolerance (3.5 % for margin), else FAIL_* with the missing side named.
     """
-    def melt(df, measures, value):
-        g = df.groupBy(*keys).agg(*[F.sum(c).alias(m) for m, c in measures.items()])
-        return g.unpivot(list(keys), list(measures), "metric", value)
-    s = melt(sales, sales_measures, "sales_amount")
-    lg = melt(ledger, ledger_measures, "ledger_amount")
-    j = s.join(lg, [*keys, "metric"], "full")
-    sa, la = F.col("sales_amount"), F.col("ledger_amount")
-    diff = F.coalesce(sa, F.lit(0.0)) - F.coalesce(la, F.lit(0.0))
-    rel = sym_rel_diff(F.coalesce(sa, F.lit(0.0)), F.coalesce(la, F.lit(0.0)))
-    tol = F.when(F.col("metric").contains("margin"), F.lit(margin_rel_tol)).otherwise(F.lit(rel_tol))
-    status = (F.when(sa.isNull(), F.lit("Missing sales")).when(la.isNull(), F.lit("Missing ledger"))
-              .when((F.abs(diff) > abs_tol) & (rel > tol), F.lit("Fail")).otherwise(F.lit("Pass")))
-    return j.withColumns({"difference": diff, "rel_diff": rel, "recon_status": status})
+    z = F.lit(0.0)
+    m = sales.groupBy(period).agg(
+        F.sum(F.coalesce("net_sales", z)).alias("mart_net_sales"), F.sum(F.coalesce("gross_sales", z)).alias("mart_gross_sales"),
+        F.sum(F.coalesce("cogs", z)).alias("mart_cogs"),
+        F.sum(F.coalesce("net_sales", z) - F.coalesce("cogs", z)).alias("mart_gross_margin"))
+    cat = F.col("kpi_category")
+    g = ledger.groupBy(period).agg(*[F.sum(F.when(cat == k, F.col("actual_amount"))).alias(f"gl_{k}")
+                                     for k in ("net_sales", "gross_sales", "cogs", "gross_margin")])
+    rows = m.join(g, period, "full")
+    metrics = ("net_sales", "gross_sales", "cogs", "gross_margin")
+    stack = ", ".join(f"'{k}', mart_{k}, gl_{k}" for k in metrics)
+    melt = rows.selectExpr(period, f"stack({len(metrics)}, {stack}) AS (metric, mart_amount, gl_amount)")
+    ma, ga = F.coalesce("mart_amount", z), F.coalesce("gl_amount", z)
+    diff = F.abs(ma - ga)
+    big = F.greatest(F.abs(ma), F.abs(ga))
+    pct = F.when(big == 0, z).otherwise(diff / big)
+    margin = F.col("metric") == "gross_margin"
+    status = (F.when(F.col("mart_amount").isNull(), F.lit("FAIL_missing_mart"))
+              .when(F.col("gl_amount").isNull(), F.lit("FAIL_missing_gl"))
+              .when(diff <= abs_tol, F.lit("PASS"))
+              .when(margin & (big > 0) & (diff / big <= margin_pct_tol), F.lit("PASS"))
+              .when(~margin & (big > 0) & (diff / big <= pct_tol), F.lit("PASS"))
+              .otherwise(F.lit("FAIL_mismatch")))
+    return melt.select(period, "metric", "mart_amount", "gl_amount", (ma - ga).alias("diff_amount"),
+                       pct.alias("pct_diff"), status.alias("status"))
+
+
+def unified_controls(controls: dict[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """Heterogeneous control outputs → one contract (check, key, status)."""
+    out = None
+    for name, (df, status_col, key_cols) in controls.items():
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols]) if key_cols else F.lit(None).cast("string")
+        d = df.select(F.lit(name).alias("check_name"), key.alias("check_key"), F.col(status_col).alias("status"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def bridge_tieout(bridge: DataFrame, tol: float = 0.01) -> DataFrame:
+    """Q36: forecast + volume + price + residual must equal actual within rounding."""
+    explained = (F.col("forecast_net_sales") + F.col("volume_effect") + F.col("price_effect")
+                 + F.col("mix_or_residual_effect"))
+    return bridge.withColumns({"explained_actual": explained,
+                               "tieout_gap": F.col("actual_net_sales") - explained,
+                               "ties_out": F.abs(F.col("actual_net_sales") - explained) <= tol})
+
+
+def dim_join_coverage(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Q17: for each dimension, fact rows whose key finds a partner (semi / anti join counts)."""
+    out = None
+    for name, (dim, key) in dims.items():
+        keys = dim.select(F.col(key).alias("__k"), F.lit(True).alias("__hit")).distinct()
+        j = fact.join(keys, fact[key] == keys["__k"], "left")
+        r = j.agg(F.count(F.lit(1)).alias("fact_rows"), F.count_if(F.col("__hit").isNull()).alias("unmatched_rows"))
+        r = r.select(F.lit(name).alias("dimension"), "fact_rows", "unmatched_rows",
+                     (F.lit(1.0) - F.col("unmatched_rows") / F.col("fact_rows")).alias("coverage_pct"))
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 def missing_dim_control(fact: DataFrame, date_col: str, checks: dict[str, Column], start=None,
@@ -130,10 +189,15 @@ def rowcounts_daily(facts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def layer_tieout(a: DataFrame, b: DataFrame, measure: str, name: str) -> DataFrame:
-    """Q25: row count and measure total of two layers, exact match flags."""
+def layer_tieout(a: DataFrame, b: DataFrame, measure: str, name: str, b_rows_col: str | None = None) -> DataFrame:
+    """Q25: row count and measure total of two layers, exact match flags.
+
+    ``b_rows_col``: when the later layer is aggregated, the column holding the
+    number of source rows per output row (summed instead of counted).
+    """
     sa = a.agg(F.count(F.lit(1)).alias("a_rows"), F.sum(measure).alias("a_total"))
-    sb = b.agg(F.count(F.lit(1)).alias("b_rows"), F.sum(measure).alias("b_total"))
+    b_rows = F.sum(b_rows_col) if b_rows_col else F.count(F.lit(1))
+    sb = b.agg(b_rows.cast("bigint").alias("b_rows"), F.sum(measure).alias("b_total"))
     j = sa.withColumn("__k", F.lit(1)).join(sb.withColumn("__k", F.lit(1)), "__k").drop("__k")
     return j.select(F.lit(name).alias("check_name"), "*",
                     (F.col("a_rows") == F.col("b_rows")).alias("rows_match"),

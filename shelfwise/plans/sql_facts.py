@@ -161,8 +161,8 @@ FROM (SELECT *, COUNT(*) OVER (PARTITION BY snapshot_date, site_id, sku) AS dup_
       FROM inventory) WHERE rn = 1
 """
 
-M18_SQL = """
-WITH fx AS (
+FIN_CTE = """
+fx AS (
   SELECT CASE WHEN o_orderkey % 2 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d')
               ELSE strftime(CAST(o_orderdate AS DATE), '%m/%d/%Y') END AS month_start_raw,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'Gross Sales' WHEN '2-HIGH' THEN 'net sales total'
@@ -186,7 +186,10 @@ k AS (SELECT *, CASE WHEN metric_name IS NULL THEN 'unknown'
                      WHEN lower(trim(metric_name)) LIKE '%cost%of%goods%' THEN 'cogs'
                      WHEN lower(trim(metric_name)) LIKE '%gross%margin%' THEN 'gross_margin'
                      WHEN lower(trim(metric_name)) LIKE '%labor%cost%' THEN 'labor_cost'
-                     ELSE 'unknown' END AS kpi_category FROM s)
+                     ELSE 'unknown' END AS kpi_category FROM s)"""
+
+M18_SQL = f"""
+WITH {FIN_CTE}
 SELECT period_month, kpi_category, round(SUM(actual_amount), 4) AS actual_amount, COUNT(*) AS source_rows,
        count(*) FILTER (WHERE kpi_category = 'unknown') AS unmapped_rows
 FROM k GROUP BY 1, 2
