@@ -294,3 +294,119 @@ def instock_rate_daily(inv: DataFrame, date: str = "snapshot_date", by: Sequence
         F.count_if(F.col("on_hand_units") > 0).alias("in_stock_rows"),
         F.count_if(F.col("on_hand_units") <= 0).alias("out_of_stock_rows"))
     return g.withColumn("instock_rate", ratio("in_stock_rows", "inventory_rows"))
+
+
+def roi_monthly(actuals: DataFrame, period: str = "period_month") -> DataFrame:
+    """Ledger actuals pivoted by KPI category (A11 as filtered sums), margin over labor, contribution."""
+    cat = F.col("kpi_category")
+    a = actuals.groupBy(period).agg(*[F.sum(F.when(cat == k, F.col("actual_amount"))).alias(k)
+                                      for k in ("net_sales", "cogs", "gross_margin", "labor_cost")])
+    gm = F.coalesce(F.col("gross_margin"), F.col("net_sales") - F.col("cogs"))
+    a = a.withColumn("gross_margin", gm)
+    return a.select(period, "net_sales", "cogs", "gross_margin", "labor_cost",
+                    (F.col("gross_margin") - F.col("labor_cost")).alias("contribution_margin"),
+                    ratio("gross_margin", "labor_cost").alias("roi_gross_margin_over_labor"),
+                    ratio(F.col("gross_margin") - F.col("labor_cost"), "labor_cost").alias("roi_contribution_over_labor"))
+
+
+def breakeven_monthly(actuals: DataFrame, sales_daily: DataFrame, period: str = "period_month") -> DataFrame:
+    """Break-even net sales for labor and the days of average sales needed to reach it."""
+    cat = F.col("kpi_category")
+    a = actuals.groupBy(period).agg(*[F.sum(F.when(cat == k, F.col("actual_amount"))).alias(k)
+                                      for k in ("net_sales", "cogs", "labor_cost")])
+    s = sales_daily.groupBy(F.trunc("sale_date", "month").alias(period)).agg(
+        F.sum(F.coalesce("net_sales", F.lit(0.0))).alias("mart_net_sales"))
+    j = a.join(s, period, "left")
+    dim = F.dayofmonth(F.last_day(F.col(period)))
+    gmp = ratio(F.col("net_sales") - F.col("cogs"), "net_sales")
+    avg_daily = (F.when(F.col("mart_net_sales").isNotNull() & (F.col("mart_net_sales") != 0), F.col("mart_net_sales") / dim)
+                 .when(F.col("net_sales").isNotNull() & (F.col("net_sales") != 0), F.col("net_sales") / dim))
+    be = F.when(F.col("labor_cost").isNotNull(), ratio("labor_cost", gmp))
+    return j.select(period, F.col("net_sales").alias("actual_net_sales"), "cogs",
+                    (F.col("net_sales") - F.col("cogs")).alias("gross_margin"), gmp.alias("gross_margin_pct"),
+                    "labor_cost", be.alias("breakeven_net_sales_for_labor"),
+                    avg_daily.alias("avg_daily_net_sales_in_month"),
+                    ratio(be, avg_daily).alias("breakeven_days_estimate"))
+
+
+def sales_per_labor_hour_daily(sales_day: DataFrame, labor_day: DataFrame, keys: Sequence[str] = ("work_date", "store_code")) -> DataFrame:
+    """Store-day sales ⟕ labor hours (J2) and the ratio (C34); unmatched sides kept (full join)."""
+    j = sales_day.join(labor_day, list(keys), "full")
+    return j.withColumns({"sales_per_labor_hour": ratio("net_sales", "labor_hours"),
+                          "units_per_labor_hour": ratio("units", "labor_hours")})
+
+
+# Fixed severity ladder for low-margin alerts.
+SEVERITY_ORDER = {"critical": 1, "high": 2, "medium": 3, "monitor": 4}
+
+
+def low_margin_alerts(daily: DataFrame, keys: Sequence[str] = ("store_code", "sku", "channel"),
+                      date: str = "sale_date", window_days: int = 28) -> DataFrame:
+    """Trailing-window margin per grain, severity ladder, reason, action and a global priority rank."""
+    from .ranking import global_dense_rank
+    mx = daily.agg(F.max(date).alias("__asof")).withColumn("__k", F.lit(1))
+    x = daily.withColumn("__k", F.lit(1)).join(F.broadcast(mx), "__k")
+    x = x.filter((F.col(date) >= F.date_sub("__asof", window_days - 1)) & (F.col(date) <= F.col("__asof")))
+    z = F.lit(0.0)
+    g = x.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("source_day_count"),
+        F.sum(F.coalesce("gross_sales", z)).alias("gross_sales"),
+        F.sum(F.coalesce("discount_amount", z)).alias("discount_amount"),
+        F.sum(F.coalesce("net_sales", z)).alias("net_sales"), F.sum(F.coalesce("cogs", z)).alias("cogs"))
+    g = g.withColumns({"gross_margin": F.col("net_sales") - F.col("cogs"),
+                       "gross_margin_pct": F.when(F.col("net_sales") != 0, (F.col("net_sales") - F.col("cogs")) / F.col("net_sales")),
+                       "discount_rate": F.when(F.col("gross_sales") != 0, F.col("discount_amount") / F.col("gross_sales"))})
+    ns, gmp, dr = F.col("net_sales"), F.col("gross_margin_pct"), F.col("discount_rate")
+    sev = (F.when(ns < 100, F.lit("monitor")).when((gmp < 0.25) & (ns >= 500), F.lit("critical"))
+           .when((gmp < 0.30) & (ns >= 250), F.lit("high")).when(gmp < 0.35, F.lit("medium")).otherwise(F.lit("healthy")))
+    why = (F.when(ns < 100, F.lit("Sales volume is low; monitor before taking action."))
+           .when((gmp < 0.25) & (ns >= 500), F.lit("Gross margin is below 25% on meaningful sales volume."))
+           .when((gmp < 0.30) & (ns >= 250), F.lit("Gross margin is below 30% on moderate sales volume."))
+           .when(gmp < 0.35, F.lit("Gross margin is below the watchlist threshold."))
+           .otherwise(F.lit("Margin appears healthy.")))
+    act = (F.when(ns < 100, F.lit("Monitor; sales volume is too low for a strong decision."))
+           .when((gmp < 0.25) & (dr >= 0.20), F.lit("Review promo depth and discounting strategy."))
+           .when(gmp < 0.25, F.lit("Investigate pricing, COGS, or product margin erosion."))
+           .when((gmp < 0.30) & (dr >= 0.15), F.lit("Check whether discounts are reducing margin below target."))
+           .when(gmp < 0.35, F.lit("Add to margin watchlist and compare against trend."))
+           .otherwise(F.lit("No immediate action required.")))
+    g = g.withColumns({"severity": sev, "why_flagged": why, "recommended_action": act})
+    g = g.filter(F.col("severity").isin(*SEVERITY_ORDER))
+    sev_rank = F.create_map(*[F.lit(x) for kv in SEVERITY_ORDER.items() for x in kv])[F.col("severity")]
+    g = g.withColumns({"__sev": sev_rank, "__ns": round_to(F.col("net_sales"), 4)})
+    return global_dense_rank(g, [("__sev", "asc"), ("__ns", "desc")], "alert_priority_rank").drop("__sev", "__ns")
+
+
+def order_rates(sales: DataFrame, period: str = "month_start") -> DataFrame:
+    """Revenue per order, units per order, lines per order, discount and COGS rates."""
+    g = sales.groupBy(period).agg(F.count_distinct("order_id").alias("orders"), F.count(F.lit(1)).alias("lines"),
+                                  F.sum("net_sales").alias("net_sales"), F.sum("units").alias("units"),
+                                  F.sum("gross_sales").alias("gross_sales"), F.sum("discount_amount").alias("discount_amount"),
+                                  F.sum("cogs").alias("cogs"))
+    return g.select(period, "orders", ratio("net_sales", "orders").alias("revenue_per_order"),
+                    ratio("units", "orders").alias("units_per_order"), ratio("lines", "orders").alias("lines_per_order"),
+                    ratio("discount_amount", "gross_sales").alias("discount_rate"),
+                    ratio("cogs", "net_sales").alias("cogs_pct_of_net"))
+
+
+def anomaly_flags(series: DataFrame, keys: Sequence[str], order: str, value: str, lookback: int = 7,
+                  z_threshold: float = 2.0) -> DataFrame:
+    """Rolling mean / sample std of the previous ``lookback`` rows, z-score, |z| > threshold."""
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-lookback, -1)
+    out = series.withColumns({"rolling_mean": F.avg(value).over(w), "rolling_std": F.stddev_samp(value).over(w),
+                              "rolling_n": F.count(value).over(w)})
+    z = F.when(F.col("rolling_std") > 0, (F.col(value) - F.col("rolling_mean")) / F.col("rolling_std"))
+    return out.withColumns({"z_score": z, "is_anomaly": F.coalesce(F.abs(z) > z_threshold, F.lit(False))})
+
+
+def mom_anomaly_status(series: DataFrame, keys: Sequence[str], period: str, value: str,
+                       review: float = 0.50, watch: float = 0.25) -> DataFrame:
+    """Change vs the previous period (``lag``); ≥ 50 % review, ≥ 25 % watch."""
+    w = Window.partitionBy(*keys).orderBy(period)
+    prev = F.lag(value).over(w)
+    out = series.withColumns({"prior_value": prev, "prior_period": F.lag(period).over(w)})
+    pct = F.when(F.col("prior_value") != 0, (F.col(value) - F.col("prior_value")) / F.abs(F.col("prior_value")))
+    out = out.withColumn("pct_change", pct)
+    status = (F.when(F.col("prior_value").isNull(), F.lit("no_prior")).when(F.abs(pct) >= review, F.lit("review"))
+              .when(F.abs(pct) >= watch, F.lit("watch")).otherwise(F.lit("normal")))
+    return out.withColumn("anomaly_status", status)

@@ -182,3 +182,21 @@ def inventory(t: Tables) -> DataFrame:
         F.col("state"), F.col("p_type").alias("category"),
         on_hand.alias("on_hand_units"), F.col("l_quantity").alias("received_units"),
         F.when(F.col("l_linenumber") % 2 == 1, on_hand > 0).alias("in_stock_flag"))
+
+
+# The event stream covers January 2024 while sales end in 2001: for labor-vs-sales
+# KPIs the punch timeline is shifted back by a fixed number of days so that it
+# ends on the sales horizon (2024-01-01 → 2001-07-01).  Stated, fixed parameter.
+LABOR_SHIFT_DAYS = 8219
+LABOR_RATE_PER_HOUR = 20.0
+
+
+def punches_aligned(t: Tables) -> DataFrame:
+    p = punches(t)
+    ts = F.col("punch_ts") - F.expr(f"INTERVAL {LABOR_SHIFT_DAYS} DAYS")
+    return p.withColumns({"punch_ts": ts, "work_date": ts.cast("date")})
+
+
+def punch_store_of(store_id):
+    """Sales accounts mapped onto the punch stores (same rule as the punch store assignment)."""
+    return F.concat(F.lit("S"), F.lpad((store_id % N_PUNCH_STORES).cast("string"), 2, "0"))
