@@ -207,10 +207,10 @@ FUEL_UNIT_SYNONYMS = {"gal": "gallon", "gals": "gallon", "gallons": "gallon",
 DEPARTMENT_SYNONYMS = {"fulfilment": "fulfillment"}
 # Distribution status groups: canonical value → group.
 COVERAGE_GROUPS = {
-    "active": ("active", "authorized", "carried", "listed"),
-    "pending": ("pending", "new", "onboarding"),
-    "discontinued": ("discontinued", "delisted", "inactive", "removed"),
-    "out_of_stock": ("out_of_stock", "oos", "stockout"),
+    "carried": ("carried", "listed", "active", "in_distribution", "available"),
+    "pending": ("pending", "pending_launch", "onboarding"),
+    "not_carried": ("not_carried", "not_listed", "inactive"),
+    "discontinued": ("discontinued", "retired"),
 }
 
 
@@ -237,16 +237,15 @@ def map_synonyms(c: ColumnOrName, mapping: dict[str, str], fold: str = "upper",
 
 
 def coverage_status(c: ColumnOrName) -> dict[str, Column]:
-    """Status group plus one boolean flag per group."""
-    v = F.lower(F.trim(_c(c)))
+    """Distribution status → coverage group (unlisted statuses pass through) plus one flag per group."""
+    v = _c(c)
     grp = None
     for g, members in COVERAGE_GROUPS.items():
         cond = v.isin(*members)
         grp = F.when(cond, F.lit(g)) if grp is None else grp.when(cond, F.lit(g))
-    grp = grp.otherwise(F.lit("unknown"))
-    out = {"status_group": grp}
-    for g in COVERAGE_GROUPS:
-        out[f"is_{g}"] = grp == F.lit(g)
+    out = {"coverage_status": grp.otherwise(v)}
+    for g, members in COVERAGE_GROUPS.items():
+        out[f"is_{g}"] = v.isin(*members)
     return out
 
 

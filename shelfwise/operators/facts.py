@@ -125,3 +125,11 @@ def multi_level_summary(df: DataFrame, levels: Sequence[Sequence[str]], measures
     g = df.groupingSets([list(lv) for lv in levels], *all_cols).agg(
         *[m.alias(k) for k, m in measures.items()], label.alias(level_col))
     return g.select(*all_cols, level_col, *measures)
+
+
+def store_dimension(master_latest: DataFrame, status_current: DataFrame, key: str = "store_code") -> DataFrame:
+    """M2: latest complete master ⟕ current account status, with activity flags."""
+    st = status_current.select(key, "account_status", F.col("status_date").alias("account_status_date"))
+    j = master_latest.join(st, key, "left")
+    return j.withColumns({"is_active": F.coalesce(F.col("account_status") == "active", F.lit(False)),
+                          "has_status": F.col("account_status").isNotNull()})

@@ -119,3 +119,31 @@ def labor_store_daily(daily_employee: DataFrame, store: str = "store_code",
         F.sum("n_shift_pairs").alias("shift_pairs"),
         F.sum("n_unpaired_in").alias("unpaired_in"),
     )
+
+
+def coverage_conformed(status: DataFrame, stores: DataFrame | None = None, accounts: DataFrame | None = None,
+                       keys: Sequence[str] = ("store_code", "sku"), as_of: str = "as_of_date") -> DataFrame:
+    """Distribution status → coverage group + flags (C21), effective ranges (D10),
+    version count, and store / account context (J2, J15).
+
+    ``status`` must already be one row per (as_of, keys) (D4).  The range
+    window is partitioned by (store, sku): bounded by that pair's status days.
+    """
+    from ..functions.clean import coverage_status
+    base = status.filter(F.col(as_of).isNotNull() & F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull())
+    base = base.withColumns(coverage_status(F.col("distribution_status")))
+    w = Window.partitionBy(*keys).orderBy(as_of)
+    nxt = F.lead(as_of).over(w)
+    out = base.withColumns({"version_count": F.count(F.lit(1)).over(Window.partitionBy(*keys)),
+                            "effective_start_date": F.col(as_of),
+                            "effective_end_date": F.date_sub(nxt, 1),
+                            "is_current": nxt.isNull()})
+    if stores is not None:
+        s = stores.select(F.col(keys[0]), F.lit(True).alias("__store"))
+        out = out.join(s, keys[0], "left").withColumn("is_missing_store_dim", F.col("__store").isNull()).drop("__store")
+    if accounts is not None:
+        a = accounts.select(keys[0], "account_status", F.col("status_date").alias("account_status_date"))
+        out = out.join(a, keys[0], "left").withColumns({
+            "is_active_account": F.lower("account_status") == "active",
+            "is_inactive_or_suspended": F.lower("account_status").isin("inactive", "suspended")})
+    return out

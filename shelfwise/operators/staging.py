@@ -243,3 +243,41 @@ def stage_forecast_weekly(raw: DataFrame) -> DataFrame:
         else:
             cols.append(C.blank_to_null(c).alias(c) if dict(raw.dtypes)[c] == "string" else F.col(c))
     return raw.select(*cols)
+
+
+# H2 -------------------------------------------------------------------------
+def stage_store_master(raw: DataFrame) -> DataFrame:
+    """H2: store master — canonical case, state / postal normalisation, bad-code flags,
+    duplicate flag on (coalesce(as_of, drop_date), dispensary id)."""
+    out = raw.select(
+        C.parse_date(_opt(raw, "as_of_date", "date"), _opt(raw, "as_of_date_raw")).alias("as_of_date"),
+        _opt(raw, "drop_date", "date").alias("drop_date"),
+        C.blank_to_null(_opt(raw, "dispensary_id_norm")).alias("dispensary_id"),
+        C.canon(_opt(raw, "store_code_norm"), "upper").alias("store_code"),
+        C.canon(_opt(raw, "dispensary_name_norm"), "initcap").alias("dispensary_name"),
+        C.norm_state(_opt(raw, "state_norm")).alias("state"),
+        C.canon(_opt(raw, "city_norm"), "initcap").alias("city"),
+        C.norm_postal(_opt(raw, "postal_code_norm")).alias("postal_code"),
+        C.canon(_opt(raw, "account_type_norm"), "lower").alias("account_type"),
+    )
+    out = out.withColumns({
+        "is_missing_key": is_missing_key(["store_code", "as_of_date"]),
+        "is_bad_state_code": is_bad_state_code("state"),
+        "is_bad_postal_code": is_bad_postal_code("postal_code"),
+    })
+    return duplicate_candidates(out, [F.coalesce(F.col("as_of_date"), F.col("drop_date")), F.col("dispensary_id")])
+
+
+# H3 -------------------------------------------------------------------------
+def stage_distribution_status(raw: DataFrame) -> DataFrame:
+    """H3: SKU distribution status rows — lower-case snake status, keys, duplicate flag."""
+    status = F.regexp_replace(C.canon(_opt(raw, "distribution_status_norm"), "lower"), r"[\s\-]+", "_")
+    out = raw.select(
+        C.parse_date(_opt(raw, "as_of_date", "date"), _opt(raw, "as_of_date_raw")).alias("as_of_date"),
+        C.blank_to_null(_opt(raw, "store_code_norm")).alias("store_code"),
+        C.blank_to_null(_opt(raw, "sku_norm")).alias("sku"),
+        status.alias("distribution_status"),
+        C.blank_to_null(_opt(raw, "status_reason_norm")).alias("status_reason"),
+        _opt(raw, "load_id"))
+    out = out.withColumn("is_missing_key", is_missing_key(["as_of_date", "store_code", "sku"]))
+    return duplicate_candidates(out, ["as_of_date", "store_code", "sku"])

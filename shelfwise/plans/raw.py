@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.testdata import Tables
 from . import model
+from ..operators.joins import sized_broadcast
 
 # Fixed channel wording per market segment (exercises the channel classifier).
 SEGMENT_CHANNEL_TEXT = {
@@ -165,3 +166,42 @@ def finance_actuals_extract(t: Tables) -> DataFrame:
         F.when(k % 3 == 0, F.concat(F.lit("$"), _txt(F.col("o_totalprice"), 2))).otherwise(_txt(F.col("o_totalprice"), 2))
          .alias("actual_amount_raw"),
         F.lit("usd").alias("currency_code_norm"))
+
+
+def store_master_extract(t: Tables) -> DataFrame:
+    """H2 input: one master snapshot per order (as-of = order date) of the ordering customer."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    c = t.customer.join(fixed_broadcast_geo(t), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = o.join(sized_broadcast(c), F.col("o_custkey") == F.col("c_custkey"))
+    k = F.col("o_orderkey")
+    d = F.col("o_orderdate").cast("date")
+    return j.select(
+        F.when(k % 3 != 0, d).alias("as_of_date"), F.date_format(d, "MM/dd/yyyy").alias("as_of_date_raw"),
+        F.date_add(d, 1).alias("drop_date"),
+        F.col("c_custkey").cast("string").alias("dispensary_id_norm"),
+        F.concat(F.lit(" "), F.col("c_custkey").cast("string"), F.lit(" ")).alias("store_code_norm"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.lower("c_name")).alias("dispensary_name_norm"),
+        F.when(k % 7 == 0, F.lit("x")).otherwise(F.col("n_name")).alias("state_norm"),
+        F.lower("r_name").alias("city_norm"),
+        F.when(k % 11 == 0, F.lit("12 3")).otherwise(F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("postal_code_norm"),
+        F.col("c_mktsegment").alias("account_type_norm"))
+
+
+def fixed_broadcast_geo(t: Tables) -> DataFrame:
+    from ..operators.joins import fixed_broadcast
+    return fixed_broadcast(t.nation.join(fixed_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+                           .select("n_nationkey", "n_name", "r_name"))
+
+
+def distribution_status_extract(t: Tables) -> DataFrame:
+    """H3 input: one status row per sale line (status text by units sold)."""
+    s = model.sales_lines(t)
+    u = F.col("units")
+    status = (F.when(u >= 40, F.lit(" In Distribution")).when(u >= 20, F.lit("CARRIED")).when(u >= 10, F.lit("available"))
+              .when(u >= 5, F.lit("Pending-Launch")).when(u >= 2, F.lit("not listed")).otherwise(F.lit("Retired ")))
+    return s.select(
+        F.when(F.col("line_number") % 4 != 0, F.col("sale_date")).alias("as_of_date"),
+        F.date_format("sale_date", "yyyy-MM-dd").alias("as_of_date_raw"),
+        F.col("store_id").cast("string").alias("store_code_norm"), F.col("sku").cast("string").alias("sku_norm"),
+        status.alias("distribution_status_norm"), F.col("order_priority").alias("status_reason_norm"),
+        F.concat(F.lit("L"), (F.col("order_id") % 2).cast("string")).alias("load_id"))
