@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -10,20 +12,74 @@ TABLES = (
     "conversations",
 )
 
+# Below this size a table is cheaper to process in one task than to shuffle.
+MIN_SPREAD_BYTES = 1 << 20
+
+
+_META: dict[str, tuple[int, int]] = {}
+
+
+def _input_meta(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(total bytes, file count) of a path, looked up once per path."""
+    if path not in _META:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        cs = fs.getContentSummary(p)
+        _META[path] = (int(cs.getLength()), int(cs.getFileCount()))
+    return _META[path]
+
+
+def _parse_bytes(v: str) -> int:
+    v = v.strip().lower()
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    for suf in ("kb", "mb", "gb", "b", "k", "m", "g"):
+        if v.endswith(suf):
+            num = v[: -len(suf)]
+            return int(float(num) * mult.get(suf[0], 1)) if suf != "b" else int(num)
+    return int(v)
+
+
+def spread_if_underpartitioned(df: DataFrame, size_bytes: int, files: int = 1) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A file with a single row group is one split however large it is, which
+    serialises every per-row expression before the first shuffle.  Large
+    inputs (many files / row groups) already have enough splits and are left
+    untouched, so on a cluster this is a no-op.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if size_bytes < MIN_SPREAD_BYTES:
+        return df
+    max_split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    splits = max(files, math.ceil(size_bytes / max_split))  # upper bound: a row group is never split
+    if splits >= cores:
+        return df
+    target = min(cores, max(2, math.ceil(size_bytes / MIN_SPREAD_BYTES)))
+    return df.repartition(target) if target > splits else df
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; column pruning and filters reach the scan via Catalyst."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy parquet scan; column pruning and filters still reach the scan via Catalyst."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    size, files = _input_meta(spark, path)
+    return spread_if_underpartitioned(df, size, files)
 
 
 class Tables:
-    """Attribute access to the test tables of one scale factor."""
+    """Attribute access to the test tables of one scale factor (each table read once)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return table(self.spark, self.sf_dir, name)
+            cache = self.__dict__.setdefault("_cache", {})
+            if name not in cache:
+                cache[name] = table(self.spark, self.sf_dir, name)
+            return cache[name]
         raise AttributeError(name)
