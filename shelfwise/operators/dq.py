@@ -331,3 +331,50 @@ def intake_log(expected: DataFrame, received: DataFrame, keys: Sequence[str], du
     status = (F.when(F.col(received_col).isNull(), F.lit("missing"))
               .when(F.col(received_col) <= F.col(due_col), F.lit("on_time")).otherwise(F.lit("late")))
     return j.withColumn("submission_status", status)
+
+
+def continuity(df: DataFrame, entity: str, date: str, step_days: int = 7) -> DataFrame:
+    """Q8 (weekly continuity): per entity, periods between its first and last active period
+    with no rows.  Periods are generated per entity with ``sequence`` (a time grid, not row pairs)."""
+    wk = F.date_trunc("week", F.col(date)).cast("date")
+    active = df.select(F.col(entity), wk.alias("period_start")).distinct()
+    span = active.groupBy(entity).agg(F.min("period_start").alias("__lo"), F.max("period_start").alias("__hi"),
+                                      F.count(F.lit(1)).alias("active_periods"))
+    grid = span.select(entity, "active_periods",
+                       F.explode(F.sequence("__lo", "__hi", F.expr(f"INTERVAL {step_days} DAYS"))).alias("period_start"))
+    missing = grid.join(active, [entity, "period_start"], "left_anti")
+    m = missing.groupBy(entity).agg(F.count(F.lit(1)).alias("missing_periods"))
+    out = span.join(m, entity, "left").select(
+        entity, "__lo", "__hi", "active_periods", F.coalesce("missing_periods", F.lit(0)).alias("missing_periods"))
+    out = out.withColumnsRenamed({"__lo": "first_period", "__hi": "last_period"})
+    return out.withColumn("continuity_pct", F.col("active_periods") / (F.col("active_periods") + F.col("missing_periods")))
+
+
+def row_exceptions(checks: dict[str, tuple[DataFrame, Column, Sequence[str]]], run_id: int) -> DataFrame:
+    """Q12: row-level exception capture across tables (rule → (frame, failing predicate, key columns))."""
+    out = None
+    for rule, (df, cond, keys) in checks.items():
+        rows = df.filter(F.coalesce(cond, F.lit(False))).select(
+            F.lit(run_id).cast("bigint").alias("run_id"), F.lit(rule).alias("rule_name"),
+            record_key(*keys).alias("record_key"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def exception_summary(exc: DataFrame) -> DataFrame:
+    """Q12: exceptions per run and rule."""
+    return exc.groupBy("run_id", "rule_name").agg(F.count(F.lit(1)).alias("exception_count"))
+
+
+def certification_gaps(expected: DataFrame, certified: DataFrame, key: str) -> DataFrame:
+    """Expected owners without a current certification (EXCEPT)."""
+    return expected.select(key).subtract(certified.select(key))
+
+
+def resolution_status(exc: DataFrame, log: DataFrame, id_col: str = "exception_id", by: Sequence[str] = ("rule_id",)) -> DataFrame:
+    """Q35: exceptions (hash ids) matched to a resolution log → resolved / open counts per rule."""
+    j = exc.join(log.select(id_col, "resolution_status"), id_col, "left")
+    resolved = F.col("resolution_status") == "resolved"
+    g = j.groupBy(*by).agg(F.count(F.lit(1)).alias("exceptions"), F.count_if(resolved).alias("resolved"),
+                           F.count_if(~F.coalesce(resolved, F.lit(False))).alias("still_open"))
+    return g.withColumn("resolution_rate", F.col("resolved") / F.col("exceptions"))
