@@ -21,7 +21,7 @@ def _opt(df: DataFrame, name: str, cast: str | None = None) -> Column:
     """Column if present in the frame, else a typed null (header drift tolerant)."""
     if name in df.columns:
         return F.col(name) if cast is None else F.col(name).cast(cast)
-    return F.lit(None).cast(cast or "string")
+    return F.lit(None).cast(cast or "string").alias(name)
 
 
 # G1 / G5 / G6 / G7 / G8 / G9 ------------------------------------------------
