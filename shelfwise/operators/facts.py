@@ -133,3 +133,21 @@ def store_dimension(master_latest: DataFrame, status_current: DataFrame, key: st
     j = master_latest.join(st, key, "left")
     return j.withColumns({"is_active": F.coalesce(F.col("account_status") == "active", F.lit(False)),
                           "has_status": F.col("account_status").isNotNull()})
+
+
+def with_product_label(df: DataFrame, products: DataFrame, sku: str = "sku", name: str = "product_name",
+                       out: str = "product_label") -> DataFrame:
+    """Product label from the product dimension, falling back to ``Unknown <sku>``."""
+    p = sized_broadcast(products.select(sku, name))
+    return df.join(p, sku, "left").withColumn(out, F.coalesce(F.col(name), F.concat(F.lit("Unknown "), F.col(sku))))
+
+
+def product_dimension(key_sources: Sequence[DataFrame], products: DataFrame, sku: str = "sku") -> DataFrame:
+    """Product key universe from every fact (U2) with labels (``Unknown <sku>`` when missing)."""
+    keys = None
+    for s in key_sources:
+        k = s.select(F.col(sku).cast("string").alias(sku))
+        keys = k if keys is None else keys.union(k)
+    keys = keys.filter(F.col(sku).isNotNull()).distinct()
+    out = with_product_label(keys, products, sku)
+    return out.withColumn("is_known_product", F.col("product_name").isNotNull())

@@ -215,3 +215,19 @@ def grain_sanity(df: DataFrame, grain: Sequence[str], name: str) -> DataFrame:
 def summary_by_status(controls: DataFrame, check_col: str = "check_name", status_col: str = "status") -> DataFrame:
     """Q24: count of control rows per check and status."""
     return controls.groupBy(check_col, status_col).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def control_tieout(checks: dict[str, tuple[DataFrame, str, DataFrame, Column]]) -> DataFrame:
+    """Q31: each control's reported count must equal the count recomputed from the fact flags.
+
+    ``checks``: name → (control frame, count column summed over the control, fact frame, flag).
+    Both sides are one-row aggregates joined on a constant key.
+    """
+    out = None
+    for name, (ctrl, col, fact, flag) in checks.items():
+        a = ctrl.agg(F.sum(col).cast("bigint").alias("control_count")).withColumn("__k", F.lit(1))
+        b = fact.agg(F.count_if(flag).alias("fact_count")).withColumn("__k", F.lit(1))
+        r = a.join(b, "__k").select(F.lit(name).alias("check_name"), "control_count", "fact_count",
+                                    (F.col("control_count") == F.col("fact_count")).alias("ties_out"))
+        out = r if out is None else out.unionByName(r)
+    return out

@@ -142,3 +142,62 @@ def seasonal_index(agg: DataFrame, period: str, value: str, by: Sequence[str] =
     w = Window.partitionBy(*by)
     return g.select(*by, F.col("__moy").alias("month_of_year"),
                     ratio("__avg_moy", F.avg("__avg_moy").over(w)).alias("seasonal_index"))
+
+
+def distribution_velocity(sales: DataFrame, period: str, product: str, store: str, units: str = "units") -> DataFrame:
+    """Distribution % (selling stores ÷ active stores in the period), rate of sale, velocity."""
+    sell = sales.filter(F.col(units) > 0)
+    g = sell.groupBy(period, product).agg(F.count_distinct(store).alias("selling_stores"), F.sum(units).alias("units"))
+    tot = sales.groupBy(period).agg(F.count_distinct(store).alias("active_stores"))
+    j = g.join(tot, period)
+    return j.withColumns({"distribution_pct": ratio("selling_stores", "active_stores"),
+                          "rate_of_sale": ratio("units", "selling_stores"),
+                          "velocity_per_store_week": ratio("units", F.col("selling_stores") * F.lit(1.0))})
+
+
+def pvm_vs_prior(sales: DataFrame, period: str, keys: Sequence[str], months: int = 1) -> DataFrame:
+    """Price / volume / mix per key versus the period ``months`` earlier (K10 definitions)."""
+    m = sales.groupBy(period, *keys).agg(F.sum("units").alias("units"), F.sum("net_sales").alias("net_sales"))
+    m = m.withColumn("price", ratio("net_sales", "units"))
+    prev = m.select(F.add_months(F.col(period), months).alias(period), *keys, F.col("units").alias("prior_units"),
+                    F.col("net_sales").alias("prior_sales"), F.col("price").alias("prior_price"))
+    j = m.join(prev, [period, *keys], "left")
+    z = F.lit(0.0)
+    total = F.col("net_sales") - F.coalesce("prior_sales", z)
+    price = F.coalesce("prior_units", z) * (F.coalesce("price", z) - F.coalesce("prior_price", z))
+    volume = F.coalesce("prior_price", z) * (F.col("units") - F.coalesce("prior_units", z))
+    return j.select(period, *keys, "net_sales", "prior_sales", total.alias("revenue_change"),
+                    price.alias("price_effect"), volume.alias("volume_effect"), (total - price - volume).alias("mix_effect"))
+
+
+def inventory_health_score(inv: DataFrame, sales: DataFrame, period: str, keys: Sequence[str],
+                           inv_keys: Sequence[str], turnover_target: float = 12.0) -> DataFrame:
+    """Turnover, days on hand, in-stock rate and a 0–1 health score
+    (half in-stock rate, half turnover against a target)."""
+    i = inv.groupBy(period, *keys).agg(F.avg("on_hand_units").alias("avg_on_hand"),
+                                       ratio(F.count_if(F.col("on_hand_units") > 0), F.count(F.lit(1))).alias("instock_rate"))
+    s = sales.groupBy(period, *keys).agg(F.sum("units").alias("units_sold"))
+    j = i.join(s, [period, *keys], "left")
+    dim = F.dayofmonth(F.last_day(F.col(period)))
+    turnover = ratio(F.coalesce("units_sold", F.lit(0.0)) * 12.0, "avg_on_hand")
+    j = j.withColumns({"annualised_turnover": turnover,
+                       "days_on_hand": ratio("avg_on_hand", ratio("units_sold", dim))})
+    score = F.lit(0.5) * F.col("instock_rate") + F.lit(0.5) * F.least(F.coalesce(F.col("annualised_turnover"), F.lit(0.0))
+                                                                      / F.lit(turnover_target), F.lit(1.0))
+    return j.withColumn("health_score", F.greatest(score, F.lit(0.0)))
+
+
+def emissions_measures(fact: DataFrame, revenue: DataFrame, period: str = "activity_month",
+                       min_reportable_rate: float = 0.95) -> DataFrame:
+    """T CO2e by scope, reportable row rate, intensity per $1K and a status."""
+    rep = F.col("is_reportable_emissions_row")
+    t = F.when(rep, F.col("metric_tons_co2e"))
+    g = fact.groupBy(period).agg(
+        *[F.sum(F.when(F.col("scope") == f"Scope {i}", t)).alias(f"scope{i}_t") for i in (1, 2, 3)],
+        F.sum(t).alias("total_t"), F.count(F.lit(1)).alias("rows"), F.count_if(rep).alias("reportable_rows"))
+    r = revenue.groupBy(F.col("month_start").alias(period)).agg(F.sum("net_sales").alias("revenue"))
+    j = g.join(r, period, "left").withColumns({
+        "reportable_rate": ratio("reportable_rows", "rows"),
+        "t_per_1k_revenue": ratio(F.col("total_t") * 1000.0, "revenue")})
+    return j.withColumn("emissions_status", F.when(F.col("reportable_rate") < min_reportable_rate, F.lit("Review"))
+                        .otherwise(F.lit("OK")))
