@@ -166,7 +166,9 @@ def exceptions(df: DataFrame, rules: Sequence[Rule], run_id: int, quarter_id: st
 def latest_per_group(df: DataFrame, group: Sequence[str], order_col: str) -> DataFrame:
     """Rows of the latest ``order_col`` per group (group max joined back)."""
     mx = df.groupBy(*group).agg(F.max(order_col).alias("__mx"))
-    return df.join(mx, [*group], "inner").filter(F.col(order_col) == F.col("__mx")).drop("__mx")
+    mx = mx.select(*[F.col(g).alias(f"__g_{g}") for g in group], "__mx")
+    cond = [df[g].eqNullSafe(mx[f"__g_{g}"]) for g in group] + [df[order_col] == mx["__mx"]]
+    return df.join(mx, cond, "inner").drop("__mx", *[f"__g_{g}" for g in group])
 
 
 def scorecard(results: DataFrame) -> DataFrame:
@@ -378,3 +380,41 @@ def resolution_status(exc: DataFrame, log: DataFrame, id_col: str = "exception_i
     g = j.groupBy(*by).agg(F.count(F.lit(1)).alias("exceptions"), F.count_if(resolved).alias("resolved"),
                            F.count_if(~F.coalesce(resolved, F.lit(False))).alias("still_open"))
     return g.withColumn("resolution_rate", F.col("resolved") / F.col("exceptions"))
+
+
+RUN_LOG_SCHEMA = ("run_id bigint, quarter_id string, run_ts timestamp, run_by string, source_batch_name string, "
+                  "rules_version string, run_status string")
+
+
+def open_run(spark: SparkSession, log_path: str, quarter_id: str, run_by: str, batch: str,
+             rules_version: str = "v1") -> int:
+    """Q2: append a ``started`` row to the run log (parquet folder) and return its run id.
+
+    The log holds one row per run; reading its max id is a small aggregate.
+    """
+    try:
+        last = spark.read.parquet(log_path).agg(F.max("run_id")).collect()[0][0] or 0
+    except Exception:  # no log yet
+        last = 0
+    run_id = int(last) + 1
+    row = spark.createDataFrame([(run_id, quarter_id, None, run_by, batch, rules_version, "started")], RUN_LOG_SCHEMA)
+    row.withColumn("run_ts", F.current_timestamp()).write.mode("append").parquet(log_path)
+    return run_id
+
+
+def close_run(spark: SparkSession, log_path: str, run_id: int, status: str = "completed") -> None:
+    """Q2: record the closing status as a new log row (append-only; latest row per run wins)."""
+    row = spark.createDataFrame([(run_id, None, None, None, None, None, status)], RUN_LOG_SCHEMA)
+    row.withColumn("run_ts", F.current_timestamp()).write.mode("append").parquet(log_path)
+
+
+def run_status(spark: SparkSession, log_path: str) -> DataFrame:
+    """Q2: current status per run (latest log row per run id, T4)."""
+    from .ranking import latest_row
+    return latest_row(spark.read.parquet(log_path), "run_ts", keys=["run_id"])
+
+
+def append_results(results: DataFrame, path: str, run_id: int) -> None:
+    """S5 append of one run's results; reruns of a run id replace that run's partition only."""
+    results.withColumn("run_id", F.lit(run_id).cast("bigint")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)

@@ -177,7 +177,7 @@ def q_q9(spark, d):
 Q11_SQL = f"""
 WITH res AS ({RESULTS_CORE}), rec AS ({RECON_CORE}),
 lr AS (SELECT r.* FROM res r JOIN (SELECT quarter_id, max(run_id) AS m FROM res GROUP BY 1) x
-         ON r.quarter_id = x.quarter_id AND r.run_id = x.m),
+         ON r.quarter_id IS NOT DISTINCT FROM x.quarter_id AND r.run_id = x.m),
 g AS (SELECT quarter_id, run_id, COUNT(*) AS rules_evaluated, count(*) FILTER (WHERE status = 'fail') AS rules_failed,
              count(*) FILTER (WHERE status = 'fail' AND severity = 'critical') AS critical_failures,
              CASE max(CASE status WHEN 'fail' THEN 3 WHEN 'warn' THEN 2 WHEN 'pass' THEN 1 END)
@@ -185,7 +185,7 @@ g AS (SELECT quarter_id, run_id, COUNT(*) AS rules_evaluated, count(*) FILTER (W
       FROM lr GROUP BY 1, 2),
 rc AS (SELECT r.quarter_id, count(*) FILTER (WHERE recon_status = 'fail') AS recon_failures
        FROM rec r JOIN (SELECT quarter_id, max(run_id) AS m FROM rec GROUP BY 1) x
-         ON r.quarter_id = x.quarter_id AND r.run_id = x.m GROUP BY 1)
+         ON r.quarter_id IS NOT DISTINCT FROM x.quarter_id AND r.run_id = x.m GROUP BY 1)
 SELECT g.quarter_id, run_id, rules_evaluated, rules_failed, critical_failures, worst_rule_status, recon_failures,
        CASE WHEN critical_failures > 0 OR COALESCE(recon_failures, 0) > 0 THEN 'HOLD' ELSE 'CERTIFY' END
          AS certification_status,
@@ -316,3 +316,33 @@ def q_q40(spark, d):
                  ratio("net_sales", "units").alias("unit_net_price"), "gross_sales", "net_sales", "discount_amount",
                  ratio("discount_amount", "gross_sales").alias("discount_rate"))
     return dq.formula_integrity(f)
+
+
+Q10_SQL = f"""
+SELECT quarter_id, rule_id, rule_name, rule_category, target_table, checked_count, failed_count,
+       round(failed_pct, 4) AS failed_pct, severity, status, CAST(2 AS BIGINT) AS run_id
+FROM ({RESULTS_CORE})
+"""
+
+
+@query("q10_scorecard_latest_run", Q10_SQL)
+def q_q10(spark, d):
+    """Two governed runs are logged and their results appended to an audit table;
+    the scorecard reads the latest run per quarter (group max joined back)."""
+    import os
+    import uuid
+    from ..session import checkpoint_dir
+    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), "shelfwise-dq", uuid.uuid4().hex)
+    log, res = f"{root}/run_log", f"{root}/results"
+    t = Tables(spark, d)
+    staged = staged_retail(t)
+    for _ in range(2):
+        run_id = dq.open_run(spark, log, "ALL", "scheduled", "retail_quarterly", "v1")
+        r = dq.evaluate_rules(staged, RETAIL_RULES, run_id=run_id, by=["quarter_id"]).drop("run_id")
+        dq.append_results(r, res, run_id)
+        dq.close_run(spark, log, run_id)
+    done = dq.run_status(spark, log).filter(F.col("run_status") == "completed").select("run_id")
+    results = spark.read.parquet(res).withColumn("run_id", F.col("run_id").cast("bigint")).join(done, "run_id", "left_semi")
+    return rounded(dq.scorecard(results).select("quarter_id", "rule_id", "rule_name", "rule_category", "target_table",
+                                                "checked_count", "failed_count", "failed_pct", "severity", "status",
+                                                "run_id"))

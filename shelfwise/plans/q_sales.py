@@ -257,3 +257,19 @@ FROM t
 def q_k18(spark, d):
     t = Tables(spark, d)
     return rounded(kpi.days_of_supply(model.inventory(t), model.sales_lines(t)))
+
+
+T3_SQL = f"""
+WITH {SALES_LINES},
+m AS (SELECT DISTINCT month_start FROM sales_lines ORDER BY month_start DESC LIMIT 3)
+SELECT month_start, state, round(SUM(net_sales), 4) AS net_sales
+FROM sales_lines WHERE month_start IN (SELECT month_start FROM m) GROUP BY 1, 2
+"""
+
+
+@query("t3_latest_periods", T3_SQL)
+def q_t3(spark, d):
+    """The latest three months (the limit is the feature), state totals."""
+    from ..operators.ranking import latest_n_periods
+    s = model.sales_lines(Tables(spark, d)).groupBy("month_start", "state").agg(F.sum("net_sales").alias("net_sales"))
+    return rounded(latest_n_periods(s, "month_start", 3))
