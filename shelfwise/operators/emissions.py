@@ -97,7 +97,7 @@ def match_factors(activity: DataFrame, facilities: DataFrame, product_lines: Dat
                   factors: DataFrame) -> DataFrame:
     """Facility / product-line lookups and effective-dated factor match → kg and t CO2e."""
     fac = sized_broadcast(facilities.select("facility_id", "facility_name", "facility_type", "state_province",
-                                            "country", "grid_region", F.lit(True).alias("__fac")))
+                                            "country", "grid_region", F.lit(True).alias("__fac")), lookup_chain=True)
     pl = sized_broadcast(product_lines.select("product_line_id", "product_line_name", "product_family",
                                               F.lit(True).alias("__pl")))
     a = activity.join(fac, "facility_id", "left").join(pl, "product_line_id", "left")

@@ -49,7 +49,7 @@ def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFr
                        "net_sales", F.lit("pos").alias("source_system"))
     u = d.unionByName(p)
     prod = sized_broadcast(products.select("sku", "product_name", F.lit(True).alias("__p")))
-    st = sized_broadcast(stores.select("store_code", "state", F.lit(True).alias("__s")))
+    st = sized_broadcast(stores.select("store_code", "state", F.lit(True).alias("__s")), lookup_chain=True)
     j = u.join(prod, "sku", "left").join(st, "store_code", "left")
     return j.withColumns({
         "product_label": F.coalesce(F.col("product_name"), F.concat(F.lit("Unknown "), F.col("sku"))),

@@ -19,9 +19,13 @@ from ..session import estimated_bytes
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``F.broadcast(df)`` if its estimated size is known and below ``max_bytes``."""
-    size = estimated_bytes(df)
+def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, lookup_chain: bool = False) -> DataFrame:
+    """``F.broadcast(df)`` if its estimated size is known and below ``max_bytes``.
+
+    ``lookup_chain``: ``df`` is a table joined only to many-to-one lookups (see
+    ``session.estimated_bytes``).
+    """
+    size = estimated_bytes(df, lookup_chain)
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df

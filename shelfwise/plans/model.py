@@ -62,7 +62,12 @@ def sales_lines(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     base = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     base = base.join(sized_broadcast(products(t)), F.col("l_partkey") == F.col("sku"))
-    base = base.join(sized_broadcast(stores(t)), F.col("o_custkey") == F.col("store_id"))
+    # Size-check the plain customer scan: Catalyst estimates a join as the product of its
+    # inputs, so checking customer ⋈ nation would wrongly rule the broadcast out.
+    cust = t.customer.select(F.col("c_custkey").alias("store_id"), F.col("c_name").alias("store_name"),
+                             "c_nationkey", F.lower("c_mktsegment").alias("channel"))
+    base = base.join(sized_broadcast(cust), F.col("o_custkey") == F.col("store_id"))
+    base = base.join(fixed_broadcast(geography(t)), F.col("c_nationkey") == F.col("n_nationkey"))
     sale_date = F.col("o_orderdate").cast("date")
     gross = F.col("l_extendedprice")
     disc = gross * F.col("l_discount")
@@ -172,7 +177,7 @@ def inventory(t: Tables) -> DataFrame:
     li = t.lineitem
     sup = t.supplier.join(fixed_broadcast(geography(t)), F.col("s_nationkey") == F.col("n_nationkey")) \
         .select(F.col("s_suppkey"), F.col("state"))
-    base = li.join(sized_broadcast(sup), F.col("l_suppkey") == F.col("s_suppkey")) \
+    base = li.join(sized_broadcast(sup, lookup_chain=True), F.col("l_suppkey") == F.col("s_suppkey")) \
         .join(sized_broadcast(t.part.select("p_partkey", "p_type")), F.col("l_partkey") == F.col("p_partkey"))
     d = F.col("l_shipdate").cast("date")
     on_hand = F.col("l_quantity") - F.lit(10.0)

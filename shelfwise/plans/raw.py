@@ -172,7 +172,7 @@ def store_master_extract(t: Tables) -> DataFrame:
     """H2 input: one master snapshot per order (as-of = order date) of the ordering customer."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     c = t.customer.join(fixed_broadcast_geo(t), F.col("c_nationkey") == F.col("n_nationkey"))
-    j = o.join(sized_broadcast(c), F.col("o_custkey") == F.col("c_custkey"))
+    j = o.join(sized_broadcast(c, lookup_chain=True), F.col("o_custkey") == F.col("c_custkey"))
     k = F.col("o_orderkey")
     d = F.col("o_orderdate").cast("date")
     return j.select(
