@@ -48,9 +48,10 @@ def spread_if_underpartitioned(df: DataFrame, size_bytes: int, files: int = 1) -
     inputs (many files / row groups) already have enough splits and are left
     untouched, so on a cluster this is a no-op.
     """
+    import os
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if size_bytes < MIN_SPREAD_BYTES:
+    if size_bytes < MIN_SPREAD_BYTES or os.environ.get("SHELFWISE_SPREAD", "1") == "0":
         return df
     max_split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     splits = max(files, math.ceil(size_bytes / max_split))  # upper bound: a row group is never split
