@@ -51,18 +51,20 @@ def product_mix(sales: DataFrame, group: Sequence[str] = ("category", "brand"),
                 brand: str | None = None) -> DataFrame:
     """K2: unit / revenue / margin share of the period total.
 
-    The period total is a window sum over the already-aggregated mix rows
-    (W4), which avoids the reference's second scan + self join.
+    Period totals are re-aggregated from the mix rows (partial-combined, one
+    row per period) and joined back — no second scan of the fact, and no
+    window gathering a whole period into one task.
     """
     mix = _brand(sales, brand).groupBy(period, *group).agg(
         F.sum("units").alias("units_sold"), F.sum("net_sales").alias("net_sales"),
         F.sum(F.col("net_sales") - F.col("cogs")).alias("gross_margin_dollars"))
-    w = Window.partitionBy(period)
-    return mix.select(
+    tot = mix.groupBy(period).agg(F.sum("units_sold").alias("__tu"), F.sum("net_sales").alias("__tn"),
+                                  F.sum("gross_margin_dollars").alias("__tm"))
+    return mix.join(tot, period, "left").select(
         period, *group, "units_sold", "net_sales", "gross_margin_dollars",
-        round_to(ratio("units_sold", F.sum("units_sold").over(w)), 4).alias("unit_mix_pct"),
-        round_to(ratio("net_sales", F.sum("net_sales").over(w)), 4).alias("revenue_mix_pct"),
-        round_to(ratio("gross_margin_dollars", F.sum("gross_margin_dollars").over(w)), 4).alias("margin_mix_pct"))
+        round_to(ratio("units_sold", "__tu"), 4).alias("unit_mix_pct"),
+        round_to(ratio("net_sales", "__tn"), 4).alias("revenue_mix_pct"),
+        round_to(ratio("gross_margin_dollars", "__tm"), 4).alias("margin_mix_pct"))
 
 
 def price_pack(sales: DataFrame, by: Sequence[str] = ("month_start", "state", "category", "pack_size"),

@@ -32,11 +32,22 @@ def share_of_total(agg: DataFrame, value: str, keep: Sequence[str] = (), out: st
     """Value ÷ total over the context that keeps only ``keep`` keys (ALLEXCEPT);
     ``keep=()`` is ALL (grand total, one-row aggregate broadcast back)."""
     out = out or f"{value}_share"
+    return with_context_total(agg, value, keep, "sum", "__tot").withColumn(out, ratio(value, "__tot")).drop("__tot")
+
+
+def with_context_total(agg: DataFrame, value: str, keep: Sequence[str], how: str, out: str) -> DataFrame:
+    """Attach an aggregate of ``value`` over the context keeping only ``keep`` keys.
+
+    Totals come from a partial-combined ``groupBy`` joined back on the kept keys
+    (a one-row total is broadcast on a constant key) instead of a window, so a
+    context holding very many rows is never gathered into one task.
+    """
+    fn = {"sum": F.sum, "avg": F.avg}[how]
     if keep:
-        return agg.withColumn(out, ratio(value, F.sum(value).over(Window.partitionBy(*keep))))
-    tot = agg.agg(F.sum(value).alias("__tot")).withColumn("__k", F.lit(1))
-    return agg.withColumn("__k", F.lit(1)).join(F.broadcast(tot), "__k").withColumn(out, ratio(value, "__tot")) \
-        .drop("__k", "__tot")
+        tot = agg.groupBy(*keep).agg(fn(value).alias(out))
+        return agg.join(tot, list(keep), "left")
+    tot = agg.agg(fn(value).alias(out)).withColumn("__k", F.lit(1))
+    return agg.withColumn("__k", F.lit(1)).join(F.broadcast(tot), "__k").drop("__k")
 
 
 def to_date(agg: DataFrame, date: str, value: str, grain: str = "month", by: Sequence[str] = (),
@@ -124,9 +135,8 @@ def cohort_revenue(sales: DataFrame, customer: str, period: str, value: str) ->
 
 def above_average(agg: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Flag groups whose value is above the context average."""
-    w = Window.partitionBy(*by)
-    return agg.withColumns({f"avg_{value}": F.avg(value).over(w),
-                            f"is_above_avg_{value}": F.col(value) > F.avg(value).over(w)})
+    out = with_context_total(agg, value, list(by), "avg", f"avg_{value}")
+    return out.withColumn(f"is_above_avg_{value}", F.col(value) > F.col(f"avg_{value}"))
 
 
 def new_customers(sales: DataFrame, customer: str, period: str) -> DataFrame:
@@ -139,9 +149,8 @@ def seasonal_index(agg: DataFrame, period: str, value: str, by: Sequence[str] =
     """Average value of a calendar month ÷ the overall monthly average."""
     m = agg.withColumn("__moy", F.month(period))
     g = m.groupBy(*by, "__moy").agg(F.avg(value).alias("__avg_moy"))
-    w = Window.partitionBy(*by)
-    return g.select(*by, F.col("__moy").alias("month_of_year"),
-                    ratio("__avg_moy", F.avg("__avg_moy").over(w)).alias("seasonal_index"))
+    g = with_context_total(g, "__avg_moy", list(by), "avg", "__avg_all")
+    return g.select(*by, F.col("__moy").alias("month_of_year"), ratio("__avg_moy", "__avg_all").alias("seasonal_index"))
 
 
 def distribution_velocity(sales: DataFrame, period: str, product: str, store: str, units: str = "units") -> DataFrame:
