@@ -56,13 +56,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     and registered; on a cluster the configured shared location is always used.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the conf value is used as is
+        pass
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    return d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

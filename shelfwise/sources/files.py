@@ -55,10 +55,17 @@ class SourceSpec:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p))
+    except Exception:  # no JVM handle: probe by listing through Spark itself
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).count()
+            return True
+        except Exception:
+            return False
 
 
 def _read(spark: SparkSession, spec: SourceSpec) -> DataFrame:

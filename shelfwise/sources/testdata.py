@@ -22,11 +22,19 @@ _META: dict[str, tuple[int, int]] = {}
 def _input_meta(spark: SparkSession, path: str) -> tuple[int, int]:
     """(total bytes, file count) of a path, looked up once per path."""
     if path not in _META:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        cs = fs.getContentSummary(p)
-        _META[path] = (int(cs.getLength()), int(cs.getFileCount()))
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            cs = fs.getContentSummary(p)
+            _META[path] = (int(cs.getLength()), int(cs.getFileCount()))
+        except Exception:  # no JVM handle (e.g. Spark Connect): local paths only, else unknown
+            import os
+            local = path.replace("file:", "")
+            if os.path.isfile(local):
+                _META[path] = (os.path.getsize(local), 1)
+            else:
+                _META[path] = (0, 1 << 30)  # unknown: never spread
     return _META[path]
 
 
@@ -50,7 +58,10 @@ def spread_if_underpartitioned(df: DataFrame, size_bytes: int, files: int = 1) -
     """
     import os
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     if size_bytes < MIN_SPREAD_BYTES or os.environ.get("SHELFWISE_SPREAD", "1") == "0":
         return df
     max_split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))

@@ -28,6 +28,17 @@ def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: s
 
 
 def _latest_version(spark: SparkSession, root: str) -> str | None:
+    try:
+        return _latest_version_jvm(spark, root)
+    except Exception:  # no JVM handle: local folders only
+        local = root.replace("file:", "")
+        if not os.path.isdir(local):
+            return None
+        done = [n for n in os.listdir(local) if n.startswith("v") and os.path.exists(os.path.join(local, n, "_SUCCESS"))]
+        return os.path.join(root, max(done, key=lambda n: int(n[1:]))) if done else None
+
+
+def _latest_version_jvm(spark: SparkSession, root: str) -> str | None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
