@@ -231,3 +231,19 @@ def control_tieout(checks: dict[str, tuple[DataFrame, str, DataFrame, Column]])
                                     (F.col("control_count") == F.col("fact_count")).alias("ties_out"))
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def lineage_matrix(layers: dict[str, DataFrame]) -> DataFrame:
+    """Q26: column presence across layers (raw → stg → int → mart) as a boolean matrix.
+
+    A schema walk on the driver (F1-style): the result has one row per column
+    name and one boolean per layer; its size depends on schemas, not data, so
+    it is a library helper rather than a registered query.
+    """
+    spark = next(iter(layers.values())).sparkSession
+    rows = [(c, name) for name, df in layers.items() for c in df.columns]
+    long = spark.createDataFrame(rows, "column_name string, layer string")
+    from .aggregates import bool_matrix
+    m = bool_matrix(long, "column_name", "layer", list(layers))
+    first, last = list(layers)[0], list(layers)[-1]
+    return m.withColumn("reaches_last_layer", F.col(last)).withColumn("dropped_after_first", F.col(first) & ~F.col(last))

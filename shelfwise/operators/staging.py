@@ -78,7 +78,7 @@ def stage_sales_distributor(raw: DataFrame) -> DataFrame:
     cogs = C.lenient_decimal(_opt(raw, "cogs", "double"), _opt(raw, "cogs_raw"))
     out = raw.select(
         _opt(raw, "load_id"), _opt(raw, "drop_date", "date").alias("drop_date"),
-        _opt(raw, "ingested_at", "timestamp").alias("ingested_at"),
+        _opt(raw, "ingested_at", "timestamp_ntz").alias("ingested_at"),
         C.parse_date(_opt(raw, "sale_date", "date"), _opt(raw, "sale_date_raw")).alias("sale_date"),
         C.blank_to_null(_opt(raw, "store_id_norm")).alias("store_code"),
         C.blank_to_null(_opt(raw, "sku")).alias("sku"),
@@ -100,14 +100,14 @@ def stage_sales_distributor(raw: DataFrame) -> DataFrame:
 def stage_pos(raw: DataFrame) -> DataFrame:
     """H5: POS lines with trimmed codes and duplicate transaction flag."""
     out = raw.select(
-        F.col("txn_id"), C.parse_ts(_opt(raw, "txn_ts_parsed", "timestamp"), _opt(raw, "txn_ts_raw")).alias("txn_ts"),
+        F.col("txn_id"), C.parse_ts(_opt(raw, "txn_ts_parsed", "timestamp_ntz"), _opt(raw, "txn_ts_raw")).alias("txn_ts"),
         _opt(raw, "txn_date", "date").alias("txn_date"),
         C.blank_to_null(_opt(raw, "store_code_norm")).alias("store_code"),
         C.blank_to_null(_opt(raw, "product_sku_norm")).alias("sku"),
         C.lenient_int(_opt(raw, "qty", "int"), _opt(raw, "qty_raw")).alias("qty"),
         C.lenient_decimal(_opt(raw, "gross_amount", "double"), _opt(raw, "gross_amount_raw")).alias("gross_amount"),
         C.lenient_decimal(_opt(raw, "net_amount", "double"), _opt(raw, "net_amount_raw")).alias("net_amount"),
-        _opt(raw, "load_id"), _opt(raw, "ingested_at", "timestamp").alias("ingested_at"),
+        _opt(raw, "load_id"), _opt(raw, "ingested_at", "timestamp_ntz").alias("ingested_at"),
     )
     out = out.withColumn("txn_date", F.coalesce(F.col("txn_date"), F.to_date("txn_ts")))
     out = out.withColumn("is_missing_key", is_missing_key(["txn_id", "txn_date", "store_code", "sku"]))
@@ -126,7 +126,7 @@ def stage_inventory_erp(raw: DataFrame) -> DataFrame:
         li("on_hand").alias("on_hand_units_raw"), li("receipts").alias("received_units"),
         li("shipments").alias("shipped_units"), li("requested_units").alias("requested_units"),
         li("backordered_units").alias("backordered_units"),
-        _opt(raw, "load_id"), _opt(raw, "ingested_at", "timestamp").alias("ingested_at"),
+        _opt(raw, "load_id"), _opt(raw, "ingested_at", "timestamp_ntz").alias("ingested_at"),
     )
     return out.withColumns({
         "on_hand_units": C.nonneg(F.col("on_hand_units_raw")),
@@ -160,7 +160,7 @@ def stage_wms_shipments(raw: DataFrame) -> DataFrame:
 # H8 -------------------------------------------------------------------------
 def stage_timeclock(raw: DataFrame, synonyms: dict[str, str] = C.ACTION_SYNONYMS) -> DataFrame:
     """H8: punch timestamp / date, canonical action, bad-action and duplicate flags."""
-    ts = C.parse_ts(_opt(raw, "punch_ts_parsed", "timestamp"), _opt(raw, "punch_ts_raw"))
+    ts = C.parse_ts(_opt(raw, "punch_ts_parsed", "timestamp_ntz"), _opt(raw, "punch_ts_raw"))
     out = raw.select(
         ts.alias("punch_ts"),
         F.coalesce(_opt(raw, "punch_date", "date"), C.date_from_ts_prefix(_opt(raw, "punch_ts_raw")),
