@@ -57,10 +57,11 @@ def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Pref] = (),
     payload = [c for c in df.columns if c not in keys]
     tb = payload if tie_break is None else list(tie_break)
     fields = []
-    for i, (c, direction) in enumerate(prefer):
-        expr = F.col(c) if isinstance(c, str) else c
-        dtype = df.select(expr.alias("x")).schema["x"].dataType
-        fields.append(_desc_form(df, expr, direction, dtype).alias(f"__p{i}"))
+    exprs = [F.col(c) if isinstance(c, str) else c for c, _ in prefer]
+    # One analysis pass for every preference type (each schema probe re-analyses the plan).
+    types = df.select(*[e.alias(f"__x{i}") for i, e in enumerate(exprs)]).schema if exprs else None
+    for i, ((_, direction), expr) in enumerate(zip(prefer, exprs)):
+        fields.append(_desc_form(df, expr, direction, types[f"__x{i}"].dataType).alias(f"__p{i}"))
     fields += [F.col(c).alias(f"__t{i}") for i, c in enumerate(tb)]
     fields += [F.col(c) for c in payload]
     aggs = [F.max(F.struct(*fields)).alias("__best")]
