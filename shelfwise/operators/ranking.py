@@ -78,3 +78,50 @@ def latest_row(df: DataFrame, order_col: str, keys: Sequence[str] = ()) -> DataF
 def sort_by_rank(df: DataFrame, rank_expr: Column, *then: Column) -> DataFrame:
     """Sort by a CASE rank then further keys (range-partitioned global sort)."""
     return df.orderBy(rank_expr, *then)
+
+
+def distributed_rank(df: DataFrame, group: Sequence[str], order: Sequence[tuple[str, str]],
+                     partitions: int | None = None, prefix: str = "") -> DataFrame:
+    """``rank``, ``dense_rank``, ``row_number`` and ``percent_rank`` within ``group``
+    without gathering a group into one task.
+
+    Rows are range-partitioned on (group, order): a large group is spread over
+    several partitions by value range, while identical (group, value) keys stay
+    together, so ties never straddle a boundary.  Ranks are computed locally
+    per (partition, group) and shifted by the row / distinct-value counts of the
+    same group in earlier partitions (a table with at most one row per
+    partition and group).  The locally ranked rows are checkpointed so that both
+    uses see one range partitioning.  ``row_number`` is deterministic only if
+    ``order`` is a total order.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordering = _order(order)
+    ranged = df.repartitionByRange(n, *[F.col(g).asc_nulls_last() for g in group], *ordering) \
+        .withColumn("__pid", F.spark_partition_id())
+    w = Window.partitionBy("__pid", *group).orderBy(*ordering)
+    local = cut_lineage(ranged.withColumns({"__rk": F.rank().over(w), "__dr": F.dense_rank().over(w),
+                                            "__rn": F.row_number().over(w)}))
+    stats = local.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__rows"), F.max("__dr").alias("__vals"))
+    before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.select("__pid", *group,
+                         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows_before"),
+                         F.coalesce(F.sum("__vals").over(before), F.lit(0)).alias("__vals_before"),
+                         F.sum("__rows").over(Window.partitionBy(*group)).alias("__n"))
+    keys = ["__pid", *group]
+    s = sized_broadcast(stats.select(*[F.col(k).alias(f"__s_{k}") for k in keys],
+                                     "__rows_before", "__vals_before", "__n"))
+    cond = None
+    for k in keys:
+        c = local[k].eqNullSafe(s[f"__s_{k}"])
+        cond = c if cond is None else cond & c
+    j = local.join(s, cond, "inner")
+    rank = F.col("__rows_before") + F.col("__rk")
+    out = j.withColumns({
+        f"{prefix}rank": rank.cast("int"),
+        f"{prefix}dense_rank": (F.col("__vals_before") + F.col("__dr")).cast("int"),
+        f"{prefix}row_number": (F.col("__rows_before") + F.col("__rn")).cast("int"),
+        f"{prefix}percent_rank": F.when(F.col("__n") > 1, (rank - 1) / (F.col("__n") - 1)).otherwise(F.lit(0.0)),
+    })
+    drop = ["__pid", "__rk", "__dr", "__rn", "__rows_before", "__vals_before", "__n"] + [f"__s_{k}" for k in keys]
+    return out.drop(*drop)

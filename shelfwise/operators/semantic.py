@@ -82,14 +82,17 @@ def rolling_months(agg: DataFrame, period: str, value: str, months: int, how: st
 
 def rank_measures(agg: DataFrame, value: str, by: Sequence[str] = (), top_n: int = 10,
                   tie: Sequence[str] = ()) -> DataFrame:
-    """Rank, dense rank, top-N flag and percent rank within the context."""
-    w = Window.partitionBy(*by).orderBy(F.col(value).desc(), *[F.col(c) for c in tie])
-    return agg.withColumns({
-        f"{value}_rank": F.rank().over(w),
-        f"{value}_dense_rank": F.dense_rank().over(w),
-        f"{value}_percent_rank": F.percent_rank().over(w),
-        f"is_top_{top_n}": F.row_number().over(w) <= top_n,
-    })
+    """Rank, dense rank, top-N flag and percent rank within the context.
+
+    Uses ``ranking.distributed_rank`` so a context with very many rows (e.g. all
+    stores of a month) is ranked across several tasks, not gathered into one.
+    """
+    from .ranking import distributed_rank
+    r = distributed_rank(agg, list(by), [(value, "desc"), *[(c, "asc") for c in tie]], prefix="__")
+    return r.withColumns({
+        f"{value}_rank": F.col("__rank"), f"{value}_dense_rank": F.col("__dense_rank"),
+        f"{value}_percent_rank": F.col("__percent_rank"), f"is_top_{top_n}": F.col("__row_number") <= top_n,
+    }).drop("__rank", "__dense_rank", "__percent_rank", "__row_number")
 
 
 def banding(c: Column, bands: Sequence[tuple[float, str]], default: str) -> Column:

@@ -69,3 +69,18 @@ def test_global_dense_rank_matches_window(spark):
     got = {r["id"]: r["r"] for r in ranking.global_dense_rank(df, [("v", "desc")], "r", partitions=5).collect()}
     ref = {r["id"]: r["r"] for r in df.select("id", F.dense_rank().over(Window.orderBy(F.col("v").desc())).alias("r")).collect()}
     assert got == ref
+
+
+def test_distributed_rank_matches_windows(spark):
+    import random
+    from pyspark.sql import Window
+    random.seed(11)
+    rows = [(random.choice(["a", "b", "c"]), random.choice([None, 1.0, 2.0, 3.0, 4.0]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, v double, id int")
+    got = {r["id"]: (r["rank"], r["dense_rank"], round(r["percent_rank"], 9))
+           for r in ranking.distributed_rank(df, ["g"], [("v", "desc")], partitions=6).collect()}
+    w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
+    ref = {r["id"]: (r["rk"], r["dr"], round(r["pr"], 9)) for r in df.select(
+        "id", F.rank().over(w).alias("rk"), F.dense_rank().over(w).alias("dr"),
+        F.percent_rank().over(w).alias("pr")).collect()}
+    assert got == ref
