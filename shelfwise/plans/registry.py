@@ -66,9 +66,17 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every floating column (comparison hygiene, mirrored in the SQL)."""
-    from ..functions.clean import round_to
-    cols = [round_to(F.col(f.name), digits).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)) else F.col(f.name)
-            for f in df.schema.fields]
+    """Round every floating column (comparison hygiene, mirrored in the SQL).
+
+    Same expression as ``functions.clean.round_to``, written as one SQL
+    expression per column to keep driver-side expression building cheap.
+    """
+    from ..functions.clean import TIE_NUDGE
+    cols = []
+    for f in df.schema.fields:
+        q = f"`{f.name}`"
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            cols.append(F.expr(f"round({q} + signum({q}) * {TIE_NUDGE}, {digits})").alias(f.name))
+        else:
+            cols.append(F.col(q))
     return df.select(*cols)

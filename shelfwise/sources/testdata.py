@@ -72,12 +72,23 @@ def spread_if_underpartitioned(df: DataFrame, size_bytes: int, files: int = 1) -
     return df.repartition(target) if target > splits else df
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; column pruning and filters still reach the scan via Catalyst."""
+    """Lazy parquet scan; column pruning and filters still reach the scan via Catalyst.
+
+    The driver's test tables are read-only, so the scan (file listing and footer
+    read happen eagerly when a reader is created) is built once per session and
+    path; it holds no data.
+    """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    size, files = _input_meta(spark, path)
-    return spread_if_underpartitioned(df, size, files)
+    key = (id(spark), path)
+    if key not in _SCANS:
+        df = spark.read.parquet(path)
+        size, files = _input_meta(spark, path)
+        _SCANS[key] = spread_if_underpartitioned(df, size, files)
+    return _SCANS[key]
 
 
 class Tables:
