@@ -72,7 +72,9 @@ def spread_if_underpartitioned(df: DataFrame, size_bytes: int, files: int = 1) -
     return df.repartition(target) if target > splits else df
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+# (id(session), path) -> (session, scan).  Holding the session keeps its id from
+# being reused by a later session, so a scan is never served to the wrong one.
+_SCANS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,11 +86,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
-    if key not in _SCANS:
+    hit = _SCANS.get(key)
+    if hit is None or hit[0] is not spark:
         df = spark.read.parquet(path)
         size, files = _input_meta(spark, path)
-        _SCANS[key] = spread_if_underpartitioned(df, size, files)
-    return _SCANS[key]
+        hit = (spark, spread_if_underpartitioned(df, size, files))
+        _SCANS[key] = hit
+    return hit[1]
 
 
 class Tables:
