@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,23 +51,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a scratch folder created
-    and registered; on a cluster the configured shared location is always used.
+    A cluster must name one that all its machines share; without one this raises.
+    Only a ``local[...]`` session, where driver and executors are one process, gets a
+    scratch folder of its own when the setting is absent.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext; the conf value is used as is
-        pass
-    if not d and sc is not None:
-        d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None:
-        sc.setCheckpointDir(d)
-        return sc.getCheckpointDir() or d
     return d
 
 
@@ -78,7 +71,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Survives executor loss (unlike a local checkpoint) and stops long operator
     chains from re-expanding to the raw scans.
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
     return df.checkpoint(eager=True)
 
 
