@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application), so that Python functions run where it is not installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="shelfwise-"), "shelfwise.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join(os.path.basename(root), os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
