@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, covertree, licenses, minhash, mixing, quality, sharding, topk
+from . import chat, covertree, licenses, minhash, mixing, pieces, quality, sharding, token_counts, topk
 from ._common import table
+from .oracle import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[fn.__name__] = fn
     return fn
@@ -37,6 +44,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of all documents, and whether decoding gives the text back."""
+    return pieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and classes of all embeddings at cosine 0.95 or more."""
@@ -71,3 +84,9 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact token counts of all documents."""
+    return token_counts.count(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)

@@ -72,10 +72,12 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: str = SEED) -> Data
 def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: str = SEED) -> None:
     """Write the documents themselves as one folder per shard, in slot order inside it.
 
-    A shard is written by as many tasks as its slot ranges need, so shards may be large.
+    A shard is written by as many tasks as its slot ranges need, so shards may be large. Columns of the
+    documents called shard or slot are replaced.
     """
-    keep = docs.columns
-    rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
-    placed = interleave(rows.select("row", "doc_id", "source"), shards, seed).select("row", "shard", "slot")
-    rows.join(placed, "row").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot") \
+    keep = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = written(docs.select(*keep, F.monotonically_increasing_id().alias("_shard_row")), "rows")
+    placed = interleave(rows.select(F.col("_shard_row").alias("row"), "doc_id", "source"), shards, seed) \
+        .select(F.col("row").alias("_shard_row"), "shard", "slot")
+    rows.join(placed, "_shard_row").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot") \
         .select(*keep, "shard", "slot").write.partitionBy("shard").parquet(path)

@@ -26,7 +26,7 @@ from ._common import arrow_text, mixed, span_hashes, steps
 
 KEPT_WORDS = 2_000_000
 # Symbols of new words that are relaxed at a time.
-SYMBOLS_AT_ONCE = 400_000
+SYMBOLS_AT_ONCE = 250_000
 SPACE, LETTER, NUMBER, OTHER = range(4)
 
 
@@ -248,7 +248,10 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-_loaded = functools.lru_cache(maxsize=2)(WordTokenizer)
+@functools.lru_cache(maxsize=2)
+def _loaded(path: str) -> WordTokenizer:
+    """The tokenizer of a file, read once per worker."""
+    return WordTokenizer(path)
 
 
 def count(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFrame:
