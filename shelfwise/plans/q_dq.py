@@ -329,10 +329,9 @@ FROM ({RESULTS_CORE})
 def q_q10(spark, d):
     """Two governed runs are logged and their results appended to an audit table;
     the scorecard reads the latest run per quarter (group max joined back)."""
-    import os
     import uuid
     from ..session import checkpoint_dir
-    root = os.path.join(checkpoint_dir(spark).replace("file:", ""), "shelfwise-dq", uuid.uuid4().hex)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/shelfwise-dq/{uuid.uuid4().hex}"
     log, res = f"{root}/run_log", f"{root}/results"
     t = Tables(spark, d)
     staged = staged_retail(t)

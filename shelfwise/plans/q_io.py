@@ -6,7 +6,6 @@ location named by ``spark.checkpoint.dir`` on a cluster).
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import functions as F
@@ -19,12 +18,11 @@ from ..streaming.incremental import keep_best_incremental
 from . import model, raw
 from .oracle import SALES_LINES
 from .q_clean import H4_CORE
-from .q_history import D1_SQL
 from .registry import query, rounded
 
 
 def _scratch(spark, name):
-    return os.path.join(checkpoint_dir(spark).replace("file:", ""), "shelfwise-io", f"{name}-{uuid.uuid4().hex}")
+    return f"{checkpoint_dir(spark).rstrip('/')}/shelfwise-io/{name}-{uuid.uuid4().hex}"
 
 
 CUSTOMER_COLS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -96,14 +94,29 @@ def q_s12(spark, d):
                               "exception_reason"))
 
 
-@query("r1_stream_keep_best", D1_SQL)
+_LINES = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+          "l_returnflag", "l_linestatus", "l_shipdate")
+R1_SQL = f"""
+SELECT l_orderkey, {", ".join(_LINES)}, dup_group_size
+FROM (
+  SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey) AS dup_group_size,
+         ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY (l_linestatus = 'F') DESC NULLS LAST, l_shipdate DESC NULLS LAST,
+                            {", ".join(f"{c} DESC NULLS LAST" for c in _LINES)}) AS rn
+  FROM lineitem
+) WHERE rn = 1
+"""
+
+
+@query("r1_stream_keep_best", R1_SQL)
 def q_r1(spark, d):
-    """Lineitem drops streamed (availableNow) into a keep-best table; equals D1 on the whole table."""
-    schema = Tables(spark, d).lineitem.schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(d))
+    """Lineitem lands in four drops (by line number, so the lines of an order arrive in different drops, the later
+    ones late) that are streamed one by one into a keep-best table with one line per order."""
+    lines = Tables(spark, d).lineitem.select("l_orderkey", *_LINES)
     root = _scratch(spark, "r1")
-    path = keep_best_incremental(stream, ["l_orderkey", "l_linenumber"],
-                                 [(F.col("l_linestatus") == "F", "desc"), ("l_shipdate", "desc")],
-                                 table_root=f"{root}/table", checkpoint=f"{root}/checkpoint")
-    return spark.read.parquet(path)
+    drops = lines.withColumn("drop", F.pmod(F.col("l_linenumber"), F.lit(4)))
+    for k in range(4):
+        drops.filter(F.col("drop") == k).drop("drop").coalesce(1).write.parquet(f"{root}/drops/drop={k}")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", True).parquet(f"{root}/drops")
+    return keep_best_incremental(stream, ["l_orderkey"], [(F.col("l_linestatus") == "F", "desc"), ("l_shipdate", "desc")],
+                                 f"{root}/table", buckets=8)

@@ -2,80 +2,129 @@
 
 Two Structured Streaming forms:
 
-* ``dedup_within_watermark`` — keeps the *first* arrival of a key within the
-  watermark (``dropDuplicatesWithinWatermark``); state is bounded by the
-  watermark.
-* ``keep_best_incremental`` — keeps the *best* row per key (D1 semantics) over
-  all drops: each micro-batch (``foreachBatch``) re-ranks only the touched keys
-  (batch keys ⋉ current table) and rewrites the table as a new version folder.
-  Versions are immutable, so a failed batch is simply re-run from the stream
-  checkpoint (exactly-once at the table level).
+* ``dedup_within_watermark`` keeps the *first* arrival of a key within the watermark
+  (``dropDuplicatesWithinWatermark``); state is bounded by the watermark.
+* ``keep_best_incremental`` keeps the *best* row per key (D1 semantics) over all drops.
+
+The keep-best table is bucketed by key. A micro-batch reads, merges and rewrites only the buckets that its keys
+fall into, as new files of its own epoch; a manifest then says for every bucket which epoch's files are current.
+Writing the manifest is the publication: readers follow the newest complete one. An epoch starts from the newest
+manifest *before* it and is skipped if its own manifest is complete, so replaying any epoch, finished or
+not, leaves rows and counts as they were. Files that neither of the two newest manifests names are removed.
+
+The stream checkpoint lives inside the table, since its epoch numbers are the table's versions.
 """
 
 from __future__ import annotations
 
-import os
-from typing import Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_best
 
+BUCKETS = 64
+
 
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 day") -> DataFrame:
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def _latest_version(spark: SparkSession, root: str) -> str | None:
-    try:
-        return _latest_version_jvm(spark, root)
-    except Exception:  # no JVM handle: local folders only
-        local = root.replace("file:", "")
-        if not os.path.isdir(local):
-            return None
-        done = [n for n in os.listdir(local) if n.startswith("v") and os.path.exists(os.path.join(local, n, "_SUCCESS"))]
-        return os.path.join(root, max(done, key=lambda n: int(n[1:]))) if done else None
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _latest_version_jvm(spark: SparkSession, root: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _epochs(spark: SparkSession, root: str) -> list[int]:
+    """Published epochs, ascending: those with a complete manifest."""
+    fs, p = _fs(spark, f"{root}/manifest")
     if not fs.exists(p):
-        return None
-    done = [s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("v")
-            and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    if not done:
-        return None
-    return os.path.join(root, max(done, key=lambda n: int(n[1:])))
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    done = [n for n in names if n.startswith("epoch=") and fs.exists(_fs(spark, f"{root}/manifest/{n}/_SUCCESS")[1])]
+    return sorted(int(n.removeprefix("epoch=")) for n in done)
+
+
+def _manifest(spark: SparkSession, root: str, epoch: int) -> dict[int, int]:
+    """Bucket -> epoch whose files hold it (one row per bucket, so bounded by the bucket count)."""
+    rows = spark.read.schema("bucket int, written_by long").parquet(f"{root}/manifest/epoch={epoch}").collect()
+    return {r["bucket"]: r["written_by"] for r in rows}
 
 
-def keep_best_incremental(stream: DataFrame, keys: Sequence[str], prefer, table_root: str, checkpoint: str,
-                          available_now: bool = True) -> str:
-    """Run the stream to completion (``availableNow``) and return the final table version path."""
+def _bucket_paths(root: str, where: dict[int, int]) -> list[str]:
+    return [f"{root}/data/epoch={e}/bucket={b}" for b, e in sorted(where.items())]
+
+
+def read_table(spark: SparkSession, root: str) -> DataFrame | None:
+    """The current rows of a keep-best table, or None before its first epoch."""
+    epochs = _epochs(spark, root)
+    if not epochs:
+        return None
+    where = _manifest(spark, root, epochs[-1])
+    schema = spark.read.parquet(f"{root}/schema").schema
+    return spark.read.schema(schema).parquet(*_bucket_paths(root, where)) if where else spark.createDataFrame([], schema)
+
+
+def merge_epoch(batch: DataFrame, epoch: int, keys: Sequence[str], prefer, root: str, buckets: int = BUCKETS) -> None:
+    """Merge one drop into the table as version ``epoch``; replaying a published epoch changes nothing."""
+    spark = batch.sparkSession
+    epochs = _epochs(spark, root)
+    if epoch in epochs:
+        return
+    before = [e for e in epochs if e < epoch]
+    where = _manifest(spark, root, before[-1]) if before else {}
+    counted = "dup_group_size"
+    incoming = batch.withColumn(counted, F.lit(1).cast("bigint"))
+    if not before:
+        incoming.limit(0).write.mode("overwrite").parquet(f"{root}/schema")
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int").alias("bucket")
+    touched = {r["bucket"] for r in batch.select(bucket).distinct().collect()}
+    old = _bucket_paths(root, {b: e for b, e in where.items() if b in touched})
+    rows = incoming.unionByName(spark.read.schema(incoming.schema).parquet(*old)) if old else incoming
+    sizes = rows.groupBy(*keys).agg(F.sum(counted).alias(counted))
+    best = keep_best(rows.drop(counted), keys, prefer, count_col=None)
+    on = [best[k].eqNullSafe(sizes[k]) for k in keys]
+    out = best.join(sizes, on).select(*[best[c] for c in best.columns], sizes[counted])
+    out.select(*incoming.columns, bucket).repartition(len(touched) or 1, "bucket") \
+        .write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/epoch={epoch}")
+    where |= dict.fromkeys(touched, epoch)
+    spark.createDataFrame(sorted(where.items()), "bucket int, written_by long").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{root}/manifest/epoch={epoch}")
+    _remove_unnamed(spark, root, keep=2)
+
+
+def _remove_unnamed(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete bucket files that none of the ``keep`` newest manifests names (older manifests stay as the record)."""
+    epochs = _epochs(spark, root)
+    named = {p for e in epochs[-keep:] for p in _bucket_paths("", _manifest(spark, root, e))}
+    for e in epochs[:-1]:
+        fs, p = _fs(spark, f"{root}/data/epoch={e}")
+        if not fs.exists(p):
+            continue
+        for s in fs.listStatus(p):
+            name = s.getPath().getName()
+            if name.startswith("bucket=") and f"/data/epoch={e}/{name}" not in named:
+                fs.delete(s.getPath(), True)
+
+
+def keep_best_incremental(stream: DataFrame, keys: Sequence[str], prefer, root: str,
+                          buckets: int = BUCKETS, available_now: bool = True) -> DataFrame | None:
+    """Run the stream into the keep-best table at ``root`` and return the table's rows.
+
+    Raises if the table has versions but its stream checkpoint is gone: a fresh checkpoint would number its epochs
+    from 0 again and count all drops twice.
+    """
     spark = stream.sparkSession
+    checkpoint = f"{root}/stream"
+    fs, offsets = _fs(spark, f"{checkpoint}/offsets")
+    if _epochs(spark, root) and not fs.exists(offsets):
+        raise ValueError(f"{root} has published versions but no stream checkpoint; restore it or start a new table")
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        current_path = _latest_version(spark, table_root)
-        touched = batch.select(*keys).distinct()
-        incoming = batch.withColumn("dup_group_size", F.lit(1).cast("bigint"))
-        if current_path is not None:
-            cur = spark.read.parquet(current_path)
-            untouched = cur.join(touched, list(keys), "left_anti")
-            # Expand stored winners back to their group size so counts stay exact.
-            prev = cur.join(touched, list(keys), "left_semi")
-            combined = prev.unionByName(incoming)
-        else:
-            untouched, combined = None, incoming
-        weights = combined.select(*keys, "dup_group_size")
-        best = keep_best(combined.drop("dup_group_size"), keys, prefer, count_col=None)
-        sizes = weights.groupBy(*keys).agg(F.sum("dup_group_size").alias("dup_group_size"))
-        best = best.join(sizes, list(keys))
-        out = best if untouched is None else untouched.unionByName(best)
-        out.write.mode("overwrite").parquet(os.path.join(table_root, f"v{epoch}"))
+        merge_epoch(batch, epoch, keys, prefer, root, buckets)
 
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    q = (w.trigger(availableNow=True) if available_now else w).start()
-    q.awaitTermination()
-    return _latest_version(spark, table_root)
+    (w.trigger(availableNow=True) if available_now else w).start().awaitTermination()
+    return read_table(spark, root)

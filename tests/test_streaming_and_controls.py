@@ -2,29 +2,80 @@
 
 import datetime as dt
 import os
-import tempfile
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators import dedup, dq
-from shelfwise.streaming.incremental import keep_best_incremental
-
-
-def test_keep_best_incremental_across_drops(spark):
-    root = tempfile.mkdtemp(prefix="r1-test-")
-    src = os.path.join(root, "drops")
-    schema = "k int, v int, tag string"
-    drops = [[(1, 5, "a"), (2, 1, "b")], [(1, 9, "c"), (3, 2, "d")], [(1, 7, "e"), (2, 4, "f"), (2, 4, "g")]]
-    for i, rows in enumerate(drops):
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"drop={i}"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(src)
-    path = keep_best_incremental(stream, ["k"], [("v", "desc")], os.path.join(root, "table"), os.path.join(root, "ckpt"))
-    got = {r["k"]: (r["v"], r["tag"], r["dup_group_size"]) for r in spark.read.parquet(path).collect()}
-    all_rows = spark.createDataFrame([r for d in drops for r in d], schema)
-    ref = {r["k"]: (r["v"], r["tag"], r["dup_group_size"]) for r in dedup.keep_best(all_rows, ["k"], [("v", "desc")]).collect()}
-    assert got == ref
+from shelfwise.streaming import incremental
+
+
+DROPS = [[(1, 5, "a"), (2, 1, "b"), (None, 1, "n")], [(1, 9, "c"), (3, 2, "d")], [(1, 7, "e"), (2, 4, "f"), (2, 4, "g"), (None, 2, "m")]]
+SCHEMA = "k int, v int, tag string"
+PREFER = [("v", "desc")]
+
+
+def _table(spark, root):
+    return {r["k"]: (r["v"], r["tag"], r["dup_group_size"]) for r in incremental.read_table(spark, root).collect()}
+
+
+def _reference(spark, drops):
+    rows = spark.createDataFrame([r for d in drops for r in d], SCHEMA)
+    return {r["k"]: (r["v"], r["tag"], r["dup_group_size"]) for r in dedup.keep_best(rows, ["k"], PREFER).collect()}
+
+
+def _merge(spark, root, epoch):
+    incremental.merge_epoch(spark.createDataFrame(DROPS[epoch], SCHEMA), epoch, ["k"], PREFER, root, buckets=4)
+
+
+def test_keep_best_incremental_across_drops(spark, tmp_path):
+    src, root = str(tmp_path / "drops"), str(tmp_path / "table")
+    for i, rows in enumerate(DROPS):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(os.path.join(src, f"drop={i}"))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(src)
+    incremental.keep_best_incremental(stream, ["k"], PREFER, root, buckets=4)
+    got = _table(spark, root)
+    assert got == _reference(spark, DROPS)
     assert got[1] == (9, "c", 3) and got[2] == (4, "g", 3)
+    # Nothing new: the stream runs again and changes nothing; without its checkpoint it refuses to run.
+    incremental.keep_best_incremental(stream, ["k"], PREFER, root, buckets=4)
+    assert _table(spark, root) == got
+    os.rename(os.path.join(root, "stream"), str(tmp_path / "lost"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        incremental.keep_best_incremental(stream, ["k"], PREFER, root, buckets=4)
+    assert _table(spark, root) == got
+
+
+def test_replaying_an_epoch_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "table")
+    for e in range(3):
+        _merge(spark, root, e)
+        for again in range(e + 1):
+            _merge(spark, root, again)
+        assert _table(spark, root) == _reference(spark, DROPS[:e + 1])
+
+
+def test_an_epoch_killed_before_its_commit_is_run_again(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "table")
+    _merge(spark, root, 0)
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_remove_unnamed", lambda *a, **k: None)
+        _merge(spark, root, 1)
+    os.remove(os.path.join(root, "manifest", "epoch=1", "_SUCCESS"))  # as if the driver died while publishing
+    assert _table(spark, root) == _reference(spark, DROPS[:1])
+    _merge(spark, root, 1)
+    _merge(spark, root, 2)
+    assert _table(spark, root) == _reference(spark, DROPS)
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    root = str(tmp_path / "table")
+    many = spark.createDataFrame([(i, i, "x") for i in range(200)], SCHEMA)
+    incremental.merge_epoch(many, 0, ["k"], PREFER, root, buckets=16)
+    incremental.merge_epoch(spark.createDataFrame([(7, 999, "y")], SCHEMA), 1, ["k"], PREFER, root, buckets=16)
+    new = [n for n in os.listdir(os.path.join(root, "data", "epoch=1")) if n.startswith("bucket=")]
+    assert len(new) == 1 and _table(spark, root)[7] == (999, "y", 2)
 
 
 def test_duplicate_flags_equal_window_count(spark):
