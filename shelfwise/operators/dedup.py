@@ -74,38 +74,72 @@ def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Pref] = (),
     return out.select(*cols)
 
 
+# Lineage columns from the newest load down; those that a frame has take part.
+RECENCY = ("ingested_at", "drop_date", "load_id")
+
+
+def newest_first(df: DataFrame) -> list[Pref]:
+    return [(c, "desc") for c in RECENCY if c in df.columns]
+
+
+def clean_first(df: DataFrame, *flags: str) -> list[Pref]:
+    """Rows without the defect flags first (flags that a frame does not have are skipped)."""
+    return [(F.coalesce(F.col(f), F.lit(False)), "asc") for f in flags if f in df.columns]
+
+
+def complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key columns are all there."""
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
+    return df
+
+
+def distributor_sales(staged: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """D1 on distributor sales: complete grain; clean keys, then clean amounts, then the newest load."""
+    return keep_best(complete(staged, grain), grain,
+                     [*clean_first(staged, "is_missing_key", "is_bad_amount"), *newest_first(staged)])
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], date_expr: Column,
                    count_col: str = "version_count", extra_prefer: Sequence[Pref] = ()) -> DataFrame:
-    """Latest version per entity (by ``date_expr`` desc) + version count."""
-    return keep_best(df, keys, [(date_expr, "desc"), *extra_prefer], count_col=count_col)
+    """Latest version per entity (by ``date_expr`` desc, then the newest load) + version count."""
+    return keep_best(df, keys, [(date_expr, "desc"), *extra_prefer, *newest_first(df)], count_col=count_col)
 
 
-def latest_complete(df: DataFrame, keys: Sequence[str], required: Sequence[str], date_col: str,
+def latest_complete(df: DataFrame, keys: Sequence[str], required: Sequence[str], date_expr: Column,
                     count_col: str = "version_count") -> DataFrame:
-    """D3: latest master row, preferring rows with all ``required`` fields present."""
-    complete = F.lit(True)
-    for r in required:
-        complete = complete & F.col(r).isNotNull()
-    return keep_best(df, keys, [(complete, "desc"), (date_col, "desc")], count_col=count_col)
+    """D3: the newest master row by date; on one date a row with clean keys and then with each required field wins,
+    then the newest load."""
+    prefer = [(date_expr, "desc"), *clean_first(df, "is_missing_key"),
+              *[(F.col(r).isNotNull(), "desc") for r in required], *newest_first(df)]
+    return keep_best(df, keys, prefer, count_col=count_col)
 
 
-def one_per_grain(df: DataFrame, grain: Sequence[str], prefer: Sequence[Pref],
-                  count_col: str = "dup_group_size") -> DataFrame:
-    """One row per grain with source-specific preferences."""
-    return keep_best(df, grain, prefer, count_col=count_col)
+def one_per_grain(df: DataFrame, grain: Sequence[str], count_col: str = "dup_group_size") -> DataFrame:
+    """One row per complete grain: clean keys first, then the newest load."""
+    return keep_best(complete(df, grain), grain, [*clean_first(df, "is_missing_key"), *newest_first(df)], count_col=count_col)
 
 
-def dedup_with_id(df: DataFrame, grain: Sequence[str], prefer: Sequence[Pref],
-                  id_col: str = "record_id", count_col: str = "dup_group_size") -> DataFrame:
-    """One row per grain plus a stable md5 id of the grain fields."""
-    return keep_best(df, grain, prefer, count_col=count_col).withColumn(id_col, hash_key(*grain))
+def pos_transactions(df: DataFrame, key: str = "txn_id", ts: str = "txn_date") -> DataFrame:
+    """One row per transaction: a readable timestamp, store and SKU first (in this order), then the newest load."""
+    return keep_best(complete(df, [key]), [key], [(F.col(c).isNotNull(), "desc") for c in (ts, "store_code", "sku")]
+                     + newest_first(df), count_col=None)
+
+
+def dedup_with_id(df: DataFrame, grain: Sequence[str], id_col: str = "record_id",
+                  count_col: str = "dup_group_size") -> DataFrame:
+    """One row per complete grain (clean rows, then the newest load) plus a stable md5 id of the grain fields."""
+    prefer = [*clean_first(df, "is_missing_key", "is_bad_action"), *newest_first(df)]
+    return keep_best(complete(df, grain), grain, prefer, count_col=count_col).withColumn(id_col, hash_key(*grain))
 
 
-def dedup_fallback_key(df: DataFrame, primary: str, fallback: str, other_keys: Sequence[str],
-                       prefer: Sequence[Pref], key_col: str = "dedup_key") -> DataFrame:
-    """Key falls back to another column when the primary id is null."""
+def dedup_fallback_key(df: DataFrame, primary: str, fallback: str, other_keys: Sequence[str], quantity: str,
+                       key_col: str = "dedup_key") -> DataFrame:
+    """The key falls back to another column where the primary id is null; clean rows first, then non-negative
+    quantities, then the newest load. Rows without a full key are left out."""
     keyed = df.withColumn(key_col, F.coalesce(F.col(primary).cast("string"), F.col(fallback).cast("string")))
-    return keep_best(keyed, [key_col, *other_keys], prefer)
+    prefer = [*clean_first(df, "is_missing_key"), (F.coalesce(F.col(quantity) < 0, F.lit(False)), "asc"), *newest_first(df)]
+    return keep_best(complete(keyed, [key_col, *other_keys]), [key_col, *other_keys], prefer)
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:

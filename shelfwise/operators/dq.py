@@ -16,6 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ..functions.clean import first_null_label, record_key, ratio
 
@@ -78,14 +79,6 @@ def _fail_expr(r: Rule) -> Column:
     raise ValueError(r.kind)
 
 
-def _status(failed: Column, pct: Column, threshold: float, use_threshold: bool) -> Column:
-    """Reference default: any failure = fail (threshold ignored); optional threshold mode."""
-    if not use_threshold:
-        return F.when(failed > 0, F.lit("fail")).otherwise(F.lit("pass"))
-    return (F.when(failed == 0, F.lit("pass")).when(pct <= F.lit(threshold), F.lit("warn"))
-            .otherwise(F.lit("fail")))
-
-
 def evaluate_rules(df: DataFrame, rules: Sequence[Rule], run_id: int, quarter_id: str | None = None,
                    use_threshold: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Q3 / Q5 / Q6 / Q7: one result row per active rule (per ``by`` group).
@@ -138,29 +131,34 @@ def exceptions(df: DataFrame, rules: Sequence[Rule], run_id: int, quarter_id: st
     ``quarter_id=None`` takes the quarter from the frame's ``quarter_id`` column.
     """
     q = F.col("quarter_id") if quarter_id is None else F.lit(quarter_id)
-    out = None
-    for r in rules:
-        if not r.active_flag:
+    active = [r for r in rules if r.active_flag]
+    found = []
+    for r in active:
+        if r.kind == "unique":
             continue
-        rk = record_key(*r.record_key_cols) if r.record_key_cols else F.lit(None).cast("string")
-        if r.kind == "required":
-            rows = df.filter(_fail_expr(r)).select(
-                q.alias("__q"), rk.alias("record_key"),
-                first_null_label([(c, f"{c} is null") for c in r.cols]).alias("issue_value"))
-        elif r.kind == "predicate":
-            rows = df.filter(_fail_expr(r)).select(q.alias("__q"), rk.alias("record_key"),
-                                                   F.lit(r.issue or r.rule_name).alias("issue_value"))
-        else:  # unique: one exception per duplicated key group
+        key = record_key(*r.record_key_cols) if r.record_key_cols else F.lit(None).cast("string")
+        issue = first_null_label([(c, f"{c} is null") for c in r.cols]) if r.kind == "required" else F.lit(r.issue or r.rule_name)
+        found.append(F.when(_fail_expr(r), F.struct(F.lit(r.rule_id).cast("bigint").alias("rule_id"), key.alias("record_key"),
+                                                    issue.alias("issue_value"))))
+    parts = []
+    if found:  # all row rules in one pass: the failing ones of a row are exploded
+        hits = df.select(q.alias("quarter_id"), F.array_compact(F.array(*found)).alias("hits")).filter(F.size("hits") > 0)
+        parts.append(hits.select("quarter_id", F.explode("hits").alias("h")).select("quarter_id", "h.*"))
+    for r in active:
+        if r.kind == "unique":  # one exception per duplicated key group
             keys = list(r.cols) if quarter_id is not None or "quarter_id" in r.cols else ["quarter_id", *r.cols]
             g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
-            rows = g.select(q.alias("__q"), record_key(*r.cols).alias("record_key"),
-                            F.concat(F.lit("duplicate count = "), F.col("__n").cast("string")).alias("issue_value"))
-        rows = rows.select(F.lit(run_id).cast("bigint").alias("run_id"), F.col("__q").alias("quarter_id"),
-                           F.lit(r.rule_id).cast("bigint").alias("rule_id"), F.lit(r.target_table).alias("target_table"),
-                           "record_key", "issue_value", F.lit(r.rule_name).alias("issue_description"),
-                           F.lit(r.owner_team).alias("assigned_team"), F.lit("open").alias("remediation_status"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+            parts.append(g.select(q.alias("quarter_id"), F.lit(r.rule_id).cast("bigint").alias("rule_id"),
+                                  record_key(*r.cols).alias("record_key"),
+                                  F.concat(F.lit("duplicate count = "), F.col("__n").cast("string")).alias("issue_value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    meta = rules_df(df.sparkSession, active).select("rule_id", "target_table", F.col("rule_name").alias("issue_description"),
+                                                    F.col("owner_team").alias("assigned_team"))
+    return out.join(F.broadcast(meta), "rule_id").select(
+        F.lit(run_id).cast("bigint").alias("run_id"), "quarter_id", "rule_id", "target_table", "record_key", "issue_value",
+        "issue_description", "assigned_team", F.lit("open").alias("remediation_status"))
 
 
 def latest_per_group(df: DataFrame, group: Sequence[str], order_col: str) -> DataFrame:
@@ -186,28 +184,55 @@ def worst_status(col: Column) -> Column:
     return back[F.max(rank)]
 
 
-def certify(results: DataFrame, recon: DataFrame | None = None) -> DataFrame:
-    """Q11: hold-or-certify per quarter on the latest run, with a reason."""
-    latest = scorecard(results)
-    crit = F.col("severity") == "critical"
-    g = latest.groupBy("quarter_id", "run_id").agg(
-        F.count(F.lit(1)).alias("rules_evaluated"),
-        F.count_if(F.col("status") == "fail").alias("rules_failed"),
-        F.count_if((F.col("status") == "fail") & crit).alias("critical_failures"),
-        worst_status(F.col("status")).alias("worst_rule_status"))
-    if recon is not None:
-        r = latest_per_group(recon, ["quarter_id"], "run_id").groupBy("quarter_id").agg(
-            F.count_if(F.col("recon_status") == "fail").alias("recon_failures"))
-        g = g.join(r, "quarter_id", "left")
-    else:
-        g = g.withColumn("recon_failures", F.lit(None).cast("bigint"))
-    rf = F.coalesce("recon_failures", F.lit(0))
-    decision = F.when((F.col("critical_failures") > 0) | (rf > 0), F.lit("HOLD")).otherwise(F.lit("CERTIFY"))
-    reason = (F.when(F.col("critical_failures") > 0, F.lit("critical data quality failures"))
-              .when(rf > 0, F.lit("reconciliation failures"))
-              .when(F.col("rules_failed") > 0, F.lit("non-critical failures only"))
-              .otherwise(F.lit("all checks passed")))
-    return g.withColumns({"certification_status": decision, "certification_reason": reason})
+def latest_runs(run_log: DataFrame) -> DataFrame:
+    """Q10 / Q11: the newest run of every quarter with its status (one grouped max, no join)."""
+    g = run_log.groupBy("quarter_id").agg(F.max(F.struct("run_id", "run_status", "run_ts")).alias("r"))
+    return g.select("quarter_id", "r.run_id", "r.run_status", "r.run_ts")
+
+
+def open_exceptions(exceptions: DataFrame, rules: DataFrame, run_log: DataFrame) -> DataFrame:
+    """Q10: open exceptions of each quarter's newest run, with the governing rule's attributes."""
+    r = rules.select("rule_id", "rule_name", "rule_category", "severity", "owner_team")
+    latest = latest_runs(run_log).select("quarter_id", "run_id")
+    return exceptions.filter(F.col("remediation_status") == "open").join(r, "rule_id") \
+        .join(latest, ["quarter_id", "run_id"]) \
+        .select("run_id", "quarter_id", "rule_id", "rule_name", "rule_category", "severity", "owner_team", "target_table",
+                "record_key", "issue_value", "issue_description", "assigned_team", "remediation_status")
+
+
+def reconciliation_summary(recon: DataFrame, run_log: DataFrame) -> DataFrame:
+    """Q10: reconciliation results of each quarter's newest run."""
+    return recon.join(latest_runs(run_log).select("quarter_id", "run_id"), ["quarter_id", "run_id"])
+
+
+# Certification words and reasons, in the order in which they are decided.
+HOLD, CERTIFIED, NOT_RUN = "hold", "certified", "not_run"
+HOLD_REASONS = ("latest dq run not completed", "reconciliation failed or not run", "open critical exceptions remain")
+READY_REASON = "ready for reporting"
+
+
+def certify(run_log: DataFrame, open_exc: DataFrame, recon: DataFrame) -> DataFrame:
+    """Q11: hold or certify every quarter on its newest run.
+
+    A quarter is held unless its newest run is completed, a reconciliation of that run passed (none at all
+    holds) and no critical exception of that run is open. Several reconciliation rows count by their worst status.
+    """
+    keys = ["quarter_id", "run_id"]
+    exc = open_exc.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("open_exception_count"),
+        F.count_if(F.col("severity") == "critical").alias("open_critical_exception_count"))
+    rec = recon.groupBy(*keys).agg(worst_status(F.col("status")).alias("reconciliation_status"))
+    g = latest_runs(run_log).join(exc, keys, "left").join(rec, keys, "left")
+    g = g.withColumns({"open_exception_count": F.coalesce("open_exception_count", F.lit(0)),
+                       "open_critical_exception_count": F.coalesce("open_critical_exception_count", F.lit(0)),
+                       "reconciliation_status": F.coalesce("reconciliation_status", F.lit(NOT_RUN))})
+    holds = (F.col("run_status") != "completed", F.col("reconciliation_status") != "pass",
+             F.col("open_critical_exception_count") > 0)
+    reason = F.lit(READY_REASON)
+    for cond, text in reversed(list(zip(holds, HOLD_REASONS, strict=True))):
+        reason = F.when(cond, F.lit(text)).otherwise(reason)
+    return g.withColumn("certification_reason", reason).withColumn(
+        "certification_status", F.when(F.col("certification_reason") == READY_REASON, F.lit(CERTIFIED)).otherwise(F.lit(HOLD)))
 
 
 def threshold_rate_checks(df: DataFrame, table: str, flag_thresholds: dict[str, tuple[float, float | None]]) -> DataFrame:
@@ -240,10 +265,6 @@ def threshold_rate_checks(df: DataFrame, table: str, flag_thresholds: dict[str,
 
 
 # Q14 ------------------------------------------------------------------------
-def assertion_row(name: str, failed: Column, severity: str = "error") -> list[Column]:
-    return [F.lit(name).alias("check_name"), failed.cast("bigint").alias("failed_count"), F.lit(severity).alias("severity")]
-
-
 def contract_checks(df: DataFrame, name: str, grain: Sequence[str] = (), not_null: Sequence[str] = (),
                     ranges: dict[str, tuple] | None = None, vocab: dict[str, Sequence[str]] | None = None,
                     notices: dict[str, str] | None = None) -> DataFrame:
@@ -286,7 +307,7 @@ class ContractViolation(AssertionError):
 
 def raise_on_fail(checks: DataFrame) -> DataFrame:
     """raise when any check fails (collects only the failing check rows)."""
-    bad = checks.filter(F.col("status") == "FAIL").select("relation", "check_name", "failed_count").limit(50).collect()
+    bad = checks.filter(F.col("status") == "FAIL").select("relation", "check_name", "failed_count").collect()
     if bad:
         raise ContractViolation("; ".join(f"{r.relation}.{r.check_name}={r.failed_count}" for r in bad))
     return checks
@@ -352,25 +373,35 @@ def continuity(df: DataFrame, entity: str, date: str, step_days: int = 7) -> Dat
     return out.withColumn("continuity_pct", F.col("active_periods") / (F.col("active_periods") + F.col("missing_periods")))
 
 
-def row_exceptions(checks: dict[str, tuple[DataFrame, Column, Sequence[str]]], run_id: int) -> DataFrame:
-    """Q12: row-level exception capture across tables (rule → (frame, failing predicate, key columns))."""
+def row_exceptions(checks: Sequence[tuple[str, str, str, str, DataFrame, Column]], run_id: int) -> DataFrame:
+    """Q12: typed exception rows of (rule, table, severity, details, failing rows, record key)."""
     out = None
-    for rule, (df, cond, keys) in checks.items():
-        rows = df.filter(F.coalesce(cond, F.lit(False))).select(
-            F.lit(run_id).cast("bigint").alias("run_id"), F.lit(rule).alias("rule_name"),
-            record_key(*keys).alias("record_key"))
+    for rule, table, severity, details, failing, key in checks:
+        rows = failing.select(
+            F.lit(run_id).cast("bigint").alias("run_id"), F.lit(rule).alias("rule_name"), F.lit(table).alias("table_name"),
+            key.alias("record_key"), F.lit(severity).alias("severity"), F.lit(details).alias("details"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def or_unknown(*cols: str) -> Column:
+    """Record key of an exception row: the values joined by ``|``, a null as ``?``."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in cols])
+
+
 def exception_summary(exc: DataFrame) -> DataFrame:
-    """Q12: exceptions per run and rule."""
-    return exc.groupBy("run_id", "rule_name").agg(F.count(F.lit(1)).alias("exception_count"))
+    """Q12: exceptions per run, table and rule."""
+    return exc.groupBy("run_id", "table_name", "rule_name").agg(F.count(F.lit(1)).alias("exception_count"))
 
 
-def certification_gaps(expected: DataFrame, certified: DataFrame, key: str) -> DataFrame:
-    """Expected owners without a current certification (EXCEPT)."""
-    return expected.select(key).subtract(certified.select(key))
+def certification_gaps(expected: DataFrame, certifications: DataFrame, key: str, as_of) -> DataFrame:
+    """Owners without a certification record (EXCEPT), not certified, or certified up to a past date."""
+    missing = expected.select(key).subtract(certifications.select(key)).withColumn("gap", F.lit("missing"))
+    certified = F.lower("certification_status") == "certified"
+    expired = F.col("certified_through") < F.lit(as_of).cast("date")
+    bad = certifications.filter(~certified | expired) \
+        .select(key, F.when(~certified, F.lit("not certified")).otherwise(F.lit("expired")).alias("gap"))
+    return missing.unionByName(bad)
 
 
 def resolution_status(exc: DataFrame, log: DataFrame, id_col: str = "exception_id", by: Sequence[str] = ("rule_id",)) -> DataFrame:
@@ -390,11 +421,13 @@ def open_run(spark: SparkSession, log_path: str, quarter_id: str, run_by: str, b
              rules_version: str = "v1") -> int:
     """Q2: append a ``started`` row to the run log (parquet folder) and return its run id.
 
-    The log holds one row per run; reading its max id is a small aggregate.
+    The log holds one row per run; reading its max id is a small aggregate. Only a missing log starts at run 1.
     """
     try:
         last = spark.read.parquet(log_path).agg(F.max("run_id")).collect()[0][0] or 0
-    except Exception:  # no log yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         last = 0
     run_id = int(last) + 1
     row = spark.createDataFrame([(run_id, quarter_id, None, run_by, batch, rules_version, "started")], RUN_LOG_SCHEMA)

@@ -33,7 +33,7 @@ QA_LABELS = (
     ("has_missing_product_line_join", "⚠️ Missing product line join"),
 )
 REPORTABLE_LABEL = "✅ Reportable"
-REVIEW_LABEL = "Review"
+REVIEW_LABEL = "⚠️ Review"
 
 
 def stage_facility_master(raw: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def fact_emissions(matched: DataFrame) -> DataFrame:
     for flag, text in QA_LABELS:
         label = F.when(F.col(flag), F.lit(text)) if label is None else label.when(F.col(flag), F.lit(text))
     label = label.when(rep, F.lit(REPORTABLE_LABEL)).otherwise(F.lit(REVIEW_LABEL))
-    return matched.withColumns({"is_reportable_emissions_row": rep, "qa_status": label})
+    return matched.withColumns({"is_reportable_emissions_row": rep, "qa_status_label": label})
 
 
 def emissions_controls(fact: DataFrame) -> DataFrame:
@@ -170,14 +170,37 @@ def hard_checks(fact: DataFrame, factors: DataFrame, source_counts: DataFrame) -
         .withColumn("status", F.when(F.col("failed_count") > 0, F.lit("FAIL")).otherwise(F.lit("PASS")))
 
 
-def materiality(fact: DataFrame, row_pct_fail: float = 0.05, row_pct_warn: float = 0.01,
-                by: Sequence[str] = ("source_system",)) -> DataFrame:
-    """Q32: excluded rows and activity share per source with FAIL / WARN / PASS."""
-    g = fact.groupBy(*by).agg(F.count(F.lit(1)).alias("total_rows"),
-                              F.count_if(~F.col("is_reportable_emissions_row")).alias("excluded_rows"))
-    pct = ratio("excluded_rows", "total_rows")
-    status = F.when(pct > row_pct_fail, F.lit("FAIL")).when(pct > row_pct_warn, F.lit("WARN")).otherwise(F.lit("PASS"))
-    return g.withColumns({"excluded_row_pct": pct, "materiality_status": status})
+# Fixed thresholds per control: rows from which to warn, shares of fact rows from which to warn and to fail, severity.
+MATERIALITY_THRESHOLDS = (
+    ("duplicate_source_records", 1, 0.01, 0.1, "high"),
+    ("non_reportable_rows", 1, 0.05, 0.2, "high"),
+    ("missing_factor_joins", 1, 0.001, 0.05, "critical"),
+    ("negative_activity_rows", 1, 0.001, 0.05, "high"),
+    ("unknown_activity_type_rows", 1, 0.001, 0.05, "high"),
+    ("missing_dimension_joins", 1, 0.001, 0.1, "high"),
+)
+
+
+def materiality(fact: DataFrame, duplicate_records: DataFrame, thresholds=MATERIALITY_THRESHOLDS) -> DataFrame:
+    """Q32: six controls against row and share thresholds; limits count as exceeded when met (FAIL before WARN)."""
+    one = fact.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(~F.col("is_reportable_emissions_row")).alias("non_reportable_rows"),
+        F.count_if("has_missing_factor_join").alias("missing_factor_joins"),
+        F.count_if("has_negative_activity").alias("negative_activity_rows"),
+        F.count_if("has_unknown_activity_type").alias("unknown_activity_type_rows"),
+        F.count_if(F.col("has_missing_facility_join") | F.col("has_missing_product_line_join")).alias("missing_dimension_joins"))
+    dup = duplicate_records.agg(F.count(F.lit(1)).alias("duplicate_source_records"))
+    one = one.withColumn("k", F.lit(1)).join(dup.withColumn("k", F.lit(1)), "k")
+    rows = ", ".join(f"'{n}', CAST({n} AS BIGINT), {w}L, {wp}D, {fp}D, '{sev}'" for n, w, wp, fp, sev in thresholds)
+    out = one.selectExpr("total_rows", f"stack({len(thresholds)}, {rows}) AS (control_name, exception_rows, "
+                         "warning_row_threshold, warning_pct_threshold, failure_pct_threshold, severity)")
+    share = ratio("exception_rows", "total_rows")
+    status = (F.when(share >= F.col("failure_pct_threshold"), F.lit("FAIL"))
+              .when(F.col("exception_rows") >= F.col("warning_row_threshold"), F.lit("WARN"))
+              .when(share >= F.col("warning_pct_threshold"), F.lit("WARN")).otherwise(F.lit("PASS")))
+    return out.select("control_name", "exception_rows", "total_rows", share.alias("exception_pct"), "warning_row_threshold",
+                      "warning_pct_threshold", "failure_pct_threshold", "severity", status.alias("materiality_status"))
 
 
 def null_profile(fact: DataFrame, cols: Sequence[str], by: str = "source_system") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import ratio
-from .dedup import keep_best, last_value_per_key
+from .dedup import clean_first, complete, keep_best, last_value_per_key, newest_first
 from .joins import sized_broadcast
 
 
@@ -98,9 +98,10 @@ def employee_dimension(daily: DataFrame, punches: DataFrame, store: str = "store
 
 
 def inventory_snapshot_fact(inv: DataFrame, grain: Sequence[str] = ("snapshot_date", "site_id", "sku")) -> DataFrame:
-    """One snapshot per grain, non-negative on-hand preferred, then larger receipts."""
-    pref = [(F.col("on_hand_units") >= 0, "desc"), ("received_units", "desc")]
-    return keep_best(inv, grain, pref)
+    """One snapshot per complete grain: clean keys, then non-negative on-hand, then the newest load."""
+    return keep_best(complete(inv, grain), grain,
+                     [*clean_first(inv, "is_missing_key"), (F.coalesce(F.col("on_hand_units") < 0, F.lit(False)), "asc"),
+                      *newest_first(inv)])
 
 
 def finance_monthly(staged: DataFrame) -> DataFrame:

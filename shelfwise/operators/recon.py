@@ -26,7 +26,7 @@ def reconcile_totals(left: DataFrame, right: DataFrame, keys: Sequence[str], lef
     j = l_.join(r_, list(keys), "full")
     s, t = F.coalesce("source_amount", F.lit(0.0)), F.coalesce("target_amount", F.lit(0.0))
     diff = s - t
-    rel = F.when(t == 0, F.when(s == 0, F.lit(0.0))).otherwise(F.abs(diff) / F.abs(t))
+    rel = F.when(t != 0, F.abs(diff) / F.abs(t))  # nothing to compare with is a failure, whatever the source says
     bad = F.coalesce(rel > rel_tol, F.lit(True))
     if abs_tol is not None:
         bad = bad & (F.abs(diff) > abs_tol)
@@ -125,29 +125,48 @@ def bridge_tieout(bridge: DataFrame, tol: float = 0.01) -> DataFrame:
                                "ties_out": F.abs(F.col("actual_net_sales") - explained) <= tol})
 
 
-def dim_join_coverage(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Q17: for each dimension, fact rows whose key finds a partner (semi / anti join counts)."""
+def dim_join_coverage(facts: dict[str, tuple[DataFrame, dict[str, Column]]], dims: Sequence[str]) -> DataFrame:
+    """Q17: one row per fact model: rows, rows without each dimension, rows without any, and their shares.
+
+    ``facts``: model -> (frame, dimension -> flag of a missing partner). A dimension that a model does not use
+    counts 0 and has a null share. One pass over each fact.
+    """
     out = None
-    for name, (dim, key) in dims.items():
-        keys = dim.select(F.col(key).alias("__k"), F.lit(True).alias("__hit")).distinct()
-        j = fact.join(keys, fact[key] == keys["__k"], "left")
-        r = j.agg(F.count(F.lit(1)).alias("fact_rows"), F.count_if(F.col("__hit").isNull()).alias("unmatched_rows"))
-        r = r.select(F.lit(name).alias("dimension"), "fact_rows", "unmatched_rows",
-                     (F.lit(1.0) - F.col("unmatched_rows") / F.col("fact_rows")).alias("coverage_pct"))
+    for model, (df, missing) in facts.items():
+        any_missing = None
+        for flag in missing.values():
+            any_missing = flag if any_missing is None else any_missing | flag
+        r = df.agg(F.count(F.lit(1)).alias("n_fact_rows"),
+                   *[(F.count_if(missing[d]) if d in missing else F.lit(0).cast("bigint")).alias(f"n_missing_{d}") for d in dims],
+                   F.count_if(any_missing).alias("n_missing_any_dim"))
+        r = r.select(F.lit(model).alias("fact_model"), "*",
+                     *[(ratio(f"n_missing_{d}", "n_fact_rows") if d in missing else F.lit(None).cast("double"))
+                       .alias(f"pct_missing_{d}") for d in dims],
+                     ratio("n_missing_any_dim", "n_fact_rows").alias("pct_missing_any_dim"))
         out = r if out is None else out.unionByName(r)
     return out
 
 
-def missing_dim_control(fact: DataFrame, date_col: str, checks: dict[str, Column], start=None,
-                        warn_rate: float = 0.0, fail_rate: float = 0.01) -> DataFrame:
-    """Q16 / Q17: per fact-day counts of rows whose dimension lookups failed, with a status ladder."""
-    f = fact if start is None else fact.filter(F.col(date_col) >= F.lit(start))
-    g = f.groupBy(date_col).agg(F.count(F.lit(1)).alias("fact_rows"),
-                                *[F.count_if(c).alias(f"missing_{k}") for k, c in checks.items()])
-    worst = F.greatest(*[F.col(f"missing_{k}") for k in checks]) if len(checks) > 1 else F.col(f"missing_{next(iter(checks))}")
-    rate = ratio(worst, "fact_rows")
-    status = (F.when(worst == 0, F.lit("Pass")).when(rate <= fail_rate, F.lit("Warning")).otherwise(F.lit("Fail")))
-    return g.withColumns({"worst_missing_rate": rate, "control_status": status})
+# Fixed limit: a share of missing partners up to this is a low warning.
+LOW_MISSING_SHARE = 0.001
+
+
+def missing_dim_control(facts: Sequence[tuple[str, DataFrame, str, str, Column]], start=None) -> DataFrame:
+    """Q16: one row per fact model, dimension and day with the rows that find no partner.
+
+    ``facts``: (model, frame, date column, dimension, flag of a missing partner).
+    """
+    out = None
+    for model, df, date_col, dim, missing in facts:
+        f = df if start is None else df.filter(F.col(date_col) >= F.lit(start).cast("date"))
+        g = f.groupBy(F.col(date_col).cast("date").alias("grain_date")).agg(
+            F.count(F.lit(1)).alias("fact_rows"), F.count_if(missing).alias("missing_dim_rows"))
+        g = g.select(F.lit(model).alias("model_name"), "grain_date", F.lit(dim).alias("dim_name"), "fact_rows", "missing_dim_rows")
+        out = g if out is None else out.unionByName(g)
+    share = F.when(F.col("fact_rows") == 0, F.lit(0.0)).otherwise(F.col("missing_dim_rows") / F.col("fact_rows"))
+    status = (F.when(F.col("fact_rows") == 0, F.lit("WARN_no_rows")).when(F.col("missing_dim_rows") == 0, F.lit("PASS"))
+              .when(share <= LOW_MISSING_SHARE, F.lit("WARN_low")).otherwise(F.lit("FAIL")))
+    return out.withColumns({"missing_pct": share, "status": status})
 
 
 def freshness(latest: DataFrame, as_of, model_col: str = "model_name", date_col: str = "latest_date",

@@ -331,5 +331,5 @@ fact AS (
               WHEN has_missing_product_line_join THEN '⚠️ Missing product line join'
               WHEN NOT (has_negative_activity OR has_missing_facility_id OR has_invalid_activity_month
                         OR has_unknown_activity_type OR has_missing_facility_join OR has_missing_factor_join)
-                THEN '✅ Reportable' ELSE 'Review' END AS qa_status
+                THEN '✅ Reportable' ELSE '⚠️ Review' END AS qa_status_label
   FROM fact0)"""

@@ -5,17 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import clean as C
 from ..functions.clean import hash_key, hash_key_nullsafe, round_to
-from ..operators import dedup, dq
+from ..operators import dedup, dq, staging
 from ..operators import emissions as E
 from ..sources.testdata import Tables
 from . import ghg, model, raw
 from .oracle import GHG, INVENTORY, SALES_LINES
 from .q_dims import H2_CORE, staged_master
 from .q_dq import Q4_SQL, RETAIL_RULES, staged_retail
-from .q_facts import conformed
 from .registry import query, rounded
-from .sql_facts import CONF_CTE
+from .q_clean import H8_SQL
+from .sql_facts import POS_CTE
 
 Q8_SQL = f"""
 WITH {SALES_LINES},
@@ -36,37 +37,46 @@ def q_q8(spark, d):
 
 
 def _row_exceptions(t):
-    conf = conformed(t)
-    pos = dedup.duplicate_candidates(raw.pos_lines(t), ["txn_id", "line_number"])
+    sales = raw.sales_distributor_extract(t)
     inv = model.inventory(t)
-    return dq.row_exceptions({
-        "missing_store": (conf, F.col("is_missing_store"), ["source_system", "sale_date", "store_code", "sku"]),
-        "missing_sku": (conf, F.col("is_missing_sku"), ["source_system", "sale_date", "store_code", "sku"]),
-        "negative_on_hand": (inv, F.col("on_hand_units") < 0, ["snapshot_date", "site_id", "sku"]),
-        "duplicate_txn": (pos, F.col("is_duplicate_candidate"), ["txn_id", "line_number"]),
-    }, run_id=1)
-
-
-_RK = "concat_ws('|', {})"
-
-
-def _mk(cols):
-    return _RK.format(", ".join(f"COALESCE(CAST({c} AS VARCHAR), 'MISSING')" for c in cols))
+    pos = raw.pos_transactions(t).filter(F.col("txn_id").isNotNull()).groupBy("txn_id").agg(F.count(F.lit(1)).alias("n"))
+    clock = staging.stage_timeclock(raw.timeclock_extract(t), synonyms={**C.ACTION_SYNONYMS, **model.PUNCH_ACTIONS})
+    ship = model.shipments(t).withColumn("sku", F.when(F.col("sku") % 97 != 0, F.col("sku").cast("string")).otherwise(F.lit("")))
+    key = dq.or_unknown
+    return dq.row_exceptions([
+        ("missing_store_id", "std.sales_distributor_extract", "error", "store_id is null/blank",
+         sales.filter(F.coalesce("store_id_norm", F.lit("")) == ""), key("sku", "sale_date")),
+        ("negative_on_hand", "std.inventory_erp_snapshot", "error", "on_hand < 0",
+         inv.filter(F.col("on_hand_units") < 0), key("site_id", "sku", "snapshot_date")),
+        ("duplicate_txn_id", "std.pos_transactions", "warn", "txn_id appears more than once", pos.filter("n > 1"), F.col("txn_id")),
+        ("bad_punch_timestamp", "std.timeclock_punches", "warn", "punch_ts is null after parsing",
+         clock.filter(F.col("punch_ts").isNull()), key("employee_id", "store_code")),
+        ("missing_sku", "std.wms_shipments", "warn", "sku is null/blank",
+         ship.filter(F.coalesce("sku", F.lit("")) == ""), key("shipment_id")),
+    ], run_id=1)
+
+
+def _q(cols):
+    return "concat_ws('|', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '?')" for c in cols) + ")"
 
 
 Q12_CORE = f"""
-{CONF_CTE}, {INVENTORY},
-pl AS (SELECT l_orderkey AS txn_id, l_linenumber AS line_number,
-              COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS dup FROM lineitem
-       JOIN orders ON l_orderkey = o_orderkey),
-ex AS (SELECT 'missing_store' AS rule_name, {_mk(['source_system', 'sale_date', 'store_code', 'sku'])} AS record_key
-       FROM conf WHERE is_missing_store
-       UNION ALL SELECT 'missing_sku', {_mk(['source_system', 'sale_date', 'store_code', 'sku'])} FROM conf WHERE is_missing_sku
-       UNION ALL SELECT 'negative_on_hand', {_mk(['snapshot_date', 'site_id', 'sku'])} FROM inventory WHERE on_hand_units < 0
-       UNION ALL SELECT 'duplicate_txn', {_mk(['txn_id', 'line_number'])} FROM pl WHERE dup)"""
-
-Q12_SQL = f"WITH {Q12_CORE} SELECT CAST(1 AS BIGINT) AS run_id, rule_name, record_key FROM ex"
-Q12S_SQL = f"WITH {Q12_CORE} SELECT CAST(1 AS BIGINT) AS run_id, rule_name, COUNT(*) AS exception_count FROM ex GROUP BY 2"
+{SALES_LINES}, {INVENTORY}, {POS_CTE}, tc AS ({H8_SQL}),
+ex AS (SELECT 'missing_store_id' AS rule_name, 'std.sales_distributor_extract' AS table_name,
+              {_q(['sku', 'CASE WHEN line_number % 2 = 0 THEN sale_date END'])} AS record_key, 'error' AS severity,
+              'store_id is null/blank' AS details FROM sales_lines WHERE COALESCE(CAST(store_id AS VARCHAR), '') = ''
+       UNION ALL SELECT 'negative_on_hand', 'std.inventory_erp_snapshot', {_q(['site_id', 'sku', 'snapshot_date'])}, 'error',
+              'on_hand < 0' FROM inventory WHERE on_hand_units < 0
+       UNION ALL SELECT 'duplicate_txn_id', 'std.pos_transactions', txn_id, 'warn', 'txn_id appears more than once'
+              FROM pos WHERE txn_id IS NOT NULL GROUP BY txn_id HAVING COUNT(*) > 1
+       UNION ALL SELECT 'bad_punch_timestamp', 'std.timeclock_punches', {_q(['employee_id', 'store_code'])}, 'warn',
+              'punch_ts is null after parsing' FROM tc WHERE punch_ts IS NULL
+       UNION ALL SELECT 'missing_sku', 'std.wms_shipments',
+              COALESCE(CASE WHEN l_linenumber <> 1 THEN 'SH' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END, '?'),
+              'warn', 'sku is null/blank' FROM lineitem WHERE l_partkey % 97 = 0)"""
+
+Q12_SQL = f"WITH {Q12_CORE} SELECT CAST(1 AS BIGINT) AS run_id, rule_name, table_name, record_key, severity, details FROM ex"
+Q12S_SQL = f"WITH {Q12_CORE} SELECT CAST(1 AS BIGINT) AS run_id, table_name, rule_name, COUNT(*) AS exception_count FROM ex GROUP BY 2, 3"
 
 
 @query("q12_row_exceptions", Q12_SQL)
@@ -111,11 +121,9 @@ FROM det JOIN gt ON det.source_system = gt.source_system AND det.duplicate_busin
 """
 
 
-@query("q29_duplicate_source_records", Q29_SQL)
-def q_q29(spark, d):
+def duplicate_source_records(t):
     """Q29: duplicate business keys per source (C31 null-safe hash, A10 HAVING), detail rows with
     group totals joined back by key (not a window over a possibly hot group)."""
-    t = Tables(spark, d)
     act = E.union_activity(ghg.activity_sources(t))
     c = act.withColumn("duplicate_business_key", hash_key_nullsafe(
         "source_system", "activity_month", "facility_id", "factor_type", _amount_key(F.col("activity_amount")),
@@ -130,38 +138,76 @@ def q_q29(spark, d):
     gt = det.groupBy("source_system", "duplicate_business_key").agg(
         F.sum("metric_tons_co2e").alias("duplicate_group_metric_tons_co2e"))
     out = det.join(gt, ["source_system", "duplicate_business_key"])
-    return rounded(out.select("source_system", "duplicate_business_key", "duplicate_record_count", "first_activity_month",
+    return out.select("source_system", "duplicate_business_key", "duplicate_record_count", "first_activity_month",
                               "last_activity_month", "duplicate_group_activity_amount", "duplicate_group_cost_usd",
                               "duplicate_group_metric_tons_co2e", "source_record_id", "activity_id", "activity_month",
                               "facility_id", "factor_type", "activity_amount", "metric_tons_co2e",
-                              "is_reportable_emissions_row"))
+                              "is_reportable_emissions_row")
+
+
+@query("q29_duplicate_source_records", Q29_SQL)
+def q_q29(spark, d):
+    return rounded(duplicate_source_records(Tables(spark, d)))
+
+
+Q32_SQL = f"""
+WITH dup AS ({Q29_SQL}), {GHG},
+b AS (SELECT COUNT(*) AS total_rows, count(*) FILTER (WHERE NOT is_reportable_emissions_row) AS nr,
+             count(*) FILTER (WHERE has_missing_factor_join) AS mf, count(*) FILTER (WHERE has_negative_activity) AS na,
+             count(*) FILTER (WHERE has_unknown_activity_type) AS ut,
+             count(*) FILTER (WHERE has_missing_facility_join OR has_missing_product_line_join) AS md FROM fact),
+a AS (SELECT 'duplicate_source_records' AS control_name, COUNT(*) AS exception_rows FROM dup
+      UNION ALL SELECT 'non_reportable_rows', nr FROM b UNION ALL SELECT 'missing_factor_joins', mf FROM b
+      UNION ALL SELECT 'negative_activity_rows', na FROM b UNION ALL SELECT 'unknown_activity_type_rows', ut FROM b
+      UNION ALL SELECT 'missing_dimension_joins', md FROM b),
+th(control_name, warning_row_threshold, warning_pct_threshold, failure_pct_threshold, severity) AS (VALUES
+  ('duplicate_source_records', 1, 0.01, 0.1, 'high'), ('non_reportable_rows', 1, 0.05, 0.2, 'high'),
+  ('missing_factor_joins', 1, 0.001, 0.05, 'critical'), ('negative_activity_rows', 1, 0.001, 0.05, 'high'),
+  ('unknown_activity_type_rows', 1, 0.001, 0.05, 'high'), ('missing_dimension_joins', 1, 0.001, 0.1, 'high')),
+s AS (SELECT a.control_name, exception_rows, total_rows, CAST(exception_rows AS DOUBLE) / NULLIF(total_rows, 0) AS pct,
+             CAST(warning_row_threshold AS BIGINT) AS warning_row_threshold, CAST(warning_pct_threshold AS DOUBLE) AS warning_pct_threshold,
+             CAST(failure_pct_threshold AS DOUBLE) AS failure_pct_threshold, severity
+      FROM a, b JOIN th ON a.control_name = th.control_name)
+SELECT control_name, exception_rows, total_rows, round(pct, 4) AS exception_pct, warning_row_threshold,
+       round(warning_pct_threshold, 4) AS warning_pct_threshold, round(failure_pct_threshold, 4) AS failure_pct_threshold, severity,
+       CASE WHEN pct >= failure_pct_threshold THEN 'FAIL' WHEN exception_rows >= warning_row_threshold THEN 'WARN'
+            WHEN pct >= warning_pct_threshold THEN 'WARN' ELSE 'PASS' END AS materiality_status
+FROM s
+"""
+
+
+@query("q32_emissions_materiality", Q32_SQL)
+def q_q32(spark, d):
+    t = Tables(spark, d)
+    return rounded(E.materiality(ghg.fact(t), duplicate_source_records(t)))
 
 
 # Fixed certification register (owner sign-off per source system).
 CERTIFICATIONS = (
-    ("utility_bills", "Facilities", "2024-01-15", "Y"),
-    ("fuel_usage", "Fleet & Facilities", "2024-01-20", "Y"),
-    ("shipping_logistics", "Logistics", "2023-06-30", "N"),
+    ("utility_bills", "Facilities / Sustainability", "Certified", "2026-12-31"),
+    ("fuel_usage", "Operations / Sustainability", "certified", "2023-12-31"),
+    ("shipping_logistics", "Logistics", "pending", "2026-12-31"),
 )
+CERTIFIED_AS_OF = "2024-03-31"
 
 Q34_SQL = f"""
 WITH {GHG},
-cert(source_system, owner_team, certified_on, certified) AS (VALUES
-  ('utility_bills', 'Facilities', DATE '2024-01-15', 'Y'), ('fuel_usage', 'Fleet & Facilities', DATE '2024-01-20', 'Y'),
-  ('shipping_logistics', 'Logistics', DATE '2023-06-30', 'N'))
-SELECT source_system FROM (SELECT DISTINCT source_system FROM fact
-                           EXCEPT SELECT source_system FROM cert WHERE certified = 'Y')
+cert(source_system, owner_team, certification_status, certified_through) AS (VALUES
+  ('utility_bills', 'Facilities / Sustainability', 'Certified', DATE '2026-12-31'),
+  ('fuel_usage', 'Operations / Sustainability', 'certified', DATE '2023-12-31'),
+  ('shipping_logistics', 'Logistics', 'pending', DATE '2026-12-31'))
+SELECT source_system, 'missing' AS gap FROM (SELECT DISTINCT source_system FROM fact EXCEPT SELECT source_system FROM cert)
+UNION ALL SELECT source_system, CASE WHEN lower(certification_status) <> 'certified' THEN 'not certified' ELSE 'expired' END
+FROM cert WHERE lower(certification_status) <> 'certified' OR certified_through < DATE '{CERTIFIED_AS_OF}'
 """
 
 
 @query("q34_certification_gaps", Q34_SQL)
 def q_q34(spark, d):
-    t = Tables(spark, d)
-    cert = spark.createDataFrame([(s, o, c, f) for s, o, c, f in CERTIFICATIONS],
-                                 "source_system string, owner_team string, certified_on string, certified string") \
-        .filter(F.col("certified") == "Y")
-    expected = ghg.fact(t).select("source_system").distinct()
-    return dq.certification_gaps(expected, cert, "source_system")
+    cert = spark.createDataFrame(list(CERTIFICATIONS), "source_system string, owner_team string, certification_status string, "
+                                 "certified_through string").withColumn("certified_through", F.col("certified_through").cast("date"))
+    expected = ghg.fact(Tables(spark, d)).select("source_system").distinct()
+    return dq.certification_gaps(expected, cert, "source_system", CERTIFIED_AS_OF)
 
 
 Q35_SQL = f"""
@@ -195,7 +241,8 @@ _H2P = ["as_of_date", "drop_date", "dispensary_id", "dispensary_name", "state",
 Q39_SQL = f"""
 WITH {H2_CORE},
 old AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY store_code ORDER BY
-          (dispensary_name IS NOT NULL AND state IS NOT NULL) DESC NULLS LAST, as_of_date DESC NULLS LAST,
+          as_of_date DESC NULLS LAST, is_missing_key, (dispensary_id IS NOT NULL) DESC, (dispensary_name IS NOT NULL) DESC,
+          drop_date DESC NULLS LAST,
           {", ".join(c + " DESC NULLS LAST" for c in _H2P)}) AS rn
         FROM h2 WHERE store_code IS NOT NULL AND as_of_date <= DATE '{CUT}') WHERE rn = 1),
 upd AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY store_code ORDER BY as_of_date DESC NULLS LAST,
@@ -212,6 +259,6 @@ def q_q39(spark, d):
     newer snapshots (anti join + union)."""
     s = staged_master(Tables(spark, d)).filter(F.col("store_code").isNotNull())
     old = dedup.latest_complete(s.filter(F.col("as_of_date") <= F.lit(CUT).cast("date")), ["store_code"],
-                                ["dispensary_name", "state"], "as_of_date")
+                                ["dispensary_id", "dispensary_name"], F.col("as_of_date"))
     upd = dedup.last_wins(s.filter(F.col("as_of_date") > F.lit(CUT).cast("date")), ["store_code"], "as_of_date")
     return dq.upsert(old.select(*_UP_COLS), upd.select(*_UP_COLS), ["store_code"])

@@ -60,14 +60,15 @@ _H2_PAYLOAD = ["as_of_date", "drop_date", "dispensary_id", "dispensary_name", "s
 D3_CORE = H2_CORE + f""",
 d3 AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, COUNT(*) OVER (PARTITION BY store_code) AS version_count,
-         ROW_NUMBER() OVER (PARTITION BY store_code ORDER BY (dispensary_name IS NOT NULL AND state IS NOT NULL) DESC NULLS LAST,
-                            as_of_date DESC NULLS LAST, {", ".join(c + " DESC NULLS LAST" for c in _H2_PAYLOAD)}) AS rn
+         ROW_NUMBER() OVER (PARTITION BY store_code ORDER BY COALESCE(as_of_date, drop_date) DESC NULLS LAST,
+                            is_missing_key, (dispensary_id IS NOT NULL) DESC, (dispensary_name IS NOT NULL) DESC,
+                            drop_date DESC NULLS LAST, {", ".join(c + " DESC NULLS LAST" for c in _H2_PAYLOAD)}) AS rn
   FROM h2 WHERE store_code IS NOT NULL) WHERE rn = 1)"""
 
 
 def latest_master(t):
     s = staged_master(t).filter(F.col("store_code").isNotNull())
-    return dedup.latest_complete(s, ["store_code"], ["dispensary_name", "state"], "as_of_date")
+    return dedup.latest_complete(s, ["store_code"], ["dispensary_id", "dispensary_name"], F.coalesce("as_of_date", "drop_date"))
 
 
 @query("d3_latest_store_master", f"WITH {D3_CORE} SELECT * FROM d3")
@@ -114,15 +115,15 @@ h3 AS (SELECT *, (as_of_date IS NULL OR store_code IS NULL OR sku IS NULL) AS is
               COUNT(*) OVER (PARTITION BY as_of_date, store_code, sku) > 1 AS is_duplicate_candidate FROM h3a),
 d4 AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, COUNT(*) OVER (PARTITION BY as_of_date, store_code, sku) AS dup_group_size,
-         ROW_NUMBER() OVER (PARTITION BY as_of_date, store_code, sku ORDER BY load_id DESC NULLS LAST,
+         ROW_NUMBER() OVER (PARTITION BY as_of_date, store_code, sku ORDER BY is_missing_key, load_id DESC NULLS LAST,
                             distribution_status DESC NULLS LAST, status_reason DESC NULLS LAST, load_id DESC NULLS LAST,
                             is_missing_key DESC NULLS LAST, is_duplicate_candidate DESC NULLS LAST) AS rn
-  FROM h3) WHERE rn = 1)"""
+  FROM h3 WHERE as_of_date IS NOT NULL AND store_code IS NOT NULL AND sku IS NOT NULL) WHERE rn = 1)"""
 
 
 def status_dedup(t):
     s = staging.stage_distribution_status(raw.distribution_status_extract(t))
-    return dedup.one_per_grain(s, ["as_of_date", "store_code", "sku"], [("load_id", "desc")])
+    return dedup.one_per_grain(s, ["as_of_date", "store_code", "sku"])
 
 
 from .oracle import SALES_LINES  # noqa: E402

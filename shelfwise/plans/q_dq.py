@@ -156,7 +156,7 @@ t AS (SELECT CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderda
 j AS (SELECT COALESCE(s.quarter_id, t.quarter_id) AS quarter_id, source_amount, target_amount,
              COALESCE(source_amount, 0) AS sa, COALESCE(target_amount, 0) AS ta
       FROM s FULL OUTER JOIN t ON s.quarter_id = t.quarter_id),
-k AS (SELECT *, CASE WHEN ta = 0 THEN CASE WHEN sa = 0 THEN 0.0 END ELSE abs(sa - ta) / abs(ta) END AS rel FROM j)
+k AS (SELECT *, CASE WHEN ta <> 0 THEN abs(sa - ta) / abs(ta) END AS rel FROM j)
 SELECT quarter_id, source_amount, target_amount, sa - ta AS difference_amount, rel AS difference_pct,
        CASE WHEN COALESCE(rel > 0.02, TRUE) THEN 'fail' ELSE 'pass' END AS recon_status, CAST(1 AS BIGINT) AS run_id
 FROM k
@@ -174,32 +174,92 @@ def q_q9(spark, d):
     return rounded(sales_finance_recon(Tables(spark, d)))
 
 
+def run_log(t):
+    """Two runs per ledger quarter; the second run of a fourth quarter has not ended."""
+    q = ledger_quarterly(t).select("quarter_id").distinct()
+    runs = q.withColumn("run_id", F.explode(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint"))))
+    return runs.withColumns({
+        "run_status": F.when((F.col("run_id") == 2) & F.col("quarter_id").endswith("Q4"), F.lit("started")).otherwise(F.lit("completed")),
+        "run_ts": F.when(F.col("run_id") == 2, F.lit("2024-04-02 06:00:00")).otherwise(F.lit("2024-04-01 06:00:00")).cast("timestamp_ntz")})
+
+
+def governed_recon(t):
+    """Reconciliation results as logged: third quarters were reconciled in the first run only."""
+    r = sales_finance_recon(t).drop("run_id").withColumnRenamed("recon_status", "status")
+    return r.withColumn("run_id", F.when(F.col("quarter_id").endswith("Q3"), 1).otherwise(2).cast("bigint"))
+
+
+def governed_exceptions(t):
+    exc = dq.exceptions(staged_retail(t), RETAIL_RULES, run_id=2)
+    return dq.open_exceptions(exc, dq.rules_df(t.spark, RETAIL_RULES), run_log(t))
+
+
+RUN_LOG_CTE = """
+runs AS (SELECT quarter_id, run_id, CASE WHEN run_id = 2 AND quarter_id LIKE '%Q4' THEN 'started' ELSE 'completed' END AS run_status,
+                CASE WHEN run_id = 2 THEN TIMESTAMP '2024-04-02 06:00:00' ELSE TIMESTAMP '2024-04-01 06:00:00' END AS run_ts
+         FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter_id FROM orders),
+              (SELECT CAST(unnest([1, 2]) AS BIGINT) AS run_id)),
+latest AS (SELECT quarter_id, max(run_id) AS run_id FROM runs GROUP BY 1)"""
+
+OPEN_CORE = f"""
+WITH e AS ({Q4_SQL}), {RUN_LOG_CTE}, {_META},
+owner(rule_id, owner_team) AS (VALUES (1, 'Sales Operations'), (2, 'Sales Operations'), (3, 'Sales Operations'),
+  (4, 'Sales Operations'), (5, 'Finance'), (6, 'Sales Operations'))
+SELECT latest.run_id, e.quarter_id, e.rule_id, rule_name, rule_category, severity, owner_team, e.target_table, record_key,
+       issue_value, issue_description, assigned_team, remediation_status
+FROM e JOIN meta ON meta.rule_id = e.rule_id JOIN owner ON owner.rule_id = e.rule_id
+JOIN latest ON latest.quarter_id = e.quarter_id AND latest.run_id = 2
+WHERE remediation_status = 'open'
+"""
+
+
+@query("q10_open_exceptions", OPEN_CORE)
+def q_q10_open(spark, d):
+    return governed_exceptions(Tables(spark, d))
+
+
+RECON_LATEST = f"""
+WITH rec AS (SELECT *, CAST(CASE WHEN quarter_id LIKE '%Q3' THEN 1 ELSE 2 END AS BIGINT) AS own_run FROM ({RECON_CORE})), {RUN_LOG_CTE}
+SELECT rec.quarter_id, own_run AS run_id, source_amount, target_amount, difference_amount, difference_pct, recon_status AS status
+FROM rec JOIN latest ON rec.quarter_id = latest.quarter_id AND own_run = latest.run_id
+"""
+
+Q10R_SQL = f"""
+SELECT quarter_id, run_id, round(source_amount, 4) AS source_amount, round(target_amount, 4) AS target_amount,
+       round(difference_amount, 4) AS difference_amount, round(difference_pct, 4) AS difference_pct, status FROM ({RECON_LATEST})
+"""
+
+
+@query("q10_reconciliation_summary", Q10R_SQL)
+def q_q10_recon(spark, d):
+    t = Tables(spark, d)
+    return rounded(dq.reconciliation_summary(governed_recon(t), run_log(t)))
+
+
 Q11_SQL = f"""
-WITH res AS ({RESULTS_CORE}), rec AS ({RECON_CORE}),
-lr AS (SELECT r.* FROM res r JOIN (SELECT quarter_id, max(run_id) AS m FROM res GROUP BY 1) x
-         ON r.quarter_id IS NOT DISTINCT FROM x.quarter_id AND r.run_id = x.m),
-g AS (SELECT quarter_id, run_id, COUNT(*) AS rules_evaluated, count(*) FILTER (WHERE status = 'fail') AS rules_failed,
-             count(*) FILTER (WHERE status = 'fail' AND severity = 'critical') AS critical_failures,
-             CASE max(CASE status WHEN 'fail' THEN 3 WHEN 'warn' THEN 2 WHEN 'pass' THEN 1 END)
-               WHEN 3 THEN 'fail' WHEN 2 THEN 'warn' WHEN 1 THEN 'pass' END AS worst_rule_status
-      FROM lr GROUP BY 1, 2),
-rc AS (SELECT r.quarter_id, count(*) FILTER (WHERE recon_status = 'fail') AS recon_failures
-       FROM rec r JOIN (SELECT quarter_id, max(run_id) AS m FROM rec GROUP BY 1) x
-         ON r.quarter_id IS NOT DISTINCT FROM x.quarter_id AND r.run_id = x.m GROUP BY 1)
-SELECT g.quarter_id, run_id, rules_evaluated, rules_failed, critical_failures, worst_rule_status, recon_failures,
-       CASE WHEN critical_failures > 0 OR COALESCE(recon_failures, 0) > 0 THEN 'HOLD' ELSE 'CERTIFY' END
-         AS certification_status,
-       CASE WHEN critical_failures > 0 THEN 'critical data quality failures'
-            WHEN COALESCE(recon_failures, 0) > 0 THEN 'reconciliation failures'
-            WHEN rules_failed > 0 THEN 'non-critical failures only' ELSE 'all checks passed' END AS certification_reason
-FROM g LEFT JOIN rc ON g.quarter_id = rc.quarter_id
+WITH {RUN_LOG_CTE}, oe AS ({OPEN_CORE}), rc AS ({RECON_LATEST}),
+x AS (SELECT quarter_id, run_id, count(*) AS n, count(*) FILTER (WHERE severity = 'critical') AS c FROM oe GROUP BY 1, 2),
+r AS (SELECT quarter_id, run_id, CASE max(CASE status WHEN 'fail' THEN 3 WHEN 'warn' THEN 2 ELSE 1 END)
+             WHEN 3 THEN 'fail' WHEN 2 THEN 'warn' ELSE 'pass' END AS status FROM rc GROUP BY 1, 2),
+g AS (SELECT runs.quarter_id, runs.run_id, run_status, run_ts, COALESCE(n, 0) AS open_exception_count,
+             COALESCE(c, 0) AS open_critical_exception_count, COALESCE(r.status, 'not_run') AS reconciliation_status
+      FROM runs JOIN latest ON runs.quarter_id = latest.quarter_id AND runs.run_id = latest.run_id
+      LEFT JOIN x ON x.quarter_id = runs.quarter_id AND x.run_id = runs.run_id
+      LEFT JOIN r ON r.quarter_id = runs.quarter_id AND r.run_id = runs.run_id)
+SELECT *, CASE WHEN run_status <> 'completed' OR reconciliation_status <> 'pass' OR open_critical_exception_count > 0
+               THEN 'hold' ELSE 'certified' END AS certification_status,
+       CASE WHEN run_status <> 'completed' THEN 'latest dq run not completed'
+            WHEN reconciliation_status <> 'pass' THEN 'reconciliation failed or not run'
+            WHEN open_critical_exception_count > 0 THEN 'open critical exceptions remain'
+            ELSE 'ready for reporting' END AS certification_reason
+FROM g
 """
 
 
 @query("q11_certification", Q11_SQL)
 def q_q11(spark, d):
     t = Tables(spark, d)
-    return dq.certify(rule_results(t), sales_finance_recon(t))
+    return dq.certify(run_log(t), governed_exceptions(t), dq.reconciliation_summary(governed_recon(t), run_log(t)))
 
 
 THRESHOLDS = {"is_missing_key": (0.10, None), "is_duplicate_candidate": (0.05, 0.01),

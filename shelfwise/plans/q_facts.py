@@ -15,14 +15,11 @@ AS_OF = "2001-06-30"
 def dist_daily(t):
     staged = staging.stage_sales_distributor(raw.sales_distributor_extract(t))
     grain = ["sale_date", "store_code", "sku", "channel"]
-    best = dedup.keep_best(staged.filter(~F.col("is_missing_key")), grain,
-                           [(F.col("is_bad_amount"), "asc"), ("load_id", "desc")])
-    return facts.distributor_daily(best, grain)
+    return facts.distributor_daily(dedup.distributor_sales(staged, grain), grain)
 
 
 def pos_day(t):
-    p = dedup.keep_best(raw.pos_lines(t), ["txn_id", "line_number"], [("net_amount", "desc")])
-    return facts.pos_daily(p, "txn_date").withColumnRenamed("txn_date", "sale_date")
+    return facts.pos_daily(dedup.pos_transactions(raw.pos_transactions(t)), "txn_date").withColumnRenamed("txn_date", "sale_date")
 
 
 def conformed(t):

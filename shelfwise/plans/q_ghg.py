@@ -13,7 +13,7 @@ from .registry import query, rounded
 FACT_COLS = ["activity_id", "source_system", "source_record_id", "activity_month", "scope", "facility_id",
              "grid_region", "product_line_id", "product_line_name", "factor_type", "activity_amount", "activity_unit",
              "factor_id", "factor_version", "kg_co2e", "metric_tons_co2e", "has_missing_factor_join",
-             "has_missing_facility_join", "has_missing_product_line_join", "is_reportable_emissions_row", "qa_status"]
+             "has_missing_facility_join", "has_missing_product_line_join", "is_reportable_emissions_row", "qa_status_label"]
 
 E2_SQL = f"""
 WITH {GHG}
@@ -21,7 +21,7 @@ SELECT activity_id, source_system, source_record_id, activity_month, scope, faci
        product_line_name, factor_type, round(activity_amount, 4) AS activity_amount, activity_unit, factor_id,
        factor_version, round(kg_co2e, 4) AS kg_co2e, round(metric_tons_co2e, 4) AS metric_tons_co2e,
        has_missing_factor_join, has_missing_facility_join, has_missing_product_line_join,
-       is_reportable_emissions_row, qa_status
+       is_reportable_emissions_row, qa_status_label
 FROM fact
 """
 
@@ -81,23 +81,6 @@ def q_q30(spark, d):
     return E.hard_checks(ghg.fact(t), ghg.factors(spark), ghg.source_counts(t))
 
 
-Q32_SQL = f"""
-WITH {GHG}
-SELECT source_system, COUNT(*) AS total_rows, count(*) FILTER (WHERE NOT is_reportable_emissions_row) AS excluded_rows,
-       round(CAST(count(*) FILTER (WHERE NOT is_reportable_emissions_row) AS DOUBLE) / NULLIF(COUNT(*), 0), 4)
-         AS excluded_row_pct,
-       CASE WHEN CAST(count(*) FILTER (WHERE NOT is_reportable_emissions_row) AS DOUBLE) / COUNT(*) > 0.05 THEN 'FAIL'
-            WHEN CAST(count(*) FILTER (WHERE NOT is_reportable_emissions_row) AS DOUBLE) / COUNT(*) > 0.01 THEN 'WARN'
-            ELSE 'PASS' END AS materiality_status
-FROM fact GROUP BY 1
-"""
-
-
-@query("q32_emissions_materiality", Q32_SQL)
-def q_q32(spark, d):
-    return rounded(E.materiality(ghg.fact(Tables(spark, d))))
-
-
 Q33_SQL = f"""
 WITH {GHG}
 SELECT source_system, COUNT(*) AS row_count, count(*) FILTER (WHERE product_line_id IS NULL) AS null_product_line_id,

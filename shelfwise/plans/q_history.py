@@ -42,7 +42,7 @@ SELECT store_code, {", ".join(STATUS_PAYLOAD)}, version_count
 FROM (
   SELECT *, COUNT(*) OVER (PARTITION BY store_code) AS version_count,
          ROW_NUMBER() OVER (PARTITION BY store_code ORDER BY COALESCE(status_date, drop_date) DESC NULLS LAST,
-                            {", ".join(c + " DESC NULLS LAST" for c in STATUS_PAYLOAD)}) AS rn
+                            drop_date DESC NULLS LAST, load_id DESC NULLS LAST, {", ".join(c + " DESC NULLS LAST" for c in STATUS_PAYLOAD)}) AS rn
   FROM staged WHERE store_code IS NOT NULL
 ) WHERE rn = 1
 """
@@ -150,13 +150,13 @@ def q_m17(spark, d):
 
 D7_SQL = f"""
 WITH {PUNCHES}
-SELECT punch_ts, store_code, employee_id, action, punch_id, work_date, dup_group_size,
-       md5(concat_ws('|', CAST(punch_ts AS VARCHAR), store_code, CAST(employee_id AS VARCHAR), action)) AS record_id
+SELECT punch_ts, store_code, employee_id, action, punch_id, work_date, action NOT IN ('IN', 'OUT') AS is_bad_action,
+       dup_group_size, md5(concat_ws('|', CAST(punch_ts AS VARCHAR), store_code, CAST(employee_id AS VARCHAR), action)) AS record_id
 FROM (
   SELECT *, COUNT(*) OVER (PARTITION BY punch_ts, store_code, employee_id, action) AS dup_group_size,
          ROW_NUMBER() OVER (PARTITION BY punch_ts, store_code, employee_id, action
-                            ORDER BY punch_id DESC NULLS LAST, work_date DESC NULLS LAST) AS rn
-  FROM punches
+                            ORDER BY action NOT IN ('IN', 'OUT'), punch_id DESC NULLS LAST, work_date DESC NULLS LAST) AS rn
+  FROM punches WHERE punch_ts IS NOT NULL AND store_code IS NOT NULL AND employee_id IS NOT NULL AND action IS NOT NULL
 ) WHERE rn = 1
 """
 
@@ -164,7 +164,8 @@ FROM (
 @query("d7_punch_dedup", D7_SQL)
 def q_d7(spark, d):
     p = model.punches(Tables(spark, d)).select("punch_ts", "store_code", "employee_id", "action", "punch_id", "work_date")
-    return dedup.dedup_with_id(p, ["punch_ts", "store_code", "employee_id", "action"], [("punch_id", "desc")])
+    p = p.withColumn("is_bad_action", ~F.col("action").isin("IN", "OUT"))
+    return dedup.dedup_with_id(p, ["punch_ts", "store_code", "employee_id", "action"])
 
 
 SHIPMENTS_CTE = """
@@ -182,9 +183,10 @@ k AS (SELECT *, COALESCE(shipment_id, load_id) AS dedup_key FROM shipments),
 best AS (
   SELECT * FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY dedup_key, ship_date, site_id, sku
-                                 ORDER BY units_shipped DESC NULLS LAST, shipment_id DESC NULLS LAST,
-                                          load_id DESC NULLS LAST, carrier DESC NULLS LAST) AS rn
-    FROM k) WHERE rn = 1
+                                 ORDER BY COALESCE(units_shipped < 0, FALSE), load_id DESC NULLS LAST,
+                                          shipment_id DESC NULLS LAST, units_shipped DESC NULLS LAST,
+                                          carrier DESC NULLS LAST) AS rn
+    FROM k WHERE dedup_key IS NOT NULL AND ship_date IS NOT NULL AND site_id IS NOT NULL AND sku IS NOT NULL) WHERE rn = 1
 )
 SELECT ship_date, site_id, CAST(COUNT(DISTINCT dedup_key) AS BIGINT) AS shipments,
        round(SUM(units_shipped), 4) AS units_shipped, MAX(carrier) AS any_carrier
@@ -195,8 +197,7 @@ FROM best GROUP BY 1, 2
 @query("m14_shipments_daily", M14_SQL)
 def q_m14(spark, d):
     s = model.shipments(Tables(spark, d))
-    best = dedup.dedup_fallback_key(s, "shipment_id", "load_id", ["ship_date", "site_id", "sku"],
-                                    [("units_shipped", "desc")])
+    best = dedup.dedup_fallback_key(s, "shipment_id", "load_id", ["ship_date", "site_id", "sku"], "units_shipped")
     out = best.groupBy("ship_date", "site_id").agg(
         F.count_distinct("dedup_key").alias("shipments"),
         F.sum("units_shipped").alias("units_shipped"),

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dedup, facts, recon, staging, variance
+from ..operators import dedup, facts, history, recon, staging, variance
 from ..sources.testdata import Tables
 from . import model, raw
 from .oracle import FORECAST_EXTRACT, INVENTORY, PUNCHES, SALES_LINES
-from .q_facts import conformed, dist_daily, pos_day
+from .q_facts import dist_daily, pos_day
+from .q_history import M17_SQL
 from .q_variance import _fva
 from .registry import query, rounded
-from .sql_facts import CONF_CTE, DIST_CTE, FIN_CTE, POS_CTE
+from .sql_facts import DIST_CTE, FIN_CTE, POS_CTE
 
 AS_OF = "2001-08-31"
 
@@ -105,23 +106,47 @@ def q_q22(spark, d):
     return rounded(q22_frame(Tables(spark, d)))
 
 
+def _store_flags(t):
+    """Fact models with the flags of rows that have no partner in the store and product dimensions."""
+    st = model.stores(t).select(F.col("store_id").cast("string").alias("__store"))
+    pr = t.part.select(F.col("p_partkey").cast("string").alias("__sku"))
+    # Punch stores are codes of their own: their dimension is the punch store of every account.
+    ps = model.stores(t).select(model.punch_store_of(F.col("store_id")).alias("__store")).distinct()
+
+    def flagged(df, stores, products=None):
+        df = df.join(stores, df["store_code"] == stores["__store"], "left")
+        return df.join(products, df["sku"] == products["__sku"], "left") if products is not None else df
+    labor = history.labor_store_daily(history.labor_daily_employee(model.punches(t)))
+    return flagged(dist_daily(t), st, pr), flagged(labor, ps), flagged(pos_day(t), st)
+
+
 def q16_frame(t):
-    return recon.missing_dim_control(conformed(t), "sale_date",
-                                     {"store": F.col("is_missing_store"), "sku": F.col("is_missing_sku")})
+    no_store = F.col("__store").isNull()
+    dist, labor, pos = _store_flags(t)
+    return recon.missing_dim_control([
+        ("mart.fact_sales_distributor_daily", dist, "sale_date", "dim_store", no_store),
+        ("mart.fact_labor_daily", labor, "work_date", "dim_store", no_store),
+        ("mart.fact_sales_pos_daily", pos, "sale_date", "dim_store", no_store)])
 
 
+LABOR_CTE = f"""labor AS (SELECT work_date, store_code FROM ({M17_SQL}))"""
+STORE_CTE = """st AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS k FROM customer),
+ps AS (SELECT DISTINCT 'S' || lpad(CAST(c_custkey % 8 AS VARCHAR), 2, '0') AS k FROM customer)"""
+
 Q16_CORE = f"""
-WITH {CONF_CTE},
-g AS (SELECT sale_date, COUNT(*) AS fact_rows, count(*) FILTER (WHERE is_missing_store) AS missing_store,
-             count(*) FILTER (WHERE is_missing_sku) AS missing_sku FROM conf GROUP BY 1),
-q16 AS (SELECT *, CAST(greatest(missing_store, missing_sku) AS DOUBLE) / NULLIF(fact_rows, 0) AS worst_missing_rate,
-               CASE WHEN greatest(missing_store, missing_sku) = 0 THEN 'Pass'
-                    WHEN CAST(greatest(missing_store, missing_sku) AS DOUBLE) / NULLIF(fact_rows, 0) <= 0.01 THEN 'Warning'
-                    ELSE 'Fail' END AS control_status FROM g)"""
+WITH {DIST_CTE}, {POS_CTE}, {LABOR_CTE}, {STORE_CTE},
+g AS (SELECT 'mart.fact_sales_distributor_daily' AS model_name, sale_date AS grain_date, 'dim_store' AS dim_name, COUNT(*) AS fact_rows,
+             count(*) FILTER (WHERE st.k IS NULL) AS missing_dim_rows FROM dist LEFT JOIN st ON store_code = st.k GROUP BY 2
+      UNION ALL SELECT 'mart.fact_labor_daily', work_date, 'dim_store', COUNT(*), count(*) FILTER (WHERE ps.k IS NULL)
+             FROM labor LEFT JOIN ps ON store_code = ps.k GROUP BY 2
+      UNION ALL SELECT 'mart.fact_sales_pos_daily', sale_date, 'dim_store', COUNT(*), count(*) FILTER (WHERE st.k IS NULL)
+             FROM posd LEFT JOIN st ON store_code = st.k GROUP BY 2),
+q16 AS (SELECT *, CASE WHEN fact_rows = 0 THEN 0.0 ELSE CAST(missing_dim_rows AS DOUBLE) / fact_rows END AS missing_pct,
+               CASE WHEN fact_rows = 0 THEN 'WARN_no_rows' WHEN missing_dim_rows = 0 THEN 'PASS'
+                    WHEN CAST(missing_dim_rows AS DOUBLE) / fact_rows <= 0.001 THEN 'WARN_low' ELSE 'FAIL' END AS status FROM g)"""
 
 Q16_SQL = Q16_CORE + """
-SELECT sale_date, fact_rows, missing_store, missing_sku, round(worst_missing_rate, 4) AS worst_missing_rate,
-       control_status FROM q16
+SELECT model_name, grain_date, dim_name, fact_rows, missing_dim_rows, round(missing_pct, 4) AS missing_pct, status FROM q16
 """
 
 
@@ -131,25 +156,27 @@ def q_q16(spark, d):
 
 
 Q17_SQL = f"""
-WITH {CONF_CTE},
-pk AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS k FROM part),
-sk AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS k FROM customer)
-SELECT 'product' AS dimension, COUNT(*) AS fact_rows, count(*) FILTER (WHERE pk.k IS NULL) AS unmatched_rows,
-       round(1.0 - CAST(count(*) FILTER (WHERE pk.k IS NULL) AS DOUBLE) / COUNT(*), 4) AS coverage_pct
-FROM conf LEFT JOIN pk ON conf.sku = pk.k
-UNION ALL
-SELECT 'store', COUNT(*), count(*) FILTER (WHERE sk.k IS NULL),
-       round(1.0 - CAST(count(*) FILTER (WHERE sk.k IS NULL) AS DOUBLE) / COUNT(*), 4)
-FROM conf LEFT JOIN sk ON conf.store_code = sk.k
+WITH {DIST_CTE}, {LABOR_CTE}, {STORE_CTE},
+s AS (SELECT COUNT(*) AS n, count(*) FILTER (WHERE st.k IS NULL) AS a, count(*) FILTER (WHERE p_partkey IS NULL) AS b,
+             count(*) FILTER (WHERE st.k IS NULL OR p_partkey IS NULL) AS c
+      FROM dist LEFT JOIN st ON store_code = st.k LEFT JOIN part ON sku = CAST(p_partkey AS VARCHAR)),
+l AS (SELECT COUNT(*) AS n, count(*) FILTER (WHERE ps.k IS NULL) AS a FROM labor LEFT JOIN ps ON store_code = ps.k)
+SELECT 'mart.fact_sales_distributor_daily' AS fact_model, n AS n_fact_rows, a AS n_missing_dim_store, b AS n_missing_dim_sku,
+       c AS n_missing_any_dim, round(CAST(a AS DOUBLE) / NULLIF(n, 0), 4) AS pct_missing_dim_store,
+       round(CAST(b AS DOUBLE) / NULLIF(n, 0), 4) AS pct_missing_dim_sku, round(CAST(c AS DOUBLE) / NULLIF(n, 0), 4) AS pct_missing_any_dim
+FROM s
+UNION ALL SELECT 'mart.fact_labor_daily', n, a, 0, a, round(CAST(a AS DOUBLE) / NULLIF(n, 0), 4), NULL,
+       round(CAST(a AS DOUBLE) / NULLIF(n, 0), 4) FROM l
 """
 
 
 @query("q17_dim_join_coverage", Q17_SQL)
 def q_q17(spark, d):
-    t = Tables(spark, d)
-    dims = {"product": (t.part.select(F.col("p_partkey").cast("string").alias("sku")), "sku"),
-            "store": (t.customer.select(F.col("c_custkey").cast("string").alias("store_code")), "store_code")}
-    return rounded(recon.dim_join_coverage(conformed(t), dims))
+    dist, labor, _ = _store_flags(Tables(spark, d))
+    no_store, no_sku = F.col("__store").isNull(), F.col("__sku").isNull()
+    return rounded(recon.dim_join_coverage({
+        "mart.fact_sales_distributor_daily": (dist, {"dim_store": no_store, "dim_sku": no_sku}),
+        "mart.fact_labor_daily": (labor, {"dim_store": no_store})}, ["dim_store", "dim_sku"]))
 
 
 def latest_dates(t):
@@ -225,7 +252,7 @@ def q23_frame(t):
     return recon.unified_controls({
         "recon_distributor_vs_pos": (q21_frame(t), "status", ["sale_date", "store_code"]),
         "recon_sales_to_ledger": (q22_frame(t), "status", ["period_month", "metric"]),
-        "missing_dim_joins": (q16_frame(t), "control_status", ["sale_date"]),
+        "missing_dim_joins": (q16_frame(t), "status", ["model_name", "dim_name", "grain_date"]),
     })
 
 
@@ -233,7 +260,7 @@ Q24_SQL = f"""
 SELECT check_name, status, COUNT(*) AS row_count FROM (
   SELECT 'recon_distributor_vs_pos' AS check_name, status FROM ({Q21_SQL}) UNION ALL
   SELECT 'recon_sales_to_ledger', status FROM ({Q22_SQL}) UNION ALL
-  SELECT 'missing_dim_joins', control_status FROM ({Q16_SQL})) GROUP BY 1, 2
+  SELECT 'missing_dim_joins', status FROM ({Q16_SQL})) GROUP BY 1, 2
 """
 
 
@@ -254,7 +281,7 @@ FROM (SELECT COUNT(*) AS a_rows, SUM(net_amount) AS a_total FROM posb),
 @query("q25_layer_tieout", Q25_SQL)
 def q_q25(spark, d):
     t = Tables(spark, d)
-    a = dedup.keep_best(raw.pos_lines(t), ["txn_id", "line_number"], [("net_amount", "desc")]) \
+    a = dedup.pos_transactions(raw.pos_transactions(t)) \
         .select(F.col("net_amount").alias("net_sales"))
     return rounded(recon.layer_tieout(a, pos_day(t), "net_sales", "pos_int_vs_mart", b_rows_col="pos_lines"))
 

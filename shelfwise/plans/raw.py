@@ -150,6 +150,20 @@ def pos_lines(t: Tables) -> DataFrame:
                     (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net_amount"))
 
 
+def pos_transactions(t: Tables) -> DataFrame:
+    """POS transactions, one per line item. Every seventh order is sent again a day later with corrected amounts; half of
+    those came without a readable timestamp at first (D5 picks the second copy)."""
+    p = pos_lines(t)
+    k = F.col("txn_id")
+    base = p.withColumns({"k": k, "txn_id": F.concat(k.cast("string"), F.lit("-"), F.col("line_number").cast("string"))}) \
+        .drop("line_number")
+    again = base.filter(F.col("k") % 7 == 0).withColumns({
+        "net_amount": F.col("net_amount") * 0.9, "drop_date": F.date_add("txn_date", 1), "load_id": F.lit("P2")})
+    first = base.withColumns({"drop_date": F.col("txn_date"), "load_id": F.lit("P1"),
+                              "txn_date": F.when(F.col("k") % 14 != 0, F.col("txn_date"))})
+    return first.unionByName(again).drop("k")
+
+
 # Fixed finance labels by order priority (exercise the KPI-category classifier).
 PRIORITY_METRIC = {"1-URGENT": "Gross Sales", "2-HIGH": "net sales total", "3-MEDIUM": "COGS - product",
                    "4-NOT SPECIFIED": "Labor Cost", "5-LOW": "Other income"}

@@ -13,9 +13,9 @@ DIST_CTE = f"""
 h4 AS ({H4_CORE}),
 best AS (SELECT * FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY sale_date, store_code, sku, channel
-            ORDER BY (NOT is_bad_amount) DESC NULLS LAST, load_id DESC NULLS LAST,
-                     {", ".join(c + " DESC NULLS LAST" for c in _H4_PAYLOAD)}) AS rn
-  FROM h4 WHERE NOT is_missing_key) WHERE rn = 1),
+            ORDER BY is_missing_key, is_bad_amount, ingested_at DESC NULLS LAST, drop_date DESC NULLS LAST,
+                     load_id DESC NULLS LAST, {", ".join(c + " DESC NULLS LAST" for c in _H4_PAYLOAD)}) AS rn
+  FROM h4 WHERE sale_date IS NOT NULL AND store_code IS NOT NULL AND sku IS NOT NULL AND channel IS NOT NULL) WHERE rn = 1),
 dist AS (SELECT sale_date, store_code, sku, channel, CAST(SUM(qty) AS BIGINT) AS units, SUM(gross_sales) AS gross_sales,
                 SUM(discount_amount) AS discount_amount, SUM(net_sales) AS net_sales, SUM(cogs) AS cogs,
                 COUNT(*) AS source_rows, MAX(load_id) AS any_load_id,
@@ -35,14 +35,20 @@ FROM dist
 """
 
 POS_CTE = """
-pos AS (SELECT l_orderkey AS txn_id, l_linenumber AS line_number, CAST(o_orderdate AS DATE) AS txn_date,
-               CAST(o_custkey AS VARCHAR) AS store_code, CAST(l_partkey AS VARCHAR) AS sku, l_quantity AS qty,
-               l_extendedprice AS gross_amount, l_extendedprice * (1 - l_discount) AS net_amount
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+pos0 AS (SELECT l_orderkey AS k, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS txn_id,
+                CAST(o_orderdate AS DATE) AS d, CAST(o_custkey AS VARCHAR) AS store_code, CAST(l_partkey AS VARCHAR) AS sku,
+                l_quantity AS qty, l_extendedprice AS gross_amount, l_extendedprice * (1 - l_discount) AS net_amount
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+pos AS (SELECT txn_id, CASE WHEN k % 14 <> 0 THEN d END AS txn_date, store_code, sku, qty, gross_amount, net_amount,
+               d AS drop_date, 'P1' AS load_id FROM pos0
+        UNION ALL
+        SELECT txn_id, d, store_code, sku, qty, gross_amount, net_amount * 0.9, CAST(d + INTERVAL 1 DAY AS DATE), 'P2'
+        FROM pos0 WHERE k % 7 = 0),
 posb AS (SELECT * FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY txn_id, line_number ORDER BY net_amount DESC NULLS LAST,
-            txn_date DESC NULLS LAST, store_code DESC NULLS LAST, sku DESC NULLS LAST, qty DESC NULLS LAST,
-            gross_amount DESC NULLS LAST, net_amount DESC NULLS LAST) AS rn FROM pos) WHERE rn = 1),
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY txn_id ORDER BY (txn_date IS NOT NULL) DESC, (store_code IS NOT NULL) DESC,
+            (sku IS NOT NULL) DESC, drop_date DESC NULLS LAST, load_id DESC NULLS LAST, txn_date DESC NULLS LAST,
+            store_code DESC NULLS LAST, sku DESC NULLS LAST, qty DESC NULLS LAST, gross_amount DESC NULLS LAST,
+            net_amount DESC NULLS LAST) AS rn FROM pos WHERE txn_id IS NOT NULL) WHERE rn = 1),
 posd AS (SELECT txn_date AS sale_date, store_code, sku, COUNT(*) AS pos_lines, COUNT(DISTINCT txn_id) AS pos_transactions,
                 SUM(qty) AS units, SUM(gross_amount) AS gross_sales, SUM(net_amount) AS net_sales
          FROM posb GROUP BY 1, 2, 3)"""
@@ -155,10 +161,9 @@ WITH {INVENTORY}
 SELECT snapshot_date, site_id, sku, round(on_hand_units, 4) AS on_hand_units, round(received_units, 4) AS received_units,
        dup_group_size
 FROM (SELECT *, COUNT(*) OVER (PARTITION BY snapshot_date, site_id, sku) AS dup_group_size,
-             ROW_NUMBER() OVER (PARTITION BY snapshot_date, site_id, sku ORDER BY (on_hand_units >= 0) DESC NULLS LAST,
-                                received_units DESC NULLS LAST, on_hand_units DESC NULLS LAST,
-                                received_units DESC NULLS LAST) AS rn
-      FROM inventory) WHERE rn = 1
+             ROW_NUMBER() OVER (PARTITION BY snapshot_date, site_id, sku ORDER BY COALESCE(on_hand_units < 0, FALSE),
+                                on_hand_units DESC NULLS LAST, received_units DESC NULLS LAST) AS rn
+      FROM inventory WHERE snapshot_date IS NOT NULL AND site_id IS NOT NULL AND sku IS NOT NULL) WHERE rn = 1
 """
 
 FIN_CTE = """

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfwise.operators import dedup, dq
+from shelfwise.operators import dedup, dq, recon
 from shelfwise.streaming import incremental
 
 
@@ -118,3 +118,71 @@ def test_rule_evaluation_single_pass_matches_counts(spark):
 def test_worst_status_wins(spark):
     df = spark.createDataFrame([("q", "pass"), ("q", "fail"), ("q", "warn")], "q string, status string")
     assert df.groupBy("q").agg(dq.worst_status(F.col("status")).alias("w")).collect()[0]["w"] == "fail"
+
+
+def _certify(spark, runs, exc=(), rec=()):
+    log = spark.createDataFrame([(*r, None) for r in runs], "quarter_id string, run_id long, run_status string, run_ts timestamp")
+    e = spark.createDataFrame(list(exc), "quarter_id string, run_id long, severity string")
+    r = spark.createDataFrame(list(rec), "quarter_id string, run_id long, status string")
+    out = dq.certify(log, e, dq.reconciliation_summary(r, log))
+    return {x["quarter_id"]: (x["certification_status"], x["certification_reason"], x["reconciliation_status"]) for x in out.collect()}
+
+
+def test_certification_holds_without_evidence(spark):
+    runs = [("a", 1, "completed"), ("b", 1, "completed"), ("b", 2, "started"), ("c", 1, "completed"), ("d", 1, "completed"),
+            ("e", 1, "completed"), ("e", 2, "completed"), ("f", 1, "completed")]
+    rec = [("b", 2, "pass"), ("c", 1, "pass"), ("d", 1, "pass"), ("e", 1, "pass"), ("f", 1, "pass"), ("f", 1, "fail")]
+    exc = [("c", 1, "critical"), ("d", 1, "high")]
+    got = _certify(spark, runs, exc, rec)
+    assert got == {
+        "a": ("hold", "reconciliation failed or not run", "not_run"), "b": ("hold", "latest dq run not completed", "pass"),
+        "c": ("hold", "open critical exceptions remain", "pass"), "d": ("certified", "ready for reporting", "pass"),
+        "e": ("hold", "reconciliation failed or not run", "not_run"), "f": ("hold", "reconciliation failed or not run", "fail")}
+
+
+def test_reconciliation_fails_without_a_target(spark):
+    left = spark.createDataFrame([("q", 0.0), ("r", 5.0), ("s", 100.0)], "k string, a double")
+    right = spark.createDataFrame([("q", 0.0), ("s", 101.0), ("t", 3.0)], "k string, b double")
+    got = {r["k"]: r["recon_status"] for r in recon.reconcile_totals(left, right, ["k"], "a", "b", rel_tol=0.02).collect()}
+    assert got == {"q": "fail", "r": "fail", "s": "pass", "t": "fail"}
+
+
+def test_missing_dimension_ladder(spark):
+    rows = [("2024-01-01", True)] + [("2024-01-01", False)] * 999 + [("2024-01-02", False)] + [("2024-01-03", True)] + [("2024-01-03", False)] * 500
+    df = spark.createDataFrame(rows, "d string, missing boolean")
+    got = {str(r["grain_date"]): r["status"] for r in recon.missing_dim_control([("m", df, "d", "dim", F.col("missing"))]).collect()}
+    assert got == {"2024-01-01": "WARN_low", "2024-01-02": "PASS", "2024-01-03": "FAIL"}
+
+
+def test_certification_gaps_name_missing_expired_and_uncertified(spark):
+    cert = spark.createDataFrame([("a", "Certified", dt.date(2024, 6, 1)), ("b", "certified", dt.date(2024, 1, 1)), ("c", "pending", dt.date(2030, 1, 1))],
+                                 "s string, certification_status string, certified_through date")
+    expected = spark.createDataFrame([("a",), ("d",)], "s string")
+    got = {(r["s"], r["gap"]) for r in dq.certification_gaps(expected, cert, "s", "2024-03-31").collect()}
+    assert got == {("d", "missing"), ("b", "expired"), ("c", "not certified")}
+
+
+def test_raise_on_fail_names_every_failure(spark):
+    checks = spark.createDataFrame([("t", f"c{i}", 1, "FAIL") for i in range(70)] + [("t", "ok", 0, "PASS")],
+                                   "relation string, check_name string, failed_count long, status string")
+    with pytest.raises(dq.ContractViolation) as e:
+        dq.raise_on_fail(checks)
+    assert str(e.value).count("t.c") == 70
+
+
+def test_newest_master_row_beats_a_stale_complete_one(spark):
+    df = spark.createDataFrame([("s", dt.date(2024, 1, 1), "id", "name", False), ("s", dt.date(2024, 5, 1), "id", None, False),
+                                ("s", dt.date(2024, 5, 1), None, "x", True)],
+                               "store_code string, as_of_date date, dispensary_id string, dispensary_name string, is_missing_key boolean")
+    got = dedup.latest_complete(df, ["store_code"], ["dispensary_id", "dispensary_name"], F.col("as_of_date")).collect()[0]
+    assert (got["as_of_date"], got["dispensary_id"], got["version_count"]) == (dt.date(2024, 5, 1), "id", 3)
+
+
+def test_run_log_starts_at_one_only_without_a_log(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert [dq.open_run(spark, path, "q", "x", "b") for _ in range(2)] == [1, 2]
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        dq.open_run(spark, str(bad), "q", "x", "b")
