@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from ..functions.clean import date_labels
 
 
+def latest_date(df: DataFrame, date: str):
+    """The latest date of a column, resolved once (one value), so that it reaches scans as a literal; None if there is none."""
+    return df.agg(F.max(F.col(date).cast("date"))).first()[0]
+
+
 def date_spine(spark: SparkSession, start, end, col: str = "full_date") -> DataFrame:
     """One row per day in [start, end]."""
     return spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias(col))

@@ -62,8 +62,8 @@ def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Pref] = (),
     types = df.select(*[e.alias(f"__x{i}") for i, e in enumerate(exprs)]).schema if exprs else None
     for i, ((_, direction), expr) in enumerate(zip(prefer, exprs)):
         fields.append(_desc_form(df, expr, direction, types[f"__x{i}"].dataType).alias(f"__p{i}"))
-    fields += [F.col(c).alias(f"__t{i}") for i, c in enumerate(tb)]
-    fields += [F.col(c) for c in payload]
+    # The row itself, tie-break columns first: each column is in the struct once.
+    fields += [F.col(c) for c in [*tb, *[c for c in payload if c not in tb]]]
     aggs = [F.max(F.struct(*fields)).alias("__best")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import hash_key, parse_bool2, ratio
-from .joins import sized_broadcast
 
 ACTIVITY_COLUMNS = ("activity_id", "source_system", "source_record_id", "activity_month", "scope", "facility_id",
                     "product_line_id", "activity_category", "factor_type", "activity_amount", "activity_unit",
@@ -96,16 +95,16 @@ def union_activity(sources: dict[str, DataFrame]) -> DataFrame:
 def match_factors(activity: DataFrame, facilities: DataFrame, product_lines: DataFrame,
                   factors: DataFrame) -> DataFrame:
     """Facility / product-line lookups and effective-dated factor match → kg and t CO2e."""
-    fac = sized_broadcast(facilities.select("facility_id", "facility_name", "facility_type", "state_province",
-                                            "country", "grid_region", F.lit(True).alias("__fac")), lookup_chain=True)
-    pl = sized_broadcast(product_lines.select("product_line_id", "product_line_name", "product_family",
-                                              F.lit(True).alias("__pl")))
+    fac = facilities.select("facility_id", "facility_name", "facility_type", "state_province",
+                                            "country", "grid_region", F.lit(True).alias("__fac"))
+    pl = product_lines.select("product_line_id", "product_line_name", "product_family",
+                                              F.lit(True).alias("__pl"))
     a = activity.join(fac, "facility_id", "left").join(pl, "product_line_id", "left")
     a = a.withColumn("__region_key", F.when(F.col("scope") == "Scope 2", F.col("grid_region")).otherwise(F.lit("US")))
-    ef = sized_broadcast(factors.select(
+    ef = factors.select(
         F.col("factor_id"), F.col("factor_type").alias("__ft"), F.col("activity_unit").alias("__fu"),
         F.col("region").alias("__fr"), "effective_start", "effective_end", "factor_version", "source_authority",
-        "factor_value_kg_co2e_per_unit"))
+        "factor_value_kg_co2e_per_unit")
     cond = [(a["factor_type"] == ef["__ft"]), (a["activity_unit"] == ef["__fu"]), (a["__region_key"] == ef["__fr"]),
             (a["activity_month"] >= ef["effective_start"]), (a["activity_month"] <= ef["effective_end"])]
     j = a.join(ef, cond, "left")

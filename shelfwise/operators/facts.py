@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import ratio
 from .dedup import clean_first, complete, keep_best, last_value_per_key, newest_first
-from .joins import sized_broadcast
 
 
 def pos_daily(pos: DataFrame, date: str = "txn_date", keys: Sequence[str] = ("store_code", "sku")) -> DataFrame:
@@ -48,8 +47,8 @@ def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFr
     p = pos_day.select("sale_date", "store_code", "sku", F.lit("retail").alias("channel"), "units", "gross_sales",
                        "net_sales", F.lit("pos").alias("source_system"))
     u = d.unionByName(p)
-    prod = sized_broadcast(products.select("sku", "product_name", F.lit(True).alias("__p")))
-    st = sized_broadcast(stores.select("store_code", "state", F.lit(True).alias("__s")), lookup_chain=True)
+    prod = products.select("sku", "product_name", F.lit(True).alias("__p"))
+    st = stores.select("store_code", "state", F.lit(True).alias("__s"))
     j = u.join(prod, "sku", "left").join(st, "store_code", "left")
     return j.withColumns({
         "product_label": F.coalesce(F.col("product_name"), F.concat(F.lit("Unknown "), F.col("sku"))),
@@ -139,7 +138,7 @@ def store_dimension(master_latest: DataFrame, status_current: DataFrame, key: st
 def with_product_label(df: DataFrame, products: DataFrame, sku: str = "sku", name: str = "product_name",
                        out: str = "product_label") -> DataFrame:
     """Product label from the product dimension, falling back to ``Unknown <sku>``."""
-    p = sized_broadcast(products.select(sku, name))
+    p = products.select(sku, name)
     return df.join(p, sku, "left").withColumn(out, F.coalesce(F.col(name), F.concat(F.lit("Unknown "), F.col(sku))))
 
 

@@ -343,12 +343,15 @@ SEVERITY_ORDER = {"critical": 1, "high": 2, "medium": 3, "monitor": 4}
 
 
 def low_margin_alerts(daily: DataFrame, keys: Sequence[str] = ("store_code", "sku", "channel"),
-                      date: str = "sale_date", window_days: int = 28) -> DataFrame:
-    """Trailing-window margin per grain, severity ladder, reason, action and a global priority rank."""
+                      date: str = "sale_date", window_days: int = 28, as_of=None) -> DataFrame:
+    """Trailing-window margin per grain, severity ladder, reason, action and a global priority rank.
+
+    ``as_of`` defaults to the latest date in ``daily``, resolved once; as a literal it bounds the scan.
+    """
+    from .calendar import latest_date
     from .ranking import global_dense_rank
-    mx = daily.agg(F.max(date).alias("__asof")).withColumn("__k", F.lit(1))
-    x = daily.withColumn("__k", F.lit(1)).join(F.broadcast(mx), "__k")
-    x = x.filter((F.col(date) >= F.date_sub("__asof", window_days - 1)) & (F.col(date) <= F.col("__asof")))
+    end = F.lit(as_of or latest_date(daily, date)).cast("date")
+    x = daily.filter((F.col(date) >= F.date_sub(end, window_days - 1)) & (F.col(date) <= end))
     z = F.lit(0.0)
     g = x.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("source_day_count"),

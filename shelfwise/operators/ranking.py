@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import sized_broadcast
 
 
 def _order(spec: Sequence[tuple[str, str]]) -> list[Column]:
@@ -34,6 +33,7 @@ def global_dense_rank(df: DataFrame, order: Sequence[tuple[str, str]], out_col:
     keys = [c for c, _ in order]
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = cut_lineage(df)  # ranked values and rows must be one and the same computation, or float keys may not meet
     distinct_keys = df.select(*keys).distinct()
     ranged = (distinct_keys.repartitionByRange(n, *_order(order))
               .withColumn("__pid", F.spark_partition_id()))
@@ -47,7 +47,7 @@ def global_dense_rank(df: DataFrame, order: Sequence[tuple[str, str]], out_col:
     ranks = numbered.join(F.broadcast(offsets.select("__pid", "__off")), "__pid") \
         .select(*keys, (F.col("__off") + F.col("__rn")).cast("int").alias(out_col))
     cond = None
-    r = sized_broadcast(ranks.select(*[F.col(k).alias(f"__r_{k}") for k in keys], out_col))
+    r = ranks.select(*[F.col(k).alias(f"__r_{k}") for k in keys], out_col)
     for k in keys:
         c = df[k].eqNullSafe(r[f"__r_{k}"])
         cond = c if cond is None else cond & c
@@ -109,8 +109,8 @@ def distributed_rank(df: DataFrame, group: Sequence[str], order: Sequence[tuple[
                          F.coalesce(F.sum("__vals").over(before), F.lit(0)).alias("__vals_before"),
                          F.sum("__rows").over(Window.partitionBy(*group)).alias("__n"))
     keys = ["__pid", *group]
-    s = sized_broadcast(stats.select(*[F.col(k).alias(f"__s_{k}") for k in keys],
-                                     "__rows_before", "__vals_before", "__n"))
+    s = stats.select(*[F.col(k).alias(f"__s_{k}") for k in keys],
+                                     "__rows_before", "__vals_before", "__n")
     cond = None
     for k in keys:
         c = local[k].eqNullSafe(s[f"__s_{k}"])

@@ -19,6 +19,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .calendar import latest_date
 from ..functions.clean import ratio, round_to
 from .ranking import global_dense_rank
 
@@ -130,22 +131,16 @@ ROOT_CAUSE_LABELS = (
 
 
 def revenue_root_cause(daily: DataFrame, keys: Sequence[str] = ("store_code", "sku", "channel"),
-                       date: str = "sale_date", window_days: int = 28, as_of: Column | None = None) -> DataFrame:
+                       date: str = "sale_date", window_days: int = 28, as_of=None) -> DataFrame:
     """Current vs prior ``window_days``, volume / price effects, driver label, action, impact rank.
 
-    ``as_of`` defaults to the latest date in ``daily`` — a one-row aggregate
-    joined with a broadcast (the reference's ``cross join max_sales_date``).
+    ``as_of`` defaults to the latest date in ``daily``, resolved once. As a literal it bounds the scan: only the two
+    windows are read.
     The pivot of the two periods is one conditional ``groupBy`` (A11).
     """
-    if as_of is None:
-        mx = daily.agg(F.max(date).alias("__asof"))
-    else:
-        mx = daily.sparkSession.range(1).select(as_of.cast("date").alias("__asof"))
-    # One-row side, joined on a constant key: bounded broadcast, not a cartesian product.
-    x = daily.withColumn("__one", F.lit(1)).join(F.broadcast(mx.withColumn("__one", F.lit(1))), "__one")
-    cur_start = F.date_sub("__asof", window_days - 1)
-    prior_start = F.date_sub("__asof", 2 * window_days - 1)
-    x = x.filter((F.col(date) >= prior_start) & (F.col(date) <= F.col("__asof")))
+    end = F.lit(as_of or latest_date(daily, date)).cast("date")
+    cur_start = F.date_sub(end, window_days - 1)
+    x = daily.filter((F.col(date) >= F.date_sub(end, 2 * window_days - 1)) & (F.col(date) <= end))
     is_cur = F.col(date) >= cur_start
     units = F.coalesce("units_sold", F.lit(0.0))
     net = F.coalesce("net_sales", F.lit(0.0))

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import emissions as E
-from ..operators.joins import fixed_broadcast, sized_broadcast
 from ..sources.testdata import Tables
 
 KNOWN_TYPES = ("electricity", "diesel", "natural_gas", "freight_truck", "corrugate", "plastic_film")
@@ -64,8 +63,8 @@ def factors(spark: SparkSession) -> DataFrame:
 
 
 def facilities(t: Tables) -> DataFrame:
-    s = t.supplier.join(fixed_broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")) \
-        .join(fixed_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")) \
+        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     raw = s.select(F.concat(F.lit(" f"), F.col("s_suppkey").cast("string")).alias("facility_id"),
                    F.col("s_name").alias("facility_name"), F.lit("warehouse").alias("facility_type"),
                    F.col("n_name").alias("state_province"), F.lit("us").alias("country"),
@@ -107,7 +106,7 @@ def activity_sources(t: Tables) -> dict[str, DataFrame]:
         F.col("l_quantity").alias("activity_amount"),
         F.when(F.col("l_linestatus") == "O", F.lit("gallon")).otherwise(F.lit("therm")).alias("activity_unit"),
         (F.col("l_extendedprice") * 0.05).alias("cost_usd"))
-    part = sized_broadcast(t.part.select("p_partkey", "p_type"))
+    part = t.part.select("p_partkey", "p_type")
     ship = base.filter(F.col("l_returnflag") == "R").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         "source_record_id", "activity_month", F.lit("Scope 3").alias("scope"), "facility_id",
         F.concat(F.lit("PL-"), F.upper("p_type")).alias("product_line_id"),

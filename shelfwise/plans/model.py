@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import fixed_broadcast, sized_broadcast
+from ..operators.calendar import latest_date
 from ..sources.testdata import Tables
 
 COGS_RATIO = 0.6
@@ -29,14 +29,14 @@ PUNCH_ACTIONS = {"CLICK": "IN", "VIEW": "OUT"}
 
 
 def geography(t: Tables) -> DataFrame:
-    """nation × region: 25 rows by definition of the schema, broadcast."""
-    return t.nation.join(fixed_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")) \
+    """nation × region."""
+    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")) \
         .select(F.col("n_nationkey"), F.col("n_name").alias("state"), F.col("r_name").alias("region"))
 
 
 def stores(t: Tables) -> DataFrame:
     """Account / store dimension."""
-    return t.customer.join(fixed_broadcast(geography(t)), F.col("c_nationkey") == F.col("n_nationkey")) \
+    return t.customer.join(geography(t), F.col("c_nationkey") == F.col("n_nationkey")) \
         .select(F.col("c_custkey").alias("store_id"), F.col("c_name").alias("store_name"),
                 "state", "region", F.lower("c_mktsegment").alias("channel"),
                 F.col("c_acctbal").alias("acct_balance"))
@@ -50,24 +50,24 @@ def products(t: Tables) -> DataFrame:
         (F.col("p_type") == F.lit("PROMO")).alias("promo_flag"))
 
 
-def sales_lines(t: Tables) -> DataFrame:
-    """One row per sale line with dimensions attached.
+def sales_lines(t: Tables, since=None) -> DataFrame:
+    """One row per sale line with dimensions attached; with ``since`` only sales from that date on.
 
     lineitem ⋈ orders is the only fact-to-fact join (sort-merge on the order
-    key); part and customer are broadcast only if their pruned size is small,
-    else joined by shuffle.  Column pruning reaches every scan.
+    key); Spark picks the strategy of the dimension joins from run-time sizes.
+    Column pruning and the date bound (on the stored column) reach the scans.
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                            "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    if since is not None:
+        o = o.filter(F.col("o_orderdate") >= F.lit(str(since)).cast(o.schema["o_orderdate"].dataType))
     base = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    base = base.join(sized_broadcast(products(t)), F.col("l_partkey") == F.col("sku"))
-    # Size-check the plain customer scan: Catalyst estimates a join as the product of its
-    # inputs, so checking customer ⋈ nation would wrongly rule the broadcast out.
+    base = base.join(products(t), F.col("l_partkey") == F.col("sku"))
     cust = t.customer.select(F.col("c_custkey").alias("store_id"), F.col("c_name").alias("store_name"),
                              "c_nationkey", F.lower("c_mktsegment").alias("channel"))
-    base = base.join(sized_broadcast(cust), F.col("o_custkey") == F.col("store_id"))
-    base = base.join(fixed_broadcast(geography(t)), F.col("c_nationkey") == F.col("n_nationkey"))
+    base = base.join(cust, F.col("o_custkey") == F.col("store_id"))
+    base = base.join(geography(t), F.col("c_nationkey") == F.col("n_nationkey"))
     sale_date = F.col("o_orderdate").cast("date")
     gross = F.col("l_extendedprice")
     disc = gross * F.col("l_discount")
@@ -86,6 +86,11 @@ def sales_lines(t: Tables) -> DataFrame:
     )
 
 
+def latest_sale_date(t: Tables):
+    """Date of the latest order with a line: resolved once from two key columns, passed on as a literal."""
+    return latest_date(t.orders.join(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi"), "o_orderdate")
+
+
 def ledger(t: Tables) -> DataFrame:
     """Order headers as the ledger side of sales-to-ledger reconciliations."""
     d = F.col("o_orderdate").cast("date")
@@ -175,10 +180,10 @@ def inventory(t: Tables) -> DataFrame:
     the typed in-stock flag is missing on even line numbers.
     """
     li = t.lineitem
-    sup = t.supplier.join(fixed_broadcast(geography(t)), F.col("s_nationkey") == F.col("n_nationkey")) \
+    sup = t.supplier.join(geography(t), F.col("s_nationkey") == F.col("n_nationkey")) \
         .select(F.col("s_suppkey"), F.col("state"))
-    base = li.join(sized_broadcast(sup, lookup_chain=True), F.col("l_suppkey") == F.col("s_suppkey")) \
-        .join(sized_broadcast(t.part.select("p_partkey", "p_type")), F.col("l_partkey") == F.col("p_partkey"))
+    base = li.join(sup, F.col("l_suppkey") == F.col("s_suppkey")) \
+        .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     d = F.col("l_shipdate").cast("date")
     on_hand = F.col("l_quantity") - F.lit(10.0)
     return base.select(

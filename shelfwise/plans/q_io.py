@@ -6,6 +6,7 @@ location named by ``spark.checkpoint.dir`` on a cluster).
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -71,8 +72,10 @@ WHERE sale_date > CAST((SELECT max(sale_date) FROM sales_lines) - INTERVAL 30 DA
 
 @query("s8_export_recent", S8_SQL)
 def q_s8(spark, d):
-    s = model.sales_lines(Tables(spark, d)).select("order_id", "line_number", "sale_date", "store_id", "sku", "net_sales")
-    return rounded(files.recent(s, "sale_date", 30))
+    t = Tables(spark, d)
+    end = model.latest_sale_date(t)
+    s = model.sales_lines(t, since=end and end - dt.timedelta(days=29)).select("order_id", "line_number", "sale_date", "store_id", "sku", "net_sales")
+    return rounded(files.recent(s, "sale_date", 30, as_of=end))
 
 
 S12_SQL = f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions.clean import ratio
@@ -190,11 +192,13 @@ FROM l WHERE severity IN ('critical', 'high', 'medium', 'monitor')
 
 @query("k24_low_margin_alerts", K24_SQL)
 def q_k24(spark, d):
-    s = model.sales_lines(Tables(spark, d))
+    t = Tables(spark, d)
+    end = model.latest_sale_date(t)
+    s = model.sales_lines(t, since=end and end - dt.timedelta(days=27))
     daily = s.groupBy("sale_date", F.col("store_id").alias("store_code"), "sku", "channel").agg(
         F.sum("gross_sales").alias("gross_sales"), F.sum("discount_amount").alias("discount_amount"),
         F.sum("net_sales").alias("net_sales"), F.sum("cogs").alias("cogs"))
-    return rounded(kpi.low_margin_alerts(daily))
+    return rounded(kpi.low_margin_alerts(daily, as_of=end))
 
 
 K27_SQL = f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import staging, variance
@@ -161,7 +163,9 @@ FROM l JOIN lab USING (k)
 
 @query("k23_revenue_root_cause", K23_SQL)
 def q_k23(spark, d):
-    s = model.sales_lines(Tables(spark, d))
+    t = Tables(spark, d)
+    end = model.latest_sale_date(t)
+    s = model.sales_lines(t, since=end and end - dt.timedelta(days=55))
     daily = s.groupBy("sale_date", F.col("store_id").alias("store_code"), "sku", "channel").agg(
         F.sum("units").alias("units_sold"), F.sum("net_sales").alias("net_sales"))
-    return rounded(variance.revenue_root_cause(daily))
+    return rounded(variance.revenue_root_cause(daily, as_of=end))

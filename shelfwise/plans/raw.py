@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..sources.testdata import Tables
 from . import model
-from ..operators.joins import sized_broadcast
 
 # Fixed channel wording per market segment (exercises the channel classifier).
 SEGMENT_CHANNEL_TEXT = {
@@ -185,8 +184,8 @@ def finance_actuals_extract(t: Tables) -> DataFrame:
 def store_master_extract(t: Tables) -> DataFrame:
     """H2 input: one master snapshot per order (as-of = order date) of the ordering customer."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    c = t.customer.join(fixed_broadcast_geo(t), F.col("c_nationkey") == F.col("n_nationkey"))
-    j = o.join(sized_broadcast(c, lookup_chain=True), F.col("o_custkey") == F.col("c_custkey"))
+    c = t.customer.join(model.geography(t).withColumnsRenamed({"state": "n_name", "region": "r_name"}), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
     k = F.col("o_orderkey")
     d = F.col("o_orderdate").cast("date")
     return j.select(
@@ -201,12 +200,6 @@ def store_master_extract(t: Tables) -> DataFrame:
         F.col("c_mktsegment").alias("account_type_norm"))
 
 
-def fixed_broadcast_geo(t: Tables) -> DataFrame:
-    from ..operators.joins import fixed_broadcast
-    return fixed_broadcast(t.nation.join(fixed_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
-                           .select("n_nationkey", "n_name", "r_name"))
-
-
 def distribution_status_extract(t: Tables) -> DataFrame:
     """H3 input: one status row per sale line (status text by units sold)."""
     s = model.sales_lines(t)

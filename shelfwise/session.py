@@ -1,4 +1,4 @@
-"""Session construction and cluster-safe helpers (checkpointing, size checks)."""
+"""Session construction and cluster-safe helpers (checkpointing, shipping the package)."""
 
 from __future__ import annotations
 
@@ -96,21 +96,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
     return df.checkpoint(eager=True)
-
-
-def estimated_bytes(df: DataFrame, lookup_chain: bool = False) -> int | None:
-    """Catalyst's size estimate for ``df`` (after pruning and filters), or None.
-
-    Without column statistics Catalyst estimates a join as the *product* of its
-    inputs.  ``lookup_chain=True`` declares that ``df`` is one table joined only
-    to many-to-one lookups, whose output cannot exceed the sum of its leaves;
-    the estimate is then that sum.
-    """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        if not lookup_chain:
-            return int(plan.stats().sizeInBytes().toString())
-        leaves = plan.collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
-    except Exception:
-        return None

@@ -141,13 +141,11 @@ def export_csv(frames: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     return paths
 
 
-def recent(df: DataFrame, date_col: str, days: int, as_of: Column | str | None = None) -> DataFrame:
-    """Rows of the last ``days`` days up to ``as_of`` (default: the frame's latest date)."""
-    if as_of is None:
-        mx = df.agg(F.max(F.col(date_col).cast("date")).alias("__asof")).withColumn("__k", F.lit(1))
-        x = df.withColumn("__k", F.lit(1)).join(F.broadcast(mx), "__k")
-        return x.filter(F.col(date_col) > F.date_sub("__asof", days)).drop("__k", "__asof")
-    a = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+def recent(df: DataFrame, date_col: str, days: int, as_of=None) -> DataFrame:
+    """Rows of the last ``days`` days up to ``as_of`` (default: the frame's latest date, resolved once, so that
+    the bound reaches the scan as a literal)."""
+    from ..operators.calendar import latest_date
+    a = F.lit(as_of or latest_date(df, date_col)).cast("date")
     return df.filter((F.col(date_col) > F.date_sub(a, days)) & (F.col(date_col) <= a))
 
 

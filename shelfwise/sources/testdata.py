@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -12,66 +10,6 @@ TABLES = (
     "conversations",
 )
 
-# Below this size a table is cheaper to process in one task than to shuffle.
-MIN_SPREAD_BYTES = 1 << 20
-
-
-_META: dict[str, tuple[int, int]] = {}
-
-
-def _input_meta(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(total bytes, file count) of a path, looked up once per path."""
-    if path not in _META:
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            cs = fs.getContentSummary(p)
-            _META[path] = (int(cs.getLength()), int(cs.getFileCount()))
-        except Exception:  # no JVM handle (e.g. Spark Connect): local paths only, else unknown
-            import os
-            local = path.replace("file:", "")
-            if os.path.isfile(local):
-                _META[path] = (os.path.getsize(local), 1)
-            else:
-                _META[path] = (0, 1 << 30)  # unknown: never spread
-    return _META[path]
-
-
-def _parse_bytes(v: str) -> int:
-    v = v.strip().lower()
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    for suf in ("kb", "mb", "gb", "b", "k", "m", "g"):
-        if v.endswith(suf):
-            num = v[: -len(suf)]
-            return int(float(num) * mult.get(suf[0], 1)) if suf != "b" else int(num)
-    return int(v)
-
-
-def spread_if_underpartitioned(df: DataFrame, size_bytes: int, files: int = 1) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A file with a single row group is one split however large it is, which
-    serialises every per-row expression before the first shuffle.  Large
-    inputs (many files / row groups) already have enough splits and are left
-    untouched, so on a cluster this is a no-op.
-    """
-    import os
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    if size_bytes < MIN_SPREAD_BYTES or os.environ.get("SHELFWISE_SPREAD", "1") == "0":
-        return df
-    max_split = _parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    splits = max(files, math.ceil(size_bytes / max_split))  # upper bound: a row group is never split
-    if splits >= cores:
-        return df
-    target = min(cores, max(2, math.ceil(size_bytes / MIN_SPREAD_BYTES)))
-    return df.repartition(target) if target > splits else df
-
-
 # (id(session), path) -> (session, scan).  Holding the session keeps its id from
 # being reused by a later session, so a scan is never served to the wrong one.
 _SCANS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
@@ -88,9 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark), path)
     hit = _SCANS.get(key)
     if hit is None or hit[0] is not spark:
-        df = spark.read.parquet(path)
-        size, files = _input_meta(spark, path)
-        hit = (spark, spread_if_underpartitioned(df, size, files))
+        hit = (spark, spark.read.parquet(path))
         _SCANS[key] = hit
     return hit[1]
 
