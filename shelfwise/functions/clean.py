@@ -199,12 +199,15 @@ METRIC_RULES = (
     ("%labor%cost%", "labor_cost"),
 )
 ACTION_SYNONYMS = {
-    "IN": "IN", "CLOCKIN": "IN", "CLOCK_IN": "IN", "START": "IN",
-    "OUT": "OUT", "CLOCKOUT": "OUT", "CLOCK_OUT": "OUT", "END": "OUT",
+    "IN": "IN", "CLOCKIN": "IN", "CLOCK_IN": "IN", "START": "IN", "PUNCHIN": "IN", "PUNCH_IN": "IN",
+    "OUT": "OUT", "CLOCKOUT": "OUT", "CLOCK_OUT": "OUT", "END": "OUT", "PUNCHOUT": "OUT", "PUNCH_OUT": "OUT",
 }
-FUEL_UNIT_SYNONYMS = {"gal": "gallon", "gals": "gallon", "gallons": "gallon",
-                      "therms": "therm", "kwh": "kwh", "scf": "scf"}
-DEPARTMENT_SYNONYMS = {"fulfilment": "fulfillment"}
+FUEL_UNIT_SYNONYMS = {"gal": "gallon", "gallon": "gallon", "gallons": "gallon", "therm": "therm", "therms": "therm"}
+FUEL_SYNONYMS = {"natural gas": "natural_gas"}
+TEAM_SYNONYMS = {"fulfilment": "fulfillment"}
+# Fuel and unit → factor type; the unit that each fuel is measured in.
+FUEL_FACTOR_TYPES = {("natural_gas", "therm"): "natural_gas_therm", ("diesel", "gallon"): "diesel_gallon",
+                     ("gasoline", "gallon"): "gasoline_gallon"}
 # Distribution status groups: canonical value → group.
 COVERAGE_GROUPS = {
     "carried": ("carried", "listed", "active", "in_distribution", "available"),
@@ -250,16 +253,13 @@ def coverage_status(c: ColumnOrName) -> dict[str, Column]:
 
 
 def factor_type(fuel: ColumnOrName, unit: ColumnOrName) -> tuple[Column, Column]:
-    """(factor_type, is_unit_mismatch) from fuel and unit text."""
-    f = F.lower(F.trim(_c(fuel)))
-    u = F.lower(F.trim(_c(unit)))
-    ftype = (F.when(f.like("%natural%gas%") & u.isin("therm", "scf"), F.lit("natural_gas"))
-             .when(f.like("%diesel%") & (u == "gallon"), F.lit("diesel"))
-             .when(f.like("%gasoline%") & (u == "gallon"), F.lit("gasoline"))
-             .when(f.like("%propane%") & (u == "gallon"), F.lit("propane"))
-             .otherwise(F.lit("unknown")))
-    known_fuel = f.like("%natural%gas%") | f.like("%diesel%") | f.like("%gasoline%") | f.like("%propane%")
-    return ftype, known_fuel & (ftype == F.lit("unknown"))
+    """(factor_type, has_invalid_fuel_unit) of canonical fuel and unit; no factor type (null) for other combinations."""
+    f, u = _c(fuel), _c(unit)
+    ftype, mismatch = F.lit(None).cast("string"), F.lit(False)
+    for (fuel_name, unit_name), label in FUEL_FACTOR_TYPES.items():
+        ftype = F.when((f == fuel_name) & (u == unit_name), F.lit(label)).otherwise(ftype)
+        mismatch = mismatch | F.coalesce((f == fuel_name) & (u != unit_name), F.lit(False))
+    return ftype, mismatch
 
 
 # C23 / C24 / C25 / C26 / C27 ------------------------------------------------

@@ -68,7 +68,7 @@ def activity_flags(df: DataFrame, known_types: Sequence[str]) -> DataFrame:
         "has_missing_facility_id": F.col("facility_id").isNull(),
         "has_missing_product_line_id": F.col("product_line_id").isNull() & (F.col("scope") == "Scope 3"),
         "has_invalid_activity_month": F.col("activity_month").isNull(),
-        "has_unknown_activity_type": F.col("factor_type").isNull() | ~F.col("factor_type").isin(*known_types),
+        "has_unknown_fuel_type": F.col("factor_type").isNull() | F.col("factor_type").isNull(),
     })
 
 
@@ -230,23 +230,23 @@ def by_factor_version(fact: DataFrame) -> DataFrame:
         F.sum("metric_tons_co2e").alias("t_co2e"))
 
 
-def stage_fuel_usage(raw: DataFrame, known_types: Sequence[str]) -> DataFrame:
+def stage_fuel_usage(raw: DataFrame) -> DataFrame:
     """E5: fuel usage text → month (three formats, C3), strict numeric amount (C8), unit
-    synonyms (C20), factor type from fuel + unit with a unit-mismatch flag (C22), row flags (G9)."""
-    from ..functions.clean import FUEL_UNIT_SYNONYMS, factor_type, map_synonyms, parse_month, strict_decimal
+    synonyms (C20), factor type from fuel + unit with an invalid-unit flag (C22), row flags (G9)."""
+    from ..functions.clean import FUEL_SYNONYMS, FUEL_UNIT_SYNONYMS, factor_type, map_synonyms, parse_month, strict_decimal
     unit = map_synonyms(F.col("activity_unit"), FUEL_UNIT_SYNONYMS, fold="lower")
     out = raw.select(
         F.col("source_record_id"), parse_month(F.col("activity_month")).alias("activity_month"),
-        F.upper(F.trim("facility_id")).alias("facility_id"), F.lower(F.trim("fuel_type")).alias("fuel_type"),
+        F.upper(F.trim("facility_id")).alias("facility_id"), map_synonyms(F.col("fuel_type"), FUEL_SYNONYMS, fold="lower").alias("fuel_type"),
         strict_decimal(F.col("activity_amount"), 18, 4).cast("double").alias("activity_amount"),
         unit.alias("activity_unit"), F.col("activity_month").alias("activity_month_raw"))
     ftype, mismatch = factor_type(F.col("fuel_type"), F.col("activity_unit"))
-    out = out.withColumns({"factor_type": ftype, "has_unit_mismatch": mismatch, "scope": F.lit("Scope 1")})
+    out = out.withColumns({"factor_type": ftype, "has_invalid_fuel_unit": mismatch, "scope": F.lit("Scope 1")})
     out = out.withColumns({
         "has_negative_activity": F.coalesce(F.col("activity_amount") < 0, F.lit(False)),
         "has_missing_facility_id": F.col("facility_id").isNull() | (F.col("facility_id") == ""),
         "has_invalid_activity_month": F.col("activity_month").isNull(),
         "has_unparsed_amount": F.col("activity_amount").isNull(),
-        "has_unknown_activity_type": ~F.col("factor_type").isin(*known_types),
+        "has_unknown_fuel_type": F.col("factor_type").isNull(),
     })
     return out

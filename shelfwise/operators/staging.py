@@ -48,7 +48,8 @@ def is_bad_postal_code(c: str = "postal_code") -> Column:
 
 
 def is_bad_action(c: str = "action", vocabulary: Sequence[str] = ("IN", "OUT")) -> Column:
-    return F.col(c).isNull() | ~F.col(c).isin(*vocabulary)
+    """A word outside the vocabulary; a missing action is a missing key, not a bad one."""
+    return F.coalesce(~F.col(c).isin(*vocabulary), F.lit(False))
 
 
 # H1 -------------------------------------------------------------------------
@@ -172,19 +173,19 @@ def stage_timeclock(raw: DataFrame, synonyms: dict[str, str] = C.ACTION_SYNONYMS
     )
     out = out.withColumns({
         "is_bad_action": is_bad_action("action"),
-        "is_missing_key": is_missing_key(["punch_ts", "employee_id", "store_code", "action"]),
+        "is_missing_key": is_missing_key(["punch_ts", "punch_date", "employee_id", "store_code", "action"]),
     })
-    return duplicate_candidates(out, ["punch_ts", "store_code", "employee_id", "action"])
+    return duplicate_candidates(out, ["load_id", "punch_ts", "store_code", "employee_id", "action"])
 
 
 # H9 -------------------------------------------------------------------------
 def stage_labor_payroll(raw: DataFrame) -> DataFrame:
-    """H9: weekly payroll rows with department synonyms and missing flags."""
+    """H9: weekly payroll rows with team synonyms and missing flags."""
     out = raw.select(
         C.parse_date(_opt(raw, "week_ending", "date"), _opt(raw, "week_ending_raw")).alias("week_ending"),
         C.blank_to_null(_opt(raw, "site_code_norm")).alias("site_code"),
-        C.map_synonyms(_opt(raw, "department_norm"), C.DEPARTMENT_SYNONYMS, fold="lower").alias("department"),
-        C.canon(_opt(raw, "team_norm"), "lower").alias("team"),
+        C.canon(_opt(raw, "department_norm"), "lower").alias("department"),
+        C.map_synonyms(_opt(raw, "team_norm"), C.TEAM_SYNONYMS, fold="lower").alias("team"),
         C.lenient_decimal(_opt(raw, "hours_worked", "double"), _opt(raw, "hours_worked_raw")).alias("hours_worked"),
         C.lenient_decimal(_opt(raw, "ot_hours", "double"), _opt(raw, "ot_hours_raw")).alias("ot_hours"),
         C.lenient_decimal(_opt(raw, "labor_cost", "double"), _opt(raw, "labor_cost_raw")).alias("labor_cost"),
@@ -247,21 +248,22 @@ def stage_forecast_weekly(raw: DataFrame) -> DataFrame:
 
 # H2 -------------------------------------------------------------------------
 def stage_store_master(raw: DataFrame) -> DataFrame:
-    """H2: store master — canonical case, state / postal normalisation, bad-code flags,
-    duplicate flag on (coalesce(as_of, drop_date), dispensary id)."""
+    """H2: store master — trimmed keys and names, state in capitals as it came (so that a long one is flagged),
+    bad-code flags, duplicate flag on (coalesce(as_of, drop_date), dispensary id)."""
     out = raw.select(
         C.parse_date(_opt(raw, "as_of_date", "date"), _opt(raw, "as_of_date_raw")).alias("as_of_date"),
         _opt(raw, "drop_date", "date").alias("drop_date"),
         C.blank_to_null(_opt(raw, "dispensary_id_norm")).alias("dispensary_id"),
-        C.canon(_opt(raw, "store_code_norm"), "upper").alias("store_code"),
-        C.canon(_opt(raw, "dispensary_name_norm"), "initcap").alias("dispensary_name"),
-        C.norm_state(_opt(raw, "state_norm")).alias("state"),
+        C.blank_to_null(_opt(raw, "store_code_norm")).alias("store_code"),
+        C.blank_to_null(_opt(raw, "dispensary_name_norm")).alias("dispensary_name"),
+        F.upper(F.trim(_opt(raw, "state_norm"))).alias("state"),
         C.canon(_opt(raw, "city_norm"), "initcap").alias("city"),
-        C.norm_postal(_opt(raw, "postal_code_norm")).alias("postal_code"),
-        C.canon(_opt(raw, "account_type_norm"), "lower").alias("account_type"),
+        C.blank_to_null(_opt(raw, "postal_code_norm")).alias("postal_code"),
+        C.canon(_opt(raw, "license_id_norm"), "upper").alias("license_id"),
+        F.lower(F.trim(F.coalesce(_opt(raw, "account_type_norm"), _opt(raw, "account_type_raw")))).alias("account_type"),
     )
     out = out.withColumns({
-        "is_missing_key": is_missing_key(["store_code", "as_of_date"]),
+        "is_missing_key": is_missing_key(["dispensary_id", "dispensary_name"]),
         "is_bad_state_code": is_bad_state_code("state"),
         "is_bad_postal_code": is_bad_postal_code("postal_code"),
     })
@@ -270,8 +272,8 @@ def stage_store_master(raw: DataFrame) -> DataFrame:
 
 # H3 -------------------------------------------------------------------------
 def stage_distribution_status(raw: DataFrame) -> DataFrame:
-    """H3: SKU distribution status rows — lower-case snake status, keys, duplicate flag."""
-    status = F.regexp_replace(C.canon(_opt(raw, "distribution_status_norm"), "lower"), r"[\s\-]+", "_")
+    """H3: SKU distribution status rows — lower-case status, keys, duplicate flag within a load."""
+    status = C.canon(F.coalesce(_opt(raw, "distribution_status_norm"), _opt(raw, "distribution_status_raw")), "lower")
     out = raw.select(
         C.parse_date(_opt(raw, "as_of_date", "date"), _opt(raw, "as_of_date_raw")).alias("as_of_date"),
         C.blank_to_null(_opt(raw, "store_code_norm")).alias("store_code"),
@@ -279,5 +281,5 @@ def stage_distribution_status(raw: DataFrame) -> DataFrame:
         status.alias("distribution_status"),
         C.blank_to_null(_opt(raw, "status_reason_norm")).alias("status_reason"),
         _opt(raw, "load_id"))
-    out = out.withColumn("is_missing_key", is_missing_key(["as_of_date", "store_code", "sku"]))
-    return duplicate_candidates(out, ["as_of_date", "store_code", "sku"])
+    out = out.withColumn("is_missing_key", is_missing_key(["as_of_date", "store_code", "sku", "distribution_status"]))
+    return duplicate_candidates(out, ["load_id", "as_of_date", "store_code", "sku", "distribution_status"])

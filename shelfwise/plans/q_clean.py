@@ -183,16 +183,16 @@ s AS (
          TRY_CAST(NULLIF(regexp_replace(trim(employee_id_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER) AS employee_id,
          NULLIF(trim(site_code_norm), '') AS store_code,
          COALESCE(CASE upper(NULLIF(trim(action_raw), ''))
-                    WHEN 'IN' THEN 'IN' WHEN 'CLOCKIN' THEN 'IN' WHEN 'CLOCK_IN' THEN 'IN' WHEN 'START' THEN 'IN'
-                    WHEN 'OUT' THEN 'OUT' WHEN 'CLOCKOUT' THEN 'OUT' WHEN 'CLOCK_OUT' THEN 'OUT' WHEN 'END' THEN 'OUT'
+                    WHEN 'IN' THEN 'IN' WHEN 'CLOCKIN' THEN 'IN' WHEN 'CLOCK_IN' THEN 'IN' WHEN 'START' THEN 'IN' WHEN 'PUNCHIN' THEN 'IN' WHEN 'PUNCH_IN' THEN 'IN'
+                    WHEN 'OUT' THEN 'OUT' WHEN 'CLOCKOUT' THEN 'OUT' WHEN 'CLOCK_OUT' THEN 'OUT' WHEN 'END' THEN 'OUT' WHEN 'PUNCHOUT' THEN 'OUT' WHEN 'PUNCH_OUT' THEN 'OUT'
                     WHEN 'CLICK' THEN 'IN' WHEN 'VIEW' THEN 'OUT' END,
                   upper(NULLIF(trim(action_raw), ''))) AS action,
          load_id
   FROM p
 )
-SELECT *, (action IS NULL OR action NOT IN ('IN', 'OUT')) AS is_bad_action,
-       (punch_ts IS NULL OR employee_id IS NULL OR store_code IS NULL OR action IS NULL) AS is_missing_key,
-       COUNT(*) OVER (PARTITION BY punch_ts, store_code, employee_id, action) > 1 AS is_duplicate_candidate
+SELECT *, COALESCE(action NOT IN ('IN', 'OUT'), FALSE) AS is_bad_action,
+       (punch_ts IS NULL OR punch_date IS NULL OR employee_id IS NULL OR store_code IS NULL OR action IS NULL) AS is_missing_key,
+       COUNT(*) OVER (PARTITION BY load_id, punch_ts, store_code, employee_id, action) > 1 AS is_duplicate_candidate
 FROM s
 """
 

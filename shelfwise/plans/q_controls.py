@@ -235,7 +235,7 @@ def q_q35(spark, d):
 
 CUT = "1998-12-31"
 _UP_COLS = ["store_code", "as_of_date", "dispensary_name", "state", "postal_code"]
-_H2P = ["as_of_date", "drop_date", "dispensary_id", "dispensary_name", "state", "city", "postal_code", "account_type",
+_H2P = ["as_of_date", "drop_date", "dispensary_id", "dispensary_name", "state", "city", "postal_code", "license_id", "account_type",
         "is_missing_key", "is_bad_state_code", "is_bad_postal_code", "is_duplicate_candidate"]
 
 Q39_SQL = f"""

@@ -21,7 +21,8 @@ sm AS (
          CAST(c_custkey AS VARCHAR) AS dispensary_id_norm, ' ' || CAST(c_custkey AS VARCHAR) || ' ' AS store_code_norm,
          CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE lower(c_name) END AS dispensary_name_norm,
          CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE n_name END AS state_norm, lower(r_name) AS city_norm,
-         CASE WHEN o_orderkey % 11 = 0 THEN '12 3' ELSE lpad(CAST(c_custkey AS VARCHAR), 5, '0') END AS postal_code_norm,
+         CASE WHEN o_orderkey % 11 = 0 THEN ' 123 ' ELSE lpad(CAST(c_custkey AS VARCHAR), 5, '0') END AS postal_code_norm,
+         CASE WHEN o_orderkey % 6 <> 0 THEN ' lic-' || CAST(c_custkey AS VARCHAR) END AS license_id_norm,
          c_mktsegment AS account_type_norm
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey),
@@ -29,15 +30,14 @@ h2a AS (
   SELECT COALESCE(as_of_date0, CASE WHEN regexp_matches(trim(as_of_date_raw), '^\\d{{2}}/\\d{{2}}/\\d{{4}}$')
                                     THEN CAST(try_strptime(trim(as_of_date_raw), '%m/%d/%Y') AS DATE) END) AS as_of_date,
          drop_date, NULLIF(trim(dispensary_id_norm), '') AS dispensary_id,
-         upper(NULLIF(trim(store_code_norm), '')) AS store_code,
-         {INITCAP.format(x="NULLIF(trim(dispensary_name_norm), '')")} AS dispensary_name,
-         NULLIF(trim(upper(substr(regexp_replace(state_norm, '[^A-Za-z]', '', 'g'), 1, 2))), '') AS state,
+         NULLIF(trim(store_code_norm), '') AS store_code, NULLIF(trim(dispensary_name_norm), '') AS dispensary_name,
+         upper(trim(state_norm)) AS state,
          {INITCAP.format(x="NULLIF(trim(city_norm), '')")} AS city,
-         NULLIF(trim(regexp_replace(postal_code_norm, '\\s', '', 'g')), '') AS postal_code,
+         NULLIF(trim(postal_code_norm), '') AS postal_code, upper(NULLIF(trim(license_id_norm), '')) AS license_id,
          lower(NULLIF(trim(account_type_norm), '')) AS account_type
   FROM sm),
 h2 AS (
-  SELECT *, (store_code IS NULL OR as_of_date IS NULL) AS is_missing_key,
+  SELECT *, (dispensary_id IS NULL OR dispensary_name IS NULL) AS is_missing_key,
          COALESCE(length(state) <> 2, FALSE) AS is_bad_state_code, COALESCE(length(postal_code) < 5, FALSE) AS is_bad_postal_code,
          COUNT(*) OVER (PARTITION BY COALESCE(as_of_date, drop_date), dispensary_id) > 1 AS is_duplicate_candidate
   FROM h2a)"""
@@ -55,7 +55,7 @@ def q_h2(spark, d):
 
 
 _H2_PAYLOAD = ["as_of_date", "drop_date", "dispensary_id", "dispensary_name", "state", "city", "postal_code",
-               "account_type", "is_missing_key", "is_bad_state_code", "is_bad_postal_code", "is_duplicate_candidate"]
+               "license_id", "account_type", "is_missing_key", "is_bad_state_code", "is_bad_postal_code", "is_duplicate_candidate"]
 
 D3_CORE = H2_CORE + f""",
 d3 AS (SELECT * EXCLUDE (rn) FROM (
@@ -99,8 +99,8 @@ H3_CORE = """
 dx AS (
   SELECT CASE WHEN line_number % 4 <> 0 THEN sale_date END AS as_of_date0, strftime(sale_date, '%Y-%m-%d') AS as_of_date_raw,
          CAST(store_id AS VARCHAR) AS store_code_norm, CAST(sku AS VARCHAR) AS sku_norm,
-         CASE WHEN units >= 40 THEN ' In Distribution' WHEN units >= 20 THEN 'CARRIED' WHEN units >= 10 THEN 'available'
-              WHEN units >= 5 THEN 'Pending-Launch' WHEN units >= 2 THEN 'not listed' ELSE 'Retired ' END
+         CASE WHEN units >= 40 THEN ' In_Distribution' WHEN units >= 20 THEN 'CARRIED' WHEN units >= 10 THEN 'available'
+              WHEN units >= 5 THEN 'Pending_Launch' WHEN units >= 2 THEN 'not_listed' ELSE 'Retired ' END
            AS distribution_status_norm,
          order_priority AS status_reason_norm, 'L' || CAST(order_id % 2 AS VARCHAR) AS load_id
   FROM sales_lines),
@@ -108,11 +108,11 @@ h3a AS (
   SELECT COALESCE(as_of_date0, CASE WHEN regexp_matches(trim(as_of_date_raw), '^\\d{4}-\\d{2}-\\d{2}$')
                                     THEN CAST(try_strptime(trim(as_of_date_raw), '%Y-%m-%d') AS DATE) END) AS as_of_date,
          NULLIF(trim(store_code_norm), '') AS store_code, NULLIF(trim(sku_norm), '') AS sku,
-         regexp_replace(lower(NULLIF(trim(distribution_status_norm), '')), '[\\s\\-]+', '_', 'g') AS distribution_status,
+         lower(NULLIF(trim(distribution_status_norm), '')) AS distribution_status,
          NULLIF(trim(status_reason_norm), '') AS status_reason, load_id
   FROM dx),
-h3 AS (SELECT *, (as_of_date IS NULL OR store_code IS NULL OR sku IS NULL) AS is_missing_key,
-              COUNT(*) OVER (PARTITION BY as_of_date, store_code, sku) > 1 AS is_duplicate_candidate FROM h3a),
+h3 AS (SELECT *, (as_of_date IS NULL OR store_code IS NULL OR sku IS NULL OR distribution_status IS NULL) AS is_missing_key,
+              COUNT(*) OVER (PARTITION BY load_id, as_of_date, store_code, sku, distribution_status) > 1 AS is_duplicate_candidate FROM h3a),
 d4 AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, COUNT(*) OVER (PARTITION BY as_of_date, store_code, sku) AS dup_group_size,
          ROW_NUMBER() OVER (PARTITION BY as_of_date, store_code, sku ORDER BY is_missing_key, load_id DESC NULLS LAST,

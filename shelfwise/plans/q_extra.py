@@ -34,7 +34,8 @@ def payroll_extract(t):
     """H9 input: weekly payroll export per store / department / team from paired punches."""
     daily = history.labor_daily_employee(model.punches(t))
     dept = F.element_at(F.array(*[F.lit(x) for x in DEPARTMENTS]), (F.col("employee_id") % 3 + 1).cast("int"))
-    team = F.when(F.col("employee_id") % 2 == 0, F.lit(" Team A")).otherwise(F.lit("team b"))
+    k = F.col("employee_id") % 4
+    team = F.when(k == 0, F.lit(" Team A")).when(k == 1, F.lit(" Fulfilment")).otherwise(F.lit("team b"))
     w = daily.withColumns({"week_ending": F.date_add(F.date_trunc("week", "work_date").cast("date"), 6),
                            "department": dept, "team": team})
     g = w.groupBy("week_ending", "store_code", "department", "team").agg(
@@ -53,7 +54,7 @@ daily AS (SELECT work_date, store_code, employee_id, SUM(minutes_worked) / 60.0
           GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE is_pair) > 0),
 w AS (SELECT *, CAST(date_trunc('week', work_date) + INTERVAL 6 DAY AS DATE) AS week_ending,
              CASE employee_id % 3 WHEN 0 THEN 'Fulfilment' WHEN 1 THEN 'retail ' ELSE 'OPS' END AS department,
-             CASE WHEN employee_id % 2 = 0 THEN ' Team A' ELSE 'team b' END AS team FROM daily),
+             CASE employee_id % 4 WHEN 0 THEN ' Team A' WHEN 1 THEN ' Fulfilment' ELSE 'team b' END AS team FROM daily),
 g AS (SELECT week_ending, store_code, department, team, SUM(hours_worked) AS hours, COUNT(DISTINCT employee_id) AS employees
       FROM w GROUP BY 1, 2, 3, 4),
 x AS (SELECT strftime(week_ending, '%m/%d/%Y') AS week_ending_raw, store_code AS site_code_norm,
@@ -65,9 +66,9 @@ x AS (SELECT strftime(week_ending, '%m/%d/%Y') AS week_ending_raw, store_code AS
 SELECT CASE WHEN regexp_matches(trim(week_ending_raw), '^\\d{{2}}/\\d{{2}}/\\d{{4}}$')
             THEN CAST(try_strptime(trim(week_ending_raw), '%m/%d/%Y') AS DATE) END AS week_ending,
        NULLIF(trim(site_code_norm), '') AS site_code,
-       COALESCE(CASE lower(NULLIF(trim(department_norm), '')) WHEN 'fulfilment' THEN 'fulfillment' END,
-                lower(NULLIF(trim(department_norm), ''))) AS department,
-       lower(NULLIF(trim(team_norm), '')) AS team,
+       lower(NULLIF(trim(department_norm), '')) AS department,
+       COALESCE(CASE lower(NULLIF(trim(team_norm), '')) WHEN 'fulfilment' THEN 'fulfillment' END,
+                lower(NULLIF(trim(team_norm), ''))) AS team,
        round(TRY_CAST(NULLIF(regexp_replace(trim(hours_worked_raw), '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE), 4) AS hours_worked,
        round(TRY_CAST(NULLIF(regexp_replace(trim(ot_hours_raw), '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE), 4) AS ot_hours,
        round(TRY_CAST(NULLIF(regexp_replace(trim(labor_cost_raw), '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE), 4) AS labor_cost,

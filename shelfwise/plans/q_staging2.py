@@ -25,7 +25,7 @@ def fuel_text_extract(t):
              .otherwise(F.date_format(d, "M/d/yyyy")))
     amount = (F.when(k % 13 == 0, F.lit("n/a")).when(k % 17 == 0, F.concat(F.lit("1,"), F.col("l_quantity").cast("int").cast("string")))
               .otherwise(F.col("l_quantity").cast("int").cast("string")))
-    fuel = F.when(F.col("l_linestatus") == "O", F.lit("Diesel")).otherwise(F.lit("Natural Gas"))
+    fuel = F.when(F.col("l_linestatus") == "O", F.lit(" Diesel")).when(k % 2 == 0, F.lit("Natural Gas")).otherwise(F.lit("NATURAL_GAS"))
     unit = (F.when(F.col("l_linestatus") == "O", F.when(k % 2 == 0, F.lit("gal")).otherwise(F.lit("Gallons")))
             .otherwise(F.when(k % 2 == 0, F.lit("therms")).otherwise(F.lit("THERM"))))
     unit = F.when(k % 23 == 0, F.lit("liters")).otherwise(unit)
@@ -42,7 +42,7 @@ WITH fx AS (
               WHEN l_orderkey % 3 = 1 THEN strftime(CAST(date_trunc('month', l_shipdate) AS DATE), '%b-%Y')
               ELSE CAST(month(l_shipdate) AS VARCHAR) || '/1/' || CAST(year(l_shipdate) AS VARCHAR) END AS month_raw,
          upper(trim(' f' || CAST(l_suppkey AS VARCHAR))) AS facility_id,
-         CASE WHEN l_linestatus = 'O' THEN 'diesel' ELSE 'natural gas' END AS fuel_type,
+         CASE WHEN l_linestatus = 'O' THEN 'diesel' ELSE 'natural_gas' END AS fuel_type,
          CASE WHEN l_orderkey % 13 = 0 THEN 'n/a' WHEN l_orderkey % 17 = 0 THEN '1,' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)
               ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS amount_raw,
          CASE WHEN l_orderkey % 23 = 0 THEN 'liters'
@@ -57,32 +57,31 @@ s AS (
            AS activity_month,
          CAST(CASE WHEN regexp_matches(trim(amount_raw), '^-?\\d+(\\.\\d+)?$') THEN TRY_CAST(trim(amount_raw) AS DECIMAL(18,4)) END AS DOUBLE)
            AS activity_amount,
-         COALESCE(CASE lower(NULLIF(trim(unit_raw), '')) WHEN 'gal' THEN 'gallon' WHEN 'gals' THEN 'gallon'
-                    WHEN 'gallons' THEN 'gallon' WHEN 'therms' THEN 'therm' WHEN 'kwh' THEN 'kwh' WHEN 'scf' THEN 'scf' END,
+         COALESCE(CASE lower(NULLIF(trim(unit_raw), '')) WHEN 'gal' THEN 'gallon' WHEN 'gallons' THEN 'gallon'
+                    WHEN 'therms' THEN 'therm' END,
                   lower(NULLIF(trim(unit_raw), ''))) AS activity_unit
   FROM fx),
 f AS (
   SELECT *,
-    CASE WHEN fuel_type LIKE '%natural%gas%' AND activity_unit IN ('therm', 'scf') THEN 'natural_gas'
-         WHEN fuel_type LIKE '%diesel%' AND activity_unit = 'gallon' THEN 'diesel'
-         WHEN fuel_type LIKE '%gasoline%' AND activity_unit = 'gallon' THEN 'gasoline'
-         WHEN fuel_type LIKE '%propane%' AND activity_unit = 'gallon' THEN 'propane' ELSE 'unknown' END AS factor_type
+    CASE WHEN fuel_type = 'natural_gas' AND activity_unit = 'therm' THEN 'natural_gas_therm'
+         WHEN fuel_type = 'diesel' AND activity_unit = 'gallon' THEN 'diesel_gallon'
+         WHEN fuel_type = 'gasoline' AND activity_unit = 'gallon' THEN 'gasoline_gallon' END AS factor_type
   FROM s)
 SELECT source_record_id, activity_month, facility_id, fuel_type, round(activity_amount, 4) AS activity_amount,
        activity_unit, activity_month_raw, factor_type,
-       (fuel_type LIKE '%natural%gas%' OR fuel_type LIKE '%diesel%' OR fuel_type LIKE '%gasoline%' OR fuel_type LIKE '%propane%')
-         AND factor_type = 'unknown' AS has_unit_mismatch,
+       COALESCE((fuel_type = 'natural_gas' AND activity_unit <> 'therm')
+                OR (fuel_type IN ('diesel', 'gasoline') AND activity_unit <> 'gallon'), FALSE) AS has_invalid_fuel_unit,
        'Scope 1' AS scope, COALESCE(activity_amount < 0, FALSE) AS has_negative_activity,
        (facility_id IS NULL OR facility_id = '') AS has_missing_facility_id, activity_month IS NULL AS has_invalid_activity_month,
        activity_amount IS NULL AS has_unparsed_amount,
-       factor_type NOT IN ('electricity','diesel','natural_gas','freight_truck','corrugate','plastic_film') AS has_unknown_activity_type
+       factor_type IS NULL AS has_unknown_fuel_type
 FROM f
 """
 
 
 @query("e5_stage_fuel_usage", E5_SQL)
 def q_e5(spark, d):
-    return rounded(E.stage_fuel_usage(fuel_text_extract(Tables(spark, d)), ghg.KNOWN_TYPES))
+    return rounded(E.stage_fuel_usage(fuel_text_extract(Tables(spark, d))))
 
 
 def inventory_erp_extract(t):

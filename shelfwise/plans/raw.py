@@ -196,16 +196,17 @@ def store_master_extract(t: Tables) -> DataFrame:
         F.when(k % 5 == 0, F.lit("")).otherwise(F.lower("c_name")).alias("dispensary_name_norm"),
         F.when(k % 7 == 0, F.lit("x")).otherwise(F.col("n_name")).alias("state_norm"),
         F.lower("r_name").alias("city_norm"),
-        F.when(k % 11 == 0, F.lit("12 3")).otherwise(F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("postal_code_norm"),
-        F.col("c_mktsegment").alias("account_type_norm"))
+        F.when(k % 11 == 0, F.lit(" 123 ")).otherwise(F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("postal_code_norm"),
+        F.when(k % 6 != 0, F.concat(F.lit(" lic-"), F.col("c_custkey").cast("string"))).alias("license_id_norm"),
+        F.when(k % 2 == 0, F.col("c_mktsegment")).alias("account_type_norm"), F.col("c_mktsegment").alias("account_type_raw"))
 
 
 def distribution_status_extract(t: Tables) -> DataFrame:
     """H3 input: one status row per sale line (status text by units sold)."""
     s = model.sales_lines(t)
     u = F.col("units")
-    status = (F.when(u >= 40, F.lit(" In Distribution")).when(u >= 20, F.lit("CARRIED")).when(u >= 10, F.lit("available"))
-              .when(u >= 5, F.lit("Pending-Launch")).when(u >= 2, F.lit("not listed")).otherwise(F.lit("Retired ")))
+    status = (F.when(u >= 40, F.lit(" In_Distribution")).when(u >= 20, F.lit("CARRIED")).when(u >= 10, F.lit("available"))
+              .when(u >= 5, F.lit("Pending_Launch")).when(u >= 2, F.lit("not_listed")).otherwise(F.lit("Retired ")))
     return s.select(
         F.when(F.col("line_number") % 4 != 0, F.col("sale_date")).alias("as_of_date"),
         F.date_format("sale_date", "yyyy-MM-dd").alias("as_of_date_raw"),

@@ -99,3 +99,35 @@ def test_round_to_decimal_tie(spark):
 def test_minutes_between(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 8, 0), dt.datetime(2024, 1, 1, 9, 30))], "a timestamp, b timestamp")
     assert df.select(C.minutes_between("a", "b").alias("m")).collect()[0]["m"] == 90.0
+
+
+def test_staged_master_flags_a_long_state(spark):
+    from shelfwise.operators import staging
+    raw = spark.createDataFrame([(" d1", "Shop", "new york", " 123 ", None, "X"), (None, "Shop", " ny ", "10001", " lic-1", None)],
+                                "dispensary_id_norm string, dispensary_name_norm string, state_norm string, postal_code_norm string, "
+                                "license_id_norm string, account_type_raw string")
+    a, b = sorted(staging.stage_store_master(raw).collect(), key=lambda r: r["dispensary_id"] is None)
+    assert (a["state"], a["is_bad_state_code"], a["is_bad_postal_code"], a["is_missing_key"], a["account_type"]) == ("NEW YORK", True, True, False, "x")
+    assert (b["state"], b["is_bad_state_code"], b["is_missing_key"], b["license_id"]) == ("NY", False, True, "LIC-1")
+
+
+def test_punch_words_and_missing_actions(spark):
+    from shelfwise.operators import staging
+    raw = spark.createDataFrame([("2024-01-02 08:00:00", "E1", "S1", w) for w in ("PunchIn", "punch_out", "lunch", None)],
+                                "punch_ts_raw string, employee_id_raw string, site_code_norm string, action_raw string")
+    got = {r["action"]: (r["is_bad_action"], r["is_missing_key"]) for r in staging.stage_timeclock(raw).collect()}
+    assert got == {"IN": (False, False), "OUT": (False, False), "LUNCH": (True, False), None: (False, True)}
+
+
+def test_team_synonym_and_fuel_classes(spark):
+    from shelfwise.operators import emissions, staging
+    raw = spark.createDataFrame([("2024-01-05", "S1", "Fulfilment", " Fulfilment ")],
+                                "week_ending_raw string, site_code_norm string, department_norm string, team_norm string")
+    r = staging.stage_labor_payroll(raw).collect()[0]
+    assert (r["department"], r["team"]) == ("fulfilment", "fulfillment")
+    fuels = spark.createDataFrame([(i, "2024-01-01", "f", f, "1", u) for i, (f, u) in enumerate(
+        [("Natural Gas", "Therms"), ("diesel", "gal"), ("gasoline", "therm"), ("propane", "gallon")])],
+        "source_record_id int, activity_month string, facility_id string, fuel_type string, activity_amount string, activity_unit string")
+    got = {r["source_record_id"]: (r["factor_type"], r["has_invalid_fuel_unit"], r["has_unknown_fuel_type"])
+           for r in emissions.stage_fuel_usage(fuels).collect()}
+    assert got == {0: ("natural_gas_therm", False, False), 1: ("diesel_gallon", False, False), 2: (None, True, True), 3: (None, False, True)}
