@@ -1,4 +1,4 @@
-"""Aggregation helpers not covered by plain ``groupBy().agg()``.
+"""Aggregation helpers not covered by plain ``groupBy().agg()``.
 
 Most of §2.6 is native: sums / counts / filtered aggregates are ``F.sum`` /
 ``F.count_if`` / ``F.sum(F.when(...))`` in one ``agg`` (map-side combined).
@@ -12,22 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def distinct_tuples(df: DataFrame, cols: Sequence[str]) -> Column:
-    """A3: ``count(distinct (a, b))`` counting tuples that contain nulls (struct, not multi-arg)."""
-    return F.count_distinct(F.struct(*cols))
+def distinct_string_agg(df: DataFrame, group: Sequence[str], value: str, sep: str = ", ", out: str = "value_list") -> DataFrame:
+    """The distinct values of a column per group, in order, as one string.
 
-
-def ordered_string_agg(df: DataFrame, group: Sequence[str], value: str, order_expr: Column,
-                       sep: str = ", ", out: str = "value_list") -> DataFrame:
-    """``string_agg(value, sep ORDER BY order_expr)`` per group.
-
-    The result string of a group grows with the group, so this is meant for
-    groups that are small by construction (e.g. duplicate groups already
-    filtered by HAVING); large-group reports should emit one row per member.
+    For columns with a small fixed set of values (channels, statuses): the string is bounded by that set, whatever the
+    group's size, and ``collect_set`` combines on the map side.
     """
-    s = F.struct(order_expr.alias("o"), F.col(value).cast("string").alias("v"))
-    return df.groupBy(*group).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["v"]), sep).alias(out))
+    return df.groupBy(*group).agg(F.array_join(F.array_sort(F.collect_set(F.col(value).cast("string"))), sep).alias(out))
 
 
 def median(c: str) -> Column:
@@ -35,18 +26,6 @@ def median(c: str) -> Column:
     return F.median(c)
 
 
-def pivot_sums(df: DataFrame, group: Sequence[str], pivot_col: str, values: Sequence[str], measure: str,
-               prefix: str = "") -> DataFrame:
-    """Pivot by conditional sums with a fixed value list (no extra distinct pass)."""
-    return df.groupBy(*group).agg(*[F.sum(F.when(F.col(pivot_col) == v, F.col(measure))).alias(f"{prefix}{v}")
-                                    for v in values])
-
-
 def bool_matrix(df: DataFrame, row: str, col: str, values: Sequence[str]) -> DataFrame:
     """Boolean-matrix pivot (``bool_or`` per cell) with a fixed column list."""
     return df.groupBy(row).agg(*[F.coalesce(F.bool_or(F.col(col) == v), F.lit(False)).alias(v) for v in values])
-
-
-def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], var: str = "metric", val: str = "value") -> DataFrame:
-    """Unpivot."""
-    return df.unpivot(list(ids), list(values), var, val)

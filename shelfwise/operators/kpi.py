@@ -43,10 +43,6 @@ def exec_summary(sales: DataFrame, by: Sequence[str] = ("month_start", "state",
     )
 
 
-def _share(x: str, total: str, digits: int = 4) -> Column:
-    return round_to(ratio(x, total), digits)
-
-
 def product_mix(sales: DataFrame, group: Sequence[str] = ("category", "brand"), period: str = "month_start",
                 brand: str | None = None) -> DataFrame:
     """K2: unit / revenue / margin share of the period total.
@@ -267,35 +263,40 @@ def gross_margin_daily(sales: DataFrame, by: Sequence[str] = ("sale_date", "stor
 
 def days_of_supply(inv: DataFrame, sales: DataFrame, keys: Sequence[str] = ("site_id", "sku"),
                    date: str = "snapshot_date", window_days: int = 28) -> DataFrame:
-    """On hand ÷ average daily units over the trailing ``window_days``.
+    """On hand (negative stock counts as none) ÷ average daily units over the trailing ``window_days``.
 
-    The reference's lateral join expands every snapshot by 28 days of sales.
-    Here daily sales and snapshots are unioned into one series per key and a
-    ``RANGE`` frame over the day number sums the trailing window in one pass;
-    snapshot rows carry null units so they do not count as sales days.
+    ``inv`` is the deduplicated snapshot fact. Instead of expanding every snapshot by 28 days of sales,
+    daily sales and snapshots are unioned into one series per key and a ``RANGE`` frame over the day number sums the
+    trailing window in one pass; snapshot rows carry null units so they do not count as sales days.
     """
     day = F.unix_date(F.col(date))
     s = sales.groupBy(*keys, F.col("sale_date").alias(date)).agg(F.sum("units").alias("__u"))
-    i = inv.groupBy(*keys, date).agg(F.sum("on_hand_units").alias("on_hand_units"))
-    series = (s.select(*keys, date, "__u", F.lit(None).cast("double").alias("on_hand_units"), F.lit(False).alias("__inv"))
-               .unionByName(i.select(*keys, date, F.lit(None).cast("double").alias("__u"),
-                                     F.col("on_hand_units").cast("double"), F.lit(True).alias("__inv"))))
+    safe = F.greatest(F.col("on_hand_units").cast("double"), F.lit(0.0))
+    series = (s.select(*keys, date, "__u", F.lit(None).cast("double").alias("on_hand_safe"), F.lit(False).alias("__inv"))
+               .unionByName(inv.select(*keys, date, F.lit(None).cast("double").alias("__u"),
+                                       safe.alias("on_hand_safe"), F.lit(True).alias("__inv"))))
     w = Window.partitionBy(*keys).orderBy(day).rangeBetween(-(window_days - 1), 0)
     series = series.withColumn("units_trailing", F.sum("__u").over(w))
     out = series.filter(F.col("__inv")).select(
-        *keys, date, "on_hand_units", "units_trailing",
+        *keys, date, "on_hand_safe", "units_trailing",
         (F.col("units_trailing") / F.lit(float(window_days))).alias("avg_daily_units"))
-    return out.withColumn("days_of_supply", ratio("on_hand_units", "avg_daily_units"))
+    return out.withColumn("days_of_supply", ratio("on_hand_safe", "avg_daily_units"))
+
 
+def instock_rate_daily(inv: DataFrame, carried: DataFrame, date: str = "snapshot_date", by: Sequence[str] = ("site_id",),
+                       sku: str = "sku") -> DataFrame:
+    """Share of SKUs in stock, of all in inventory and of those that the site carries on the day.
 
-def instock_rate_daily(inv: DataFrame, date: str = "snapshot_date", by: Sequence[str] = ("site_id",),
-                       carried: DataFrame | None = None, keys: Sequence[str] = ("site_id", "sku")) -> DataFrame:
-    """Share of the inventory universe (and optionally the carried universe) in stock."""
-    g = inv.groupBy(date, *by).agg(
-        F.count(F.lit(1)).alias("inventory_rows"),
-        F.count_if(F.col("on_hand_units") > 0).alias("in_stock_rows"),
-        F.count_if(F.col("on_hand_units") <= 0).alias("out_of_stock_rows"))
-    return g.withColumn("instock_rate", ratio("in_stock_rows", "inventory_rows"))
+    ``carried``: (date, by, sku, is_carried), one row per key; SKUs without a row are not carried.
+    """
+    keys = [date, *by, sku]
+    j = inv.join(carried.select(*keys, "is_carried"), keys, "left")
+    held, stock = F.coalesce("is_carried", F.lit(False)), F.col("in_stock_flag")
+    g = j.groupBy(date, *by).agg(
+        F.count(F.lit(1)).alias("n_skus_in_inventory"), F.count_if(stock).alias("n_skus_in_stock"),
+        F.count_if(held).alias("n_skus_carried"), F.count_if(held & stock).alias("n_carried_skus_in_stock"))
+    return g.withColumns({"instock_rate_inventory_universe": ratio("n_skus_in_stock", "n_skus_in_inventory"),
+                          "instock_rate_carried_universe": ratio("n_carried_skus_in_stock", "n_skus_carried")})
 
 
 def roi_monthly(actuals: DataFrame, period: str = "period_month") -> DataFrame:
@@ -332,10 +333,10 @@ def breakeven_monthly(actuals: DataFrame, sales_daily: DataFrame, period: str =
 
 
 def sales_per_labor_hour_daily(sales_day: DataFrame, labor_day: DataFrame, keys: Sequence[str] = ("work_date", "store_code")) -> DataFrame:
-    """Store-day sales ⟕ labor hours (J2) and the ratio (C34); unmatched sides kept (full join)."""
-    j = sales_day.join(labor_day, list(keys), "full")
-    return j.withColumns({"sales_per_labor_hour": ratio("net_sales", "labor_hours"),
-                          "units_per_labor_hour": ratio("units", "labor_hours")})
+    """Store-day sales ⟕ labor hours (J2) with net and gross sales per hour (C34); days without sales are left out."""
+    j = sales_day.join(labor_day, list(keys), "left")
+    return j.withColumns({"net_sales_per_labor_hour": ratio("net_sales", "hours_worked"),
+                          "gross_sales_per_labor_hour": ratio("gross_sales", "hours_worked")})
 
 
 # Fixed severity ladder for low-margin alerts.
@@ -404,14 +405,16 @@ def anomaly_flags(series: DataFrame, keys: Sequence[str], order: str, value: str
     return out.withColumns({"z_score": z, "is_anomaly": F.coalesce(F.abs(z) > z_threshold, F.lit(False))})
 
 
+# Fixed words for the change against the previous month.
+NO_PRIOR, REVIEW, WATCH, OK = "NO_PRIOR_PERIOD", "REVIEW_HIGH_VARIANCE", "WATCH_MODERATE_VARIANCE", "OK"
+
+
 def mom_anomaly_status(series: DataFrame, keys: Sequence[str], period: str, value: str,
                        review: float = 0.50, watch: float = 0.25) -> DataFrame:
-    """Change vs the previous period (``lag``); ≥ 50 % review, ≥ 25 % watch."""
+    """Periods whose change against the previous one (``lag``) is at least ``watch``, or that have none."""
     w = Window.partitionBy(*keys).orderBy(period)
-    prev = F.lag(value).over(w)
-    out = series.withColumns({"prior_value": prev, "prior_period": F.lag(period).over(w)})
-    pct = F.when(F.col("prior_value") != 0, (F.col(value) - F.col("prior_value")) / F.abs(F.col("prior_value")))
-    out = out.withColumn("pct_change", pct)
-    status = (F.when(F.col("prior_value").isNull(), F.lit("no_prior")).when(F.abs(pct) >= review, F.lit("review"))
-              .when(F.abs(pct) >= watch, F.lit("watch")).otherwise(F.lit("normal")))
-    return out.withColumn("anomaly_status", status)
+    out = series.withColumn(f"prior_{value}", F.lag(value).over(w))
+    pct = ratio(F.col(value) - F.col(f"prior_{value}"), f"prior_{value}")
+    status = (F.when(F.col(f"prior_{value}").isNull(), F.lit(NO_PRIOR)).when(F.abs(pct) >= review, F.lit(REVIEW))
+              .when(F.abs(pct) >= watch, F.lit(WATCH)).otherwise(F.lit(OK)))
+    return out.withColumns({"mom_pct_change": pct, "anomaly_status": status}).filter(F.col("anomaly_status") != OK)

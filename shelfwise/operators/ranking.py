@@ -1,4 +1,4 @@
-"""Sorting, ranking and top-k helpers.
+"""Ranking and latest-period helpers.
 
 ``global_dense_rank`` ranks rows by a value over the *whole* frame without a
 ``Window.orderBy`` on an unpartitioned window (which moves every row into one
@@ -54,13 +54,6 @@ def global_dense_rank(df: DataFrame, order: Sequence[tuple[str, str]], out_col:
     return df.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])
 
 
-def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[tuple[str, str]], k: int,
-                    rank_col: str = "rank_in_group") -> DataFrame:
-    """T5: rows ranked ≤ k per group; Spark pushes a partial group limit below the shuffle."""
-    w = Window.partitionBy(*group).orderBy(*_order(order))
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
-
-
 def latest_n_periods(df: DataFrame, period: str, n: int) -> DataFrame:
     """Rows of the latest ``n`` distinct periods (a limit that is the feature)."""
     periods = df.select(period).distinct().orderBy(F.col(period).desc()).limit(n)
@@ -75,11 +68,6 @@ def latest_row(df: DataFrame, order_col: str, keys: Sequence[str] = ()) -> DataF
     return g.select(*keys, *[F.col(f"__b.{c}").alias(c) for c in payload])
 
 
-def sort_by_rank(df: DataFrame, rank_expr: Column, *then: Column) -> DataFrame:
-    """Sort by a CASE rank then further keys (range-partitioned global sort)."""
-    return df.orderBy(rank_expr, *then)
-
-
 def distributed_rank(df: DataFrame, group: Sequence[str], order: Sequence[tuple[str, str]],
                      partitions: int | None = None, prefix: str = "") -> DataFrame:
     """``rank``, ``dense_rank``, ``row_number`` and ``percent_rank`` within ``group``

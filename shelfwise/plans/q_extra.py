@@ -134,3 +134,15 @@ def q_q37(spark, d):
                               F.date_add("qend", 12).alias("received_date")))
     return dq.intake_log(expected, received, ["quarter_id", "source_name"]) \
         .select("quarter_id", "source_name", "due_date", "received_date", "submission_status")
+
+
+A8_SQL = f"""
+WITH {SALES_LINES}
+SELECT sku, string_agg(DISTINCT channel, ', ' ORDER BY channel) AS channels FROM sales_lines GROUP BY 1
+"""
+
+
+@query("a8_channels_of_sku", A8_SQL)
+def q_a8(spark, d):
+    """The channels that each SKU is sold in, as one ordered string (at most one entry per channel)."""
+    return aggregates.distinct_string_agg(model.sales_lines(Tables(spark, d)), ["sku"], "channel", out="channels")

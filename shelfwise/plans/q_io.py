@@ -49,6 +49,7 @@ SELECT domain, system, target_table, status, row_count FROM (VALUES
   ('sales', 'erp', 'raw.lineitem', 'ingested', (SELECT COUNT(*) FROM lineitem)),
   ('sales', 'erp', 'raw.orders', 'ingested', (SELECT COUNT(*) FROM orders)),
   ('crm', 'crm', 'raw.customer', 'ingested', (SELECT COUNT(*) FROM customer)),
+  ('hr', 'timeclock', 'raw.events', 'skipped', CAST(NULL AS BIGINT)),
   ('finance', 'gl', 'raw.returns', 'missing', CAST(NULL AS BIGINT))) AS t(domain, system, target_table, status, row_count)
 """
 
@@ -58,11 +59,33 @@ def q_s4(spark, d):
     specs = [files.SourceSpec("sales", "erp", f"{d}/lineitem.parquet", "raw.lineitem", "parquet"),
              files.SourceSpec("sales", "erp", f"{d}/orders.parquet", "raw.orders", "parquet"),
              files.SourceSpec("crm", "crm", f"{d}/customer.parquet", "raw.customer", "parquet"),
+             files.SourceSpec("hr", "timeclock", f"{d}/events.parquet", "raw.events", "parquet", active=False),
              files.SourceSpec("finance", "gl", f"{d}/returns.parquet", "raw.returns", "parquet")]
     _, report = files.ingest_manifest(spark, specs)
     return report.select("domain", "system", "target_table", "status", "row_count")
 
 
+S3_SQL = """
+SELECT c_custkey, c_mktsegment, n AS loads FROM (SELECT c_custkey, c_mktsegment FROM customer), (SELECT unnest([1, 2]) AS n)
+"""
+
+
+@query("s3_catalogue_load", S3_SQL)
+def q_s3(spark, d):
+    """Two CSV drops and a missing one are ingested by catalogue, loaded column by column (truncate,
+    then append), written as a table and queried through a view."""
+    root = _scratch(spark, "s3")
+    files.export_csv({"customer": Tables(spark, d).customer}, f"{root}/drops")
+    specs = [files.SourceSpec("crm", "crm", f"{root}/drops/customer", "raw.customer", columns=CUSTOMER_COLS),
+             files.SourceSpec("crm", "old_crm", f"{root}/drops/nothing", "raw.customer", columns=CUSTOMER_COLS)]
+    landed = files.ingest(spark, specs)["raw.customer"]
+    for load, mode in ((1, "overwrite"), (2, "append")):
+        files.load_columns(landed.withColumn("loads", F.lit(load)), ["c_custkey", "c_mktsegment", "loads"], f"{root}/table", mode)
+    typed = files.materialise(spark.read.parquet(f"{root}/table").withColumn("c_custkey", F.col("c_custkey").cast("bigint")), f"{root}/typed")
+    files.register({"s3_customer_loads": typed})
+    return spark.sql("SELECT c_custkey, c_mktsegment, loads FROM s3_customer_loads")
+
+
 S8_SQL = f"""
 WITH {SALES_LINES}
 SELECT order_id, line_number, sale_date, store_id, sku, round(net_sales, 4) AS net_sales FROM sales_lines

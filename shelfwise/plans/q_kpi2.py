@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.clean import ratio
 from ..operators import history, kpi, staging
 from ..sources.testdata import Tables
-from . import model, raw
-from .oracle import INVENTORY, SALES_LINES
+from . import ghg, model, raw
+from .oracle import GHG, INVENTORY, SALES_LINES
 from .q_facts import dist_daily
 from .registry import query, rounded
 from .sql_facts import DIST_CTE, FIN_CTE
@@ -105,19 +105,33 @@ def _sales_day(t):
 
 K16_SQL = f"""
 WITH {SALES_LINES}, {ALIGNED_PAIRS}, {SALES_STORE_DAY}
-SELECT COALESCE(sd.work_date, lab.work_date) AS work_date, COALESCE(sd.store_code, lab.store_code) AS store_code,
-       round(net_sales, 4) AS net_sales, round(units, 4) AS units, round(gross_margin_dollars, 4) AS gross_margin_dollars,
-       round(labor_hours, 4) AS labor_hours, employees_worked,
-       round(net_sales / NULLIF(labor_hours, 0), 4) AS sales_per_labor_hour,
-       round(units / NULLIF(labor_hours, 0), 4) AS units_per_labor_hour
-FROM sd FULL OUTER JOIN lab ON sd.work_date = lab.work_date AND sd.store_code = lab.store_code
+SELECT sale_date AS work_date, s.store_code, round(net_sales, 4) AS net_sales, round(gross_sales, 4) AS gross_sales,
+       round(discount_amount, 4) AS discount_amount, round(cogs, 4) AS cogs, round(units, 4) AS units, orders, customers,
+       round(hours_worked, 4) AS hours_worked, n_punches, n_employees,
+       round(net_sales / NULLIF(hours_worked, 0), 4) AS net_sales_per_labor_hour,
+       round(gross_sales / NULLIF(hours_worked, 0), 4) AS gross_sales_per_labor_hour
+FROM (SELECT sale_date, 'S' || lpad(CAST(store_id % 8 AS VARCHAR), 2, '0') AS store_code, SUM(net_sales) AS net_sales,
+             SUM(gross_sales) AS gross_sales, SUM(discount_amount) AS discount_amount, SUM(cogs) AS cogs, SUM(units) AS units,
+             COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT store_id) AS customers FROM sales_lines GROUP BY 1, 2) s
+LEFT JOIN (SELECT work_date, store_code, SUM(hours_worked) AS hours_worked, CAST(SUM(n_punches) AS BIGINT) AS n_punches,
+                  COUNT(DISTINCT employee_id) AS n_employees
+           FROM (SELECT work_date, store_code, employee_id, SUM(minutes_worked) / 60.0 AS hours_worked, COUNT(*) AS n_punches FROM pm
+                 GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE is_pair) > 0) GROUP BY 1, 2) l
+  ON s.sale_date = l.work_date AND s.store_code = l.store_code
 """
 
 
 @query("k16_sales_per_labor_hour_daily", K16_SQL)
 def q_k16(spark, d):
     t = Tables(spark, d)
-    return rounded(kpi.sales_per_labor_hour_daily(_sales_day(t), _labor_day(t)))
+    s = model.sales_lines(t)
+    sales = s.groupBy(F.col("sale_date").alias("work_date"), model.punch_store_of(F.col("store_id")).alias("store_code")).agg(
+        *[F.sum(c).alias(c) for c in ("net_sales", "gross_sales", "discount_amount", "cogs", "units")],
+        F.count_distinct("order_id").alias("orders"), F.count_distinct("store_id").alias("customers"))
+    labor = history.labor_daily_employee(model.punches_aligned(t)).groupBy("work_date", "store_code").agg(
+        F.sum("hours_worked").alias("hours_worked"), F.sum("n_events").alias("n_punches"),
+        F.count_distinct("employee_id").alias("n_employees"))
+    return rounded(kpi.sales_per_labor_hour_daily(sales, labor))
 
 
 K7_AS_OF = "2001-07-31"
@@ -239,23 +253,24 @@ def q_k28(spark, d):
 
 
 K29_SQL = f"""
-WITH {SALES_LINES},
-s AS (SELECT category, month_start, SUM(net_sales) AS net_sales FROM sales_lines GROUP BY 1, 2),
-l AS (SELECT *, LAG(net_sales) OVER w AS prior_value, LAG(month_start) OVER w AS prior_period
-      FROM s WINDOW w AS (PARTITION BY category ORDER BY month_start)),
-p AS (SELECT *, CASE WHEN prior_value <> 0 THEN (net_sales - prior_value) / abs(prior_value) END AS pct FROM l)
-SELECT category, month_start, round(net_sales, 4) AS net_sales, round(prior_value, 4) AS prior_value, prior_period,
-       round(pct, 4) AS pct_change,
-       CASE WHEN prior_value IS NULL THEN 'no_prior' WHEN abs(pct) >= 0.5 THEN 'review' WHEN abs(pct) >= 0.25 THEN 'watch'
-            ELSE 'normal' END AS anomaly_status
-FROM p
+WITH {GHG},
+m AS (SELECT source_system, scope, activity_month, SUM(metric_tons_co2e) FILTER (WHERE is_reportable_emissions_row) AS metric_tons_co2e
+      FROM fact GROUP BY 1, 2, 3),
+l AS (SELECT *, LAG(metric_tons_co2e) OVER (PARTITION BY source_system, scope ORDER BY activity_month) AS prior FROM m),
+p AS (SELECT *, (metric_tons_co2e - prior) / NULLIF(prior, 0) AS pct FROM l),
+s AS (SELECT *, CASE WHEN prior IS NULL THEN 'NO_PRIOR_PERIOD' WHEN abs(pct) >= 0.5 THEN 'REVIEW_HIGH_VARIANCE'
+                     WHEN abs(pct) >= 0.25 THEN 'WATCH_MODERATE_VARIANCE' ELSE 'OK' END AS anomaly_status FROM p)
+SELECT source_system, scope, activity_month, round(metric_tons_co2e, 4) AS metric_tons_co2e,
+       round(prior, 4) AS prior_metric_tons_co2e, round(pct, 4) AS mom_pct_change, anomaly_status
+FROM s WHERE anomaly_status <> 'OK'
 """
 
 
 @query("k29_mom_anomaly_status", K29_SQL)
 def q_k29(spark, d):
-    s = model.sales_lines(Tables(spark, d)).groupBy("category", "month_start").agg(F.sum("net_sales").alias("net_sales"))
-    return rounded(kpi.mom_anomaly_status(s, ["category"], "month_start", "net_sales"))
+    reportable = F.when(F.col("is_reportable_emissions_row"), F.col("metric_tons_co2e"))
+    s = ghg.fact(Tables(spark, d)).groupBy("source_system", "scope", "activity_month").agg(F.sum(reportable).alias("metric_tons_co2e"))
+    return rounded(kpi.mom_anomaly_status(s, ["source_system", "scope"], "activity_month", "metric_tons_co2e"))
 
 
 K31_SQL = f"""

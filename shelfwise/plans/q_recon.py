@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import dedup, facts, history, recon, staging, variance
@@ -120,6 +122,21 @@ def _store_flags(t):
     return flagged(dist_daily(t), st, pr), flagged(labor, ps), flagged(pos_day(t), st)
 
 
+Q21R_DAYS = 90
+Q21R_SQL = Q21_SQL + f""" WHERE sale_date >= CAST((SELECT max(CAST(o_orderdate AS DATE)) FROM orders
+  WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) - INTERVAL {Q21R_DAYS} DAY AS DATE)
+"""
+
+
+@query("q21_recon_recent_days", Q21R_SQL)
+def q_q21_recent(spark, d):
+    """The same reconciliation over the trailing 90 days; the bound is a literal on both sides."""
+    t = Tables(spark, d)
+    end = model.latest_sale_date(t)
+    start = end and end - dt.timedelta(days=Q21R_DAYS)
+    return rounded(recon.recon_distributor_vs_pos(dist_daily(t), pos_day(t), start=start))
+
+
 def q16_frame(t):
     no_store = F.col("__store").isNull()
     dist, labor, pos = _store_flags(t)

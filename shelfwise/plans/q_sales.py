@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import kpi
+from ..operators import facts, kpi
 from ..sources.testdata import Tables
 from . import model
 from .oracle import K1_SQL, SALES_LINES
@@ -224,31 +224,52 @@ def q_k13(spark, d):
     return rounded(kpi.gross_margin_daily(model.sales_lines(Tables(spark, d))))
 
 
+SNAPSHOT_CTE = """
+snap AS (SELECT * EXCLUDE (rn), COALESCE(in_stock_flag, on_hand_units > 0) AS stocked FROM (
+  SELECT snapshot_date, site_id, sku, on_hand_units, in_stock_flag,
+         ROW_NUMBER() OVER (PARTITION BY snapshot_date, site_id, sku ORDER BY COALESCE(on_hand_units < 0, FALSE),
+                            on_hand_units DESC NULLS LAST, in_stock_flag DESC NULLS LAST) AS rn
+  FROM inventory WHERE snapshot_date IS NOT NULL AND site_id IS NOT NULL AND sku IS NOT NULL) WHERE rn = 1)"""
+
+
+def _snapshots(t):
+    """Deduplicated daily snapshots with the in-stock flag filled from the stock."""
+    inv = model.inventory(t).select("snapshot_date", "site_id", "sku", "on_hand_units", "in_stock_flag")
+    return facts.inventory_snapshot_fact(inv).withColumn("in_stock_flag", F.coalesce("in_stock_flag", F.col("on_hand_units") > 0))
+
+
 K17_SQL = f"""
-WITH {INVENTORY}
-SELECT snapshot_date, site_id, COUNT(*) AS inventory_rows, count(*) FILTER (WHERE on_hand_units > 0) AS in_stock_rows,
-       count(*) FILTER (WHERE on_hand_units <= 0) AS out_of_stock_rows,
-       round(CAST(count(*) FILTER (WHERE on_hand_units > 0) AS DOUBLE) / NULLIF(COUNT(*), 0), 4) AS instock_rate
-FROM inventory GROUP BY 1, 2
+WITH {INVENTORY}, {SNAPSHOT_CTE},
+cov AS (SELECT CAST(l_shipdate AS DATE) AS snapshot_date, l_suppkey AS site_id, l_partkey AS sku, bool_or(l_quantity >= 10) AS is_carried
+        FROM lineitem GROUP BY 1, 2, 3),
+g AS (SELECT s.snapshot_date, s.site_id, COUNT(*) AS n, count(*) FILTER (WHERE stocked) AS st, count(*) FILTER (WHERE is_carried) AS c,
+             count(*) FILTER (WHERE is_carried AND stocked) AS cs
+      FROM snap s LEFT JOIN cov USING (snapshot_date, site_id, sku) GROUP BY 1, 2)
+SELECT snapshot_date, site_id, n AS n_skus_in_inventory, st AS n_skus_in_stock, c AS n_skus_carried, cs AS n_carried_skus_in_stock,
+       round(CAST(st AS DOUBLE) / NULLIF(n, 0), 4) AS instock_rate_inventory_universe,
+       round(CAST(cs AS DOUBLE) / NULLIF(c, 0), 4) AS instock_rate_carried_universe
+FROM g
 """
 
 
 @query("k17_instock_rate_daily", K17_SQL)
 def q_k17(spark, d):
-    return rounded(kpi.instock_rate_daily(model.inventory(Tables(spark, d))))
+    t = Tables(spark, d)
+    carried = t.lineitem.groupBy(F.col("l_shipdate").cast("date").alias("snapshot_date"), F.col("l_suppkey").alias("site_id"),
+                                 F.col("l_partkey").alias("sku")).agg(F.bool_or(F.col("l_quantity") >= 10).alias("is_carried"))
+    return rounded(kpi.instock_rate_daily(_snapshots(t), carried))
 
 
 K18_SQL = f"""
-WITH {SALES_LINES}, {INVENTORY},
-i AS (SELECT site_id, sku, snapshot_date, SUM(on_hand_units) AS on_hand_units FROM inventory GROUP BY 1, 2, 3),
+WITH {SALES_LINES}, {INVENTORY}, {SNAPSHOT_CTE},
 s AS (SELECT site_id, sku, sale_date, SUM(units) AS u FROM sales_lines GROUP BY 1, 2, 3),
-t AS (SELECT i.site_id, i.sku, i.snapshot_date, i.on_hand_units,
+t AS (SELECT i.site_id, i.sku, i.snapshot_date, greatest(i.on_hand_units, 0.0) AS on_hand_safe,
              (SELECT SUM(u) FROM s WHERE s.site_id = i.site_id AND s.sku = i.sku
                 AND s.sale_date BETWEEN CAST(i.snapshot_date - INTERVAL 27 DAY AS DATE) AND i.snapshot_date) AS units_trailing
-      FROM i)
-SELECT site_id, sku, snapshot_date, round(on_hand_units, 4) AS on_hand_units, round(units_trailing, 4) AS units_trailing,
+      FROM snap i)
+SELECT site_id, sku, snapshot_date, round(on_hand_safe, 4) AS on_hand_safe, round(units_trailing, 4) AS units_trailing,
        round(units_trailing / 28.0, 4) AS avg_daily_units,
-       round(on_hand_units / NULLIF(units_trailing / 28.0, 0), 4) AS days_of_supply
+       round(on_hand_safe / NULLIF(units_trailing / 28.0, 0), 4) AS days_of_supply
 FROM t
 """
 
@@ -256,7 +277,7 @@ FROM t
 @query("k18_days_of_supply", K18_SQL)
 def q_k18(spark, d):
     t = Tables(spark, d)
-    return rounded(kpi.days_of_supply(model.inventory(t), model.sales_lines(t)))
+    return rounded(kpi.days_of_supply(_snapshots(t), model.sales_lines(t)))
 
 
 T3_SQL = f"""

@@ -11,6 +11,7 @@ import os
 from dataclasses import dataclass
 from typing import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,20 +53,12 @@ class SourceSpec:
     table: str
     fmt: str = "csv"
     columns: tuple = ()
+    active: bool = True
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p))
-    except Exception:  # no JVM handle: probe by listing through Spark itself
-        try:
-            spark.read.format("binaryFile").load(path).limit(1).count()
-            return True
-        except Exception:
-            return False
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def _read(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -92,30 +85,38 @@ REPORT_SCHEMA = "domain string, system string, path string, target_table string,
 
 def ingest_manifest(spark: SparkSession, specs: Sequence[SourceSpec], strict: bool = False
                     ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Manifest-driven ingest with a per-file report ``missing / ingested / error:<type>`` + row count.
+    """Manifest-driven ingest with a per-file report ``skipped / missing / ingested / error:<type>`` + row count.
 
-    The manifest is small (one row per expected file); each read and count is a
-    distributed job.  ``strict`` raises on the first missing or failed file.
+    Only schemas are read while the report is built; the counts are part of its plan, one aggregate per present file,
+    and run together when it is used. ``strict`` raises on the first missing or unreadable file.
     """
     tables: dict[str, DataFrame] = {}
-    report = []
+    counted, rest = [], []
     for s in specs:
+        row = (s.domain, s.system, s.path, s.table)
+        if not s.active:
+            rest.append((*row, "skipped", None))
+            continue
         if not _exists(spark, s.path):
             if strict:
                 raise FileNotFoundError(s.path)
-            report.append((s.domain, s.system, s.path, s.table, "missing", None))
+            rest.append((*row, "missing", None))
             continue
         try:
             df = _read(spark, s)
-            n = df.count()
-        except Exception as e:  # noqa: BLE001
+        except AnalysisException as e:
             if strict:
                 raise
-            report.append((s.domain, s.system, s.path, s.table, f"error:{type(e).__name__}", None))
+            rest.append((*row, f"error:{type(e).__name__}", None))
             continue
         tables[s.table] = df if s.table not in tables else tables[s.table].unionByName(df, allowMissingColumns=True)
-        report.append((s.domain, s.system, s.path, s.table, "ingested", n))
-    return tables, spark.createDataFrame(report, REPORT_SCHEMA)
+        counted.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            *[F.lit(v).alias(c) for v, c in zip(row, ("domain", "system", "path", "target_table"), strict=True)],
+            F.lit("ingested").alias("status"), "row_count"))
+    report = spark.createDataFrame(rest, REPORT_SCHEMA)
+    for c in counted:
+        report = report.unionByName(c)
+    return tables, report
 
 
 def load(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
@@ -169,11 +170,6 @@ def register(frames: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def values_df(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Literal table."""
-    return spark.createDataFrame(list(rows), schema)
-
-
 def dump_exceptions(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Rejected rows with the reason of the first rule they break (``exception_reason``)."""
     reason = None
