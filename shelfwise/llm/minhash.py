@@ -9,8 +9,8 @@
 3. Texts with equal sets are one class, represented by the smallest id; only classes are joined.
 4. Signatures that share a key are compared in groups of bounded size. At first only the few nearest partners of every
    member are confirmed, and their links merged into components. Then all near pairs that are still in different
-   components are confirmed. So thousands of near copies of one text cost a multiple of their number in rows,
-   not its square, and no link between components is skipped.
+   components are confirmed inside their group, which returns links only. So thousands of near copies of one text
+   cost a multiple of their number in rows, not its square, and no link between components is skipped.
 5. A pair counts as a link only if the full sets confirm the similarity.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import BLANK_WORD, arrow_text, byte_values, combined, mixed, span_hashes, steps, word_spans, written
+from ._bpe import ragged
 from .graph import components
 
 CHUNKS, WIDTH, BITS, ERRORS = 8, 5, 16, 1
@@ -32,6 +33,8 @@ COMPONENTS = CHUNKS * WIDTH
 MAX_DISTANCE = 18
 # Rows of a key that are compared in one group with each other; more make several groups.
 KEY_BLOCK = 2000
+# Shingles of a block at most, on average, where sets are brought along.
+KEY_SHINGLES = 1_000_000
 PAIRS_AT_ONCE = 200_000
 # Partners of a document that are confirmed first.
 NEAREST = 4
@@ -140,24 +143,19 @@ def _sig_matrix(column: pa.Array) -> np.ndarray:
 
 
 def _blocked(members: DataFrame) -> DataFrame:
-    """Deal the members of every key to groups of at most about two blocks of ``KEY_BLOCK`` rows.
+    """Deal the members of every key (with its number of ``blocks``) to groups of at most two blocks.
 
-    A key of up to KEY_BLOCK members is one group; a larger one is cut into blocks by a hash of the id, and every
-    two of its blocks (and each block with itself) are a group.
+    A key of one block is one group; a larger one is cut into blocks by a hash of the id, and every two of its blocks
+    (and each block with itself) are a group.
     """
-    blocks = F.ceil(F.col("members") / KEY_BLOCK).cast("int")
     blk = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
-    return members.withColumn("blocks", blocks).withColumn("blk", blk) \
+    return members.withColumn("blk", blk) \
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .withColumns({"lo": F.least("blk", "with"), "hi": F.greatest("blk", "with")}).drop("blocks", "with", "members")
+        .select("key", "k", F.least("blk", "with").alias("lo"), F.greatest("blk", "with").alias("hi"), "blk", "id", "comp", "n", "sig")
 
 
-def _pairs_in_groups(grouped: DataFrame, similarity: tuple[int, int], nearest: int | None) -> DataFrame:
-    """Near pairs (a, b, distance) of the rows (key, k, lo, hi, blk, id, comp, n, sig), with a < b.
-
-    Pairs are compared where their first shared key is, so each comes once. ``nearest`` keeps only so many nearest
-    partners of each member in a group; without it, all pairs of different components are given.
-    """
+def _in_groups(grouped: DataFrame, schema: str, answer) -> DataFrame:
+    """Apply ``answer(table, bounds of its groups)`` to whole groups (key, lo, hi), several at a time."""
     dealt = grouped.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,62 +165,111 @@ def _pairs_in_groups(grouped: DataFrame, similarity: tuple[int, int], nearest: i
             t = pa.concat_tables([rest, t]) if rest is not None else t
             bounds = _group_bounds(t)
             rest = t.slice(bounds[-2])  # the last group may go on in the next batch
-            yield from _compare(t.slice(0, bounds[-2]), similarity, nearest)
-        if rest is not None:
-            yield from _compare(rest, similarity, nearest)
+            if bounds[-2]:
+                yield from answer(t.slice(0, bounds[-2]), bounds[:-1])
+        if rest is not None and rest.num_rows:
+            yield from answer(rest, _group_bounds(rest))
 
-    return dealt.select("key", "k", "lo", "hi", "blk", "id", "comp", "n", "sig").mapInArrow(run, "a long, b long, distance int")
+    return dealt.mapInArrow(run, schema)
 
 
 def _group_bounds(t: pa.Table) -> np.ndarray:
-    cols = [t.column(c).to_numpy() for c in ("key", "lo", "hi")]
     new = np.zeros(t.num_rows, bool)
-    new[0] = True
-    for c in cols:
-        new[1:] |= c[1:] != c[:-1]
+    new[:1] = True
+    for c in ("key", "lo", "hi"):
+        values = t.column(c).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
     return np.append(np.flatnonzero(new), t.num_rows)
 
 
-def _compare(t: pa.Table, similarity: tuple[int, int], nearest: int | None) -> Iterator[pa.RecordBatch]:
-    if not t.num_rows:
-        return
+def _near_pairs(t: pa.Table, bounds: np.ndarray, similarity: tuple[int, int], within: bool
+                ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, distance) of near members of a group whose first shared key is the group's, some rows i at a time.
+
+    With ``within`` all pairs come from both sides; else only those of different components, once.
+    """
     num, den = similarity
-    bounds = _group_bounds(t)
     sig = _sig_matrix(t.column("sig").combine_chunks())
-    col = {c: t.column(c).to_numpy() for c in ("k", "lo", "hi", "blk", "id", "comp", "n")}
+    k, lo, hi, blk, ids, comp, n = (t.column(c).to_numpy() for c in ("k", "lo", "hi", "blk", "id", "comp", "n"))
     group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    first, last = bounds[group], bounds[group + 1]
-    if nearest is None:
-        first = np.arange(t.num_rows) + 1  # each pair from one side
-    partners = last - first
+    first = bounds[group] if within else np.arange(t.num_rows) + 1
+    partners = bounds[group + 1] - first
     upto = np.concatenate([[0], np.cumsum(partners)])
-    lo = 0
-    while lo < t.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + PAIRS_AT_ONCE, "right")) - 1)
-        i = np.repeat(np.arange(lo, hi), partners[lo:hi])
-        j = np.arange(upto[hi] - upto[lo]) - np.repeat(upto[lo:hi] - upto[lo], partners[lo:hi]) + first[i]
-        lo = hi
-        small, large = np.minimum(col["n"][i], col["n"][j]), np.maximum(col["n"][i], col["n"][j])
-        use = (col["id"][i] != col["id"][j]) & (den * small >= num * large) & (
-            (col["lo"][i] == col["hi"][i]) | (col["blk"][i] != col["blk"][j])) & (
-            (col["comp"][i] != col["comp"][j]) | (nearest is not None))
+    at = 0
+    while at < t.num_rows:
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS_AT_ONCE, "right")) - 1)
+        i = np.repeat(np.arange(at, end), partners[at:end])
+        j = ragged(first[at:end], partners[at:end])
+        at = end
+        use = (den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])) & ((lo[i] == hi[i]) | (blk[i] != blk[j]))
+        use &= (ids[i] != ids[j]) if within else (comp[i] != comp[j])
         i, j = i[use], j[use]
         same = (sig[i] == sig[j]).reshape(-1, CHUNKS, WIDTH)
-        distance = COMPONENTS - same.sum((1, 2))
         wrong = WIDTH - same.sum(2)
+        distance = wrong.sum(1)
         chunk = (wrong <= ERRORS).argmax(1)
-        at = np.arange(len(i))
-        out = np.where(wrong[at, chunk] == 0, 0, same[at, chunk].argmin(1))
-        use = (distance <= MAX_DISTANCE) & (chunk * WIDTH + out == col["k"][i])
-        i, j, distance = i[use], j[use], distance[use]
-        if nearest is not None and len(i):
-            order = np.lexsort((mixed((col["id"][j] ^ col["id"][i]).astype(np.uint64)), distance, i))
+        row = np.arange(len(i))
+        out = np.where(wrong[row, chunk] == 0, 0, same[row, chunk].argmin(1))
+        use = (distance <= MAX_DISTANCE) & (chunk * WIDTH + out == k[i])
+        yield i[use], j[use], distance[use]
+
+
+def _nearest_pairs(grouped: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """(a, b, distance): the NEAREST nearest partners of every member in each of its groups, a < b."""
+    def answer(t: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids = t.column("id").to_numpy()
+        for i, j, distance in _near_pairs(t, bounds, similarity, within=True):
+            order = np.lexsort((mixed((ids[j] ^ ids[i]).astype(np.uint64)), distance, i))
             i, j, distance = i[order], j[order], distance[order]
-            start = np.concatenate([[0], np.flatnonzero(i[1:] != i[:-1]) + 1])
+            start = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.zeros(0, np.int64)
             rank = np.arange(len(i)) - np.repeat(start, np.diff(np.append(start, len(i))))
-            i, j, distance = i[rank < nearest], j[rank < nearest], distance[rank < nearest]
-        x, y = col["id"][i], col["id"][j]
-        yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y), "distance": distance.astype(np.int32)})
+            keep = rank < NEAREST
+            x, y = ids[i[keep]], ids[j[keep]]
+            yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y), "distance": distance[keep].astype(np.int32)})
+
+    return _in_groups(grouped, "a long, b long, distance int", answer)
+
+
+def _undecided_members(grouped: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """(key, lo, hi, id): members that have a near partner of another component in the group."""
+    def answer(t: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        some = np.zeros(t.num_rows, bool)
+        for i, j, _ in _near_pairs(t, bounds, similarity, within=False):
+            some[i] = some[j] = True
+        keep = pa.array(some)
+        yield pa.RecordBatch.from_pydict({c: t.column(c).filter(keep).combine_chunks() for c in ("key", "lo", "hi", "id")})
+
+    return _in_groups(grouped, "key long, lo int, hi int, id long", answer)
+
+
+def _links_in_groups(grouped: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """(a, b): near pairs of different components whose full sets (column shingles) reach the similarity."""
+    num, den = similarity
+
+    def answer(t: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        data, offsets = _binary(t.column("shingles").combine_chunks())
+        size = np.diff(offsets) // 8
+        at = offsets[:-1] // 8
+        vocabulary, rank = np.unique(data.view(np.uint64), return_inverse=True)
+        member = np.zeros(len(vocabulary), bool)
+        ids = t.column("id").to_numpy()
+        for i, j, _ in _near_pairs(t, bounds, similarity, within=False):
+            cuts = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.zeros(0, np.int64)
+            linked = np.zeros(len(i), bool)
+            for lo, hi in zip(cuts, np.append(cuts, len(i))[1:], strict=True):
+                own, others = rank[at[i[lo]]:at[i[lo]] + size[i[lo]]], j[lo:hi]
+                member[own] = True
+                hits = member[rank[ragged(at[others], size[others])]]
+                member[own] = False
+                both = np.add.reduceat(hits.astype(np.int64), np.cumsum(size[others]) - size[others])
+                linked[lo:hi] = den * both >= num * (len(own) + size[others] - both)
+            yield pa.RecordBatch.from_pydict({"a": ids[i[linked]], "b": ids[j[linked]]})
+
+    return _in_groups(grouped, "a long, b long", answer)
+
+
+def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return arrow_text(column.cast(pa.large_binary()).view(pa.large_string()))
 
 
 def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -279,34 +326,37 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     keyed = written(_keyed(classes), "keys")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     carried = classes.select("id", F.col("n_shingles").alias("n"), "sig")
+    shared = shared.select("key", F.ceil(F.col("members") / KEY_BLOCK).cast("int").alias("blocks"))
     members = written(keyed.join(shared, "key").join(carried, "id"), "members")
 
     # First links: the nearest partners of every member.
-    first = _pairs_in_groups(_blocked(members).withColumn("comp", F.col("id")), similarity, NEAREST)
-    first = written(first, "first")
-    sides = first.select(F.col("a").alias("id"), F.struct("distance", F.xxhash64("a", "b"), "a", "b").alias("p")) \
-        .unionByName(first.select(F.col("b").alias("id"), F.struct("distance", F.xxhash64("a", "b"), "a", "b").alias("p")))
+    first = written(_nearest_pairs(_blocked(members.withColumn("comp", F.col("id"))), similarity), "first")
+    pair = F.struct("distance", F.xxhash64("a", "b"), "a", "b").alias("p")
+    sides = first.select(F.col("a").alias("id"), pair).unionByName(first.select(F.col("b").alias("id"), pair))
     best = sides.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("p"))).filter(F.col("r") <= NEAREST)
     best = written(best.select("p.a", "p.b").distinct(), "best")
-    ids = written(first.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    # Whoever has a near partner is in one of the best pairs.
+    ids = written(best.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     sets = _sets(docs, ids, words)
     links = written(_confirmed(best, sets, similarity), "links")
-    comp = components(links)
-
-    # The rest: every near pair that the first links leave in different components.
-    placed = members.join(comp.withColumnRenamed("node", "id"), "id", "left") \
-        .withColumn("comp", F.coalesce("component", "id")).drop("component")
-    split = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 < c2").select("key")
-    rest = _pairs_in_groups(_blocked(placed.join(split, "key", "left_semi")), similarity, None)
-    rest = rest.join(best, ["a", "b"], "left_anti")
-    more = written(_confirmed(rest, sets, similarity), "more")
-    comp = components(links.unionByName(more))
-
-    of_class = classes.join(comp.withColumnRenamed("node", "id"), "id", "left") \
-        .select(*key, F.coalesce("component", "id").alias("component"))
-    # Ids on several rows with different texts take the smallest of their components.
-    placed = table.join(of_class, key, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return placed.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    comp = components(links).withColumnRenamed("node", "id")
+
+    # The rest: every near pair that the first links leave in different components. Only members of such
+    # pairs bring their sets to the group, and only links leave it.
+    placed = members.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component", "blocks")
+    split = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("m"),
+                                      F.sum("n").alias("shingles")).filter("c1 < c2") \
+        .select("key", F.ceil(F.greatest(F.col("m") / KEY_BLOCK, F.col("shingles") / KEY_SHINGLES)).cast("int").alias("blocks"))
+    rest = written(_blocked(placed.join(split, "key")), "rest")
+    undecided = _undecided_members(rest, similarity)
+    rest = rest.join(undecided, ["key", "lo", "hi", "id"]).join(sets, "id")
+    more = written(_links_in_groups(rest, similarity), "more")
+    comp = components(links.unionByName(more)).withColumnRenamed("node", "id")
+
+    of_class = classes.join(comp, "id", "left").select(*key, F.coalesce("component", "id").alias("component"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return table.join(of_class, key, "left").select("doc_id", "n_shingles", component.alias("component_id")) \
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8, 10)) -> DataFrame:
