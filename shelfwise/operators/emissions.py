@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import hash_key, parse_bool2, ratio
+from ..functions.clean import blank_to_null, hash_key, parse_bool2, parse_date, parse_month, ratio, strict_decimal
 
 ACTIVITY_COLUMNS = ("activity_id", "source_system", "source_record_id", "activity_month", "scope", "facility_id",
                     "product_line_id", "activity_category", "factor_type", "activity_amount", "activity_unit",
@@ -230,10 +230,74 @@ def by_factor_version(fact: DataFrame) -> DataFrame:
         F.sum("metric_tons_co2e").alias("t_co2e"))
 
 
+# Fixed words: electricity units, and the factor type of each shipping mode and packaging material.
+KWH_WORDS = ("kwh", "kw hrs", "kwhrs", "kilowatt hour", "kilowatt hours")
+SHIPPING_FACTORS = {"truck": "freight_truck_ton_mile", "air": "freight_air_ton_mile"}
+MATERIAL_FACTORS = {"paper": "packaging_paper_kg", "plastic": "packaging_plastic_kg", "glass": "packaging_glass_kg"}
+
+
+def _code(c: str) -> Column:
+    return F.upper(blank_to_null(F.col(c)))
+
+
+def _amount(c: str, scale: int) -> Column:
+    return strict_decimal(F.col(c), 18, scale).cast("double")
+
+
+def stage_electricity_bills(raw: DataFrame) -> DataFrame:
+    """E5: electricity bills text → month, strict amounts, canonical unit, row flags (unreadable amounts have null flags)."""
+    unit = F.lower(F.trim("usage_unit"))
+    out = raw.select(
+        parse_month(F.col("bill_month")).alias("activity_month"), _code("facility_id").alias("facility_id"),
+        F.trim("utility_provider").alias("utility_provider"), _code("meter_number").alias("meter_number"),
+        _amount("usage_amount", 4).alias("activity_amount"),
+        F.when(unit.isin(*KWH_WORDS), F.lit("kwh")).otherwise(unit).alias("activity_unit"),
+        _amount("invoice_amount_usd", 2).alias("invoice_amount_usd"), _code("invoice_number").alias("invoice_number"),
+        F.lit("Scope 2").alias("scope"), F.lit("electricity_kwh").alias("factor_type"), F.lit("electricity_bills").alias("source_system"))
+    return out.withColumns({"has_negative_activity": F.col("activity_amount") < 0, "has_missing_facility_id": F.col("facility_id").isNull(),
+                            "has_invalid_activity_month": F.col("activity_month").isNull()})
+
+
+def stage_shipping_miles(raw: DataFrame) -> DataFrame:
+    """E5: shipping text → date (two formats) and month, mode, ton-miles and the mode's factor type, row flags."""
+    mode = F.lower(F.trim("shipping_mode"))
+    ftype = F.create_map(*[F.lit(x) for kv in SHIPPING_FACTORS.items() for x in kv])[mode]
+    date = parse_date(F.lit(None).cast("date"), F.col("shipment_date"))
+    out = raw.select(
+        _code("shipment_id").alias("shipment_id"), date.alias("shipment_date"), F.trunc(date, "month").alias("activity_month"),
+        _code("origin_facility_id").alias("facility_id"), _code("destination_state").alias("destination_state"),
+        _code("product_line_id").alias("product_line_id"), mode.alias("shipping_mode"), F.trim("carrier").alias("carrier"),
+        _amount("distance_miles", 4).alias("distance_miles"), _amount("shipment_weight_lb", 4).alias("shipment_weight_lb"),
+        _amount("ton_miles", 4).alias("activity_amount"), F.lit("ton_mile").alias("activity_unit"),
+        _amount("freight_cost_usd", 2).alias("freight_cost_usd"), F.lit("Scope 3").alias("scope"), ftype.alias("factor_type"),
+        F.lit("shipping_miles").alias("source_system"))
+    return out.withColumns({"has_negative_activity": F.col("activity_amount") < 0, "has_missing_facility_id": F.col("facility_id").isNull(),
+                            "has_missing_product_line_id": F.col("product_line_id").isNull(),
+                            "has_invalid_shipment_date": F.col("shipment_date").isNull(),
+                            "has_unknown_shipping_mode": F.col("factor_type").isNull()})
+
+
+def stage_packaging_materials(raw: DataFrame) -> DataFrame:
+    """E5: packaging purchases text → month, material, weight and the material's factor type, row flags."""
+    material = F.lower(F.trim("material_type"))
+    ftype = F.create_map(*[F.lit(x) for kv in MATERIAL_FACTORS.items() for x in kv])[material]
+    out = raw.select(
+        parse_month(F.col("invoice_month")).alias("activity_month"), _code("facility_id").alias("facility_id"),
+        _code("product_line_id").alias("product_line_id"), material.alias("material_type"),
+        F.trim("supplier_name").alias("supplier_name"), _amount("units_purchased", 4).alias("units_purchased"),
+        _amount("material_weight_kg", 4).alias("activity_amount"), F.lit("kg").alias("activity_unit"),
+        _code("invoice_number").alias("invoice_number"), _amount("cost_usd", 2).alias("cost_usd"), F.lit("Scope 3").alias("scope"),
+        ftype.alias("factor_type"), F.lit("packaging_materials").alias("source_system"))
+    return out.withColumns({"has_negative_activity": F.col("activity_amount") < 0, "has_missing_facility_id": F.col("facility_id").isNull(),
+                            "has_missing_product_line_id": F.col("product_line_id").isNull(),
+                            "has_invalid_activity_month": F.col("activity_month").isNull(),
+                            "has_unknown_material_type": F.col("factor_type").isNull()})
+
+
 def stage_fuel_usage(raw: DataFrame) -> DataFrame:
     """E5: fuel usage text → month (three formats, C3), strict numeric amount (C8), unit
     synonyms (C20), factor type from fuel + unit with an invalid-unit flag (C22), row flags (G9)."""
-    from ..functions.clean import FUEL_SYNONYMS, FUEL_UNIT_SYNONYMS, factor_type, map_synonyms, parse_month, strict_decimal
+    from ..functions.clean import FUEL_SYNONYMS, FUEL_UNIT_SYNONYMS, factor_type, map_synonyms
     unit = map_synonyms(F.col("activity_unit"), FUEL_UNIT_SYNONYMS, fold="lower")
     out = raw.select(
         F.col("source_record_id"), parse_month(F.col("activity_month")).alias("activity_month"),
@@ -243,7 +307,7 @@ def stage_fuel_usage(raw: DataFrame) -> DataFrame:
     ftype, mismatch = factor_type(F.col("fuel_type"), F.col("activity_unit"))
     out = out.withColumns({"factor_type": ftype, "has_invalid_fuel_unit": mismatch, "scope": F.lit("Scope 1")})
     out = out.withColumns({
-        "has_negative_activity": F.coalesce(F.col("activity_amount") < 0, F.lit(False)),
+        "has_negative_activity": F.col("activity_amount") < 0,
         "has_missing_facility_id": F.col("facility_id").isNull() | (F.col("facility_id") == ""),
         "has_invalid_activity_month": F.col("activity_month").isNull(),
         "has_unparsed_amount": F.col("activity_amount").isNull(),
