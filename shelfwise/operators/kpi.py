@@ -395,14 +395,38 @@ def order_rates(sales: DataFrame, period: str = "month_start") -> DataFrame:
                     ratio("cogs", "net_sales").alias("cogs_pct_of_net"))
 
 
-def anomaly_flags(series: DataFrame, keys: Sequence[str], order: str, value: str, lookback: int = 7,
-                  z_threshold: float = 2.0) -> DataFrame:
-    """Rolling mean / sample std of the previous ``lookback`` rows, z-score, |z| > threshold."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-lookback, -1)
-    out = series.withColumns({"rolling_mean": F.avg(value).over(w), "rolling_std": F.stddev_samp(value).over(w),
-                              "rolling_n": F.count(value).over(w)})
-    z = F.when(F.col("rolling_std") > 0, (F.col(value) - F.col("rolling_mean")) / F.col("rolling_std"))
-    return out.withColumns({"z_score": z, "is_anomaly": F.coalesce(F.abs(z) > z_threshold, F.lit(False))})
+def operations_rates(shipments: DataFrame, inventory: DataFrame, labor: DataFrame, sales: DataFrame,
+                     period: str = "month_start") -> DataFrame:
+    """Fill, backorder, in-stock and overtime rates and labor cost share per period.
+
+    Each fact is summed to the period before the full join; a fact without rows in a period gives null rates.
+    """
+    ship = shipments.groupBy(period).agg(*[F.sum(c).alias(c) for c in ("requested_units", "shipped_units", "backordered_units")])
+    inv = inventory.groupBy(period).agg(F.avg(F.col("in_stock_flag").cast("int")).alias("in_stock_rate"))
+    lab = labor.groupBy(period).agg(*[F.sum(c).alias(c) for c in ("labor_hours", "overtime_hours", "labor_cost_amount")])
+    net = sales.groupBy(period).agg(F.sum("net_sales").alias("net_sales_amount"))
+    j = ship.join(inv, period, "full").join(lab, period, "full").join(net, period, "full")
+    return j.select(period, ratio("shipped_units", "requested_units").alias("fill_rate"),
+                    ratio("backordered_units", "requested_units").alias("backorder_rate"), "in_stock_rate",
+                    ratio("overtime_hours", F.col("labor_hours") + F.col("overtime_hours")).alias("overtime_rate"),
+                    ratio("labor_cost_amount", "net_sales_amount").alias("labor_cost_pct_net_sales"))
+
+
+def anomaly_flags(series: dict[str, DataFrame], lookback: int = 7, z_threshold: float = 2.0) -> DataFrame:
+    """Z-score of each metric value against the previous ``lookback`` values of its location.
+
+    ``series``: metric name -> (date_key, location_key, value), one row per day and location. Baselines are the mean and
+    sample deviation of the earlier values; a value is an anomaly if |z| > ``z_threshold``.
+    """
+    out = None
+    for name, df in series.items():
+        d = df.select(F.lit(name).alias("metric_name"), "date_key", F.col("location_key").cast("string").alias("location_key"),
+                      F.col("value").cast("double").alias("value"))
+        out = d if out is None else out.unionByName(d)
+    w = Window.partitionBy("metric_name", "location_key").orderBy("date_key").rowsBetween(-lookback, -1)
+    out = out.withColumns({"baseline_avg": F.avg("value").over(w), "__sd": F.stddev_samp("value").over(w)})
+    z = F.when(F.col("__sd") > 1e-9, (F.col("value") - F.col("baseline_avg")) / F.col("__sd"))  # a constant series has none
+    return out.withColumns({"z_score": z, "is_anomaly": F.coalesce(F.abs(z) > z_threshold, F.lit(False))}).drop("__sd")
 
 
 # Fixed words for the change against the previous month.

@@ -232,24 +232,70 @@ def q_k27(spark, d):
     return rounded(kpi.order_rates(model.sales_lines(Tables(spark, d))))
 
 
+# Role mapping of K27: a line's quantity is requested, a quarter of each returned line was backordered, and hours of an
+# employee-day beyond eight are overtime.
+K27O_SQL = f"""
+WITH {SALES_LINES}, {INVENTORY}, {ALIGNED_PAIRS},
+sh AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, SUM(l_quantity) AS req,
+              SUM(CASE WHEN l_returnflag = 'R' THEN 0.75 ELSE 1.0 END * l_quantity) AS shipped,
+              SUM(CASE WHEN l_returnflag = 'R' THEN 0.25 ELSE 0.0 END * l_quantity) AS back FROM lineitem GROUP BY 1),
+iv AS (SELECT month_start, AVG(CAST(COALESCE(in_stock_flag, on_hand_units > 0) AS INTEGER)) AS in_stock_rate FROM inventory GROUP BY 1),
+lb AS (SELECT CAST(date_trunc('month', work_date) AS DATE) AS month_start, SUM(least(hours_worked, 8.0)) AS h,
+              SUM(greatest(hours_worked - 8.0, 0.0)) AS o, SUM(hours_worked * {model.LABOR_RATE_PER_HOUR}) AS c FROM ed GROUP BY 1),
+sl AS (SELECT month_start, SUM(net_sales) AS net FROM sales_lines GROUP BY 1)
+SELECT month_start, round(shipped / NULLIF(req, 0), 4) AS fill_rate, round(back / NULLIF(req, 0), 4) AS backorder_rate,
+       round(in_stock_rate, 4) AS in_stock_rate, round(o / NULLIF(h + o, 0), 4) AS overtime_rate,
+       round(c / NULLIF(net, 0), 4) AS labor_cost_pct_net_sales
+FROM sh FULL JOIN iv USING (month_start) FULL JOIN lb USING (month_start) FULL JOIN sl USING (month_start)
+"""
+
+
+@query("k27_operations_rates", K27O_SQL)
+def q_k27_operations(spark, d):
+    t = Tables(spark, d)
+    qty = F.col("l_quantity")
+    back = F.when(F.col("l_returnflag") == "R", 0.25).otherwise(0.0)
+    ship = t.lineitem.select(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month_start"), qty.alias("requested_units"),
+                             ((1.0 - back) * qty).alias("shipped_units"), (back * qty).alias("backordered_units"))
+    inv = model.inventory(t).select("month_start", F.coalesce("in_stock_flag", F.col("on_hand_units") > 0).alias("in_stock_flag"))
+    h = F.col("hours_worked")
+    labor = history.labor_daily_employee(model.punches_aligned(t)).select(
+        F.trunc("work_date", "month").alias("month_start"), F.least(h, F.lit(8.0)).alias("labor_hours"),
+        F.greatest(h - 8.0, F.lit(0.0)).alias("overtime_hours"), (h * model.LABOR_RATE_PER_HOUR).alias("labor_cost_amount"))
+    return rounded(kpi.operations_rates(ship, inv, labor, model.sales_lines(t)))
+
+
 K28_SQL = f"""
-WITH {SALES_LINES},
-s AS (SELECT store_id, sale_date, SUM(net_sales) AS net_sales FROM sales_lines GROUP BY 1, 2),
-r AS (SELECT *, AVG(net_sales) OVER w AS rolling_mean, stddev_samp(net_sales) OVER w AS rolling_std,
-             COUNT(net_sales) OVER w AS rolling_n
-      FROM s WINDOW w AS (PARTITION BY store_id ORDER BY sale_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
-SELECT store_id, sale_date, round(net_sales, 4) AS net_sales, round(rolling_mean, 4) AS rolling_mean,
-       round(rolling_std, 4) AS rolling_std, rolling_n,
-       round(CASE WHEN rolling_std > 0 THEN (net_sales - rolling_mean) / rolling_std END, 4) AS z_score,
-       COALESCE(abs(CASE WHEN rolling_std > 0 THEN (net_sales - rolling_mean) / rolling_std END) > 2.0, FALSE) AS is_anomaly
-FROM r
+WITH {SALES_LINES}, {INVENTORY}, {ALIGNED_PAIRS}, {SALES_STORE_DAY},
+m AS (
+  SELECT 'gross_margin_pct' AS metric_name, sale_date AS date_key, CAST(store_id AS VARCHAR) AS location_key,
+         SUM(net_sales - cogs) / NULLIF(SUM(net_sales), 0) AS value FROM sales_lines GROUP BY 2, 3
+  UNION ALL
+  SELECT 'stockout_rate', snapshot_date, CAST(site_id AS VARCHAR),
+         CAST(count(*) FILTER (WHERE on_hand_units <= 0) AS DOUBLE) / COUNT(*) FROM inventory GROUP BY 2, 3
+  UNION ALL
+  SELECT 'net_sales_per_labor_hour', sd.work_date, sd.store_code, net_sales / NULLIF(labor_hours, 0)
+  FROM sd JOIN lab ON sd.work_date = lab.work_date AND sd.store_code = lab.store_code),
+r AS (SELECT *, AVG(value) OVER w AS baseline_avg, stddev_samp(value) OVER w AS dev
+      FROM m WINDOW w AS (PARTITION BY metric_name, location_key ORDER BY date_key ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+z AS (SELECT *, CASE WHEN dev > 1e-9 THEN (value - baseline_avg) / dev END AS z FROM r)
+SELECT metric_name, date_key, location_key, round(value, 4) AS value, round(baseline_avg, 4) AS baseline_avg, round(z, 4) AS z_score,
+       COALESCE(abs(z) > 2.0, FALSE) AS is_anomaly
+FROM z
 """
 
 
 @query("k28_anomaly_flags", K28_SQL)
 def q_k28(spark, d):
-    s = model.sales_lines(Tables(spark, d)).groupBy("store_id", "sale_date").agg(F.sum("net_sales").alias("net_sales"))
-    return rounded(kpi.anomaly_flags(s, ["store_id"], "sale_date", "net_sales"))
+    t = Tables(spark, d)
+    s = model.sales_lines(t)
+    margin = s.groupBy(F.col("sale_date").alias("date_key"), F.col("store_id").alias("location_key")).agg(
+        ratio(F.sum(F.col("net_sales") - F.col("cogs")), F.sum("net_sales")).alias("value"))
+    out = model.inventory(t).groupBy(F.col("snapshot_date").alias("date_key"), F.col("site_id").alias("location_key")).agg(
+        (F.count_if(F.col("on_hand_units") <= 0) / F.count(F.lit(1))).alias("value"))
+    productivity = _sales_day(t).join(_labor_day(t), ["work_date", "store_code"]).select(
+        F.col("work_date").alias("date_key"), F.col("store_code").alias("location_key"), ratio("net_sales", "labor_hours").alias("value"))
+    return rounded(kpi.anomaly_flags({"gross_margin_pct": margin, "stockout_rate": out, "net_sales_per_labor_hour": productivity}))
 
 
 K29_SQL = f"""
