@@ -67,6 +67,16 @@ def period_shift(agg: DataFrame, period: str, keys: Sequence[str], value: str, m
     return j.withColumn(f"{out}_growth_pct", ratio(F.col(value) - F.col(out), out))
 
 
+def ytd_growth(agg: DataFrame, period: str, keys: Sequence[str], value: str) -> DataFrame:
+    """Year-to-date total, the same months of the year before, and the growth between them.
+
+    ``agg`` has one row per month and keys; a month without its counterpart a year earlier has no growth.
+    """
+    w = Window.partitionBy(*keys, F.year(period)).orderBy(period).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ytd = agg.select(period, *keys, F.sum(value).over(w).alias(f"{value}_ytd"))
+    return period_shift(ytd, period, keys, f"{value}_ytd", 12, f"{value}_pytd")
+
+
 def month_index(c: Column) -> Column:
     return F.year(c) * 12 + F.month(c)
 
@@ -156,15 +166,17 @@ def seasonal_index(agg: DataFrame, period: str, value: str, by: Sequence[str] =
     return g.select(*by, F.col("__moy").alias("month_of_year"), ratio("__avg_moy", "__avg_all").alias("seasonal_index"))
 
 
-def distribution_velocity(sales: DataFrame, period: str, product: str, store: str, units: str = "units") -> DataFrame:
-    """Distribution % (selling stores ÷ active stores in the period), rate of sale, velocity."""
+def distribution_velocity(sales: DataFrame, period: str, product: str, store: str, units: str = "units",
+                          week: str = "week_start") -> DataFrame:
+    """Distribution % (selling stores ÷ active stores in the period), rate of sale, and unit velocity per store and
+    week (weeks in context: the distinct weeks of the period)."""
     sell = sales.filter(F.col(units) > 0)
     g = sell.groupBy(period, product).agg(F.count_distinct(store).alias("selling_stores"), F.sum(units).alias("units"))
-    tot = sales.groupBy(period).agg(F.count_distinct(store).alias("active_stores"))
+    tot = sales.groupBy(period).agg(F.count_distinct(store).alias("active_stores"), F.count_distinct(week).alias("weeks_in_context"))
     j = g.join(tot, period)
     return j.withColumns({"distribution_pct": ratio("selling_stores", "active_stores"),
                           "rate_of_sale": ratio("units", "selling_stores"),
-                          "velocity_per_store_week": ratio("units", F.col("selling_stores") * F.lit(1.0))})
+                          "velocity_per_store_week": ratio("units", F.col("selling_stores") * F.col("weeks_in_context"))})
 
 
 def pvm_vs_prior(sales: DataFrame, period: str, keys: Sequence[str], months: int = 1) -> DataFrame:

@@ -17,20 +17,21 @@ from .sql_facts import POS_CTE
 
 X4_SQL = f"""
 WITH {SALES_LINES},
-g AS (SELECT week_start, category, COUNT(DISTINCT store_id) AS selling_stores, SUM(units) AS units
+g AS (SELECT month_start, category, COUNT(DISTINCT store_id) AS selling_stores, SUM(units) AS units
       FROM sales_lines WHERE units > 0 GROUP BY 1, 2),
-t AS (SELECT week_start, COUNT(DISTINCT store_id) AS active_stores FROM sales_lines GROUP BY 1)
-SELECT week_start, category, selling_stores, round(units, 4) AS units, active_stores,
+t AS (SELECT month_start, COUNT(DISTINCT store_id) AS active_stores, COUNT(DISTINCT week_start) AS weeks_in_context
+      FROM sales_lines GROUP BY 1)
+SELECT month_start, category, selling_stores, round(units, 4) AS units, active_stores, weeks_in_context,
        round(CAST(selling_stores AS DOUBLE) / NULLIF(active_stores, 0), 4) AS distribution_pct,
        round(units / NULLIF(selling_stores, 0), 4) AS rate_of_sale,
-       round(units / NULLIF(selling_stores * 1.0, 0), 4) AS velocity_per_store_week
-FROM g JOIN t USING (week_start)
+       round(units / NULLIF(selling_stores * weeks_in_context, 0), 4) AS velocity_per_store_week
+FROM g JOIN t USING (month_start)
 """
 
 
 @query("x4_distribution_velocity", X4_SQL)
 def q_x4(spark, d):
-    return rounded(S.distribution_velocity(model.sales_lines(Tables(spark, d)), "week_start", "category", "store_id"))
+    return rounded(S.distribution_velocity(model.sales_lines(Tables(spark, d)), "month_start", "category", "store_id"))
 
 
 X13_SQL = f"""

@@ -82,6 +82,22 @@ def q_x6(spark, d):
     return rounded(a)
 
 
+X6Y_SQL = f"""
+WITH {SALES_LINES},
+a AS (SELECT month_start, state, SUM(net_sales) AS net_sales FROM sales_lines GROUP BY 1, 2),
+y AS (SELECT month_start, state, SUM(net_sales) OVER (PARTITION BY state, year(month_start) ORDER BY month_start) AS net_sales_ytd FROM a)
+SELECT c.month_start, c.state, round(c.net_sales_ytd, 4) AS net_sales_ytd, round(p.net_sales_ytd, 4) AS net_sales_pytd,
+       round((c.net_sales_ytd - p.net_sales_ytd) / NULLIF(p.net_sales_ytd, 0), 4) AS net_sales_pytd_growth_pct
+FROM y c LEFT JOIN y p ON p.state = c.state AND p.month_start = CAST(c.month_start - INTERVAL 12 MONTH AS DATE)
+"""
+
+
+@query("x6_ytd_growth", X6Y_SQL)
+def q_x6_ytd(spark, d):
+    a = S.evaluate(_sales(spark, d), ["month_start", "state"], {"net_sales": F.sum("net_sales")})
+    return rounded(S.ytd_growth(a, "month_start", ["state"], "net_sales"))
+
+
 X7_SQL = f"""
 WITH {SALES_LINES},
 a AS (SELECT month_start, category, SUM(net_sales) AS net_sales FROM sales_lines GROUP BY 1, 2)
@@ -247,15 +263,17 @@ WITH {SALES_LINES}, {INVENTORY}, {PAIRS_CTE},
 s AS (SELECT month_start, SUM(net_sales) AS net_sales, SUM(net_sales - cogs) AS gross_margin FROM sales_lines GROUP BY 1),
 dly AS (SELECT month_start, sale_date, SUM(net_sales) AS day_sales FROM sales_lines GROUP BY 1, 2),
 md AS (SELECT month_start, median(day_sales) AS median_daily_sales FROM dly GROUP BY 1),
-i AS (SELECT month_start, CAST(count(*) FILTER (WHERE on_hand_units > 0) AS DOUBLE) / COUNT(*) AS instock_rate
-      FROM inventory GROUP BY 1),
+i AS (SELECT month_start, CAST(count(*) FILTER (WHERE on_hand_units > 0) AS DOUBLE) / COUNT(*) AS instock_rate,
+             SUM(greatest(on_hand_units, 0.0)) AS on_hand FROM inventory GROUP BY 1),
+u AS (SELECT month_start, SUM(units) / day(last_day(month_start)) AS daily_units FROM sales_lines GROUP BY 1),
 l AS (SELECT CAST(date_trunc('month', work_date) AS DATE) AS month_start, SUM(minutes_worked) / 60.0 AS labor_hours
       FROM pm GROUP BY 1),
 k AS (SELECT month_start FROM s UNION SELECT month_start FROM i UNION SELECT month_start FROM l)
 SELECT k.month_start, round(net_sales, 4) AS net_sales, round(gross_margin, 4) AS gross_margin,
        round(median_daily_sales, 4) AS median_daily_sales, round(labor_hours, 4) AS labor_hours,
-       round(net_sales / NULLIF(labor_hours, 0), 4) AS sales_per_labor_hour, round(instock_rate, 4) AS instock_rate
-FROM k LEFT JOIN s USING (month_start) LEFT JOIN md USING (month_start) LEFT JOIN i USING (month_start)
+       round(net_sales / NULLIF(labor_hours, 0), 4) AS sales_per_labor_hour, round(instock_rate, 4) AS instock_rate,
+       round(on_hand / NULLIF(daily_units, 0), 4) AS days_of_supply
+FROM k LEFT JOIN u USING (month_start) LEFT JOIN s USING (month_start) LEFT JOIN md USING (month_start) LEFT JOIN i USING (month_start)
 LEFT JOIN l USING (month_start)
 """
 
@@ -264,19 +282,21 @@ LEFT JOIN l USING (month_start)
 def q_x20(spark, d):
     t = Tables(spark, d)
     s = model.sales_lines(t)
-    sm = s.groupBy("month_start").agg(F.sum("net_sales").alias("net_sales"),
+    sm = s.groupBy("month_start").agg(F.sum("net_sales").alias("net_sales"), F.sum("units").alias("units"),
                                       F.sum(F.col("net_sales") - F.col("cogs")).alias("gross_margin"))
     md = s.groupBy("month_start", "sale_date").agg(F.sum("net_sales").alias("day_sales")) \
         .groupBy("month_start").agg(F.median("day_sales").alias("median_daily_sales"))
     inv = model.inventory(t).groupBy("month_start").agg(
-        ratio(F.count_if(F.col("on_hand_units") > 0), F.count(F.lit(1))).alias("instock_rate"))
+        ratio(F.count_if(F.col("on_hand_units") > 0), F.count(F.lit(1))).alias("instock_rate"),
+        F.sum(F.greatest("on_hand_units", F.lit(0.0))).alias("on_hand"))
     lab = history.pair_events(model.punches(t)).groupBy(F.trunc("work_date", "month").alias("month_start")) \
         .agg((F.sum("minutes_worked") / 60.0).alias("labor_hours"))
     keys = sm.select("month_start").union(inv.select("month_start")).union(lab.select("month_start")).distinct()
     j = keys.join(sm, "month_start", "left").join(md, "month_start", "left").join(inv, "month_start", "left") \
         .join(lab, "month_start", "left")
     return rounded(j.select("month_start", "net_sales", "gross_margin", "median_daily_sales", "labor_hours",
-                            ratio("net_sales", "labor_hours").alias("sales_per_labor_hour"), "instock_rate"))
+                            ratio("net_sales", "labor_hours").alias("sales_per_labor_hour"), "instock_rate",
+                            ratio("on_hand", ratio("units", F.dayofmonth(F.last_day("month_start")))).alias("days_of_supply")))
 
 
 X21_SQL = f"""
