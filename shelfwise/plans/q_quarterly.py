@@ -1,4 +1,6 @@
-"""Quarterly text extracts beyond retail sales (H11): finance actuals, inventory, trade adjustments, wholesale sales.
+"""Quarterly text extracts beyond retail sales (H11) and canonical feeds.
+
+The extracts: finance actuals, inventory, trade adjustments, wholesale sales.
 
 Each is rendered as text from the test tables (blank keys by key parity, so that trimming has work to do) and typed
 by ``staging.stage_text_casts``; the SQL spells the same rendering and the same casts.
@@ -8,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import staging
+from ..operators import staging, standardize
 from ..sources.testdata import Tables
 from .registry import query, rounded
 
@@ -134,3 +136,60 @@ def q_wholesale(spark, d):
         F.when(k % 29 == 0, F.lit("")).otherwise(_whole(qty)).alias("cases_sold"), _whole(qty * 10).alias("gross_sales"),
         F.concat(_whole(qty * 9), F.lit(".10")).alias("net_sales"))
     return rounded(staging.stage_text_casts(x, {"week_end_date": "date", "cases_sold": "int", "gross_sales": "double", "net_sales": "double"}))
+
+
+# Feeds with drifted headers. Sales come as POS-like text without net amounts, the ledger with debit and credit.
+C26_SALES_SQL = """
+WITH x AS (
+  SELECT CASE WHEN l_orderkey % 2 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') ELSE strftime(CAST(o_orderdate AS DATE), '%m/%d/%Y') END AS d,
+         CAST(o_custkey AS VARCHAR) AS store_id, CAST(l_partkey AS VARCHAR) AS sku,
+         CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ' ea' END AS q,
+         CAST(l_partkey % 50 AS VARCHAR) || '.50' AS p, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE '0.25' END AS r,
+         CAST(l_orderkey AS VARCHAR) AS transaction_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+t AS (
+  SELECT CAST(CASE WHEN regexp_matches(d, '^\\d{4}') THEN try_strptime(d, '%Y-%m-%d') ELSE try_strptime(d, '%m/%d/%Y') END AS DATE) AS sale_date,
+         store_id, sku, TRY_CAST(NULLIF(regexp_replace(q, '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE) AS qty, CAST(p AS DOUBLE) AS unit_list_price,
+         CAST(r AS DOUBLE) AS discount_rate, transaction_id FROM x),
+u AS (SELECT *, unit_list_price * (1 - COALESCE(discount_rate, 0.0)) AS unit_net_price FROM t),
+v AS (SELECT *, qty * unit_net_price AS net_sales_amount, qty * unit_list_price AS gross_sales_amount FROM u)
+SELECT sale_date, store_id, sku, CAST(NULL AS VARCHAR) AS product_name, CAST(NULL AS VARCHAR) AS channel, round(qty, 4) AS qty,
+       round(unit_list_price, 4) AS unit_list_price, round(discount_rate, 4) AS discount_rate, round(unit_net_price, 4) AS unit_net_price,
+       round(gross_sales_amount, 4) AS gross_sales_amount, round(gross_sales_amount - net_sales_amount, 4) AS discount_amount,
+       round(net_sales_amount, 4) AS net_sales_amount, CAST(NULL AS DOUBLE) AS cogs_amount, CAST(NULL AS VARCHAR) AS order_count,
+       CAST(NULL AS VARCHAR) AS customer_count, transaction_id, CAST(NULL AS VARCHAR) AS transaction_ts, 'pos' AS source_system FROM v
+"""
+
+
+@query("c26_standard_sales", C26_SALES_SQL)
+def q_c26_sales(spark, d):
+    t = Tables(spark, d)
+    k, date = F.col("l_orderkey"), F.col("o_orderdate")
+    feed = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity") \
+        .join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), k == F.col("o_orderkey")).select(
+        F.when(k % 2 == 0, F.date_format(date, "yyyy-MM-dd")).otherwise(F.date_format(date, "MM/dd/yyyy")).alias("Txn Date"),
+        F.col("o_custkey").alias("Store Code"), F.col("l_partkey").alias("Product-SKU"),
+        F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.concat(_whole(F.col("l_quantity")), F.lit(" ea"))).alias("UNITS SOLD"),
+        F.concat((F.col("l_partkey") % 50).cast("string"), F.lit(".50")).alias("unit price"),
+        F.when(k % 5 != 0, F.lit("0.25")).alias("discount_pct"), k.alias("TXN_ID"))
+    return rounded(standardize.standardize(feed, "sales", "pos"))
+
+
+C26_GL_SQL = """
+SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS period, CAST(o_orderdate AS DATE) AS posting_date, 'L' || CAST(o_custkey % 8 AS VARCHAR) AS location_code,
+       left(o_orderpriority, 1) AS account_code, CAST(NULL AS VARCHAR) AS account_name,
+       CASE WHEN o_orderstatus <> 'F' THEN CAST(floor(o_totalprice) AS DOUBLE) END AS debit_amount,
+       CASE WHEN o_orderstatus = 'F' THEN CAST(floor(o_totalprice) AS DOUBLE) END AS credit_amount,
+       round(COALESCE(CASE WHEN o_orderstatus <> 'F' THEN floor(o_totalprice) END, 0) - COALESCE(CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) END, 0), 4) AS net_amount,
+       'gl' AS source_system FROM orders
+"""
+
+
+@query("c26_standard_gl", C26_GL_SQL)
+def q_c26_gl(spark, d):
+    date, paid = F.col("o_orderdate"), F.col("o_orderstatus") == "F"
+    amount = F.concat(F.lit("$"), _whole(F.floor("o_totalprice")))
+    feed = Tables(spark, d).orders.select(
+        F.date_format(date, "yyyy-MM").alias("Period"), F.date_format(date, "MM/dd/yyyy").alias("Posting Date"),
+        F.concat(F.lit("L"), (F.col("o_custkey") % 8).cast("string")).alias("LocationCode"),
+        F.substring("o_orderpriority", 1, 1).alias("account code"), F.when(~paid, amount).alias("Debit Amount"), F.when(paid, amount).alias("Credit-Amount"))
+    return rounded(standardize.standardize(feed, "gl", "gl"))
