@@ -230,6 +230,38 @@ def by_factor_version(fact: DataFrame) -> DataFrame:
         F.sum("metric_tons_co2e").alias("t_co2e"))
 
 
+TRACE_COLUMNS = ("activity_id", "source_system", "source_record_id", "evidence_reference", "activity_month", "scope", "facility_id",
+                 "product_line_id", "activity_category", "activity_amount", "activity_unit", "factor_id", "factor_version",
+                 "metric_tons_co2e", "qa_status_label")
+EXCLUSION_FLAGS = ("has_negative_activity", "has_missing_facility_id", "has_missing_product_line_id", "has_invalid_activity_month",
+                   "has_unknown_activity_type", "has_missing_facility_join", "has_missing_product_line_join", "has_missing_factor_join")
+
+
+def reportable_evidence(fact: DataFrame) -> DataFrame:
+    """Reportable rows with their source and factor evidence."""
+    return fact.filter("is_reportable_emissions_row").select(*TRACE_COLUMNS, "source_authority", "factor_value_kg_co2e_per_unit")
+
+
+def excluded_rows(fact: DataFrame) -> DataFrame:
+    """Rows left out of the report, with every reason flag."""
+    return fact.filter(~F.col("is_reportable_emissions_row")).select(*TRACE_COLUMNS, *EXCLUSION_FLAGS)
+
+
+def factor_usage(fact: DataFrame) -> DataFrame:
+    """Reportable emissions by the factor that made them."""
+    return fact.filter("is_reportable_emissions_row").groupBy(
+        "scope", "factor_type", "activity_unit", "grid_region", "factor_id", "factor_version", "source_authority").agg(
+        F.count(F.lit(1)).alias("rows_using_factor"), F.sum("metric_tons_co2e").alias("metric_tons_co2e"))
+
+
+def source_activity_summary(fact: DataFrame) -> DataFrame:
+    """Rows and reportable emissions by source system and activity."""
+    rep = F.col("is_reportable_emissions_row")
+    return fact.groupBy("source_system", "scope", "activity_category", "activity_unit").agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_if(rep).alias("reportable_rows"), F.count_if(~rep).alias("non_reportable_rows"),
+        F.sum(F.when(rep, F.col("metric_tons_co2e"))).alias("reportable_metric_tons_co2e"))
+
+
 # Fixed words: electricity units, and the factor type of each shipping mode and packaging material.
 KWH_WORDS = ("kwh", "kw hrs", "kwhrs", "kilowatt hour", "kilowatt hours")
 SHIPPING_FACTORS = {"truck": "freight_truck_ton_mile", "air": "freight_air_ton_mile"}

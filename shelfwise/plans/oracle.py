@@ -302,7 +302,7 @@ act AS (
 matched AS (
   SELECT a.*, f.grid_region, pl.product_line_id IS NOT NULL AS pl_found, f.facility_id IS NOT NULL AS fac_found,
          upper(left(pl.pt, 1)) || lower(substr(pl.pt, 2)) AS product_line_name,
-         ef.factor_id, ef.factor_version, ef.factor_value_kg_co2e_per_unit
+         ef.factor_id, ef.factor_version, ef.factor_value_kg_co2e_per_unit, ef.source_authority
   FROM act a LEFT JOIN facilities f ON a.facility_id = f.facility_id
   LEFT JOIN product_lines pl ON a.product_line_id = pl.product_line_id
   LEFT JOIN factors ef ON a.factor_type = ef.factor_type AND a.activity_unit = ef.activity_unit

@@ -140,3 +140,46 @@ FROM fact GROUP BY 1, 2, 3
 @query("e6_emissions_by_factor_version", E6_SQL)
 def q_e6(spark, d):
     return rounded(E.by_factor_version(ghg.fact(Tables(spark, d))))
+
+
+_TRACE = ", ".join(f"round({c}, 4) AS {c}" if c in ("activity_amount", "metric_tons_co2e") else c for c in E.TRACE_COLUMNS)
+E6_REPORTABLE_SQL = f"""
+WITH {GHG}
+SELECT {_TRACE}, source_authority, round(factor_value_kg_co2e_per_unit, 4) AS factor_value_kg_co2e_per_unit
+FROM fact WHERE is_reportable_emissions_row
+"""
+E6_EXCLUDED_SQL = f"WITH {GHG} SELECT {_TRACE}, {', '.join(E.EXCLUSION_FLAGS)} FROM fact WHERE NOT is_reportable_emissions_row"
+E6_FACTOR_SQL = f"""
+WITH {GHG}
+SELECT scope, factor_type, activity_unit, grid_region, factor_id, factor_version, source_authority, COUNT(*) AS rows_using_factor,
+       round(SUM(metric_tons_co2e), 4) AS metric_tons_co2e
+FROM fact WHERE is_reportable_emissions_row GROUP BY ALL
+"""
+E6_SOURCE_SQL = f"""
+WITH {GHG}
+SELECT source_system, scope, activity_category, activity_unit, COUNT(*) AS total_rows,
+       count(*) FILTER (WHERE is_reportable_emissions_row) AS reportable_rows,
+       count(*) FILTER (WHERE NOT is_reportable_emissions_row) AS non_reportable_rows,
+       round(SUM(metric_tons_co2e) FILTER (WHERE is_reportable_emissions_row), 4) AS reportable_metric_tons_co2e
+FROM fact GROUP BY ALL
+"""
+
+
+@query("e6_reportable_evidence", E6_REPORTABLE_SQL)
+def q_e6_reportable(spark, d):
+    return rounded(E.reportable_evidence(ghg.fact(Tables(spark, d))))
+
+
+@query("e6_excluded_rows", E6_EXCLUDED_SQL)
+def q_e6_excluded(spark, d):
+    return rounded(E.excluded_rows(ghg.fact(Tables(spark, d))))
+
+
+@query("e6_factor_usage", E6_FACTOR_SQL)
+def q_e6_factor(spark, d):
+    return rounded(E.factor_usage(ghg.fact(Tables(spark, d))))
+
+
+@query("e6_source_activity", E6_SOURCE_SQL)
+def q_e6_source(spark, d):
+    return rounded(E.source_activity_summary(ghg.fact(Tables(spark, d))))
