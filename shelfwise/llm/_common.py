@@ -70,6 +70,7 @@ def steps(batch: pa.RecordBatch, text_col: str, max_bytes: int = STEP_BYTES) ->
         hi = max(lo + 1, int(np.searchsorted(size, size[lo] + max_bytes, "right")) - 1)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))

@@ -35,7 +35,7 @@ MAX_DISTANCE = 18
 KEY_BLOCK = 2000
 # Shingles of a block at most, on average, where sets are brought along.
 KEY_SHINGLES = 1_000_000
-PAIRS_AT_ONCE = 200_000
+PAIRS_AT_ONCE = 100_000
 # Partners of a document that are confirmed first.
 NEAREST = 4
 # Ids that are broadcast at most (8 bytes each); beyond, the join is a shuffle.
@@ -247,6 +247,14 @@ def _links_in_groups(grouped: DataFrame, similarity: tuple[int, int]) -> DataFra
     num, den = similarity
 
     def answer(t: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        upto = np.concatenate([[0], np.cumsum(t.column("n").to_numpy())])[bounds]
+        at = 0
+        while at < len(bounds) - 1:  # some groups at a time, so that few shingles are ranked at once
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + KEY_SHINGLES, "right")) - 1)
+            yield from links(t.slice(bounds[at], bounds[end] - bounds[at]), bounds[at:end + 1] - bounds[at])
+            at = end
+
+    def links(t: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         data, offsets = _binary(t.column("shingles").combine_chunks())
         size = np.diff(offsets) // 8
         at = offsets[:-1] // 8
