@@ -8,8 +8,8 @@
    such pair meets under some key whatever component differs.
 3. Texts with equal sets are one class, represented by the smallest id; only classes are joined.
 4. Signatures that share a key are compared in groups of bounded size. At first only the few nearest partners of every
-   member are confirmed, and their links merged into components. Then all near pairs that are still in different
-   components are confirmed inside their group, which returns links only. So thousands of near copies of one text
+   member are confirmed, and their links merged into components. Then all pairs that are still in different
+   components are confirmed inside their group, whatever their distance; the group returns links only. So thousands of near copies of one text
    cost a multiple of their number in rows, not its square, and no link between components is skipped.
 5. A pair counts as a link only if the full sets confirm the similarity.
 """
@@ -29,8 +29,8 @@ from .graph import components
 
 CHUNKS, WIDTH, BITS, ERRORS = 8, 5, 16, 1
 COMPONENTS = CHUNKS * WIDTH
-# Candidates further apart than this are not confirmed. At similarity 0.8 the mean is 8 and 18 is four deviations above it.
-MAX_DISTANCE = 18
+# First links are sought up to this distance, so that few rows leave the groups; after them, pairs of any distance are confirmed.
+FIRST_DISTANCE = 18
 # Rows of a key that are compared in one group with each other; more make several groups.
 KEY_BLOCK = 2000
 # Shingles of a block at most, on average, where sets are brought along.
@@ -184,9 +184,10 @@ def _group_bounds(t: pa.Table) -> np.ndarray:
 
 def _near_pairs(t: pa.Table, bounds: np.ndarray, similarity: tuple[int, int], within: bool
                 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, distance) of near members of a group whose first shared key is the group's, some rows i at a time.
+    """(i, j, distance) of members of a group whose first shared key is the group's, some rows i at a time.
 
-    With ``within`` all pairs come from both sides; else only those of different components, once.
+    With ``within`` the pairs up to FIRST_DISTANCE come from both sides; else all of different components, once.
+    Only sizes that rule the similarity out leave a pair out of the latter.
     """
     num, den = similarity
     sig = _sig_matrix(t.column("sig").combine_chunks())
@@ -210,7 +211,9 @@ def _near_pairs(t: pa.Table, bounds: np.ndarray, similarity: tuple[int, int], wi
         chunk = (wrong <= ERRORS).argmax(1)
         row = np.arange(len(i))
         out = np.where(wrong[row, chunk] == 0, 0, same[row, chunk].argmin(1))
-        use = (distance <= MAX_DISTANCE) & (chunk * WIDTH + out == k[i])
+        use = chunk * WIDTH + out == k[i]
+        if within:
+            use &= distance <= FIRST_DISTANCE
         yield i[use], j[use], distance[use]
 
 
@@ -231,7 +234,7 @@ def _nearest_pairs(grouped: DataFrame, similarity: tuple[int, int]) -> DataFrame
 
 
 def _undecided_members(grouped: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """(key, lo, hi, id): members that have a near partner of another component in the group."""
+    """(key, lo, hi, id): members that have a partner of another component in the group."""
     def answer(t: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         some = np.zeros(t.num_rows, bool)
         for i, j, _ in _near_pairs(t, bounds, similarity, within=False):
@@ -243,7 +246,7 @@ def _undecided_members(grouped: DataFrame, similarity: tuple[int, int]) -> DataF
 
 
 def _links_in_groups(grouped: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """(a, b): near pairs of different components whose full sets (column shingles) reach the similarity."""
+    """(a, b): pairs of different components whose full sets (column shingles) reach the similarity."""
     num, den = similarity
 
     def answer(t: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -343,20 +346,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     sides = first.select(F.col("a").alias("id"), pair).unionByName(first.select(F.col("b").alias("id"), pair))
     best = sides.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("p"))).filter(F.col("r") <= NEAREST)
     best = written(best.select("p.a", "p.b").distinct(), "best")
-    # Whoever has a near partner is in one of the best pairs.
     ids = written(best.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     sets = _sets(docs, ids, words)
     links = written(_confirmed(best, sets, similarity), "links")
     comp = components(links).withColumnRenamed("node", "id")
 
-    # The rest: every near pair that the first links leave in different components. Only members of such
+    # The rest: every pair that the first links leave in different components. Only members of such
     # pairs bring their sets to the group, and only links leave it.
     placed = members.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component", "blocks")
     split = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("m"),
                                       F.sum("n").alias("shingles")).filter("c1 < c2") \
         .select("key", F.ceil(F.greatest(F.col("m") / KEY_BLOCK, F.col("shingles") / KEY_SHINGLES)).cast("int").alias("blocks"))
     rest = written(_blocked(placed.join(split, "key")), "rest")
-    undecided = _undecided_members(rest, similarity)
+    undecided = written(_undecided_members(rest, similarity), "undecided")
+    others = written(undecided.select("id").distinct().join(ids, "id", "left_anti"), "others")
+    sets = sets.unionByName(_sets(docs, others, words))
     rest = rest.join(undecided, ["key", "lo", "hi", "id"]).join(sets, "id")
     more = written(_links_in_groups(rest, similarity), "more")
     comp = components(links.unionByName(more)).withColumnRenamed("node", "id")

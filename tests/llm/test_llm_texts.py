@@ -85,6 +85,18 @@ def test_near_duplicates_take_awkward_rows(spark):
     assert minhash.drop_near_duplicates(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("nearest", [4, 1])
+def test_near_duplicates_link_sets_whose_signatures_are_far_apart(spark, monkeypatch, nearest):
+    monkeypatch.setattr(minhash, "NEAREST", nearest)
+    # Similarity exactly 8/10 at signature distance 21; the only link between (0, 1) and (2, 3).
+    x, y = (" ".join(f"w{1131190 + j}" for j in range(lo, lo + 9)) for lo in (0, 1))
+    texts = [x, x + " left", y, y + " right"]
+    sig = minhash.signatures(*minhash.shingle_sets(pa.array(texts), 1))
+    assert (sig[0] != sig[2]).sum() == 21 and (minhash.chunk_keys(sig[:1]) == minhash.chunk_keys(sig[2:3])).any()
+    got = minhash.near_duplicates(spark.createDataFrame(rows(texts), SCHEMA), words=1).collect()
+    assert [r.component_id for r in sorted(got, key=lambda r: r.doc_id)] == [0, 0, 0, 0]
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (None, 3), (9, 8), (8, 9)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
