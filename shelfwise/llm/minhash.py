@@ -6,7 +6,7 @@
 2. By the pigeonhole principle, signatures within distance ``CHUNKS * (ERRORS + 1) - 1`` share a chunk with at most
    ``ERRORS`` = 1 differing component. All forms of a chunk with one component left out are enumerated as keys, so that each
    such pair meets under some key whatever component differs.
-3. Texts with equal sets are one class, represented by the smallest id; only classes are joined.
+3. Texts with equal sets are one class, numbered and named by its smallest id; only classes are joined.
 4. Signatures that share a key are compared in groups of bounded size. At first only the few nearest partners of every
    member are confirmed, and their links merged into components. Then all pairs that are still in different
    components are confirmed inside their group, whatever their distance; the group returns links only. So thousands of near copies of one text
@@ -38,7 +38,7 @@ KEY_SHINGLES = 1_000_000
 PAIRS_AT_ONCE = 100_000
 # Partners of a document that are confirmed first.
 NEAREST = 4
-# Ids that are broadcast at most (8 bytes each); beyond, the join is a shuffle.
+# Ids that are broadcast at most (40 bytes each); beyond, the join is a shuffle.
 BROADCAST_IDS = 1_000_000
 _RNG = np.random.Generator(np.random.PCG64(7))
 _A = _RNG.integers(1, 1 << 63, COMPONENTS, dtype=np.uint64) | np.uint64(1)
@@ -112,18 +112,19 @@ def _bytes_rows(matrix: np.ndarray) -> pa.Array:
 
 
 def signature_table(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, sig) of every row of docs."""
+    """(doc_id, text_hash, n_shingles, set_a, set_b, sig) of every row of docs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, "text"):
                 hashes, bounds = shingle_sets(part.column("text"), words)
                 a, b = _set_key(hashes, bounds)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"), "n_shingles": np.diff(bounds), "set_a": a, "set_b": b,
+                    "doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"),
+                    "n_shingles": np.diff(bounds), "set_a": a, "set_b": b,
                     "sig": _bytes_rows(signatures(hashes, bounds))})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text") \
+        .mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, sig binary")
 
 
 def _keyed(classes: DataFrame) -> DataFrame:
@@ -283,22 +284,25 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return arrow_text(column.cast(pa.large_binary()).view(pa.large_string()))
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(id, shingles) of the documents named by ``ids``; a repeated id gives one of its texts."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    # Eight bytes an id: broadcast up to a counted bound, a shuffle join beyond it.
-    few = ids.count() <= BROADCAST_IDS
-    texts = texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+def _sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of ``classes`` (id, doc_id, n_shingles, set_a, set_b), from the rows of doc_id that have that set."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # A few numbers a class: broadcast up to a counted bound, a shuffle join beyond it.
+    few = classes.count() <= BROADCAST_IDS
+    texts = texts.join(F.broadcast(classes) if few else classes, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, "text"):
                 hashes, bounds = shingle_sets(part.column("text"), words)
+                own = np.diff(bounds) == part.column("n_shingles").to_numpy(False)
+                for c, x in zip(("set_a", "set_b"), _set_key(hashes, bounds), strict=True):
+                    own &= part.column(c).to_numpy(False) == x
                 raw = hashes.tobytes()
-                yield pa.RecordBatch.from_pydict({"id": part.column("id"), "shingles": pa.array(
-                    [raw[8 * lo:8 * hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"id": part.column("id").filter(pa.array(own)), "shingles": pa.array(
+                    [raw[8 * bounds[i]:8 * bounds[i + 1]] for i in np.flatnonzero(own)], pa.binary())})
 
-    return written(texts.mapInArrow(run, "id long, shingles binary"), "sets")
+    return written(texts.select("id", "n_shingles", "set_a", "set_b", "text").mapInArrow(run, "id long, shingles binary"), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -326,14 +330,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
 
     ``similarity`` is (numerator, denominator) of the least Jaccard similarity of linked sets.
     ``component_id`` is the smallest doc_id reachable by links. Null and empty texts have no shingles and link with nothing;
-    repeated rows are one class; rows that share an id are one document; a null id has a null
-    component and is kept; an empty table gives no rows.
+    repeated rows are one class; rows that share an id but not the set are decided each by its own set; a null id
+    has a null component and is kept; an empty table gives no rows.
     """
+    return _found(docs, words, similarity).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _found(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
+    """The result of ``near_duplicates`` with text_hash, set_a and set_b of every row."""
     table = written(signature_table(docs, words), "signatures")
     key = ["set_a", "set_b", "n_shingles"]
     classes = table.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()) \
-        .groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
-    classes = written(classes, "classes")
+        .groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
+    # Numbered, as different sets can come under one doc_id.
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    named = classes.select("id", "doc_id", *key)
     keyed = written(_keyed(classes), "keys")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     carried = classes.select("id", F.col("n_shingles").alias("n"), "sig")
@@ -347,7 +358,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     best = sides.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("p"))).filter(F.col("r") <= NEAREST)
     best = written(best.select("p.a", "p.b").distinct(), "best")
     ids = written(best.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    sets = _sets(docs, ids, words)
+    sets = _sets(docs, named.join(ids, "id"), words)
     links = written(_confirmed(best, sets, similarity), "links")
     comp = components(links).withColumnRenamed("node", "id")
 
@@ -360,32 +371,44 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     rest = written(_blocked(placed.join(split, "key")), "rest")
     undecided = written(_undecided_members(rest, similarity), "undecided")
     others = written(undecided.select("id").distinct().join(ids, "id", "left_anti"), "others")
-    sets = sets.unionByName(_sets(docs, others, words))
+    sets = sets.unionByName(_sets(docs, named.join(others, "id"), words))
     rest = rest.join(undecided, ["key", "lo", "hi", "id"]).join(sets, "id")
     more = written(_links_in_groups(rest, similarity), "more")
     comp = components(links.unionByName(more)).withColumnRenamed("node", "id")
 
-    of_class = classes.join(comp, "id", "left").select(*key, F.coalesce("component", "id").alias("component"))
+    placed = named.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = placed.groupBy("component").agg(F.min(F.struct("doc_id", *key, "id")).alias("least"))
+    of_class = placed.join(least, "component").select(
+        *key, F.col("least.doc_id").alias("component"), (F.col("least.id") == F.col("id")).alias("own"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return table.join(of_class, key, "left").select("doc_id", "n_shingles", component.alias("component_id")) \
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    first = (F.col("doc_id") == F.col("component_id")) & F.coalesce("own", F.lit(True))
+    return table.join(of_class, key, "left").withColumn("component_id", component) \
+        .withColumn("kept", F.col("doc_id").isNull() | first) \
+        .select("doc_id", "text_hash", *key, "component_id", "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8, 10)) -> DataFrame:
     """``docs`` with one document of every group left: the one with the smallest id.
 
-    Documents without shingles stay. Of rows that share an id, the first by text hash stays.
+    Documents without shingles stay. Of rows that share an id and a set, the first by text hash stays.
     """
-    found = near_duplicates(docs, words, similarity)
-    gone = written(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    found = written(_found(docs, words, similarity), "found")
+    full = found.filter("doc_id is not null and n_shingles > 0")
+    key = ["doc_id", "set_a", "set_b", "n_shingles"]
+    # Other texts of a kept set under its id, as "One" and "one".
+    texts = full.filter("kept").groupBy(*key).agg(F.min("text_hash").alias("first"), F.max("text_hash").alias("last")) \
+        .filter("first < last").drop("last")
+    others = full.filter("kept").join(texts, key).filter("text_hash > first")
+    named = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")]
+    gone = written(full.filter(~F.col("kept")).select(*named).unionByName(others.select(*named)).distinct(), "gone")
     few = gone.count() <= BROADCAST_IDS
-    left = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
-    twice = written(found.filter("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias("_id"))
-                    .agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("_id"), "repeated")
+    same = (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_text"))
+    left = docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
+    twice = full.filter("kept").groupBy(*named).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").drop("_rows")
+    twice = written(twice.join(gone, ["_id", "_text"], "left_anti"), "repeated")
     if twice.isEmpty():
         return left
-    marked = left.join(twice, left["doc_id"].cast("long") == F.col("_id"), "left")
-    first = Window.partitionBy("doc_id").orderBy(F.length(F.trim("text")) == 0, F.xxhash64("text"))
-    again = marked.filter("_id is not null").withColumn("_row", F.row_number().over(first)) \
-        .filter((F.col("_row") == 1) | F.coalesce(F.length(F.trim("text")) == 0, F.lit(True)))
+    marked = left.join(twice, same, "left")
+    again = marked.filter("_id is not null") \
+        .withColumn("_row", F.row_number().over(Window.partitionBy("_id", "_text").orderBy("text"))).filter("_row = 1")
     return marked.filter("_id is null").select(*docs.columns).unionByName(again.select(*docs.columns))

@@ -97,6 +97,15 @@ def test_near_duplicates_link_sets_whose_signatures_are_far_apart(spark, monkeyp
     assert [r.component_id for r in sorted(got, key=lambda r: r.doc_id)] == [0, 0, 0, 0]
 
 
+def test_near_duplicates_decide_rows_that_share_an_id_by_their_own_text(spark):
+    a, b, c, d = (" ".join(f"{x}{j}" for j in range(20)) for x in "abcd")
+    texts = [(1, a), (5, a + " more"), (5, b), (5, None), (7, c), (7, d), (7, d.upper()), (7, d), (9, c + " more"), (3, d + " more"),
+             (8, b + " x"), (8, b + " y")]
+    docs = spark.createDataFrame([(i,) + r[1:] for (i, _), r in zip(texts, rows([t for _, t in texts]))], SCHEMA)
+    left = [(r.doc_id, r.text) for r in minhash.drop_near_duplicates(docs, words=2).collect()]
+    assert sorted(left, key=str) == sorted([(1, a), (5, b), (5, None), (7, c), (3, d + " more")], key=str)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (None, 3), (9, 8), (8, 9)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
