@@ -1,8 +1,8 @@
 """Token counts by prefix dynamic programming.
 
 A text is normalised and cut into words as the tokenizer file says. For every word a dynamic program over its
-positions stores the exact token count of each prefix (see ``_bpe``); running sums over the words then give the exact
-count at every prefix of the text, so that totals, budgets and cut points are answered without encoding again.
+positions gives the exact token count of each prefix (see ``_bpe``). Counts at word ends are kept; running sums over the
+words give totals, and a cut point needs one more relaxation, of the word that passes the budget.
 
 Words are counted once per batch of texts, all positions of all new words at a time, and kept for later batches up to
 ``KEPT_WORDS``. The tokenizer's file is a parameter; its vocabulary is read in each worker.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from pathlib import Path
@@ -191,31 +192,41 @@ class WordTokenizer:
         byte_at = np.cumsum(width) - width
         return self.prefixes(raw, byte_at[to], byte_at[mark] - byte_at[to])[1]
 
-    def prefix_table(self, text: str) -> tuple[str, np.ndarray, np.ndarray]:
-        """(normalised text, ends, counts): exact token counts of the prefixes that end with each word."""
-        text, specials = self.normalised(text)
-        if specials:
-            raise ValueError("cut points are not defined for texts with special strings")
-        codes = _codes(text)
+    def prefix_table(self, text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+        """(normalised text, starts, ends, counts): exact token counts of the prefixes that end with each word or special string.
+
+        Special strings stay as they are in the normalised text and are one token each.
+        """
+        parts = re.split("(" + "|".join(map(re.escape, self.special)) + ")", text) if self.special else [text]
+        parts[::2] = [self.normalised(p)[0] for p in parts[::2]]
+        size = np.array([len(p) for p in parts], np.int64)
+        codes = _codes("".join(" " * len(p) if i % 2 else p for i, p in enumerate(parts)))
         starts, ends = self.words(codes)
-        return text, ends, np.cumsum(self.count_words(codes, starts, ends))
+        special = np.cumsum(size)[1::2]
+        counts = np.append(self.count_words(codes, starts, ends), np.ones(len(special), np.int64))
+        starts, ends = np.append(starts, special - size[1::2]), np.append(ends, special)
+        order = np.argsort(starts)
+        return "".join(parts), starts[order], ends[order], np.cumsum(counts[order])
 
     def cut(self, text: str, budget: int) -> str:
         """The longest prefix of the normalised text with at most ``budget`` tokens."""
-        text, ends, counts = self.prefix_table(text)
+        text, starts, ends, counts = self.prefix_table(text)
         w = int(np.searchsorted(counts, budget, "right"))
         if w == len(ends):
             return text
+        start, left = int(starts[w]), budget - (int(counts[w - 1]) if w else 0)
+        if left <= 0:
+            return text[:start]
         # Inside the word that passes the budget: the counts of all of its prefixes.
-        codes = _codes(text)
-        start = int(self.words(codes)[0][w])
-        left = budget - (int(counts[w - 1]) if w else 0)
-        best = start
-        for end in range(start + 1, int(ends[w])):
-            s, e = self.words(codes[start:end])
-            if int(self.count_words(codes[start:end], s, e).sum()) <= left:
-                best = end
-        return text[:best]
+        word = text[start:int(ends[w])]
+        raw = word.encode()
+        upto = np.cumsum([len(c.encode()) for c in word])
+        inside = self.prefixes(raw, np.array([0]), np.array([len(raw)]), every=True)[1][upto - 1]
+        if len(word) == 3 and word in ("'re", "'ve", "'ll"):  # two words without their last letter
+            codes = _codes(word[:2])
+            inside[1] = self.count_words(codes, *self.words(codes)).sum()
+        fits = np.flatnonzero(inside[:-1] <= left)
+        return text[:start + int(fits[-1]) + 1 if len(fits) else start]
 
 
 class _Prefix:

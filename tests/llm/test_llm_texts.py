@@ -151,6 +151,26 @@ def test_every_prefix_has_its_exact_count():
             assert len(normal[:longer].rstrip()) == len(cut.rstrip())
 
 
+def test_cut_takes_special_strings_and_prefixes_of_contractions():
+    tokenizers = pytest.importorskip("tokenizers")
+    path = vocabulary("word_bpe_49k.json")
+    lib, own = tokenizers.Tokenizer.from_file(path), token_counts.WordTokenizer(path)
+    for text in ("One unbelievably<|endoftext|>we'll réponses<|startoftext|><|endoftext|> you've", "<|endoftext|>", "x 'll"):
+        normal = "".join(p if p in own.special else p.lower() for p in re.split(r"(<\|[a-z]+\|>)", text))
+        size = [len(lib.encode(normal[:i], add_special_tokens=False).ids) for i in range(len(normal) + 1)]
+        assert own.prefix_table(text)[3][-1] == token_counts.count_texts(own, [text])[0] == size[-1]
+        for budget in range(size[-1] + 2):
+            longest = max(i for i in range(len(normal) + 1) if size[i] <= budget)
+            assert own.cut(text, budget).rstrip() == normal[:longest].rstrip(), (text, budget)
+
+
+def test_cut_to_budget_of_a_table_with_special_strings(spark):
+    path = vocabulary("word_bpe_49k.json")
+    docs = spark.createDataFrame(rows(["one two<|endoftext|>three four", None]), SCHEMA)
+    got = {r.doc_id: r.text for r in token_counts.cut_to_budget(docs, path, 3).collect()}
+    assert got[0].rstrip() == "one two<|endoftext|>" and got[1] is None
+
+
 def test_token_counts_of_a_table(spark):
     tokenizers = pytest.importorskip("tokenizers")
     path = vocabulary("word_bpe_49k.json")
