@@ -19,17 +19,28 @@ STEP_BYTES = 2 << 20
 ROWS_PER_BUCKET = 20_000
 
 
+def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df`` written as a Parquet table in the shared folder and read back, with the table's path."""
+    spark = df.sparkSession
+    ship_package(spark)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}/{tag}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read back.
 
     Cuts lineage in a form that survives lost executors; the folder is the one the
     session names in ``spark.checkpoint.dir``.
     """
-    spark = df.sparkSession
-    ship_package(spark)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}/{tag}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored(df, tag)[0]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of :func:`stored` that neither a later step nor a result reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -151,5 +151,59 @@ SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_mi
 FROM named
 """
 
+def _op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds of Lloyd's method, written out one after the other."""
+    ctes = [f"""kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, (SELECT unnest(range({parts})) AS p)
+), book0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, x AS c FROM part WHERE r <= {entries}
+)"""]
+    for k in range(rounds + 1):
+        ctes.append(f"""near{k} AS MATERIALIZED (
+  SELECT r, p, x, arg_min(e, d * {entries} + e) AS e, min(d) AS d FROM (
+    SELECT a.r, a.p, a.x, b.e, list_sum(list_transform(list_zip(a.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM part a JOIN book{k} b ON a.p = b.p) GROUP BY r, p, x
+)""")
+        if k < rounds:
+            ctes.append(f"""mean{k} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS m FROM (
+      SELECT p, e, i, sum(y)::BIGINT AS s, count(*)::BIGINT AS n FROM (
+        SELECT p, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM near{k}) GROUP BY p, e, i)) GROUP BY p, e
+), book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m ON m.p = b.p AND m.e = b.e
+)""")
+    return f"""
+WITH {", ".join(ctes)}, digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM book{rounds}
+), code AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY r
+)
+SELECT k.vec_id, c.code, c.error, sum(c.error) OVER (PARTITION BY k.label)::BIGINT AS label_error, h AS codebooks_sha256
+FROM kept k JOIN code c USING (r), digest
+"""
+
+
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), pos AS (
+  SELECT a, b, score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5
+)
+SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER w::INT AS rank, n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM pos p JOIN scored n ON p.a = n.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+WINDOW w AS (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b)
+QUALIFY row_number() OVER w <= 5
+"""
+
 SQL = {"op1_mix_sources": OP1, "op2_top_k": OP2, "op5_embedding_dedup": OP5, "op7_near_duplicates": OP7,
-       "op8_chat_format": OP8, "op9_license_scan": OP9}
+       "op8_chat_format": OP8, "op9_license_scan": OP9, "op11_vector_codes": _op11(), "op12_hard_negatives": OP12}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, covertree, licenses, minhash, mixing, pieces, quality, sharding, token_counts, topk
+from . import chat, codebooks, covertree, langid, licenses, minhash, mixing, negatives, pieces, quality, sharding, token_counts, topk
 from ._common import table
 from .oracle import SQL  # noqa: F401
 
@@ -90,3 +90,33 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts of all documents."""
     return token_counts.count(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings: 8 parts, 16 entries, 6 rounds."""
+    codes = codebooks.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    held = F.lit(codebooks.LONG_MAX).cast("decimal(38,0)")
+    by_label = codes.rows.groupBy(F.col("label").alias("of")).agg(
+        F.least(F.sum(F.col("error").cast("decimal(19,0)")).cast("decimal(38,0)"), held).cast("long").alias("label_error"))
+    digest = F.lit(None).cast("string")
+    for dim in codes.books:
+        digest = F.when(F.col("dim") == dim, codes.digest(dim)).otherwise(digest)
+    hex_digits = F.transform("code", lambda c: F.lower(F.lpad(F.hex(c.cast("long")), 2, "0")))
+    return codes.rows.join(by_label, F.col("label").eqNullSafe(F.col("of"))) \
+        .select("vec_id", F.concat_ws("", hex_digits).alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five negatives for each of five positives of every vec_id divisible by 100, some labels changed first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0, positives=5, negatives=5,
+                          share=(80, 100), scale=256)
+
+
+@query
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt outside the held-out fold."""
+    return langid.identify(table(spark, sf_dir, "documents"))
