@@ -30,6 +30,16 @@ ISO_TS_RE = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2})?$"
 US_TS_RE = r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}(:\d{2})?$"
 STRICT_NUMBER_RE = r"^-?\d+(\.\d+)?$"
 
+# Money is exact from the parser to the sum. Amounts hold 14 digits before the point; text or a typed value beyond that is
+# null, like any other malformed amount. Sums hold 24 digits before the point and raise beyond them (ANSI mode).
+MONEY = "decimal(18,4)"
+SUM = "decimal(38,4)"
+
+
+def exact(c: ColumnOrName, dtype: str = MONEY) -> Column:
+    """A number as an exact amount (half up at the last digit); beyond its range null."""
+    return _c(c).try_cast(dtype)
+
 
 # C1 -------------------------------------------------------------------------
 def blank_to_null(c: ColumnOrName) -> Column:
@@ -86,10 +96,10 @@ def lenient_int(typed: ColumnOrName | None, raw: ColumnOrName) -> Column:
 
 
 def lenient_decimal(typed: ColumnOrName | None, raw: ColumnOrName) -> Column:
-    """Typed first; else text stripped to digits, ``.`` and ``-``, as double."""
+    """Typed first; else text stripped to digits, ``.`` and ``-``, as an exact amount."""
     stripped = F.regexp_replace(F.trim(_c(raw)), r"[^0-9.\-]+", "")
-    parsed = F.when(stripped != "", stripped).try_cast("double")
-    return parsed if typed is None else F.coalesce(_c(typed).cast("double"), parsed)
+    parsed = exact(F.when(stripped != "", stripped))
+    return parsed if typed is None else F.coalesce(exact(typed), parsed)
 
 
 def strict_decimal(c: ColumnOrName, precision: int = 18, scale: int = 6) -> Column:
@@ -104,8 +114,8 @@ def cast_trim(c: ColumnOrName, dtype: str) -> Column:
 
 
 def money(c: ColumnOrName) -> Column:
-    """Money text such as ``$1,234.50`` → double."""
-    return blank_to_null(F.regexp_replace(_c(c), r"[$,]", "")).try_cast("double")
+    """Money text such as ``$1,234.50`` → exact amount."""
+    return exact(blank_to_null(F.regexp_replace(_c(c), r"[$,]", "")))
 
 
 # C11 / C12 ------------------------------------------------------------------
@@ -309,7 +319,7 @@ def derive_measures(qty: ColumnOrName, unit_price: ColumnOrName, discount_rate:
 def gl_net(debit: ColumnOrName, credit: ColumnOrName, null_as_zero: bool = True) -> Column:
     """Debit − credit; nulls treated as 0 unless ``null_as_zero`` is False."""
     if null_as_zero:
-        return F.coalesce(_c(debit), F.lit(0.0)) - F.coalesce(_c(credit), F.lit(0.0))
+        return F.coalesce(_c(debit), F.lit(0)) - F.coalesce(_c(credit), F.lit(0))
     return _c(debit) - _c(credit)
 
 
@@ -398,18 +408,13 @@ def distinct_from(a: ColumnOrName, b: ColumnOrName) -> Column:
     return ~_c(a).eqNullSafe(_c(b))
 
 
-TIE_NUDGE = 1e-9
+# Quotients and other derived numbers are rounded as decimals of ten digits, so that 1183.8753 / 6 is the tie 197.31255.
+QUOTIENT = "decimal(38,10)"
 
 
 def round_to(c: ColumnOrName, digits_: int = 2) -> Column:
-    """Half-up rounding that treats decimal ties as ties.
-
-    Money arithmetic in doubles turns an exact decimal tie such as 4.97005 into
-    4.9700499999…; the reference computes in exact ``numeric`` and rounds it up.
-    A 1e-9 nudge away from zero restores the decimal result.
-    """
-    x = _c(c)
-    return F.round(x + F.signum(x) * F.lit(TIE_NUDGE), digits_)
+    """Half-up decimal rounding, as a double; beyond the range of :data:`QUOTIENT` null."""
+    return F.round(exact(c, QUOTIENT), digits_).cast("double")
 
 
 def any_true(conds: Iterable[Column]) -> Column:

@@ -113,7 +113,7 @@ def evaluate_rules(df: DataFrame, rules: Sequence[Rule], run_id: int, quarter_id
     meta = rules_df(df.sparkSession, active).select("rule_id", "rule_name", "rule_category", "target_table",
                                                     "severity", "threshold_pct")
     out = res.join(F.broadcast(meta), "rule_id")
-    pct = F.when(F.col("checked_count") == 0, F.lit(0.0)).otherwise(F.col("failed_count") / F.col("checked_count"))
+    pct = F.when(F.col("checked_count") == 0, F.lit(0)).otherwise(F.col("failed_count") / F.col("checked_count"))
     out = out.withColumn("failed_pct", pct)
     status = F.when(F.col("failed_count") > 0, F.lit("fail")).otherwise(F.lit("pass"))
     if use_threshold:

@@ -77,7 +77,7 @@ def pair_events(events: DataFrame, entity: Sequence[str] = ("store_code", "emplo
                & F.col("next_ts").isNotNull() & (F.col("next_ts") >= F.col(ts)))
     return (ev.withColumn("is_pair", is_pair)
               .withColumn("minutes_worked",
-                          F.when(is_pair, F.greatest(minutes_between(F.col(ts), F.col("next_ts")), F.lit(0.0)))))
+                          F.when(is_pair, F.greatest(minutes_between(F.col(ts), F.col("next_ts")), F.lit(0)))))
 
 
 def labor_daily_employee(events: DataFrame, entity: Sequence[str] = ("store_code", "employee_id"),

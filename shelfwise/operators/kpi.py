@@ -116,14 +116,14 @@ def inventory_health(inv: DataFrame, sales: DataFrame, product: str = "sku", loc
     ``sales`` rows: (period, product, location, units).
     """
     in_stock = (F.when(F.col("in_stock_flag").isNotNull(), F.col("in_stock_flag").cast("double"))
-                .when(F.col("on_hand_units") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+                .when(F.col("on_hand_units") > 0, F.lit(1.0)).otherwise(F.lit(0)))
     i = inv.groupBy(period, product, location, *labels).agg(
         F.avg("on_hand_units").alias("avg_on_hand_units"), F.avg(in_stock).alias("in_stock_pct"))
     s = sales.groupBy(period, product, location).agg(F.sum("units").alias("units_sold"))
     j = i.join(s, [period, product, location], "left")
     g = j.groupBy(period, *labels).agg(
         F.avg("avg_on_hand_units").alias("avg_on_hand_units"),
-        F.sum(F.coalesce("units_sold", F.lit(0.0))).alias("units_sold"),
+        F.sum(F.coalesce("units_sold", F.lit(0))).alias("units_sold"),
         F.sum("units_sold").alias("__units_raw"),
         F.avg("in_stock_pct").alias("in_stock_pct"))
     dim = F.dayofmonth(F.last_day(F.col(period)))
@@ -164,20 +164,20 @@ def sales_labor_productivity(sales_day: DataFrame, labor_day: DataFrame, locatio
         F.sum("gross_margin_dollars").alias("gross_margin_dollars"))
     lb = labor_day.groupBy(F.col("work_date").alias("full_date"), location).agg(
         F.sum("labor_hours").alias("labor_hours"), F.sum(F.coalesce("headcount", F.lit(0))).alias("headcount"),
-        F.sum(F.coalesce("labor_cost", F.lit(0.0))).alias("labor_cost"))
+        F.sum(F.coalesce("labor_cost", F.lit(0))).alias("labor_cost"))
     j = grid.join(s, ["full_date", location], "left").join(lb, ["full_date", location], "left")
-    hours = F.coalesce("labor_hours", F.lit(0.0))
-    cost = F.coalesce("labor_cost", F.lit(0.0))
+    hours = F.coalesce("labor_hours", F.lit(0))
+    cost = F.coalesce("labor_cost", F.lit(0))
     return j.select(
         "full_date", location, *labels,
-        F.coalesce("net_sales", F.lit(0.0)).alias("net_sales"),
-        F.coalesce("units_sold", F.lit(0.0)).alias("units_sold"),
-        F.coalesce("gross_margin_dollars", F.lit(0.0)).alias("gross_margin_dollars"),
+        F.coalesce("net_sales", F.lit(0)).alias("net_sales"),
+        F.coalesce("units_sold", F.lit(0)).alias("units_sold"),
+        F.coalesce("gross_margin_dollars", F.lit(0)).alias("gross_margin_dollars"),
         hours.alias("labor_hours"), F.coalesce("headcount", F.lit(0)).cast("bigint").alias("headcount"),
         cost.alias("labor_cost"),
-        F.when(hours != 0, F.col("net_sales") / F.col("labor_hours")).alias("revenue_per_labor_hour"),
-        F.when(hours != 0, F.col("units_sold") / F.col("labor_hours")).alias("units_per_labor_hour"),
-        F.when(cost != 0, F.col("gross_margin_dollars") / F.col("labor_cost")).alias("gross_margin_to_labor_cost_ratio"))
+        ratio("net_sales", "labor_hours").alias("revenue_per_labor_hour"),
+        ratio("units_sold", "labor_hours").alias("units_per_labor_hour"),
+        ratio("gross_margin_dollars", "labor_cost").alias("gross_margin_to_labor_cost_ratio"))
 
 
 def top_n_share(df: DataFrame, period: str, entity: str, value: str, n: int = 10,
@@ -194,9 +194,9 @@ def top_n_share(df: DataFrame, period: str, entity: str, value: str, n: int = 10
              .groupBy(period).agg(F.sum(value).alias(f"{prefix}_sales")))
     tot = df.groupBy(period).agg(F.sum(value).alias("total_period_sales"))
     j = tot.join(top, period, "left")
-    return j.select(period, F.coalesce(F.col(f"{prefix}_sales"), F.lit(0.0)).alias(f"{prefix}_sales"),
+    return j.select(period, F.coalesce(F.col(f"{prefix}_sales"), F.lit(0)).alias(f"{prefix}_sales"),
                     "total_period_sales",
-                    round_to(ratio(F.coalesce(F.col(f"{prefix}_sales"), F.lit(0.0)), "total_period_sales"), 4)
+                    round_to(ratio(F.coalesce(F.col(f"{prefix}_sales"), F.lit(0)), "total_period_sales"), 4)
                     .alias(f"{prefix}_concentration_pct"))
 
 
@@ -231,7 +231,7 @@ def forecast_accuracy(actuals: DataFrame, forecast: DataFrame, keys: Sequence[st
     a = actuals.groupBy(week, *keys).agg(F.sum("units").alias("actual_units"))
     f = forecast.groupBy(week, *keys).agg(F.sum("forecast_units").alias("forecast_units"))
     j = a.join(f, [week, *keys], "left")
-    fc = F.coalesce("forecast_units", F.lit(0.0))
+    fc = F.coalesce("forecast_units", F.lit(0))
     g = j.groupBy(week).agg(
         F.sum("actual_units").alias("actual_units"), F.sum(fc).alias("forecast_units"),
         F.sum(F.abs(F.col("actual_units") - fc)).alias("abs_error_units"),
@@ -271,7 +271,7 @@ def days_of_supply(inv: DataFrame, sales: DataFrame, keys: Sequence[str] = ("sit
     """
     day = F.unix_date(F.col(date))
     s = sales.groupBy(*keys, F.col("sale_date").alias(date)).agg(F.sum("units").alias("__u"))
-    safe = F.greatest(F.col("on_hand_units").cast("double"), F.lit(0.0))
+    safe = F.greatest(F.col("on_hand_units").cast("double"), F.lit(0))
     series = (s.select(*keys, date, "__u", F.lit(None).cast("double").alias("on_hand_safe"), F.lit(False).alias("__inv"))
                .unionByName(inv.select(*keys, date, F.lit(None).cast("double").alias("__u"),
                                        safe.alias("on_hand_safe"), F.lit(True).alias("__inv"))))
@@ -318,12 +318,12 @@ def breakeven_monthly(actuals: DataFrame, sales_daily: DataFrame, period: str =
     a = actuals.groupBy(period).agg(*[F.sum(F.when(cat == k, F.col("actual_amount"))).alias(k)
                                       for k in ("net_sales", "cogs", "labor_cost")])
     s = sales_daily.groupBy(F.trunc("sale_date", "month").alias(period)).agg(
-        F.sum(F.coalesce("net_sales", F.lit(0.0))).alias("mart_net_sales"))
+        F.sum(F.coalesce("net_sales", F.lit(0))).alias("mart_net_sales"))
     j = a.join(s, period, "left")
     dim = F.dayofmonth(F.last_day(F.col(period)))
     gmp = ratio(F.col("net_sales") - F.col("cogs"), "net_sales")
-    avg_daily = (F.when(F.col("mart_net_sales").isNotNull() & (F.col("mart_net_sales") != 0), F.col("mart_net_sales") / dim)
-                 .when(F.col("net_sales").isNotNull() & (F.col("net_sales") != 0), F.col("net_sales") / dim))
+    avg_daily = (F.when(F.col("mart_net_sales").isNotNull() & (F.col("mart_net_sales") != 0), ratio("mart_net_sales", dim))
+                 .when(F.col("net_sales").isNotNull() & (F.col("net_sales") != 0), ratio("net_sales", dim)))
     be = F.when(F.col("labor_cost").isNotNull(), ratio("labor_cost", gmp))
     return j.select(period, F.col("net_sales").alias("actual_net_sales"), "cogs",
                     (F.col("net_sales") - F.col("cogs")).alias("gross_margin"), gmp.alias("gross_margin_pct"),
@@ -353,15 +353,15 @@ def low_margin_alerts(daily: DataFrame, keys: Sequence[str] = ("store_code", "sk
     from .ranking import global_dense_rank
     end = F.lit(as_of or latest_date(daily, date)).cast("date")
     x = daily.filter((F.col(date) >= F.date_sub(end, window_days - 1)) & (F.col(date) <= end))
-    z = F.lit(0.0)
+    z = F.lit(0)
     g = x.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("source_day_count"),
         F.sum(F.coalesce("gross_sales", z)).alias("gross_sales"),
         F.sum(F.coalesce("discount_amount", z)).alias("discount_amount"),
         F.sum(F.coalesce("net_sales", z)).alias("net_sales"), F.sum(F.coalesce("cogs", z)).alias("cogs"))
     g = g.withColumns({"gross_margin": F.col("net_sales") - F.col("cogs"),
-                       "gross_margin_pct": F.when(F.col("net_sales") != 0, (F.col("net_sales") - F.col("cogs")) / F.col("net_sales")),
-                       "discount_rate": F.when(F.col("gross_sales") != 0, F.col("discount_amount") / F.col("gross_sales"))})
+                       "gross_margin_pct": ratio(F.col("net_sales") - F.col("cogs"), "net_sales"),
+                       "discount_rate": ratio("discount_amount", "gross_sales")})
     ns, gmp, dr = F.col("net_sales"), F.col("gross_margin_pct"), F.col("discount_rate")
     sev = (F.when(ns < 100, F.lit("monitor")).when((gmp < 0.25) & (ns >= 500), F.lit("critical"))
            .when((gmp < 0.30) & (ns >= 250), F.lit("high")).when(gmp < 0.35, F.lit("medium")).otherwise(F.lit("healthy")))

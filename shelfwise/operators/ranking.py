@@ -109,7 +109,7 @@ def distributed_rank(df: DataFrame, group: Sequence[str], order: Sequence[tuple[
         f"{prefix}rank": rank.cast("int"),
         f"{prefix}dense_rank": (F.col("__vals_before") + F.col("__dr")).cast("int"),
         f"{prefix}row_number": (F.col("__rows_before") + F.col("__rn")).cast("int"),
-        f"{prefix}percent_rank": F.when(F.col("__n") > 1, (rank - 1) / (F.col("__n") - 1)).otherwise(F.lit(0.0)),
+        f"{prefix}percent_rank": F.when(F.col("__n") > 1, (rank - 1) / (F.col("__n") - 1)).otherwise(F.lit(0)),
     })
     drop = ["__pid", "__rk", "__dr", "__rn", "__rows_before", "__vals_before", "__n"] + [f"__s_{k}" for k in keys]
     return out.drop(*drop)

@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import ratio, sym_rel_diff
+from ..functions.clean import SUM, ratio, sym_rel_diff
 
 
 def reconcile_totals(left: DataFrame, right: DataFrame, keys: Sequence[str], left_col: str, right_col: str,
@@ -24,9 +24,9 @@ def reconcile_totals(left: DataFrame, right: DataFrame, keys: Sequence[str], lef
     l_ = left.groupBy(*keys).agg(F.sum(left_col).alias("source_amount"))
     r_ = right.groupBy(*keys).agg(F.sum(right_col).alias("target_amount"))
     j = l_.join(r_, list(keys), "full")
-    s, t = F.coalesce("source_amount", F.lit(0.0)), F.coalesce("target_amount", F.lit(0.0))
+    s, t = F.coalesce("source_amount", F.lit(0)), F.coalesce("target_amount", F.lit(0))
     diff = s - t
-    rel = F.when(t != 0, F.abs(diff) / F.abs(t))  # nothing to compare with is a failure, whatever the source says
+    rel = ratio(F.abs(diff), F.abs(t))  # nothing to compare with is a failure, whatever the source says
     bad = F.coalesce(rel > rel_tol, F.lit(True))
     if abs_tol is not None:
         bad = bad & (F.abs(diff) > abs_tol)
@@ -48,12 +48,12 @@ def recon_distributor_vs_pos(dist: DataFrame, pos: DataFrame, keys: Sequence[str
     def side(df, prefix):
         if start is not None:
             df = df.filter(F.col(date_col) >= F.lit(start).cast("date"))
-        z = F.lit(0.0)
+        z = F.lit(0)
         return df.groupBy(*keys).agg(F.sum(F.coalesce(F.col("net_sales").cast("double"), z)).alias(f"{prefix}_net_sales"),
                                      F.sum(F.coalesce(F.col("gross_sales").cast("double"), z)).alias(f"{prefix}_gross_sales"),
                                      F.sum(F.coalesce(F.col("units").cast("double"), z)).alias(f"{prefix}_qty"))
     j = side(dist, "dist").join(side(pos, "pos"), list(keys), "full")
-    z = F.lit(0.0)
+    z = F.lit(0)
     out = j.select(*keys, "dist_net_sales", "pos_net_sales",
                    (F.coalesce("pos_net_sales", z) - F.coalesce("dist_net_sales", z)).alias("delta_net_sales"),
                    "dist_gross_sales", "pos_gross_sales",
@@ -79,7 +79,7 @@ def recon_sales_to_ledger(sales: DataFrame, ledger: DataFrame, period: str = "pe
     the month, and each metric is PASS within $``abs_tol`` or within the
     relative tolerance (3.5 % for margin), else FAIL_* with the missing side named.
     """
-    z = F.lit(0.0)
+    z = F.lit(0)
     m = sales.groupBy(period).agg(
         F.sum(F.coalesce("net_sales", z)).alias("mart_net_sales"), F.sum(F.coalesce("gross_sales", z)).alias("mart_gross_sales"),
         F.sum(F.coalesce("cogs", z)).alias("mart_cogs"),
@@ -89,18 +89,19 @@ def recon_sales_to_ledger(sales: DataFrame, ledger: DataFrame, period: str = "pe
                                      for k in ("net_sales", "gross_sales", "cogs", "gross_margin")])
     rows = m.join(g, period, "full")
     metrics = ("net_sales", "gross_sales", "cogs", "gross_margin")
-    stack = ", ".join(f"'{k}', mart_{k}, gl_{k}" for k in metrics)
+    stack = ", ".join(f"'{k}', CAST(mart_{k} AS {SUM}), CAST(gl_{k} AS {SUM})" for k in metrics)
     melt = rows.selectExpr(period, f"stack({len(metrics)}, {stack}) AS (metric, mart_amount, gl_amount)")
     ma, ga = F.coalesce("mart_amount", z), F.coalesce("gl_amount", z)
     diff = F.abs(ma - ga)
     big = F.greatest(F.abs(ma), F.abs(ga))
-    pct = F.when(big == 0, z).otherwise(diff / big)
+    share = ratio(diff, big)
+    pct = F.when(big == 0, z).otherwise(share)
     margin = F.col("metric") == "gross_margin"
     status = (F.when(F.col("mart_amount").isNull(), F.lit("FAIL_missing_mart"))
               .when(F.col("gl_amount").isNull(), F.lit("FAIL_missing_gl"))
               .when(diff <= abs_tol, F.lit("PASS"))
-              .when(margin & (big > 0) & (diff / big <= margin_pct_tol), F.lit("PASS"))
-              .when(~margin & (big > 0) & (diff / big <= pct_tol), F.lit("PASS"))
+              .when(margin & (big > 0) & (share <= margin_pct_tol), F.lit("PASS"))
+              .when(~margin & (big > 0) & (share <= pct_tol), F.lit("PASS"))
               .otherwise(F.lit("FAIL_mismatch")))
     return melt.select(period, "metric", "mart_amount", "gl_amount", (ma - ga).alias("diff_amount"),
                        pct.alias("pct_diff"), status.alias("status"))
@@ -163,7 +164,7 @@ def missing_dim_control(facts: Sequence[tuple[str, DataFrame, str, str, Column]]
             F.count(F.lit(1)).alias("fact_rows"), F.count_if(missing).alias("missing_dim_rows"))
         g = g.select(F.lit(model).alias("model_name"), "grain_date", F.lit(dim).alias("dim_name"), "fact_rows", "missing_dim_rows")
         out = g if out is None else out.unionByName(g)
-    share = F.when(F.col("fact_rows") == 0, F.lit(0.0)).otherwise(F.col("missing_dim_rows") / F.col("fact_rows"))
+    share = F.when(F.col("fact_rows") == 0, F.lit(0)).otherwise(F.col("missing_dim_rows") / F.col("fact_rows"))
     status = (F.when(F.col("fact_rows") == 0, F.lit("WARN_no_rows")).when(F.col("missing_dim_rows") == 0, F.lit("PASS"))
               .when(share <= LOW_MISSING_SHARE, F.lit("WARN_low")).otherwise(F.lit("FAIL")))
     return out.withColumns({"missing_pct": share, "status": status})

@@ -116,7 +116,7 @@ def banding(c: Column, bands: Sequence[tuple[float, str]], default: str) -> Colu
 
 def mape(df: DataFrame, by: Sequence[str], actual: str, forecast: str) -> DataFrame:
     """Absolute percentage error at row grain, then averaged (rows with actual 0 skipped)."""
-    ape = F.abs(F.col(actual) - F.col(forecast)) / F.col(actual)
+    ape = ratio(F.abs(F.col(actual) - F.col(forecast)), actual)
     return df.groupBy(*by).agg(F.avg(F.when(F.col(actual) != 0, ape)).alias("mape"),
                                F.count_if(F.col(actual) != 0).alias("rows_scored"))
 
@@ -186,7 +186,7 @@ def pvm_vs_prior(sales: DataFrame, period: str, keys: Sequence[str], months: int
     prev = m.select(F.add_months(F.col(period), months).alias(period), *keys, F.col("units").alias("prior_units"),
                     F.col("net_sales").alias("prior_sales"), F.col("price").alias("prior_price"))
     j = m.join(prev, [period, *keys], "left")
-    z = F.lit(0.0)
+    z = F.lit(0)
     total = F.col("net_sales") - F.coalesce("prior_sales", z)
     price = F.coalesce("prior_units", z) * (F.coalesce("price", z) - F.coalesce("prior_price", z))
     volume = F.coalesce("prior_price", z) * (F.col("units") - F.coalesce("prior_units", z))
@@ -203,12 +203,12 @@ def inventory_health_score(inv: DataFrame, sales: DataFrame, period: str, keys:
     s = sales.groupBy(period, *keys).agg(F.sum("units").alias("units_sold"))
     j = i.join(s, [period, *keys], "left")
     dim = F.dayofmonth(F.last_day(F.col(period)))
-    turnover = ratio(F.coalesce("units_sold", F.lit(0.0)) * 12.0, "avg_on_hand")
+    turnover = ratio(F.coalesce("units_sold", F.lit(0)) * 12.0, "avg_on_hand")
     j = j.withColumns({"annualised_turnover": turnover,
                        "days_on_hand": ratio("avg_on_hand", ratio("units_sold", dim))})
-    score = F.lit(0.5) * F.col("instock_rate") + F.lit(0.5) * F.least(F.coalesce(F.col("annualised_turnover"), F.lit(0.0))
+    score = F.lit(0.5) * F.col("instock_rate") + F.lit(0.5) * F.least(F.coalesce(F.col("annualised_turnover"), F.lit(0))
                                                                       / F.lit(turnover_target), F.lit(1.0))
-    return j.withColumn("health_score", F.greatest(score, F.lit(0.0)))
+    return j.withColumn("health_score", F.greatest(score, F.lit(0)))
 
 
 def emissions_measures(fact: DataFrame, revenue: DataFrame, period: str = "activity_month",

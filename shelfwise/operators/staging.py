@@ -73,10 +73,10 @@ def stage_account_status(raw: DataFrame) -> DataFrame:
 def stage_sales_distributor(raw: DataFrame) -> DataFrame:
     """H4: typed sale rows with channel bucket, bad-amount, missing-key, duplicate flags."""
     qty = C.lenient_int(_opt(raw, "qty", "int"), _opt(raw, "qty_raw"))
-    gross = C.lenient_decimal(_opt(raw, "gross_sales", "double"), _opt(raw, "gross_sales_raw"))
-    disc = C.lenient_decimal(_opt(raw, "discount_amount", "double"), _opt(raw, "discount_amount_raw"))
-    net = C.lenient_decimal(_opt(raw, "net_sales", "double"), _opt(raw, "net_sales_raw"))
-    cogs = C.lenient_decimal(_opt(raw, "cogs", "double"), _opt(raw, "cogs_raw"))
+    gross = C.lenient_decimal(_opt(raw, "gross_sales", C.MONEY), _opt(raw, "gross_sales_raw"))
+    disc = C.lenient_decimal(_opt(raw, "discount_amount", C.MONEY), _opt(raw, "discount_amount_raw"))
+    net = C.lenient_decimal(_opt(raw, "net_sales", C.MONEY), _opt(raw, "net_sales_raw"))
+    cogs = C.lenient_decimal(_opt(raw, "cogs", C.MONEY), _opt(raw, "cogs_raw"))
     out = raw.select(
         _opt(raw, "load_id"), _opt(raw, "drop_date", "date").alias("drop_date"),
         _opt(raw, "ingested_at", "timestamp_ntz").alias("ingested_at"),
@@ -85,7 +85,7 @@ def stage_sales_distributor(raw: DataFrame) -> DataFrame:
         C.blank_to_null(_opt(raw, "sku")).alias("sku"),
         C.classify_channel(_opt(raw, "channel_norm")).alias("channel"),
         qty.alias("qty"),
-        C.lenient_decimal(_opt(raw, "unit_list_price", "double"), _opt(raw, "unit_list_price_raw")).alias("unit_list_price"),
+        C.lenient_decimal(_opt(raw, "unit_list_price", C.MONEY), _opt(raw, "unit_list_price_raw")).alias("unit_list_price"),
         gross.alias("gross_sales"), disc.alias("discount_amount"), net.alias("net_sales"), cogs.alias("cogs"),
     )
     out = out.withColumns({
@@ -106,8 +106,8 @@ def stage_pos(raw: DataFrame) -> DataFrame:
         C.blank_to_null(_opt(raw, "store_code_norm")).alias("store_code"),
         C.blank_to_null(_opt(raw, "product_sku_norm")).alias("sku"),
         C.lenient_int(_opt(raw, "qty", "int"), _opt(raw, "qty_raw")).alias("qty"),
-        C.lenient_decimal(_opt(raw, "gross_amount", "double"), _opt(raw, "gross_amount_raw")).alias("gross_amount"),
-        C.lenient_decimal(_opt(raw, "net_amount", "double"), _opt(raw, "net_amount_raw")).alias("net_amount"),
+        C.lenient_decimal(_opt(raw, "gross_amount", C.MONEY), _opt(raw, "gross_amount_raw")).alias("gross_amount"),
+        C.lenient_decimal(_opt(raw, "net_amount", C.MONEY), _opt(raw, "net_amount_raw")).alias("net_amount"),
         _opt(raw, "load_id"), _opt(raw, "ingested_at", "timestamp_ntz").alias("ingested_at"),
     )
     out = out.withColumn("txn_date", F.coalesce(F.col("txn_date"), F.to_date("txn_ts")))
@@ -186,9 +186,9 @@ def stage_labor_payroll(raw: DataFrame) -> DataFrame:
         C.blank_to_null(_opt(raw, "site_code_norm")).alias("site_code"),
         C.canon(_opt(raw, "department_norm"), "lower").alias("department"),
         C.map_synonyms(_opt(raw, "team_norm"), C.TEAM_SYNONYMS, fold="lower").alias("team"),
-        C.lenient_decimal(_opt(raw, "hours_worked", "double"), _opt(raw, "hours_worked_raw")).alias("hours_worked"),
-        C.lenient_decimal(_opt(raw, "ot_hours", "double"), _opt(raw, "ot_hours_raw")).alias("ot_hours"),
-        C.lenient_decimal(_opt(raw, "labor_cost", "double"), _opt(raw, "labor_cost_raw")).alias("labor_cost"),
+        C.lenient_decimal(_opt(raw, "hours_worked", C.MONEY), _opt(raw, "hours_worked_raw")).alias("hours_worked"),
+        C.lenient_decimal(_opt(raw, "ot_hours", C.MONEY), _opt(raw, "ot_hours_raw")).alias("ot_hours"),
+        C.lenient_decimal(_opt(raw, "labor_cost", C.MONEY), _opt(raw, "labor_cost_raw")).alias("labor_cost"),
         C.lenient_int(_opt(raw, "employee_count", "int"), _opt(raw, "employee_count_raw")).alias("employee_count"),
     )
     return out.withColumn("is_missing_department_or_team", F.col("department").isNull() | F.col("team").isNull())
@@ -201,7 +201,7 @@ def stage_finance_actuals(raw: DataFrame) -> DataFrame:
     out = raw.select(
         month.alias("period_month"),
         C.canon(_opt(raw, "metric_name_norm"), "lower").alias("metric_name"),
-        C.lenient_decimal(_opt(raw, "actual_amount", "double"), _opt(raw, "actual_amount_raw")).alias("actual_amount"),
+        C.lenient_decimal(_opt(raw, "actual_amount", C.MONEY), _opt(raw, "actual_amount_raw")).alias("actual_amount"),
         C.canon(_opt(raw, "currency_code_norm"), "upper").alias("currency_code"),
         _opt(raw, "store_code"),
     )

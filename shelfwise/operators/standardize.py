@@ -88,7 +88,7 @@ def standardize(df: DataFrame, kind: str, system: str) -> DataFrame:
         else:
             typed[c] = v.cast("string")
     if kind == "sales":
-        derive = (("unit_net_price", ("unit_list_price", "discount_rate"), lambda t: t["unit_list_price"] * (1 - F.coalesce(t["discount_rate"], F.lit(0.0)))),
+        derive = (("unit_net_price", ("unit_list_price", "discount_rate"), lambda t: t["unit_list_price"] * (1 - F.coalesce(t["discount_rate"], F.lit(0)))),
                   ("net_sales_amount", ("qty", "unit_net_price"), lambda t: t["qty"] * t["unit_net_price"]),
                   ("gross_sales_amount", ("qty", "unit_list_price"), lambda t: t["qty"] * t["unit_list_price"]),
                   ("discount_amount", ("gross_sales_amount", "net_sales_amount"), lambda t: t["gross_sales_amount"] - t["net_sales_amount"]))
@@ -98,6 +98,6 @@ def standardize(df: DataFrame, kind: str, system: str) -> DataFrame:
     if kind == "timeclock" and "punch_ts" in have:
         typed["punch_date"] = F.to_date(typed["punch_ts"])
     if kind == "gl":
-        zero = F.lit(0.0)
+        zero = F.lit(0)
         typed["net_amount"] = F.coalesce(typed["debit_amount"], zero) - F.coalesce(typed["credit_amount"], zero)
     return df.select(*[v.alias(c) for c, v in typed.items()], F.lit(system).alias("source_system"))

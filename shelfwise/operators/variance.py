@@ -36,7 +36,7 @@ def price_volume_mix_mom(sales: DataFrame, product: str = "sku", period: str = "
                     F.col("units").alias("prev_units"), F.col("net_sales").alias("prev_sales"),
                     F.col("net_price").alias("prev_price"))
     cp = m.join(prev, [period, product], "left")
-    z = F.lit(0.0)
+    z = F.lit(0)
     d = cp.select(
         period, product,
         (F.coalesce("net_sales", z) - F.coalesce("prev_sales", z)).alias("revenue_variance"),
@@ -56,9 +56,9 @@ def forecast_vs_actual(staged: DataFrame) -> DataFrame:
     return staged.withColumns({
         "unit_variance": F.col("actual_units") - F.col("forecast_units"),
         "sales_variance": a - f,
-        "sales_variance_pct": F.when(f != 0, (a - f) / f),
+        "sales_variance_pct": ratio(a - f, f),
         "absolute_sales_error": F.abs(a - f),
-        "absolute_percent_error": F.when(a != 0, F.abs(a - f) / a),
+        "absolute_percent_error": ratio(F.abs(a - f), a),
         "is_missing_actual": a.isNull(),
         "forecast_performance_status": status,
     })
@@ -142,8 +142,8 @@ def revenue_root_cause(daily: DataFrame, keys: Sequence[str] = ("store_code", "s
     cur_start = F.date_sub(end, window_days - 1)
     x = daily.filter((F.col(date) >= F.date_sub(end, 2 * window_days - 1)) & (F.col(date) <= end))
     is_cur = F.col(date) >= cur_start
-    units = F.coalesce("units_sold", F.lit(0.0))
-    net = F.coalesce("net_sales", F.lit(0.0))
+    units = F.coalesce("units_sold", F.lit(0))
+    net = F.coalesce("net_sales", F.lit(0))
     p = x.groupBy(*keys).agg(
         F.sum(F.when(is_cur, units).otherwise(0.0)).alias("current_units_sold"),
         F.sum(F.when(~is_cur, units).otherwise(0.0)).alias("prior_units_sold"),
@@ -153,14 +153,14 @@ def revenue_root_cause(daily: DataFrame, keys: Sequence[str] = ("store_code", "s
     cn, pn = F.col("current_net_sales"), F.col("prior_net_sales")
     v = p.withColumns({
         "net_sales_variance": cn - pn,
-        "net_sales_variance_pct": F.when(pn != 0, (cn - pn) / pn),
-        "current_avg_net_price": F.when(cu != 0, cn / cu),
-        "prior_avg_net_price": F.when(pu != 0, pn / pu),
+        "net_sales_variance_pct": ratio(cn - pn, pn),
+        "current_avg_net_price": ratio(cn, cu),
+        "prior_avg_net_price": ratio(pn, pu),
     })
     v = v.withColumns({
-        "estimated_volume_effect": (cu - pu) * F.coalesce("prior_avg_net_price", "current_avg_net_price", F.lit(0.0)),
-        "estimated_price_effect": (F.coalesce("current_avg_net_price", F.lit(0.0))
-                                   - F.coalesce("prior_avg_net_price", F.lit(0.0))) * cu,
+        "estimated_volume_effect": (cu - pu) * F.coalesce("prior_avg_net_price", "current_avg_net_price", F.lit(0)),
+        "estimated_price_effect": (F.coalesce("current_avg_net_price", F.lit(0))
+                                   - F.coalesce("prior_avg_net_price", F.lit(0))) * cu,
     })
     var = F.col("net_sales_variance")
     av, ap = F.abs("estimated_volume_effect"), F.abs("estimated_price_effect")

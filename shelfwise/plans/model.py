@@ -20,10 +20,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clean import MONEY, exact
 from ..operators.calendar import latest_date
 from ..sources.testdata import Tables
 
-COGS_RATIO = 0.6
+COGS_RATIO = "0.6"
 N_PUNCH_STORES = 8
 PUNCH_ACTIONS = {"CLICK": "IN", "VIEW": "OUT"}
 
@@ -39,14 +40,14 @@ def stores(t: Tables) -> DataFrame:
     return t.customer.join(geography(t), F.col("c_nationkey") == F.col("n_nationkey")) \
         .select(F.col("c_custkey").alias("store_id"), F.col("c_name").alias("store_name"),
                 "state", "region", F.lower("c_mktsegment").alias("channel"),
-                F.col("c_acctbal").alias("acct_balance"))
+                exact("c_acctbal").alias("acct_balance"))
 
 
 def products(t: Tables) -> DataFrame:
     return t.part.select(
         F.col("p_partkey").alias("sku"), F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand"), F.col("p_type").alias("category"),
-        F.col("p_size").alias("pack_size"), F.col("p_retailprice").alias("list_price"),
+        F.col("p_size").alias("pack_size"), exact("p_retailprice").alias("list_price"),
         (F.col("p_type") == F.lit("PROMO")).alias("promo_flag"))
 
 
@@ -69,8 +70,10 @@ def sales_lines(t: Tables, since=None) -> DataFrame:
     base = base.join(cust, F.col("o_custkey") == F.col("store_id"))
     base = base.join(geography(t), F.col("c_nationkey") == F.col("n_nationkey"))
     sale_date = F.col("o_orderdate").cast("date")
-    gross = F.col("l_extendedprice")
-    disc = gross * F.col("l_discount")
+    # Prices and rates have two digits, so that amounts of four are exact.
+    gross = exact("l_extendedprice")
+    disc = (gross * exact("l_discount")).cast(MONEY)
+    cogs = (exact("l_quantity") * F.col("list_price")).cast(MONEY) * F.lit(COGS_RATIO).cast("decimal(2,1)")
     return base.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"),
         sale_date.alias("sale_date"), F.trunc(sale_date, "month").alias("month_start"),
@@ -81,8 +84,8 @@ def sales_lines(t: Tables, since=None) -> DataFrame:
         F.col("l_returnflag").alias("return_flag"), F.col("l_linestatus").alias("line_status"),
         F.col("o_orderpriority").alias("order_priority"),
         F.col("l_quantity").alias("units"),
-        gross.alias("gross_sales"), disc.alias("discount_amount"), (gross - disc).alias("net_sales"),
-        (F.col("l_quantity") * F.col("list_price") * F.lit(COGS_RATIO)).alias("cogs"),
+        gross.alias("gross_sales"), disc.alias("discount_amount"), (gross - disc).cast(MONEY).alias("net_sales"),
+        cogs.cast(MONEY).alias("cogs"),
     )
 
 
@@ -96,7 +99,7 @@ def ledger(t: Tables) -> DataFrame:
     d = F.col("o_orderdate").cast("date")
     return t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("store_id"),
                            d.alias("posting_date"), F.trunc(d, "month").alias("period_month"),
-                           F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("status"))
+                           exact("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("status"))
 
 
 def punches(t: Tables) -> DataFrame:

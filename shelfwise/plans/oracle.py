@@ -16,13 +16,13 @@ sales_lines AS (
          c.c_custkey AS store_id, c.c_name AS store_name, n.n_name AS state, r.r_name AS region,
          lower(c.c_mktsegment) AS channel,
          p.p_partkey AS sku, p.p_name AS product_name, p.p_brand AS brand, p.p_type AS category,
-         p.p_size AS pack_size, (p.p_type = 'PROMO') AS promo_flag, p.p_retailprice AS list_price,
+         p.p_size AS pack_size, (p.p_type = 'PROMO') AS promo_flag, CAST(p.p_retailprice AS DECIMAL(18,4)) AS list_price,
          l.l_suppkey AS site_id, CAST(l.l_shipdate AS DATE) AS ship_date,
          l.l_returnflag AS return_flag, l.l_linestatus AS line_status, o.o_orderpriority AS order_priority,
-         l.l_quantity AS units, l.l_extendedprice AS gross_sales,
-         l.l_extendedprice * l.l_discount AS discount_amount,
-         l.l_extendedprice - l.l_extendedprice * l.l_discount AS net_sales,
-         l.l_quantity * p.p_retailprice * 0.6 AS cogs
+         l.l_quantity AS units, CAST(l.l_extendedprice AS DECIMAL(18,4)) AS gross_sales,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(9,2)) * CAST(l.l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS discount_amount,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(9,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS net_sales,
+         CAST(CAST(l.l_quantity AS INTEGER) * CAST(p.p_retailprice AS DECIMAL(9,2)) * 0.6 AS DECIMAL(18,4)) AS cogs
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN part p ON l.l_partkey = p.p_partkey

@@ -30,8 +30,8 @@ WITH {ORDERS_TEXT},
 c AS (
   SELECT TRY_CAST(NULLIF(trim(order_id_raw), '') AS BIGINT) AS order_id,
          {sql_parse_date('NULL', 'order_date_raw')} AS order_date,
-         TRY_CAST(NULLIF(trim(regexp_replace(total_raw, '[$,]', '', 'g')), '') AS DOUBLE) AS total_amount,
-         TRY_CAST(NULLIF(regexp_replace(trim(total_raw), '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE) AS total_lenient,
+         TRY_CAST(NULLIF(trim(regexp_replace(total_raw, '[$,]', '', 'g')), '') AS DECIMAL(18,4)) AS total_amount,
+         TRY_CAST(NULLIF(regexp_replace(trim(total_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4)) AS total_lenient,
          CAST(CASE WHEN regexp_matches(trim(total_raw), '^-?\\d+(\\.\\d+)?$')
                    THEN TRY_CAST(trim(total_raw) AS DECIMAL(18,2)) END AS DOUBLE) AS total_strict,
          TRY_CAST(NULLIF(regexp_replace(trim(customer_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER) AS customer_lenient,

@@ -152,7 +152,7 @@ RECON_CORE = f"""
 WITH {RETAIL_QUARTERLY},
 s AS (SELECT quarter_id, SUM(net_sales) AS source_amount FROM rq WHERE quarter_id IS NOT NULL GROUP BY 1),
 t AS (SELECT CAST(year(o_orderdate) AS VARCHAR) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter_id,
-             SUM(o_totalprice) AS target_amount FROM orders GROUP BY 1),
+             SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS target_amount FROM orders GROUP BY 1),
 j AS (SELECT COALESCE(s.quarter_id, t.quarter_id) AS quarter_id, source_amount, target_amount,
              COALESCE(source_amount, 0) AS sa, COALESCE(target_amount, 0) AS ta
       FROM s FULL OUTER JOIN t ON s.quarter_id = t.quarter_id),

@@ -69,9 +69,9 @@ SELECT CASE WHEN regexp_matches(trim(week_ending_raw), '^\\d{{2}}/\\d{{2}}/\\d{{
        lower(NULLIF(trim(department_norm), '')) AS department,
        COALESCE(CASE lower(NULLIF(trim(team_norm), '')) WHEN 'fulfilment' THEN 'fulfillment' END,
                 lower(NULLIF(trim(team_norm), ''))) AS team,
-       round(TRY_CAST(NULLIF(regexp_replace(trim(hours_worked_raw), '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE), 4) AS hours_worked,
-       round(TRY_CAST(NULLIF(regexp_replace(trim(ot_hours_raw), '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE), 4) AS ot_hours,
-       round(TRY_CAST(NULLIF(regexp_replace(trim(labor_cost_raw), '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE), 4) AS labor_cost,
+       round(TRY_CAST(NULLIF(regexp_replace(trim(hours_worked_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4)), 4) AS hours_worked,
+       round(TRY_CAST(NULLIF(regexp_replace(trim(ot_hours_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4)), 4) AS ot_hours,
+       round(TRY_CAST(NULLIF(regexp_replace(trim(labor_cost_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4)), 4) AS labor_cost,
        TRY_CAST(NULLIF(regexp_replace(trim(employee_count_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER) AS employee_count,
        (NULLIF(trim(department_norm), '') IS NULL OR NULLIF(trim(team_norm), '') IS NULL) AS is_missing_department_or_team
 FROM x

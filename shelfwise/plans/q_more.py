@@ -155,7 +155,7 @@ def pos_text_extract(t):
 H5_SQL = f"""
 WITH pos AS (SELECT l_orderkey AS txn_id, l_linenumber AS line_number, CAST(o_orderdate AS DATE) AS d,
                     CAST(o_custkey AS VARCHAR) AS sc, CAST(l_partkey AS VARCHAR) AS sku, l_quantity AS q,
-                    l_extendedprice AS gross_amount, l_extendedprice * (1 - l_discount) AS net_amount
+                    CAST(l_extendedprice AS DECIMAL(18,4)) AS gross_amount, CAST(CAST(l_extendedprice AS DECIMAL(9,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS net_amount
              FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 x AS (SELECT txn_id, CASE WHEN txn_id % 2 = 0 THEN strftime(d, '%Y-%m-%d') || ' 10:30:00'
                           ELSE strftime(d, '%m/%d/%Y') || ' 10:30' END AS txn_ts_raw,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import clean as C
 from ..sources.testdata import Tables
 from . import model
 
@@ -80,8 +81,7 @@ def timeclock_extract(t: Tables) -> DataFrame:
 
 def _txt(c, scale: int = 4):
     """Number → fixed-scale text (rounded first so both engines render alike)."""
-    from ..functions.clean import round_to
-    return round_to(c, scale).cast(f"decimal(18,{scale})").cast("string")
+    return C.round_to(c, scale).cast(f"decimal(18,{scale})").cast("string")
 
 
 def forecast_weekly_extract(t: Tables) -> DataFrame:
@@ -145,8 +145,8 @@ def pos_lines(t: Tables) -> DataFrame:
     return j.select(F.col("l_orderkey").alias("txn_id"), F.col("l_linenumber").alias("line_number"),
                     F.col("o_orderdate").cast("date").alias("txn_date"),
                     F.col("o_custkey").cast("string").alias("store_code"), F.col("l_partkey").cast("string").alias("sku"),
-                    F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("gross_amount"),
-                    (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net_amount"))
+                    F.col("l_quantity").alias("qty"), C.exact("l_extendedprice").alias("gross_amount"),
+                    (C.exact("l_extendedprice") * (1 - C.exact("l_discount"))).cast(C.MONEY).alias("net_amount"))
 
 
 def pos_transactions(t: Tables) -> DataFrame:
@@ -157,7 +157,7 @@ def pos_transactions(t: Tables) -> DataFrame:
     base = p.withColumns({"k": k, "txn_id": F.concat(k.cast("string"), F.lit("-"), F.col("line_number").cast("string"))}) \
         .drop("line_number")
     again = base.filter(F.col("k") % 7 == 0).withColumns({
-        "net_amount": F.col("net_amount") * 0.9, "drop_date": F.date_add("txn_date", 1), "load_id": F.lit("P2")})
+        "net_amount": (F.col("net_amount") * F.lit("0.9").cast("decimal(2,1)")).cast(C.MONEY), "drop_date": F.date_add("txn_date", 1), "load_id": F.lit("P2")})
     first = base.withColumns({"drop_date": F.col("txn_date"), "load_id": F.lit("P1"),
                               "txn_date": F.when(F.col("k") % 14 != 0, F.col("txn_date"))})
     return first.unionByName(again).drop("k")

@@ -31,25 +31,23 @@ def _split_round(sql: str, start: int) -> tuple[str, str, int]:
     return sql[start + 1:comma], sql[comma + 1:i], i
 
 
-def tie_safe_rounding(sql: str) -> str:
-    """Rewrite every ``round(a, n)`` as half-up-with-nudge and drop negative zero.
+def decimal_rounding(sql: str) -> str:
+    """``round(a, n)`` of doubles as decimal rounding with a double result.
 
-    Mirrors ``functions.clean.round_to`` so both engines round decimal ties alike.
+    The reference's ``numeric`` rounds quotients as decimals; DuckDB divides to doubles and rounds those in binary.
     """
     out, i, low = [], 0, sql.lower()
     while True:
         j = low.find("round(", i)
-        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
-            if j < 0:
-                out.append(sql[i:])
-                return "".join(out)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
             out.append(sql[i:j + 6])
             i = j + 6
             continue
         a, n, end = _split_round(sql, j + 5)
-        a = tie_safe_rounding(a)
-        out.append(sql[i:j])
-        out.append(f"(round(({a}) + sign({a}) * 1e-9, {n.strip()}) + 0.0)")
+        out.append(f"{sql[i:j]}CAST(round(TRY_CAST({decimal_rounding(a)} AS DECIMAL(38,10)),{n}) AS DOUBLE)")
         i = end + 1
 
 
@@ -60,23 +58,19 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         REGISTRY[name] = fn
         if sql is not None:
-            SQL[name] = tie_safe_rounding(sql)
+            SQL[name] = decimal_rounding(sql)
         return fn
     return deco
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every floating column (comparison hygiene, mirrored in the SQL).
-
-    Same expression as ``functions.clean.round_to``, written as one SQL
-    expression per column to keep driver-side expression building cheap.
-    """
-    from ..functions.clean import TIE_NUDGE
+    """Every fractional column half up to ``digits``, as a double (``functions.clean.round_to`` in one SQL expression)."""
+    from ..functions.clean import QUOTIENT
     cols = []
     for f in df.schema.fields:
         q = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            cols.append(F.expr(f"round({q} + signum({q}) * {TIE_NUDGE}, {digits})").alias(f.name))
+            cols.append(F.expr(f"double(round(try_cast({q} AS {QUOTIENT}), {digits}))").alias(f.name))
         else:
             cols.append(F.col(q))
     return df.select(*cols)

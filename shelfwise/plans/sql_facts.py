@@ -37,12 +37,12 @@ FROM dist
 POS_CTE = """
 pos0 AS (SELECT l_orderkey AS k, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS txn_id,
                 CAST(o_orderdate AS DATE) AS d, CAST(o_custkey AS VARCHAR) AS store_code, CAST(l_partkey AS VARCHAR) AS sku,
-                l_quantity AS qty, l_extendedprice AS gross_amount, l_extendedprice * (1 - l_discount) AS net_amount
+                l_quantity AS qty, CAST(l_extendedprice AS DECIMAL(18,4)) AS gross_amount, CAST(CAST(l_extendedprice AS DECIMAL(9,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS net_amount
          FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 pos AS (SELECT txn_id, CASE WHEN k % 14 <> 0 THEN d END AS txn_date, store_code, sku, qty, gross_amount, net_amount,
                d AS drop_date, 'P1' AS load_id FROM pos0
         UNION ALL
-        SELECT txn_id, d, store_code, sku, qty, gross_amount, net_amount * 0.9, CAST(d + INTERVAL 1 DAY AS DATE), 'P2'
+        SELECT txn_id, d, store_code, sku, qty, gross_amount, CAST(net_amount * 0.9 AS DECIMAL(18,4)), CAST(d + INTERVAL 1 DAY AS DATE), 'P2'
         FROM pos0 WHERE k % 7 = 0),
 posb AS (SELECT * FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY txn_id ORDER BY (txn_date IS NOT NULL) DESC, (store_code IS NOT NULL) DESC,
@@ -182,7 +182,7 @@ s AS (
                 WHEN regexp_matches(trim(month_start_raw), '^\\d{2}/\\d{2}/\\d{4}$') THEN CAST(try_strptime(trim(month_start_raw), '%m/%d/%Y') AS DATE) END)
            AS DATE) AS period_month,
          lower(NULLIF(trim(metric_name_norm), '')) AS metric_name,
-         TRY_CAST(NULLIF(regexp_replace(trim(actual_amount_raw), '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE) AS actual_amount
+         TRY_CAST(NULLIF(regexp_replace(trim(actual_amount_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4)) AS actual_amount
   FROM fx),
 k AS (SELECT *, CASE WHEN metric_name IS NULL THEN 'unknown'
                      WHEN lower(trim(metric_name)) LIKE '%gross%sales%' THEN 'gross_sales'
@@ -201,7 +201,7 @@ FROM k GROUP BY 1, 2
 """
 
 M20_SQL = """
-WITH s AS (SELECT r_name AS region, n_name AS state, lower(c_mktsegment) AS channel, c_acctbal AS acct_balance
+WITH s AS (SELECT r_name AS region, n_name AS state, lower(c_mktsegment) AS channel, CAST(c_acctbal AS DECIMAL(18,4)) AS acct_balance
            FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 SELECT region, state, channel,
        CASE grouping(region, state, channel) WHEN 0 THEN 'region+state+channel' WHEN 1 THEN 'region+state'

@@ -131,3 +131,24 @@ def test_team_synonym_and_fuel_classes(spark):
     got = {r["source_record_id"]: (r["factor_type"], r["has_invalid_fuel_unit"], r["has_unknown_fuel_type"])
            for r in emissions.stage_fuel_usage(fuels).collect()}
     assert got == {0: ("natural_gas_therm", False, False), 1: ("diesel_gallon", False, False), 2: (None, True, True), 3: (None, False, True)}
+
+
+def test_money_is_exact_and_out_of_range_is_null(spark):
+    from decimal import Decimal as D
+    rows = spark.createDataFrame([("$1,234.56785",), ("-0.00005",), ("99999999999999",), ("100000000000000",), ("1-2",), ("",), (None,)], "t string")
+    got = [tuple(r) for r in rows.select(C.lenient_decimal(None, "t"), C.money("t")).collect()]
+    assert got == [(D("1234.5679"), D("1234.5679")), (D("-0.0001"), D("-0.0001")), (D("99999999999999.0000"),) * 2,
+                   (None, None), (None, None), (None, None), (None, None)]
+    tenths = spark.range(1000).select(C.exact(F.lit(0.1)).alias("x"))
+    assert tenths.agg(F.sum("x")).first()[0] == D("100.0000")
+
+
+def test_typed_amounts_beyond_the_range_fall_back_to_text(spark):
+    row = spark.createDataFrame([(1e20, "7.5")], "x double, t string")
+    assert float(row.select(C.lenient_decimal("x", "t")).first()[0]) == 7.5
+
+
+def test_rounding_of_quotients_is_decimal(spark):
+    row = spark.createDataFrame([(1183.8753, 6, -4.97005, float("nan"))], "n double, d int, x double, y double")
+    assert tuple(row.select(C.round_to(C.ratio("n", "d"), 4), C.round_to("x", 4), C.round_to("y", 4), C.round_to(F.lit(None).cast("double"), 2)).first()) \
+        == (197.3126, -4.9701, None, None)
