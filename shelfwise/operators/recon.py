@@ -8,12 +8,15 @@ shuffles only one row per grain key.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import SUM, ratio, sym_rel_diff
+from ..functions.clean import SUM, exact, ratio, sym_rel_diff
 
 
 def reconcile_totals(left: DataFrame, right: DataFrame, keys: Sequence[str], left_col: str, right_col: str,
@@ -107,6 +110,81 @@ def recon_sales_to_ledger(sales: DataFrame, ledger: DataFrame, period: str = "pe
                        pct.alias("pct_diff"), status.alias("status"))
 
 
+@dataclass
+class Layer:
+    """One layer of a reconciliation: ``build(day)`` gives its rows (of that day only, if it can push the day into its
+    scans; all rows for None), ``dates`` a frame that holds at least its dates and is cheaper than the rows."""
+
+    name: str
+    date: str
+    build: Callable[[dt.date | None], DataFrame]
+    measures: dict[str, str | Column]
+    dates: Callable[[], DataFrame] | None = None
+
+
+@dataclass
+class LayerPair:
+    """A source layer and the layer modeled from it; both name the same measures."""
+
+    check: str
+    grain: str
+    source: Layer
+    modeled: Layer
+    tolerance_pct: float = 0.0
+
+
+def latest_common_dates(pairs: Sequence[LayerPair]) -> dict[str, dt.date | None]:
+    """Check -> latest date that both of its layers have reached: the lesser of their latest dates (of a layer without
+    dates, the other's). One job for all layers; the driver receives one date per check."""
+    out = None
+    for p in pairs:
+        for layer in (p.source, p.modeled):
+            frame = layer.dates() if layer.dates else layer.build(None)
+            latest = frame.agg(F.max(F.col(layer.date).cast("date")).alias("latest")).withColumn("check", F.lit(p.check))
+            out = latest if out is None else out.unionByName(latest)
+    return {r["check"]: r["common"] for r in out.groupBy("check").agg(F.min("latest").alias("common")).collect()}
+
+
+def _layer_totals(layer: Layer, day: dt.date | None, prefix: str) -> DataFrame:
+    """One row: the sums of all measures on the day, null where the layer has no row of it."""
+    rows = layer.build(day).filter(F.col(layer.date).cast("date") == F.lit(day).cast("date"))
+    value = lambda m: F.col(m) if isinstance(m, str) else m
+    return rows.agg(*[exact(F.sum(F.coalesce(value(m), F.lit(0))), SUM).alias(f"{prefix}_{k}") for k, m in layer.measures.items()]) \
+        .withColumn("__k", F.lit(1))
+
+
+def layer_reconciliation(pairs: Sequence[LayerPair]) -> DataFrame:
+    """Q23: totals of each layer against the layer modeled from it, on the latest date that both have.
+
+    The common dates are resolved first, for all layers in one job, and reach the scans as literals; then every layer is read
+    once and all its measures are summed in that pass. Exact amounts are compared: equal totals pass (with a tolerance, totals
+    whose relative gap is within it); a layer without rows on the date fails as missing.
+    """
+    days = latest_common_dates(pairs)
+    out = None
+    for p in pairs:
+        if p.source.measures.keys() != p.modeled.measures.keys():
+            raise ValueError(f"{p.check}: both layers must name the same measures")
+        day = days[p.check]
+        stack = ", ".join(f"'{k}', s_{k}, m_{k}" for k in p.source.measures)
+        both = _layer_totals(p.source, day, "s").join(_layer_totals(p.modeled, day, "m"), "__k")
+        rows = both.selectExpr(f"stack({len(p.source.measures)}, {stack}) AS (measure, source_total, modeled_total)")
+        s, m = F.coalesce("source_total", F.lit(0)), F.coalesce("modeled_total", F.lit(0))
+        pct = F.coalesce(ratio(F.abs(m - s), F.greatest(F.abs(s), F.abs(m))), F.lit(0.0))
+        detail = (F.when(F.col("source_total").isNull(), F.lit("FAIL_missing_source"))
+                  .when(F.col("modeled_total").isNull(), F.lit("FAIL_missing_modeled"))
+                  .when((m == s) | (pct <= p.tolerance_pct), F.lit("PASS")).otherwise(F.lit("FAIL_mismatch")))
+        rows = rows.select(
+            F.lit("recon").alias("check_group"), F.concat(F.lit(f"{p.check}:"), F.col("measure")).alias("check_name"),
+            F.lit(p.grain).alias("grain"), F.lit(day).cast("date").alias("check_date"),
+            F.lit(p.source.name).alias("source_object"), F.lit(p.modeled.name).alias("modeled_object"),
+            "source_total", "modeled_total", (m - s).alias("delta_amount"), pct.alias("delta_pct"),
+            F.lit(p.tolerance_pct).cast("double").alias("tolerance_pct"),
+            F.when(detail == "PASS", F.lit("Pass")).otherwise(F.lit("Fail")).alias("status"), detail.alias("status_detail"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def unified_controls(controls: dict[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
     """Heterogeneous control outputs → one contract (check, key, status)."""
     out = None

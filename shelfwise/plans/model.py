@@ -17,6 +17,8 @@ Role mapping (stated assumptions, identical in the SQL oracle):
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +53,16 @@ def products(t: Tables) -> DataFrame:
         (F.col("p_type") == F.lit("PROMO")).alias("promo_flag"))
 
 
-def sales_lines(t: Tables, since=None) -> DataFrame:
-    """One row per sale line with dimensions attached; with ``since`` only sales from that date on.
+def on_day(df: DataFrame, column: str, day) -> DataFrame:
+    """Rows of one day as a range of the stored column, so that the bounds reach the scan (all rows without a day)."""
+    if day is None:
+        return df
+    stored = df.schema[column].dataType
+    return df.filter((F.col(column) >= F.lit(str(day)).cast(stored)) & (F.col(column) < F.lit(str(day + dt.timedelta(days=1))).cast(stored)))
+
+
+def sales_lines(t: Tables, since=None, on=None) -> DataFrame:
+    """One row per sale line with dimensions attached; with ``since`` only sales from that date on, with ``on`` of that date.
 
     lineitem ⋈ orders is the only fact-to-fact join (sort-merge on the order
     key); Spark picks the strategy of the dimension joins from run-time sizes.
@@ -63,6 +73,7 @@ def sales_lines(t: Tables, since=None) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     if since is not None:
         o = o.filter(F.col("o_orderdate") >= F.lit(str(since)).cast(o.schema["o_orderdate"].dataType))
+    o = on_day(o, "o_orderdate", on)
     base = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     base = base.join(products(t), F.col("l_partkey") == F.col("sku"))
     cust = t.customer.select(F.col("c_custkey").alias("store_id"), F.col("c_name").alias("store_name"),
@@ -176,13 +187,13 @@ def raw_orders_text(t: Tables) -> DataFrame:
                     prio_txt.alias("priority_raw"), F.col("o_orderstatus").alias("status_raw"))
 
 
-def inventory(t: Tables) -> DataFrame:
+def inventory(t: Tables, on=None) -> DataFrame:
     """Inventory snapshots: one per line at ship date, supplier site and SKU.
 
     on hand = quantity − 10 (so some snapshots are negative / out of stock);
     the typed in-stock flag is missing on even line numbers.
     """
-    li = t.lineitem
+    li = on_day(t.lineitem, "l_shipdate", on)
     sup = t.supplier.join(geography(t), F.col("s_nationkey") == F.col("n_nationkey")) \
         .select(F.col("s_suppkey"), F.col("state"))
     base = li.join(sup, F.col("l_suppkey") == F.col("s_suppkey")) \

@@ -18,8 +18,12 @@ def dist_daily(t):
     return facts.distributor_daily(dedup.distributor_sales(staged, grain), grain)
 
 
+def pos_day_of(transactions):
+    return facts.pos_daily(transactions, "txn_date").withColumnRenamed("txn_date", "sale_date")
+
+
 def pos_day(t):
-    return facts.pos_daily(dedup.pos_transactions(raw.pos_transactions(t)), "txn_date").withColumnRenamed("txn_date", "sale_date")
+    return pos_day_of(dedup.pos_transactions(raw.pos_transactions(t)))
 
 
 def conformed(t):

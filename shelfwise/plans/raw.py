@@ -44,9 +44,9 @@ def account_status_extract(t: Tables) -> DataFrame:
     )
 
 
-def sales_distributor_extract(t: Tables) -> DataFrame:
+def sales_distributor_extract(t: Tables, on=None) -> DataFrame:
     """H4 input from sales lines; returns carry negative net sales."""
-    s = model.sales_lines(t)
+    s = model.sales_lines(t, on=on)
     seg_text = _map(SEGMENT_CHANNEL_TEXT, F.upper(F.col("channel")))
     ln = F.col("line_number")
     net = F.when(F.col("return_flag") == "R", -F.col("net_sales")).otherwise(F.col("net_sales"))
@@ -137,10 +137,10 @@ def retail_quarterly_extract(t: Tables) -> DataFrame:
     )
 
 
-def pos_lines(t: Tables) -> DataFrame:
+def pos_lines(t: Tables, on=None) -> DataFrame:
     """POS transaction lines: order = transaction, line = basket line (keys repeat → D5 dedup)."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    o = model.on_day(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderdate", on)
     j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     return j.select(F.col("l_orderkey").alias("txn_id"), F.col("l_linenumber").alias("line_number"),
                     F.col("o_orderdate").cast("date").alias("txn_date"),
@@ -149,10 +149,10 @@ def pos_lines(t: Tables) -> DataFrame:
                     (C.exact("l_extendedprice") * (1 - C.exact("l_discount"))).cast(C.MONEY).alias("net_amount"))
 
 
-def pos_transactions(t: Tables) -> DataFrame:
+def pos_transactions(t: Tables, on=None) -> DataFrame:
     """POS transactions, one per line item. Every seventh order is sent again a day later with corrected amounts; half of
     those came without a readable timestamp at first (D5 picks the second copy)."""
-    p = pos_lines(t)
+    p = pos_lines(t, on)
     k = F.col("txn_id")
     base = p.withColumns({"k": k, "txn_id": F.concat(k.cast("string"), F.lit("-"), F.col("line_number").cast("string"))}) \
         .drop("line_number")

@@ -186,3 +186,40 @@ def test_run_log_starts_at_one_only_without_a_log(spark, tmp_path):
     (bad / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception):
         dq.open_run(spark, str(bad), "q", "x", "b")
+
+
+def test_layers_meet_on_their_latest_common_date(spark):
+    from shelfwise.operators.recon import Layer, LayerPair, latest_common_dates, layer_reconciliation
+    day = lambda k: dt.date(2024, 1, k)
+    source = spark.createDataFrame([(day(1), 1.25, 2), (day(2), 10.10, 3), (day(2), None, 4), (day(3), 7.0, 1)], "d date, net double, n int")
+    modeled = spark.createDataFrame([(day(1), 1.25, 2), (day(2), 10.10, 8)], "d date, net double, n int")
+    none = spark.createDataFrame([], "d date, net double, n int")
+    asked = []
+
+    def layer(name, frame):
+        def build(on):
+            asked.append((name, on))
+            return frame
+        return Layer(name, "d", build, {"net": "net", "n": "n"}, lambda: frame.select("d"))
+
+    pairs = [LayerPair("a", "day", layer("src", source), layer("mart", modeled)),
+             LayerPair("b", "day", layer("src", source), layer("mart", none)),
+             LayerPair("c", "day", layer("src", none), layer("mart", none)),
+             LayerPair("d", "day", layer("src", source), layer("mart", modeled), tolerance_pct=0.2)]
+    assert latest_common_dates(pairs) == {"a": day(2), "b": day(3), "c": None, "d": day(2)}
+    assert not asked  # dates come from the cheaper frames
+    got = {r["check_name"]: (r["check_date"], r["source_total"], r["modeled_total"], r["status_detail"]) for r in layer_reconciliation(pairs).collect()}
+    assert asked[0] == ("src", day(2)) and len(asked) == 8  # one read of each layer
+    as_float = {k: (d, s and float(s), m and float(m), x) for k, (d, s, m, x) in got.items()}
+    assert as_float == {
+        "a:net": (day(2), 10.1, 10.1, "PASS"), "a:n": (day(2), 7.0, 8.0, "FAIL_mismatch"),
+        "b:net": (day(3), 7.0, None, "FAIL_missing_modeled"), "b:n": (day(3), 1.0, None, "FAIL_missing_modeled"),
+        "c:net": (None, None, None, "FAIL_missing_source"), "c:n": (None, None, None, "FAIL_missing_source"),
+        "d:net": (day(2), 10.1, 10.1, "PASS"), "d:n": (day(2), 7.0, 8.0, "PASS")}
+
+
+def test_layers_must_name_the_same_measures(spark):
+    from shelfwise.operators.recon import Layer, LayerPair, layer_reconciliation
+    f = spark.createDataFrame([(dt.date(2024, 1, 1), 1)], "d date, n int")
+    with pytest.raises(ValueError):
+        layer_reconciliation([LayerPair("a", "day", Layer("s", "d", lambda on: f, {"n": "n"}), Layer("m", "d", lambda on: f, {"x": "n"}))])
