@@ -15,7 +15,7 @@ from ..operators import staging
 from ..session import checkpoint_dir
 from ..sources import files
 from ..sources.testdata import Tables
-from ..streaming.incremental import keep_best_incremental
+from ..streaming.incremental import first_arrivals, keep_best_incremental
 from . import model, raw
 from .oracle import SALES_LINES
 from .q_clean import H4_CORE
@@ -133,16 +133,47 @@ FROM (
 """
 
 
+# Rows that a bucket of the keep-best table holds on average.
+BUCKET_ROWS = 500_000
+DROPS = 4
+
+
 @query("r1_stream_keep_best", R1_SQL)
 def q_r1(spark, d):
     """Lineitem lands in four drops (by line number, so the lines of an order arrive in different drops, the later
-    ones late) that are streamed one by one into a keep-best table with one line per order."""
+    ones late); each drop is streamed into a keep-best table with one line per order as it lands."""
     lines = Tables(spark, d).lineitem.select("l_orderkey", *_LINES)
     root = _scratch(spark, "r1")
-    drops = lines.withColumn("drop", F.pmod(F.col("l_linenumber"), F.lit(4)))
-    for k in range(4):
-        drops.filter(F.col("drop") == k).drop("drop").coalesce(1).write.parquet(f"{root}/drops/drop={k}")
-    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1) \
-        .option("recursiveFileLookup", True).parquet(f"{root}/drops")
-    return keep_best_incremental(stream, ["l_orderkey"], [(F.col("l_linestatus") == "F", "desc"), ("l_shipdate", "desc")],
-                                 f"{root}/table", buckets=8)
+    buckets = max(8, -(-lines.count() // BUCKET_ROWS))
+    for k in range(DROPS):
+        lines.filter(F.pmod(F.col("l_linenumber"), F.lit(DROPS)) == k).write.parquet(f"{root}/drops/drop={k}")
+        stream = spark.readStream.schema(lines.schema).option("recursiveFileLookup", True).parquet(f"{root}/drops")
+        best = keep_best_incremental(stream, ["l_orderkey"], [(F.col("l_linestatus") == "F", "desc"), ("l_shipdate", "desc")],
+                                     f"{root}/table", buckets=buckets)
+    return best
+
+
+R1_FIRST_SQL = """
+WITH e AS (SELECT event_id, ts, user_id, event_type, value, ntile FROM (
+             SELECT *, CAST(floor((epoch(ts) - epoch(min(ts) OVER ())) / (86400 * 8)) AS INTEGER) AS ntile FROM events)),
+a AS (SELECT *, ntile AS arrived FROM e
+      UNION ALL SELECT event_id, ts, user_id, event_type, value + 1000, ntile, ntile + 1 FROM e WHERE event_id % 7 = 0)
+SELECT event_id, ts, user_id, event_type, round(value, 4) AS value FROM a QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arrived) = 1
+"""
+
+
+@query("r1_stream_first_arrival", R1_FIRST_SQL)
+def q_r1_first(spark, d):
+    """Events land in drops of eight days; every seventh event is sent again with the next drop, late and with another value.
+    The first arrival of each event stays; the stream's state holds the keys of sixteen days."""
+    events = Tables(spark, d).events
+    kept = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    first, last = kept.agg(F.min("ts"), F.max("ts")).first()
+    root = _scratch(spark, "first")
+    drop = F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(first))) / (8 * 86400 * 1_000_000))
+    again = kept.filter(F.col("event_id") % 7 == 0).withColumn("value", F.col("value") + 1000)
+    for k in range((last - first).days // 8 + 2):
+        kept.filter(drop == k).unionByName(again.filter(drop + 1 == k)).write.parquet(f"{root}/drops/drop={k}")
+        stream = spark.readStream.schema(kept.schema).option("recursiveFileLookup", True).parquet(f"{root}/drops")
+        arrivals = first_arrivals(stream, ["event_id"], "ts", f"{root}/table", delay="16 days")
+    return rounded(arrivals.rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")))

@@ -2,8 +2,10 @@
 
 Two Structured Streaming forms:
 
-* ``dedup_within_watermark`` keeps the *first* arrival of a key within the watermark
-  (``dropDuplicatesWithinWatermark``); state is bounded by the watermark.
+* ``first_arrivals`` keeps the *first* arrival of a key over all drops. Its state holds the keys
+  of the last ``delay`` of event time only (``dropDuplicatesWithinWatermark``), in RocksDB, so that it is bounded by the delay
+  and not by executor memory. Copies may come late by up to the delay; a row that comes later than that cannot be told from a new
+  one, is left out and counted.
 * ``keep_best_incremental`` keeps the *best* row per key (D1 semantics) over all drops.
 
 The keep-best table is bucketed by key. A micro-batch reads, merges and rewrites only the buckets that its keys
@@ -18,6 +20,7 @@ The stream checkpoint lives inside the table, since its epoch numbers are the ta
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +30,48 @@ from ..operators.dedup import keep_best
 BUCKETS = 64
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 day") -> DataFrame:
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+@dataclass
+class Arrivals:
+    """What a run of :func:`first_arrivals` leaves: the table's rows, the keys held in state, and the rows that came too late."""
+
+    rows: DataFrame
+    keys_held: int
+    too_late: int
+
+
+def first_arrivals(stream: DataFrame, keys: Sequence[str], event_time: str, root: str, delay: str = "1 day") -> Arrivals:
+    """Run all files that the stream has not seen yet into the first-arrival table at ``root``.
+
+    Every micro-batch writes its own folder, over what a killed try of it left, so a restart from the checkpoint neither loses nor
+    repeats rows. Copies of a key within one micro-batch are equal rights: one of them is kept.
+    """
+    spark = stream.sparkSession
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, ROCKSDB)
+
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/rows/epoch={epoch}")
+
+    try:
+        query = dedup_within_watermark(stream, keys, event_time, delay).writeStream.foreachBatch(publish) \
+            .option("checkpointLocation", f"{root}/stream").trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(provider, before) if before else spark.conf.unset(provider)
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    held = states[-1]["numRowsTotal"] if states else 0
+    table = spark.read.schema(stream.schema).parquet(f"{root}/rows/epoch=*")
+    return Arrivals(table, held, sum(s["numRowsDroppedByWatermark"] for s in states))
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
