@@ -346,3 +346,32 @@ def stage_fuel_usage(raw: DataFrame) -> DataFrame:
         "has_unknown_fuel_type": F.col("factor_type").isNull(),
     })
     return out
+
+
+def trace(ids: DataFrame, fact: DataFrame, factors: DataFrame, staged: dict[str, DataFrame],
+          record_keys: dict[str, dict[str, Column]]) -> DataFrame:
+    """Every activity id walked back from the reported row to its factor, its staged row and its source file.
+
+    ``ids`` holds activity ids (any number; repeats count once). ``staged`` gives each source's rows with ``source_amount`` and
+    ``source_file``; ``record_keys`` says how the stored key columns of a source follow from the record id, so that each
+    source is cut by a semi-join on its stored columns: Spark broadcasts a small set of keys or filters the scan by
+    its Bloom filter, and reads no other source's rows. The amount is recomputed from the staged row and the factor; ``ties_out`` tells
+    whether it is the reported one. Ids that no reported row has come back with nulls; a repeated source record comes back with
+    each of its staged rows.
+    """
+    wanted = ids.select("activity_id").distinct()
+    rows = fact.join(wanted, "activity_id", "left_semi").select(*TRACE_COLUMNS, "factor_type", "kg_co2e")
+    rows = rows.join(factors.select("factor_id", "source_authority", "factor_value_kg_co2e_per_unit", "effective_start", "effective_end"),
+                     "factor_id", "left")
+    found = None
+    for source, frame in staged.items():
+        keys = record_keys[source]
+        own = rows.filter(F.col("source_system") == source).select(
+            F.col("source_system").alias("__s"), F.col("source_record_id").alias("__r"), *[e.alias(f"__{k}") for k, e in keys.items()]).distinct()
+        on = [frame[k] == own[f"__{k}"] for k in keys]
+        part = frame.join(own, on).select("__s", "__r", "source_amount", "source_file")
+        found = part if found is None else found.unionByName(part)
+    j = rows.join(found, (rows["source_system"] == found["__s"]) & (rows["source_record_id"] == found["__r"]), "left").drop("__s", "__r")
+    kg = F.col("source_amount") * F.col("factor_value_kg_co2e_per_unit")
+    j = j.withColumns({"recomputed_kg_co2e": kg, "ties_out": F.coalesce(F.abs(kg - F.col("kg_co2e")) <= 1e-6, F.lit(False))})
+    return wanted.join(j, "activity_id", "left")

@@ -225,3 +225,141 @@ def emissions_measures(fact: DataFrame, revenue: DataFrame, period: str = "activ
         "t_per_1k_revenue": ratio(F.col("total_t") * 1000.0, "revenue")})
     return j.withColumn("emissions_status", F.when(F.col("reportable_rate") < min_reportable_rate, F.lit("Review"))
                         .otherwise(F.lit("OK")))
+
+
+def fifo_layers(receipts: DataFrame, issues: DataFrame, keys: Sequence[str], date: str = "date", qty: str = "units") -> DataFrame:
+    """Which receipt each issued unit came from, first in first out: (keys, receipt_date, issue_date, units).
+
+    Receipts and issues are summed by key and day, and both get running sums. Between two neighbouring sums of either side
+    all units have the same receipt and the same issue: those of the next sum of each side. So one pass over the merged sums of
+    a key (at most two rows a day) matches them, without joining receipts to issues. ``issue_date`` is null for what is
+    left in stock, ``receipt_date`` for issues beyond all receipts.
+    """
+    by_day = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def sums(df: DataFrame, own: str, other: str) -> DataFrame:
+        d = df.filter(F.col(qty) > 0).groupBy(*keys, date).agg(F.sum(qty).alias("__q"))
+        return d.select(*keys, F.sum("__q").over(by_day).alias("__upto"), F.col(date).alias(own), F.lit(None).cast("date").alias(other))
+
+    merged = sums(receipts, "receipt_date", "issue_date").unionByName(sums(issues, "issue_date", "receipt_date"))
+    order = Window.partitionBy(*keys).orderBy("__upto", F.col("receipt_date").asc_nulls_last())
+    ahead = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    return merged.select(
+        *keys, F.first("receipt_date", ignorenulls=True).over(ahead).alias("receipt_date"),
+        F.first("issue_date", ignorenulls=True).over(ahead).alias("issue_date"),
+        (F.col("__upto") - F.coalesce(F.lag("__upto").over(order), F.lit(0))).alias("units")).filter(F.col("units") > 0)
+
+
+AGE_BUCKETS = ((0, 30, "0_30"), (31, 60, "31_60"), (61, 90, "61_90"), (91, None, "90_plus"))
+
+
+def aged_inventory(layers: DataFrame, by: Sequence[str], as_of, buckets=AGE_BUCKETS) -> DataFrame:
+    """Stock left on ``as_of`` by age of its receipt, the share older than 90 days, units issued and their mean days in
+    stock (weighted by units), and units issued without a receipt."""
+    age = F.datediff(F.lit(as_of).cast("date"), "receipt_date")
+    left = F.col("issue_date").isNull()
+    matched = ~left & F.col("receipt_date").isNotNull()
+    u = F.col("units")
+    within = lambda lo, hi: left & (age >= lo) & (F.lit(True) if hi is None else age <= hi)
+    g = layers.groupBy(*by).agg(
+        F.sum(F.when(left, u).otherwise(0)).alias("on_hand_units"),
+        *[F.sum(F.when(within(lo, hi), u).otherwise(0)).alias(f"units_{name}") for lo, hi, name in buckets],
+        F.sum(F.when(matched, u).otherwise(0)).alias("issued_units"),
+        F.sum(F.when(matched, u * F.datediff("issue_date", "receipt_date"))).alias("__unit_days"),
+        F.sum(F.when(F.col("receipt_date").isNull(), u).otherwise(0)).alias("unreceived_units"))
+    oldest = buckets[-1][2]
+    return g.withColumns({"aged_share": ratio(f"units_{oldest}", "on_hand_units"),
+                          "mean_days_in_stock": ratio("__unit_days", "issued_units")}).drop("__unit_days")
+
+
+def unit_turnover(snapshots: DataFrame, issued: DataFrame, by: Sequence[str], date: str = "snapshot_date",
+                  on_hand: str = "on_hand_units", units: str = "units") -> DataFrame:
+    """Inventory turnover in units: units sold / average over the dates of the units on hand on each."""
+    days = snapshots.groupBy(*by, date).agg(F.sum(F.greatest(on_hand, F.lit(0))).alias("__on_hand"))
+    avg = days.groupBy(*by).agg(F.avg("__on_hand").alias("avg_inventory_units"))
+    sold = issued.groupBy(*by).agg(F.sum(units).alias("volume_units"))
+    return avg.join(sold, list(by), "left").withColumn("inventory_turnover", ratio("volume_units", "avg_inventory_units"))
+
+
+def since_launch(sales: DataFrame, entity: str, date: str, as_of) -> DataFrame:
+    """Sales up to ``as_of`` with the entity's own first sale date and the days since it."""
+    upto = sales.filter(F.col(date) <= F.lit(as_of).cast("date"))
+    start = upto.groupBy(entity).agg(F.min(date).alias("launch_date"))
+    return upto.join(start, entity).withColumn("days_since_launch", F.datediff(date, "launch_date"))
+
+
+def launch_success(sales: DataFrame, forecasts: DataFrame, entity: str, date: str, value: str, as_of,
+                   days: int = 90) -> DataFrame:
+    """Revenue of each entity's first ``days`` days against its launch forecast (entity, launch_forecast).
+
+    The window starts at the entity's own launch; ``window_complete`` tells whether it has passed by ``as_of``.
+    """
+    s = since_launch(sales, entity, date, as_of)
+    g = s.groupBy(entity, "launch_date").agg(
+        F.sum(F.when(F.col("days_since_launch") < days, F.col(value))).alias("launch_revenue"), F.sum(value).alias("revenue_to_date"))
+    j = g.join(forecasts.select(entity, "launch_forecast"), entity, "left")
+    return j.withColumns({"launch_success": ratio("launch_revenue", "launch_forecast"),
+                          "window_complete": F.date_add("launch_date", days) <= F.lit(as_of).cast("date")})
+
+
+def new_product_ramp(sales: DataFrame, entity: str, date: str, value: str, as_of, months: int = 6) -> DataFrame:
+    """Revenue of the entities launched in the ``months`` before ``as_of`` by week since their own launch."""
+    s = since_launch(sales, entity, date, as_of).filter(F.col("launch_date") >= F.add_months(F.lit(as_of).cast("date"), -months))
+    return s.groupBy(F.floor(F.col("days_since_launch") / 7).cast("int").alias("weeks_since_launch")).agg(
+        F.count_distinct(entity).alias("selling_products"), F.sum(value).alias("new_product_revenue"))
+
+
+def _year_over_year(agg: DataFrame, period: str, keys: Sequence[str], values: Sequence[str], months: int) -> DataFrame:
+    """``agg`` full outer joined with itself ``months`` earlier (``prior_*``, all values 0 where a side is missing), for periods
+    that have a prior period at all."""
+    prior = agg.select(F.add_months(F.col(period), months).alias(period), *keys, *[F.col(v).alias(f"prior_{v}") for v in values])
+    both = agg.select(period).distinct().join(prior.select(period).distinct(), period)
+    j = agg.select(period, *keys, *values).join(prior, [period, *keys], "full").join(both, period, "left_semi")
+    return j.select(period, *keys, *[F.coalesce(v, F.lit(0)).alias(v) for c in values for v in (c, f"prior_{c}")])
+
+
+def cannibalisation(sales: DataFrame, period: str, key: str, value: str, months: int = 12) -> DataFrame:
+    """How much of a category's loss against the prior period stands against gains of others.
+
+    Losses and gains are totalled per period; the lesser total is what can have moved. It is dealt to losing categories by their
+    losses and to gaining ones by their gains, so no pairs of categories are formed.
+    """
+    agg = sales.groupBy(period, key).agg(F.sum(value).alias("revenue"))
+    j = _year_over_year(agg, period, [key], ["revenue"], months)
+    change = F.col("revenue") - F.col("prior_revenue")
+    j = j.withColumns({"revenue_loss": F.greatest(-change, F.lit(0)), "revenue_gain": F.greatest(change, F.lit(0))})
+    total = j.groupBy(period).agg(F.sum("revenue_loss").alias("total_loss"), F.sum("revenue_gain").alias("total_gain"))
+    moved = F.least("total_loss", "total_gain")
+    return j.join(total, period).withColumns({
+        "cannibalised_loss": F.when(F.col("revenue_loss") > 0, ratio(F.col("revenue_loss") * moved, "total_loss")).otherwise(0.0),
+        "cannibalising_gain": F.when(F.col("revenue_gain") > 0, ratio(F.col("revenue_gain") * moved, "total_gain")).otherwise(0.0)})
+
+
+def mix_change(sales: DataFrame, period: str, key: str, value: str, margin: str, months: int = 12) -> DataFrame:
+    """Change of each category's share against the prior period, and of the total margin rate split into a within effect
+    (the category's own rate moved, at its mean share) and a between effect (its share moved, at its mean rate against the mean of both
+    periods' total rates). Over all categories the two effects add up to the change of the total rate."""
+    agg = sales.groupBy(period, key).agg(F.sum(value).alias("revenue"), F.sum(margin).alias("margin"))
+    j = _year_over_year(agg, period, [key], ["revenue", "margin"], months)
+    total = j.groupBy(period).agg(*[F.sum(c).alias(f"__{c}") for c in ("revenue", "prior_revenue", "margin", "prior_margin")])
+    j = j.join(total, period)
+    z = F.lit(0.0)
+    share, prior = F.coalesce(ratio("revenue", "__revenue"), z), F.coalesce(ratio("prior_revenue", "__prior_revenue"), z)
+    # A category without revenue on one side has moved in share only: its rate is that of the other side.
+    now, before = ratio("margin", "revenue"), ratio("prior_margin", "prior_revenue")
+    rate, prior_rate = F.coalesce(now, before, z), F.coalesce(before, now, z)
+    overall = (F.coalesce(ratio("__margin", "__revenue"), z) + F.coalesce(ratio("__prior_margin", "__prior_revenue"), z)) / 2
+    return j.select(
+        period, key, "revenue", "prior_revenue", share.alias("mix"), prior.alias("prior_mix"), (share - prior).alias("mix_change"),
+        now.alias("margin_rate"), before.alias("prior_margin_rate"),
+        ((share + prior) / 2 * (rate - prior_rate)).alias("within_effect"),
+        ((share - prior) * ((rate + prior_rate) / 2 - overall)).alias("between_effect"))
+
+
+def low_margin_high_volume(sales: DataFrame, context: Sequence[str], key: str, max_margin: float = 0.5,
+                           min_volume: float = 0.05) -> DataFrame:
+    """Products whose margin is below ``max_margin`` and whose share of the context's units is above ``min_volume``."""
+    g = sales.groupBy(*context, key).agg(F.sum("net_sales").alias("revenue"), F.sum("units").alias("units"),
+                                         F.sum(F.col("net_sales") - F.col("cogs")).alias("gross_margin"))
+    g = share_of_total(g, "units", context, "volume_share").withColumn("gross_margin_pct", ratio("gross_margin", "revenue"))
+    return g.filter((F.col("gross_margin_pct") < max_margin) & (F.col("volume_share") > min_volume))

@@ -84,3 +84,78 @@ def test_distributed_rank_matches_windows(spark):
         "id", F.rank().over(w).alias("rk"), F.dense_rank().over(w).alias("dr"),
         F.percent_rank().over(w).alias("pr")).collect()}
     assert got == ref
+
+
+def test_fifo_layers_equal_unit_by_unit_matching(spark):
+    import random
+    from shelfwise.operators import semantic as S
+    rng = random.Random(4)
+    day = lambda k: dt.date(2024, 1, 1) + dt.timedelta(days=k)
+    moves = {side: [(k, day(rng.randrange(40)), rng.choice([0, 1, 2, 5, None])) for k in "abc" for _ in range(rng.randrange(0, 25))]
+             for side in ("in", "out")}
+    moves["in"].append(("only_in", day(3), 4))
+    moves["out"].append(("only_out", day(3), 4))
+    frames = [spark.createDataFrame(m, "k string, date date, units int") for m in moves.values()]
+    want = {}
+    for key in {m[0] for v in moves.values() for m in v}:
+        units = [sorted(d for k, d, u in moves[s] if k == key for _ in range(u or 0)) for s in ("in", "out")]
+        for n in range(max(map(len, units))):
+            pair = tuple(u[n] if n < len(u) else None for u in units)
+            want[(key, *pair)] = want.get((key, *pair), 0) + 1
+    got = S.fifo_layers(*frames, ["k"]).groupBy("k", "receipt_date", "issue_date").sum("units").collect()
+    assert {tuple(r)[:3]: r[3] for r in got} == want
+    aged = {r["k"]: r for r in S.aged_inventory(S.fifo_layers(*frames, ["k"]), ["k"], day(60)).collect()}
+    assert (aged["only_in"]["on_hand_units"], aged["only_in"]["units_31_60"], aged["only_in"]["aged_share"]) == (4, 4, 0.0)
+    assert (aged["only_out"]["unreceived_units"], aged["only_out"]["on_hand_units"], aged["only_out"]["aged_share"]) == (4, 0, None)
+
+
+def test_mix_effects_add_up_and_cannibalised_totals_match(spark):
+    import random
+    from shelfwise.operators import semantic as S
+    rng = random.Random(1)
+    rows = [(dt.date(y, 1, 1), c, float(rng.randint(1, 100)), float(rng.randint(1, 40))) for y in (2022, 2023, 2024) for c in "abcde"
+            for _ in range(3) if (y, c) not in ((2022, "a"), (2023, "b"))]
+    sales = spark.createDataFrame(rows, "p date, c string, v double, m double")
+    mix = S.mix_change(sales, "p", "c", "v", "m").collect()
+    for year in (2023, 2024):
+        total = lambda y, i: sum(r[i] for r in rows if r[0].year == y)
+        change = total(year, 3) / total(year, 2) - total(year - 1, 3) / total(year - 1, 2)
+        own = [r for r in mix if r["p"].year == year]
+        assert abs(sum(r["within_effect"] + r["between_effect"] for r in own) - change) < 1e-12
+        assert len(own) == 5 and abs(sum(r["mix_change"] for r in own)) < 1e-12
+    lost = S.cannibalisation(sales, "p", "c", "v").collect()
+    assert {r["p"].year for r in lost} == {2023, 2024}
+    for year in (2023, 2024):
+        own = [r for r in lost if r["p"].year == year]
+        moved = min(own[0]["total_loss"], own[0]["total_gain"])
+        assert abs(sum(r["cannibalised_loss"] for r in own) - moved) < 1e-9 and abs(sum(r["cannibalising_gain"] for r in own) - moved) < 1e-9
+        assert all(r["revenue_loss"] == max(r["prior_revenue"] - r["revenue"], 0) for r in own)
+
+
+def test_launch_windows_start_with_each_product(spark):
+    from shelfwise.operators import semantic as S
+    sales = spark.createDataFrame([("a", dt.date(2024, 1, 1), 1.0), ("a", dt.date(2024, 3, 30), 2.0), ("a", dt.date(2024, 3, 31), 4.0),
+                                   ("b", dt.date(2024, 3, 1), 8.0), ("b", dt.date(2024, 3, 9), 16.0), ("c", dt.date(2024, 9, 1), 32.0)],
+                                  "k string, d date, v double")
+    forecast = spark.createDataFrame([("a", 6.0), ("c", 1.0)], "k string, launch_forecast double")
+    got = {r["k"]: (r["launch_revenue"], r["launch_success"], r["window_complete"])
+           for r in S.launch_success(sales, forecast, "k", "d", "v", "2024-04-30").collect()}
+    assert got == {"a": (3.0, 0.5, True), "b": (24.0, None, False)}
+    ramp = {r["weeks_since_launch"]: (r["selling_products"], r["new_product_revenue"])
+            for r in S.new_product_ramp(sales, "k", "d", "v", "2024-04-30", months=2).collect()}
+    assert ramp == {0: (1, 8.0), 1: (1, 16.0)}
+
+
+def test_trace_of_a_set_of_ids(spark):
+    from shelfwise.operators import emissions as E
+    cols = ", ".join(f"{c} string" for c in E.TRACE_COLUMNS if c not in ("activity_amount", "factor_id", "metric_tons_co2e"))
+    row = lambda i, s, r, kg: (i, s, r, "e", "m", "s", "f", "p", "c", "u", "v", "ok", 2.0, 7, kg / 1000, "ft", kg)
+    fact = spark.createDataFrame([row("x", "src", "5", 6.0), row("y", "src", "6", 9.0), row("z", "gone", "1", 6.0)],
+                                 f"{cols}, activity_amount double, factor_id int, metric_tons_co2e double, factor_type string, kg_co2e double")
+    factors = spark.createDataFrame([(7, "auth", 3.0, dt.date(2020, 1, 1), dt.date(2030, 1, 1))],
+                                    "factor_id int, source_authority string, factor_value_kg_co2e_per_unit double, effective_start date, effective_end date")
+    staged = {"src": spark.createDataFrame([(5, 2.0, "a.csv"), (6, 2.0, "b.csv")], "k long, source_amount double, source_file string")}
+    keys = {"src": {"k": F.col("source_record_id").cast("long")}}
+    ids = spark.createDataFrame([("x",), ("x",), ("y",), ("z",), ("nowhere",)], "activity_id string")
+    got = {r["activity_id"]: (r["source_file"], r["recomputed_kg_co2e"], r["ties_out"]) for r in E.trace(ids, fact, factors, staged, keys).collect()}
+    assert got == {"x": ("a.csv", 6.0, True), "y": ("b.csv", 6.0, False), "z": (None, None, False), "nowhere": (None, None, None)}
