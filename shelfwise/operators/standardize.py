@@ -1,8 +1,8 @@
 """Canonical columns of the seven source feeds, whatever their headers are called.
 
 A feed's headers are brought to snake case, alternate names are coalesced into the canonical column, dates and
-numbers are cast leniently (unreadable values become null), missing columns are null, and sales amounts that a feed
-lacks are derived from the others. Only schemas are looked at on the driver.
+numbers are cast (numbers after dropping ``$`` and ``,``; anything else unreadable becomes null), missing columns are null, and sales
+amounts that a feed lacks are derived from the others (C25). Only schemas are looked at on the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import lenient_decimal, normalise_headers, parse_date
+from ..functions.clean import MONEY, derive_measures, exact, money, normalise_headers, parse_date
 
 
 @dataclass(frozen=True)
@@ -78,23 +78,25 @@ def standardize(df: DataFrame, kind: str, system: str) -> DataFrame:
     for c in feed.columns:
         v = have.get(c)
         if v is None:
-            typed[c] = F.lit(None).cast("date" if c in feed.dates else "double" if c in feed.numbers else "timestamp_ntz" if c in feed.timestamps else "string")
+            typed[c] = F.lit(None).cast("date" if c in feed.dates else MONEY if c in feed.numbers else "timestamp_ntz" if c in feed.timestamps else "string")
         elif c in feed.dates:
             typed[c] = parse_date(None, v.cast("string"))
         elif c in feed.numbers:
-            typed[c] = lenient_decimal(F.lit(None).cast("double"), v.cast("string"))
+            typed[c] = money(v.cast("string"))
         elif c in feed.timestamps:
             typed[c] = v.cast("string").try_cast("timestamp_ntz")
         else:
             typed[c] = v.cast("string")
     if kind == "sales":
-        derive = (("unit_net_price", ("unit_list_price", "discount_rate"), lambda t: t["unit_list_price"] * (1 - F.coalesce(t["discount_rate"], F.lit(0)))),
-                  ("net_sales_amount", ("qty", "unit_net_price"), lambda t: t["qty"] * t["unit_net_price"]),
-                  ("gross_sales_amount", ("qty", "unit_list_price"), lambda t: t["qty"] * t["unit_list_price"]),
-                  ("discount_amount", ("gross_sales_amount", "net_sales_amount"), lambda t: t["gross_sales_amount"] - t["net_sales_amount"]))
-        for c, needs, rule in derive:
-            if c not in have and all(n in have for n in needs):
-                typed[c], have[c] = rule(typed), typed[c]
+        given = lambda *names: all(n in have for n in names)
+        rate = F.coalesce(typed["discount_rate"], F.lit(0))
+        if not given("unit_net_price") and given("unit_list_price", "discount_rate"):
+            typed["unit_net_price"] = exact(typed["unit_list_price"] * (1 - rate))
+        # With net sales at hand the discount is what they leave of gross sales, whatever the rate says.
+        known_rate = rate if given("discount_rate") and not given("net_sales_amount") else F.lit(None).cast(MONEY)
+        amounts = {"gross_sales_amount": "gross_sales", "discount_amount": "discount_amount", "net_sales_amount": "net_sales"}
+        filled = derive_measures(typed["qty"], typed["unit_list_price"], known_rate, *[typed[c] for c in amounts])
+        typed |= {c: exact(filled[m]) for c, m in amounts.items() if not given(c)}
     if kind == "timeclock" and "punch_ts" in have:
         typed["punch_date"] = F.to_date(typed["punch_ts"])
     if kind == "gl":

@@ -143,14 +143,14 @@ C26_SALES_SQL = """
 WITH x AS (
   SELECT CASE WHEN l_orderkey % 2 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') ELSE strftime(CAST(o_orderdate AS DATE), '%m/%d/%Y') END AS d,
          CAST(o_custkey AS VARCHAR) AS store_id, CAST(l_partkey AS VARCHAR) AS sku,
-         CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ' ea' END AS q,
-         CAST(l_partkey % 50 AS VARCHAR) || '.50' AS p, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE '0.25' END AS r,
+         CASE l_linenumber WHEN 7 THEN 'n/a' WHEN 5 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ' ea' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS q,
+         '$1,0' || lpad(CAST(l_partkey % 50 AS VARCHAR), 2, '0') || '.50' AS p, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE '0.25' END AS r,
          CAST(l_orderkey AS VARCHAR) AS transaction_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 t AS (
   SELECT CAST(CASE WHEN regexp_matches(d, '^\\d{4}') THEN try_strptime(d, '%Y-%m-%d') ELSE try_strptime(d, '%m/%d/%Y') END AS DATE) AS sale_date,
-         store_id, sku, TRY_CAST(NULLIF(regexp_replace(q, '[^0-9.\\-]+', '', 'g'), '') AS DOUBLE) AS qty, CAST(p AS DOUBLE) AS unit_list_price,
-         CAST(r AS DOUBLE) AS discount_rate, transaction_id FROM x),
-u AS (SELECT *, unit_list_price * (1 - COALESCE(discount_rate, 0.0)) AS unit_net_price FROM t),
+         store_id, sku, TRY_CAST(NULLIF(trim(regexp_replace(q, '[$,]', '', 'g')), '') AS DECIMAL(18,4)) AS qty, CAST(regexp_replace(p, '[$,]', '', 'g') AS DECIMAL(18,4)) AS unit_list_price,
+         CAST(r AS DECIMAL(9,4)) AS discount_rate, transaction_id FROM x),
+u AS (SELECT *, unit_list_price * (1 - COALESCE(discount_rate, 0)) AS unit_net_price FROM t),
 v AS (SELECT *, qty * unit_net_price AS net_sales_amount, qty * unit_list_price AS gross_sales_amount FROM u)
 SELECT sale_date, store_id, sku, CAST(NULL AS VARCHAR) AS product_name, CAST(NULL AS VARCHAR) AS channel, round(qty, 4) AS qty,
        round(unit_list_price, 4) AS unit_list_price, round(discount_rate, 4) AS discount_rate, round(unit_net_price, 4) AS unit_net_price,
@@ -168,8 +168,9 @@ def q_c26_sales(spark, d):
         .join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), k == F.col("o_orderkey")).select(
         F.when(k % 2 == 0, F.date_format(date, "yyyy-MM-dd")).otherwise(F.date_format(date, "MM/dd/yyyy")).alias("Txn Date"),
         F.col("o_custkey").alias("Store Code"), F.col("l_partkey").alias("Product-SKU"),
-        F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.concat(_whole(F.col("l_quantity")), F.lit(" ea"))).alias("UNITS SOLD"),
-        F.concat((F.col("l_partkey") % 50).cast("string"), F.lit(".50")).alias("unit price"),
+        F.when(F.col("l_linenumber") == 7, F.lit("n/a")).when(F.col("l_linenumber") == 5, F.concat(_whole(F.col("l_quantity")), F.lit(" ea")))
+         .otherwise(_whole(F.col("l_quantity"))).alias("UNITS SOLD"),
+        F.concat(F.lit("$1,0"), F.lpad((F.col("l_partkey") % 50).cast("string"), 2, "0"), F.lit(".50")).alias("unit price"),
         F.when(k % 5 != 0, F.lit("0.25")).alias("discount_pct"), k.alias("TXN_ID"))
     return rounded(standardize.standardize(feed, "sales", "pos"))
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from typing import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,3 +177,33 @@ def dump_exceptions(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
         c = F.coalesce(cond, F.lit(False))
         reason = F.when(c, F.lit(name)) if reason is None else reason.when(c, F.lit(name))
     return df.withColumn("exception_reason", reason).filter(F.col("exception_reason").isNotNull())
+
+
+def ranked(column: str, order: Sequence) -> Column:
+    """Place of a value in a stated order (0 first); values outside it come last."""
+    rank = None
+    for i, v in enumerate(order):
+        rank = F.when(F.col(column) == v, F.lit(i)) if rank is None else rank.when(F.col(column) == v, F.lit(i))
+    return rank.otherwise(F.lit(len(order)))
+
+
+def export_sorted(df: DataFrame, path: str, order: Sequence[Column], files: int | None = None) -> None:
+    """The rows in one global order over part files: file by file in name order, each sorted inside.
+
+    Rows are dealt by ranges of the whole order and sorted there, so no task holds more than a range. The order must be total where one
+    value may hold a large share of the rows: pass the remaining columns too, so that ranges can cut through ties.
+    """
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def read_positions(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a sorted export with their global position (from 1): rows of the files before, and the place in the file.
+
+    The driver sees nothing; the counts of the files (one row each) are joined back.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    counts = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    offsets = counts.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return rows.join(offsets, "__file").withColumn("position", F.col("__before") + F.col("__at") + 1).drop("__file", "__at", "__before")

@@ -159,3 +159,59 @@ def test_trace_of_a_set_of_ids(spark):
     ids = spark.createDataFrame([("x",), ("x",), ("y",), ("z",), ("nowhere",)], "activity_id string")
     got = {r["activity_id"]: (r["source_file"], r["recomputed_kg_co2e"], r["ties_out"]) for r in E.trace(ids, fact, factors, staged, keys).collect()}
     assert got == {"x": ("a.csv", 6.0, True), "y": ("b.csv", 6.0, False), "z": (None, None, False), "nowhere": (None, None, None)}
+
+
+def test_license_reference_words_ties_and_summary(spark):
+    from shelfwise.operators import reference as R
+    rows = [("1", "a", "Recreational Retail", None, " new  york ", "2024-01-01"), ("1", "b", "Recreational Retail", None, "x", "2023-01-01"),
+            ("2", "c", "RECREATIONAL", "Wholesaler", "nan", "2020-01-01"), ("3", "d", "recreational", "retail & wholesale", "", "never"),
+            ("3", "e", "recreational", "retail", "", "2030-01-01"), ("4", "f", "Medical", "Retailer", "z", "2030-01-01"),
+            ("5", "g", "Recreational", "Producer", "z", "2030-01-01"), (None, "h", "Recreational retail", "", "z", "2024-06-30"),
+            (None, "i", "Recreational retail", "", "z", "2024-06-01")]
+    ref = R.license_reference(spark.createDataFrame(rows, "license_number string, business_name string, business_licenses string, "
+                                                          "license_type string, county string, expiration_date string"))
+    got = {r["license_number"]: (r["business_name"], r["license_group"], r["county"]) for r in ref.collect()}
+    assert got == {"1": ("a", "Recreational Retailer", "New  York"), "2": ("c", "Recreational Wholesaler", None),
+                   "3": ("d", "Recreational Retailer/Wholesaler", None), None: ("h", "Recreational Retailer", "Z")}
+    levels = {(r["summary_level"], r["license_group"], r["county"], r["license_status"]): r["location_count"]
+              for r in R.license_summary(ref, dt.date(2024, 6, 30)).collect()}
+    assert levels[("license_group", "Recreational Retailer", None, None)] == 2
+    assert levels[("license_group_status", "Recreational Retailer", None, "Active/Unexpired")] == 1
+    assert levels[("license_group_status", "Recreational Retailer/Wholesaler", None, "Unknown")] == 1
+    assert levels[("county_license_group", "Recreational Wholesaler", None, None)] == 1
+    assert sum(n for (level, *_), n in levels.items() if level == "license_group") == 4
+
+
+def test_key_universe_keeps_which_sources_know_a_key(spark):
+    from shelfwise.operators import reference as R
+    one = lambda *v: spark.createDataFrame([(x,) for x in v], "store_id string")
+    got = {r["store_id"]: (r["source_bits"], r["known_in"], r["source_count"], r["state_code"])
+           for r in R.store_dimension_of({"a": one("NY1", "NY1", " ", None), "b": one("CA2", " NY1 "), "c": one()}).collect()}
+    assert got == {"NY1": (3, "a,b", 2, "NY"), "CA2": (2, "b", 1, "CA")}
+
+
+def test_sorted_export_is_ordered_over_files_and_cuts_through_ties(spark, tmp_path):
+    import random
+    from shelfwise.sources import files
+    rng = random.Random(2)
+    rows = [(i, "hot" if i % 3 else rng.choice(["a", "b", None]), rng.choice([None, 1.5, 2.5, float(i)])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, tag string, v double").repartition(5)
+    path = str(tmp_path / "sorted")
+    files.export_sorted(df, path, [files.ranked("tag", ["b", "hot"]), F.col("v").desc_nulls_last(), F.col("id")], files=6)
+    got = [tuple(r)[:3] for r in files.read_positions(spark, path).orderBy("position").collect()]
+    rank = {"b": 0, "hot": 1}
+    assert got == sorted(rows, key=lambda r: (rank.get(r[1], 2), r[2] is None, -(r[2] or 0), r[0]))
+    sizes = [r["n"] for r in files.read_positions(spark, path).groupBy(F.floor((F.col("position") - 1) / 500)).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 3000
+    parts = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert len(parts) == 6 and max(r["count"] for r in parts) < 1000  # the hot value spans several files
+
+
+def test_feed_numbers_lose_money_signs_only(spark):
+    from shelfwise.operators import standardize
+    feed = spark.createDataFrame([("$1,200.50", "12 ea", "10%", "0.1"), ("7", "2", " 3 ", None)], "`Unit Price` string, Qty string, cogs string, `Discount PCT` string")
+    a, b = sorted(standardize.standardize(feed, "sales", "s").collect(), key=lambda r: r["qty"] is not None)
+    number = lambda r, *c: [None if r[x] is None else float(r[x]) for x in c]
+    columns = ("qty", "unit_list_price", "cogs_amount", "unit_net_price", "gross_sales_amount", "discount_amount", "net_sales_amount")
+    assert number(a, *columns) == [None, 1200.5, None, 1080.45, None, None, None]
+    assert number(b, *columns) == [2.0, 7.0, 3.0, 7.0, 14.0, 0.0, 14.0]
