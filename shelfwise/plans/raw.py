@@ -146,7 +146,7 @@ def pos_lines(t: Tables, on=None) -> DataFrame:
                     F.col("o_orderdate").cast("date").alias("txn_date"),
                     F.col("o_custkey").cast("string").alias("store_code"), F.col("l_partkey").cast("string").alias("sku"),
                     F.col("l_quantity").alias("qty"), C.exact("l_extendedprice").alias("gross_amount"),
-                    (C.exact("l_extendedprice") * (1 - C.exact("l_discount"))).cast(C.MONEY).alias("net_amount"))
+                    (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast(C.MONEY).alias("net_amount"))
 
 
 def pos_transactions(t: Tables, on=None) -> DataFrame:
