@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import ratio
+from ..functions.clean import MONEY, ratio
 from .dedup import clean_first, complete, keep_best, last_value_per_key, newest_first
 
 
@@ -29,23 +29,29 @@ def distributor_daily(dist: DataFrame, grain: Sequence[str] = ("sale_date", "sto
     g = dist.groupBy(*grain).agg(
         F.sum(q).alias("units"), F.sum("gross_sales").alias("gross_sales"),
         F.sum("discount_amount").alias("discount_amount"), F.sum("net_sales").alias("net_sales"),
-        F.sum("cogs").alias("cogs"), F.sum(F.col("unit_list_price") * q).alias("__lp_q"),
-        F.sum(F.when(F.col("unit_list_price").isNotNull(), q)).alias("__q_lp"),
+        F.sum("cogs").alias("cogs"), F.max("product_name").alias("product_name"),
+        F.sum(F.coalesce("orders", F.lit(0))).alias("orders"), F.sum(F.coalesce("customers", F.lit(0))).alias("customers"),
+        F.sum(F.col("unit_list_price") * q).alias("__lp_q"), F.sum(F.when(F.col("unit_list_price").isNotNull(), q)).alias("__q_lp"),
+        F.sum(F.coalesce("unit_net_price", F.lit(0)) * F.coalesce(q, F.lit(0))).alias("__np_q"),
         F.count(F.lit(1)).alias("source_rows"), F.max("load_id").alias("any_load_id"))
     return g.withColumns({
         "weighted_list_price": ratio("__lp_q", "__q_lp"),
+        "weighted_net_price": ratio("__np_q", "units"),
         "implied_net_price": ratio("net_sales", "units"),
         "implied_discount_rate": ratio("discount_amount", "gross_sales"),
-    }).drop("__lp_q", "__q_lp")
+    }).drop("__lp_q", "__q_lp", "__np_q")
 
 
 def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFrame, stores: DataFrame,
                     grain: Sequence[str] = ("sale_date", "store_code", "sku", "channel")) -> DataFrame:
     """Distributor daily ∪ POS daily with a source label, product label, store context and
     missing-dimension flags (J15)."""
-    d = distributor.select(*grain, "units", "gross_sales", "net_sales", F.lit("distributor").alias("source_system"))
+    d = distributor.select(*grain, "units", "gross_sales", "discount_amount", "net_sales", "cogs", "orders",
+                           F.lit("distributor").alias("source_system"))
+    # POS lines carry no cost; what the net amount leaves of the gross one is their discount, a transaction is an order.
     p = pos_day.select("sale_date", "store_code", "sku", F.lit("retail").alias("channel"), "units", "gross_sales",
-                       "net_sales", F.lit("pos").alias("source_system"))
+                       (F.col("gross_sales") - F.col("net_sales")).alias("discount_amount"), "net_sales",
+                       F.lit(None).cast(MONEY).alias("cogs"), F.col("pos_transactions").alias("orders"), F.lit("pos").alias("source_system"))
     u = d.unionByName(p)
     prod = products.select("sku", "product_name", F.lit(True).alias("__p"))
     st = stores.select("store_code", "state", F.lit(True).alias("__s"))
@@ -58,13 +64,18 @@ def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFr
 
 
 def store_day_agg(conformed: DataFrame, date: str = "sale_date", store: str = "store_code") -> DataFrame:
-    """Store-day totals with source split (A4), distinct SKUs (A2)."""
+    """Store-day totals with source split (A4), distinct SKUs and channels (A2), cost coverage and margin."""
     src = F.col("source_system")
-    return conformed.groupBy(date, store).agg(
-        F.sum("net_sales").alias("net_sales"), F.sum("units").alias("units"),
+    total = lambda c: F.sum(F.coalesce(c, F.lit(0)))
+    g = conformed.groupBy(date, store).agg(
+        total("net_sales").alias("net_sales"), total("gross_sales").alias("gross_sales"), total("discount_amount").alias("discount_amount"),
+        total("units").alias("units"), total("orders").alias("orders"), total("cogs").alias("cogs"), F.count("cogs").alias("rows_with_cogs"),
         F.sum(F.when(src == "distributor", F.col("net_sales"))).alias("distributor_net_sales"),
         F.sum(F.when(src == "pos", F.col("net_sales"))).alias("pos_net_sales"),
-        F.count_distinct("sku").alias("distinct_skus"), F.count(F.lit(1)).alias("fact_rows"))
+        F.count_distinct("sku").alias("distinct_skus"), F.count_distinct("channel").alias("distinct_channels"),
+        F.count(F.lit(1)).alias("fact_rows"))
+    profit = F.col("net_sales") - F.col("cogs")
+    return g.withColumns({"gross_profit": profit, "gross_margin_pct": ratio(profit, "net_sales")})
 
 
 def sku_dimension(key_sources: Sequence[DataFrame], sales: DataFrame, status: DataFrame | None = None,

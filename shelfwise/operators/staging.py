@@ -87,6 +87,11 @@ def stage_sales_distributor(raw: DataFrame) -> DataFrame:
         qty.alias("qty"),
         C.lenient_decimal(_opt(raw, "unit_list_price", C.MONEY), _opt(raw, "unit_list_price_raw")).alias("unit_list_price"),
         gross.alias("gross_sales"), disc.alias("discount_amount"), net.alias("net_sales"), cogs.alias("cogs"),
+        C.blank_to_null(F.coalesce(_opt(raw, "product_name_norm"), _opt(raw, "product_name_raw"))).alias("product_name"),
+        C.lenient_decimal(_opt(raw, "discount_rate", C.MONEY), _opt(raw, "discount_rate_raw")).alias("discount_rate"),
+        C.lenient_decimal(_opt(raw, "unit_net_price", C.MONEY), _opt(raw, "unit_net_price_raw")).alias("unit_net_price"),
+        C.lenient_int(_opt(raw, "orders", "int"), _opt(raw, "orders_raw")).alias("orders"),
+        C.lenient_int(_opt(raw, "customers", "int"), _opt(raw, "customers_raw")).alias("customers"),
     )
     out = out.withColumns({
         "is_bad_amount": is_bad_amount(),
@@ -108,6 +113,8 @@ def stage_pos(raw: DataFrame) -> DataFrame:
         C.lenient_int(_opt(raw, "qty", "int"), _opt(raw, "qty_raw")).alias("qty"),
         C.lenient_decimal(_opt(raw, "gross_amount", C.MONEY), _opt(raw, "gross_amount_raw")).alias("gross_amount"),
         C.lenient_decimal(_opt(raw, "net_amount", C.MONEY), _opt(raw, "net_amount_raw")).alias("net_amount"),
+        C.lenient_decimal(_opt(raw, "unit_price", C.MONEY), _opt(raw, "unit_price_raw")).alias("unit_price"),
+        C.lenient_decimal(_opt(raw, "discount_pct", C.MONEY), _opt(raw, "discount_pct_raw")).alias("discount_pct"),
         _opt(raw, "load_id"), _opt(raw, "ingested_at", "timestamp_ntz").alias("ingested_at"),
     )
     out = out.withColumn("txn_date", F.coalesce(F.col("txn_date"), F.to_date("txn_ts")))
@@ -147,7 +154,7 @@ def stage_wms_shipments(raw: DataFrame) -> DataFrame:
         C.blank_to_null(_opt(raw, "site_code_norm")).alias("site_code"),
         C.blank_to_null(_opt(raw, "sku_norm")).alias("sku"),
         C.lenient_int(_opt(raw, "units_shipped", "int"), _opt(raw, "units_shipped_raw")).alias("units_shipped"),
-        C.canon(_opt(raw, "carrier_norm"), "upper").alias("carrier"),
+        C.blank_to_null(_opt(raw, "carrier_norm")).alias("carrier"),
         _opt(raw, "load_id"),
     )
     out = out.withColumns({
@@ -225,6 +232,7 @@ def stage_text_casts(raw: DataFrame, types: dict[str, str]) -> DataFrame:
 FORECAST_NUMERIC = ("forecast_units", "actual_units", "forecast_net_sales", "actual_net_sales",
                     "forecast_unit_price", "actual_unit_price")
 FORECAST_FLAGS = ("promo_flag", "stockout_flag", "is_partial_actual")
+FORECAST_WORDS = ("channel", "seasonality_label", "business_event")
 
 
 def stage_forecast_weekly(raw: DataFrame) -> DataFrame:
@@ -239,7 +247,7 @@ def stage_forecast_weekly(raw: DataFrame) -> DataFrame:
             cols.append(F.coalesce(C.parse_bool3(c), F.lit(False)).alias(c))
         elif c in FORECAST_FLAGS:
             cols.append(C.parse_bool3(c).alias(c))
-        elif c == "channel":
+        elif c in FORECAST_WORDS:
             cols.append(C.canon(c, "lower").alias(c))
         else:
             cols.append(C.blank_to_null(c).alias(c) if dict(raw.dtypes)[c] == "string" else F.col(c))

@@ -48,6 +48,13 @@ def price_volume_mix_mom(sales: DataFrame, product: str = "sku", period: str = "
     return g.withColumn("mix_effect", F.col("revenue_variance") - F.col("price_effect") - F.col("volume_effect"))
 
 
+def variance_by(rows: DataFrame, key: str) -> DataFrame:
+    """Q36: variance and its three effects by a label (business event), over rows with actuals."""
+    return rows.filter(F.col("actual_net_sales").isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.sum(c).alias(c) for c in ("total_sales_variance", "volume_effect", "price_effect", "mix_or_residual_effect")])
+
+
 def forecast_vs_actual(staged: DataFrame) -> DataFrame:
     """Per-row variance, APE, performance status, missing-actual flag."""
     a, f = F.col("actual_net_sales"), F.col("forecast_net_sales")

@@ -76,7 +76,11 @@ sales_distributor_extract AS (
          CASE WHEN line_number % 3 <> 0 THEN CAST(units AS INTEGER) END AS qty,
          CAST(CAST(units AS INTEGER) AS VARCHAR) || ' units' AS qty_raw,
          list_price AS unit_list_price, gross_sales, discount_amount,
-         CASE WHEN return_flag = 'R' THEN -net_sales ELSE net_sales END AS net_sales, cogs
+         CASE WHEN return_flag = 'R' THEN -net_sales ELSE net_sales END AS net_sales, cogs, ' ' || product_name AS product_name_raw,
+         CASE WHEN line_number % 2 = 1 THEN 0.05 END AS discount_rate, '0.25 off' AS discount_rate_raw,
+         '$' || CAST(CAST(units AS INTEGER) AS VARCHAR) || '.50' AS unit_net_price_raw,
+         CASE WHEN line_number % 4 <> 0 THEN 1 END AS orders, '2 orders' AS orders_raw,
+         CASE WHEN line_number % 5 = 0 THEN 'n/a' ELSE '1' END AS customers_raw
   FROM sales_lines
 )"""
 
@@ -159,7 +163,9 @@ forecast_extract AS (
          CASE WHEN category = 'PROMO' THEN 'Yes' ELSE 'no' END AS promo_flag,
          CASE WHEN actual_units < 5 THEN 'Y' WHEN actual_units IS NOT NULL THEN 'N' END AS stockout_flag,
          CASE WHEN actual_net_sales IS NULL THEN 'true' ELSE 'false' END AS is_partial_actual,
-         strftime(week_start, '%B') AS seasonality_label, 'baseline' AS plan_version
+         strftime(week_start, '%B') AS seasonality_label,
+         CASE WHEN category = 'PROMO' THEN ' Promo Week ' WHEN month(week_start) = 12 THEN 'HOLIDAY' END AS business_event,
+         'baseline' AS plan_version
   FROM fj
 ),
 staged_forecast AS (
@@ -180,7 +186,7 @@ staged_forecast AS (
          COALESCE(CASE WHEN lower(trim(is_partial_actual)) IN ('true','t','yes','y','1') THEN TRUE
                        WHEN lower(trim(is_partial_actual)) IN ('false','f','no','n','0') THEN FALSE END, FALSE)
            AS is_partial_actual,
-         NULLIF(trim(seasonality_label), '') AS seasonality_label, NULLIF(trim(plan_version), '') AS plan_version
+         lower(NULLIF(trim(seasonality_label), '')) AS seasonality_label, lower(NULLIF(trim(business_event), '')) AS business_event, NULLIF(trim(plan_version), '') AS plan_version
   FROM forecast_extract
 ),
 fva AS (

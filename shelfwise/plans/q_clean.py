@@ -135,12 +135,17 @@ s AS (
               WHEN lower(trim(channel_norm)) LIKE '%distrib%' THEN 'distributor'
               ELSE NULLIF(trim(lower(trim(channel_norm))), '') END AS channel,
          COALESCE(qty, TRY_CAST(NULLIF(regexp_replace(trim(qty_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER)) AS qty,
-         unit_list_price, gross_sales, discount_amount, net_sales, cogs
+         unit_list_price, gross_sales, discount_amount, net_sales, cogs, NULLIF(trim(product_name_raw), '') AS product_name,
+         COALESCE(discount_rate, TRY_CAST(NULLIF(regexp_replace(trim(discount_rate_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4))) AS discount_rate,
+         TRY_CAST(NULLIF(regexp_replace(trim(unit_net_price_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4)) AS unit_net_price,
+         COALESCE(orders, TRY_CAST(NULLIF(regexp_replace(trim(orders_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER)) AS orders,
+         TRY_CAST(NULLIF(regexp_replace(trim(customers_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER) AS customers
   FROM sales_distributor_extract
 )
 SELECT load_id, drop_date, ingested_at, sale_date, store_code, sku, channel, qty,
        round(unit_list_price, 4) AS unit_list_price, round(gross_sales, 4) AS gross_sales,
        round(discount_amount, 4) AS discount_amount, round(net_sales, 4) AS net_sales, round(cogs, 4) AS cogs,
+       product_name, round(discount_rate, 4) AS discount_rate, round(unit_net_price, 4) AS unit_net_price, orders, customers,
        COALESCE(gross_sales < 0 OR net_sales < 0 OR discount_amount < 0 OR cogs < 0, FALSE)
          OR COALESCE(net_sales > gross_sales + 0.01, FALSE)
          OR COALESCE(abs((net_sales + discount_amount) - gross_sales) > 0.50, FALSE) AS is_bad_amount,

@@ -98,7 +98,10 @@ def q_s8(spark, d):
     t = Tables(spark, d)
     end = model.latest_sale_date(t)
     s = model.sales_lines(t, since=end and end - dt.timedelta(days=29)).select("order_id", "line_number", "sale_date", "store_id", "sku", "net_sales")
-    return rounded(files.recent(s, "sale_date", 30, as_of=end))
+    dims = {"dim_store": model.stores(t).select("store_id", "store_name")}
+    paths = files.export_recent({"fact_sales": (s, "sale_date")}, dims, 30, _scratch(spark, "recent"), as_of=end)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in s.schema)
+    return rounded(spark.read.schema(kinds).option("header", True).csv(paths["fact_sales"]))
 
 
 S12_SQL = f"""

@@ -149,7 +149,8 @@ def pos_text_extract(t):
                     F.col("sku").alias("product_sku_norm"),
                     F.concat(F.col("qty").cast("int").cast("string"), F.lit(" ea")).alias("qty_raw"),
                     F.when(F.col("line_number") % 3 != 0, F.col("qty").cast("int")).alias("qty"),
-                    "gross_amount", "net_amount")
+                    "gross_amount", "net_amount", F.when(k % 3 == 0, F.lit(12.5)).alias("unit_price"), F.lit("$ 9.75").alias("unit_price_raw"),
+                    F.when(k % 4 == 0, F.lit("10%")).when(k % 4 == 1, F.lit("none")).alias("discount_pct_raw"))
 
 
 H5_SQL = f"""
@@ -171,10 +172,11 @@ s AS (SELECT txn_id,
                                   try_strptime(trim(txn_ts_raw), '%m/%d/%Y %H:%M')) END AS txn_ts,
              txn_date0, NULLIF(trim(store_code_norm), '') AS store_code, NULLIF(trim(product_sku_norm), '') AS sku,
              COALESCE(qty0, TRY_CAST(NULLIF(regexp_replace(trim(qty_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER)) AS qty,
-             gross_amount, net_amount, CAST(NULL AS VARCHAR) AS load_id, CAST(NULL AS TIMESTAMP) AS ingested_at FROM x),
+             gross_amount, net_amount, CASE WHEN txn_id % 3 = 0 THEN 12.5 ELSE 9.75 END AS unit_price,
+             CASE WHEN txn_id % 4 = 0 THEN 10 END AS discount_pct, CAST(NULL AS VARCHAR) AS load_id, CAST(NULL AS TIMESTAMP) AS ingested_at FROM x),
 t AS (SELECT * EXCLUDE (txn_date0), COALESCE(txn_date0, CAST(txn_ts AS DATE)) AS txn_date FROM s)
 SELECT txn_id, txn_ts, txn_date, store_code, sku, qty, round(gross_amount, 4) AS gross_amount,
-       round(net_amount, 4) AS net_amount, load_id, ingested_at,
+       round(net_amount, 4) AS net_amount, round(unit_price, 4) AS unit_price, round(discount_pct, 4) AS discount_pct, load_id, ingested_at,
        (txn_id IS NULL OR txn_date IS NULL OR store_code IS NULL OR sku IS NULL) AS is_missing_key,
        COUNT(*) OVER (PARTITION BY txn_id) > 1 AS is_duplicate_candidate
 FROM t
@@ -193,7 +195,7 @@ def wms_text_extract(t):
                     F.concat(F.lit("W"), F.col("site_id").cast("string")).alias("site_code_norm"),
                     F.col("sku").cast("string").alias("sku_norm"),
                     F.col("units_shipped").cast("int").cast("string").alias("units_shipped_raw"),
-                    F.lower("carrier").alias("carrier_norm"), "load_id")
+                    F.concat(F.lit(" "), F.lower("carrier")).alias("carrier_norm"), "load_id")
 
 
 H7_SQL = f"""
@@ -203,7 +205,7 @@ s AS (SELECT CAST(try_strptime(trim(strftime(ship_date, '%m/%d/%Y')), '%m/%d/%Y'
              NULLIF(trim(CAST(sku AS VARCHAR)), '') AS sku,
              TRY_CAST(NULLIF(regexp_replace(trim(CAST(CAST(units_shipped AS INTEGER) AS VARCHAR)), '[^0-9\\-]+', '', 'g'), '') AS INTEGER)
                AS units_shipped,
-             upper(NULLIF(trim(lower(carrier)), '')) AS carrier, load_id FROM shipments)
+             NULLIF(trim(lower(carrier)), '') AS carrier, load_id FROM shipments)
 SELECT *, COALESCE(units_shipped < 0, FALSE) AS is_negative_units, units_shipped IS NULL AS is_missing_units,
        (ship_date IS NULL OR site_code IS NULL OR sku IS NULL) AS is_missing_key,
        COUNT(*) OVER (PARTITION BY load_id, ship_date, shipment_id, site_code, sku) > 1 AS is_duplicate_candidate

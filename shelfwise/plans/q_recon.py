@@ -336,3 +336,17 @@ def q_q36(spark, d):
     b = variance.variance_bridge(variance.forecast_price_volume(_fva(Tables(spark, d))))
     return rounded(recon.bridge_tieout(b).select("week_start_date", "channel", "plan_version", "explained_actual",
                                                  "tieout_gap", "ties_out"))
+
+
+Q36_EVENT_SQL = f"""
+WITH {FORECAST_EXTRACT}
+SELECT business_event, COUNT(*) AS row_count, round(SUM(total_sales_variance), 4) AS total_sales_variance,
+       round(SUM(volume_effect), 4) AS volume_effect, round(SUM(price_effect), 4) AS price_effect,
+       round(SUM(mix_or_residual_effect), 4) AS mix_or_residual_effect
+FROM pvm WHERE actual_net_sales IS NOT NULL GROUP BY 1
+"""
+
+
+@query("q36_variance_by_business_event", Q36_EVENT_SQL)
+def q_q36_event(spark, d):
+    return rounded(variance.variance_by(variance.forecast_price_volume(_fva(Tables(spark, d))), "business_event"))

@@ -43,7 +43,7 @@ SELECT week_start_date, store_code, state, region, sku, product_name, product_fa
        round(forecast_units, 4) AS forecast_units, round(actual_units, 4) AS actual_units,
        round(forecast_net_sales, 4) AS forecast_net_sales, round(actual_net_sales, 4) AS actual_net_sales,
        round(forecast_unit_price, 4) AS forecast_unit_price, round(actual_unit_price, 4) AS actual_unit_price,
-       promo_flag, stockout_flag, is_partial_actual, seasonality_label, plan_version,
+       promo_flag, stockout_flag, is_partial_actual, seasonality_label, business_event, plan_version,
        round(unit_variance, 4) AS unit_variance, round(sales_variance, 4) AS sales_variance,
        round(sales_variance_pct, 4) AS sales_variance_pct, round(absolute_sales_error, 4) AS absolute_sales_error,
        round(absolute_percent_error, 4) AS absolute_percent_error, is_missing_actual, forecast_performance_status

@@ -61,6 +61,11 @@ def sales_distributor_extract(t: Tables, on=None) -> DataFrame:
         F.concat(F.col("units").cast("int").cast("string"), F.lit(" units")).alias("qty_raw"),
         F.col("list_price").alias("unit_list_price"),
         F.col("gross_sales"), F.col("discount_amount"), net.alias("net_sales"), F.col("cogs"),
+        F.concat(F.lit(" "), F.col("product_name")).alias("product_name_raw"),
+        F.when(ln % 2 == 1, F.lit(0.05)).alias("discount_rate"), F.lit("0.25 off").alias("discount_rate_raw"),
+        F.concat(F.lit("$"), F.col("units").cast("int").cast("string"), F.lit(".50")).alias("unit_net_price_raw"),
+        F.when(ln % 4 != 0, F.lit(1)).alias("orders"), F.lit("2 orders").alias("orders_raw"),
+        F.when(ln % 5 == 0, F.lit("n/a")).otherwise(F.lit("1")).alias("customers_raw"),
     )
 
 
@@ -110,6 +115,7 @@ def forecast_weekly_extract(t: Tables) -> DataFrame:
         F.when(au < 5, F.lit("Y")).when(au.isNotNull(), F.lit("N")).alias("stockout_flag"),
         F.when(an.isNull(), F.lit("true")).otherwise(F.lit("false")).alias("is_partial_actual"),
         F.date_format("week_start", "MMMM").alias("seasonality_label"),
+        F.when(F.col("category") == "PROMO", F.lit(" Promo Week ")).when(F.month("week_start") == 12, F.lit("HOLIDAY")).alias("business_event"),
         F.lit("baseline").alias("plan_version"),
     )
 

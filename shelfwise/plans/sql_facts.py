@@ -7,7 +7,7 @@ from .q_clean import H4_CORE
 from .q_history import PAIRS_CTE
 
 _H4_PAYLOAD = ["load_id", "drop_date", "ingested_at", "qty", "unit_list_price", "gross_sales", "discount_amount",
-               "net_sales", "cogs", "is_bad_amount", "is_missing_key", "is_duplicate_candidate"]
+               "net_sales", "cogs", "product_name", "discount_rate", "unit_net_price", "orders", "customers", "is_bad_amount", "is_missing_key", "is_duplicate_candidate"]
 
 DIST_CTE = f"""
 h4 AS ({H4_CORE}),
@@ -18,7 +18,9 @@ best AS (SELECT * FROM (
   FROM h4 WHERE sale_date IS NOT NULL AND store_code IS NOT NULL AND sku IS NOT NULL AND channel IS NOT NULL) WHERE rn = 1),
 dist AS (SELECT sale_date, store_code, sku, channel, CAST(SUM(qty) AS BIGINT) AS units, SUM(gross_sales) AS gross_sales,
                 SUM(discount_amount) AS discount_amount, SUM(net_sales) AS net_sales, SUM(cogs) AS cogs,
-                COUNT(*) AS source_rows, MAX(load_id) AS any_load_id,
+                COUNT(*) AS source_rows, MAX(load_id) AS any_load_id, MAX(product_name) AS product_name,
+                CAST(SUM(COALESCE(orders, 0)) AS BIGINT) AS orders, CAST(SUM(COALESCE(customers, 0)) AS BIGINT) AS customers,
+                SUM(COALESCE(unit_net_price, 0) * COALESCE(qty, 0)) / NULLIF(SUM(qty), 0) AS weighted_net_price,
                 SUM(unit_list_price * qty) / NULLIF(SUM(CASE WHEN unit_list_price IS NOT NULL THEN qty END), 0)
                   AS weighted_list_price,
                 SUM(net_sales) / NULLIF(SUM(qty), 0) AS implied_net_price,
@@ -29,7 +31,8 @@ M7_SQL = f"""
 WITH {DIST_CTE}
 SELECT sale_date, store_code, sku, channel, units, round(gross_sales, 4) AS gross_sales,
        round(discount_amount, 4) AS discount_amount, round(net_sales, 4) AS net_sales, round(cogs, 4) AS cogs,
-       source_rows, any_load_id, round(weighted_list_price, 4) AS weighted_list_price,
+       source_rows, any_load_id, product_name, orders, customers, round(weighted_net_price, 4) AS weighted_net_price,
+       round(weighted_list_price, 4) AS weighted_list_price,
        round(implied_net_price, 4) AS implied_net_price, round(implied_discount_rate, 4) AS implied_discount_rate
 FROM dist
 """
@@ -61,10 +64,10 @@ FROM posd
 """
 
 CONF_CTE = f"""{DIST_CTE}, {POS_CTE},
-u AS (SELECT sale_date, store_code, sku, channel, CAST(units AS DOUBLE) AS units, gross_sales, net_sales,
+u AS (SELECT sale_date, store_code, sku, channel, CAST(units AS DOUBLE) AS units, gross_sales, discount_amount, net_sales, cogs, orders,
              'distributor' AS source_system FROM dist
       UNION ALL
-      SELECT sale_date, store_code, sku, 'retail', units, gross_sales, net_sales, 'pos' FROM posd),
+      SELECT sale_date, store_code, sku, 'retail', units, gross_sales, gross_sales - net_sales, net_sales, NULL, pos_transactions, 'pos' FROM posd),
 conf AS (
   SELECT u.*, p.p_name AS product_name, st.n_name AS state,
          COALESCE(p.p_name, 'Unknown ' || u.sku) AS product_label,
@@ -77,14 +80,19 @@ conf AS (
 M1_SQL = f"""
 WITH {CONF_CTE}
 SELECT store_code, sku, sale_date, channel, round(units, 4) AS units, round(gross_sales, 4) AS gross_sales,
-       round(net_sales, 4) AS net_sales, source_system, product_name, state, product_label, is_missing_date,
+       round(discount_amount, 4) AS discount_amount, round(net_sales, 4) AS net_sales, round(cogs, 4) AS cogs, orders,
+       source_system, product_name, state, product_label, is_missing_date,
        is_missing_store, is_missing_sku, is_missing_channel
 FROM conf
 """
 
 M10_SQL = f"""
 WITH {CONF_CTE}
-SELECT sale_date, store_code, round(SUM(net_sales), 4) AS net_sales, round(SUM(units), 4) AS units,
+SELECT sale_date, store_code, round(SUM(COALESCE(net_sales, 0)), 4) AS net_sales, round(SUM(COALESCE(units, 0)), 4) AS units,
+       round(SUM(COALESCE(gross_sales, 0)), 4) AS gross_sales, round(SUM(COALESCE(discount_amount, 0)), 4) AS discount_amount,
+       CAST(SUM(COALESCE(orders, 0)) AS BIGINT) AS orders, round(SUM(COALESCE(cogs, 0)), 4) AS cogs, COUNT(cogs) AS rows_with_cogs,
+       COUNT(DISTINCT channel) AS distinct_channels, round(SUM(COALESCE(net_sales, 0)) - SUM(COALESCE(cogs, 0)), 4) AS gross_profit,
+       round((SUM(COALESCE(net_sales, 0)) - SUM(COALESCE(cogs, 0))) / NULLIF(SUM(COALESCE(net_sales, 0)), 0), 4) AS gross_margin_pct,
        round(SUM(CASE WHEN source_system = 'distributor' THEN net_sales END), 4) AS distributor_net_sales,
        round(SUM(CASE WHEN source_system = 'pos' THEN net_sales END), 4) AS pos_net_sales,
        COUNT(DISTINCT sku) AS distinct_skus, COUNT(*) AS fact_rows
