@@ -90,15 +90,14 @@ def date_from_ts_prefix(raw: ColumnOrName) -> Column:
 # C6 / C7 / C8 / C9 / C10 ----------------------------------------------------
 def lenient_int(typed: ColumnOrName | None, raw: ColumnOrName) -> Column:
     """Typed first; else text stripped to digits and ``-``; blank or bad → null."""
-    stripped = F.regexp_replace(F.trim(_c(raw)), r"[^0-9\-]+", "")
-    parsed = F.when(stripped != "", stripped).try_cast("int")
+    # try_cast of empty text is null; testing for it would put the pattern into the generated code twice.
+    parsed = F.regexp_replace(F.trim(_c(raw)), r"[^0-9\-]+", "").try_cast("int")
     return parsed if typed is None else F.coalesce(_c(typed).cast("int"), parsed)
 
 
 def lenient_decimal(typed: ColumnOrName | None, raw: ColumnOrName) -> Column:
     """Typed first; else text stripped to digits, ``.`` and ``-``, as an exact amount."""
-    stripped = F.regexp_replace(F.trim(_c(raw)), r"[^0-9.\-]+", "")
-    parsed = exact(F.when(stripped != "", stripped))
+    parsed = exact(F.regexp_replace(F.trim(_c(raw)), r"[^0-9.\-]+", ""))
     return parsed if typed is None else F.coalesce(exact(typed), parsed)
 
 
@@ -115,7 +114,7 @@ def cast_trim(c: ColumnOrName, dtype: str) -> Column:
 
 def money(c: ColumnOrName) -> Column:
     """Money text such as ``$1,234.50`` → exact amount."""
-    return exact(blank_to_null(F.regexp_replace(_c(c), r"[$,]", "")))
+    return exact(F.trim(F.regexp_replace(_c(c), r"[$,]", "")))
 
 
 # C11 / C12 ------------------------------------------------------------------

@@ -70,8 +70,11 @@ def stage_account_status(raw: DataFrame) -> DataFrame:
 
 
 # H4 -------------------------------------------------------------------------
-def stage_sales_distributor(raw: DataFrame) -> DataFrame:
-    """H4: typed sale rows with channel bucket, bad-amount, missing-key, duplicate flags."""
+def stage_sales_distributor(raw: DataFrame, flag_duplicates: bool = True) -> DataFrame:
+    """H4: typed sale rows with channel bucket, bad-amount, missing-key, duplicate flags.
+
+    The duplicate flag costs a second evaluation of the rows; a dedup that follows does not need it.
+    """
     qty = C.lenient_int(_opt(raw, "qty", "int"), _opt(raw, "qty_raw"))
     gross = C.lenient_decimal(_opt(raw, "gross_sales", C.MONEY), _opt(raw, "gross_sales_raw"))
     disc = C.lenient_decimal(_opt(raw, "discount_amount", C.MONEY), _opt(raw, "discount_amount_raw"))
@@ -97,6 +100,8 @@ def stage_sales_distributor(raw: DataFrame) -> DataFrame:
         "is_bad_amount": is_bad_amount(),
         "is_missing_key": is_missing_key(["sale_date", "store_code", "sku", "channel"]),
     })
+    if not flag_duplicates:
+        return out
     return duplicate_candidates(out, ["load_id", "sale_date", "store_code", "sku", "channel",
                                       F.coalesce(F.col("qty"), F.lit(-1)),
                                       F.coalesce(F.col("net_sales"), F.lit(-1.0))])

@@ -77,10 +77,10 @@ sales_distributor_extract AS (
          CAST(CAST(units AS INTEGER) AS VARCHAR) || ' units' AS qty_raw,
          list_price AS unit_list_price, gross_sales, discount_amount,
          CASE WHEN return_flag = 'R' THEN -net_sales ELSE net_sales END AS net_sales, cogs, ' ' || product_name AS product_name_raw,
-         CASE WHEN line_number % 2 = 1 THEN 0.05 END AS discount_rate, '0.25 off' AS discount_rate_raw,
-         '$' || CAST(CAST(units AS INTEGER) AS VARCHAR) || '.50' AS unit_net_price_raw,
+         CASE WHEN line_number <> 3 THEN 0.05 END AS discount_rate, '0.25 off' AS discount_rate_raw,
+         CASE WHEN line_number <> 2 THEN 9.75 END AS unit_net_price, '$' || CAST(CAST(units AS INTEGER) AS VARCHAR) || '.50' AS unit_net_price_raw,
          CASE WHEN line_number % 4 <> 0 THEN 1 END AS orders, '2 orders' AS orders_raw,
-         CASE WHEN line_number % 5 = 0 THEN 'n/a' ELSE '1' END AS customers_raw
+         CASE WHEN line_number % 5 <> 0 THEN 1 END AS customers, 'n/a' AS customers_raw
   FROM sales_lines
 )"""
 

@@ -137,9 +137,9 @@ s AS (
          COALESCE(qty, TRY_CAST(NULLIF(regexp_replace(trim(qty_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER)) AS qty,
          unit_list_price, gross_sales, discount_amount, net_sales, cogs, NULLIF(trim(product_name_raw), '') AS product_name,
          COALESCE(discount_rate, TRY_CAST(NULLIF(regexp_replace(trim(discount_rate_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4))) AS discount_rate,
-         TRY_CAST(NULLIF(regexp_replace(trim(unit_net_price_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4)) AS unit_net_price,
+         COALESCE(unit_net_price, TRY_CAST(NULLIF(regexp_replace(trim(unit_net_price_raw), '[^0-9.\\-]+', '', 'g'), '') AS DECIMAL(18,4))) AS unit_net_price,
          COALESCE(orders, TRY_CAST(NULLIF(regexp_replace(trim(orders_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER)) AS orders,
-         TRY_CAST(NULLIF(regexp_replace(trim(customers_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER) AS customers
+         COALESCE(customers, TRY_CAST(NULLIF(regexp_replace(trim(customers_raw), '[^0-9\\-]+', '', 'g'), '') AS INTEGER)) AS customers
   FROM sales_distributor_extract
 )
 SELECT load_id, drop_date, ingested_at, sale_date, store_code, sku, channel, qty,

@@ -13,7 +13,7 @@ AS_OF = "2001-06-30"
 
 
 def dist_daily(t):
-    staged = staging.stage_sales_distributor(raw.sales_distributor_extract(t))
+    staged = staging.stage_sales_distributor(raw.sales_distributor_extract(t), flag_duplicates=False)
     grain = ["sale_date", "store_code", "sku", "channel"]
     return facts.distributor_daily(dedup.distributor_sales(staged, grain), grain)
 

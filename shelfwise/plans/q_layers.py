@@ -20,7 +20,7 @@ _GRAIN = ["sale_date", "store_code", "sku", "channel"]
 
 
 def _distributor(t, on):
-    return dedup.distributor_sales(staging.stage_sales_distributor(raw.sales_distributor_extract(t, on)), _GRAIN)
+    return dedup.distributor_sales(staging.stage_sales_distributor(raw.sales_distributor_extract(t, on), flag_duplicates=False), _GRAIN)
 
 
 def _inventory(t, on):

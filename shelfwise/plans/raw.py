@@ -62,10 +62,10 @@ def sales_distributor_extract(t: Tables, on=None) -> DataFrame:
         F.col("list_price").alias("unit_list_price"),
         F.col("gross_sales"), F.col("discount_amount"), net.alias("net_sales"), F.col("cogs"),
         F.concat(F.lit(" "), F.col("product_name")).alias("product_name_raw"),
-        F.when(ln % 2 == 1, F.lit(0.05)).alias("discount_rate"), F.lit("0.25 off").alias("discount_rate_raw"),
-        F.concat(F.lit("$"), F.col("units").cast("int").cast("string"), F.lit(".50")).alias("unit_net_price_raw"),
+        F.when(ln != 3, F.lit(0.05).cast(C.MONEY)).alias("discount_rate"), F.lit("0.25 off").alias("discount_rate_raw"),
+        F.when(ln != 2, F.lit(9.75).cast(C.MONEY)).alias("unit_net_price"), F.concat(F.lit("$"), F.col("units").cast("int").cast("string"), F.lit(".50")).alias("unit_net_price_raw"),
         F.when(ln % 4 != 0, F.lit(1)).alias("orders"), F.lit("2 orders").alias("orders_raw"),
-        F.when(ln % 5 == 0, F.lit("n/a")).otherwise(F.lit("1")).alias("customers_raw"),
+        F.when(ln % 5 != 0, F.lit(1)).alias("customers"), F.lit("n/a").alias("customers_raw"),
     )
 
 
@@ -162,11 +162,16 @@ def pos_transactions(t: Tables, on=None) -> DataFrame:
     k = F.col("txn_id")
     base = p.withColumns({"k": k, "txn_id": F.concat(k.cast("string"), F.lit("-"), F.col("line_number").cast("string"))}) \
         .drop("line_number")
-    again = base.filter(F.col("k") % 7 == 0).withColumns({
-        "net_amount": (F.col("net_amount") * F.lit("0.9").cast("decimal(2,1)")).cast(C.MONEY), "drop_date": F.date_add("txn_date", 1), "load_id": F.lit("P2")})
-    first = base.withColumns({"drop_date": F.col("txn_date"), "load_id": F.lit("P1"),
-                              "txn_date": F.when(F.col("k") % 14 != 0, F.col("txn_date"))})
-    return first.unionByName(again).drop("k")
+    # Both copies come from one pass over the lines.
+    lower = (F.col("net_amount") * F.lit("0.9").cast("decimal(2,1)")).cast(C.MONEY)
+    first = F.struct(F.when(F.col("k") % 14 != 0, F.col("txn_date")).alias("txn_date"), F.col("net_amount").alias("net_amount"),
+                     F.col("txn_date").alias("drop_date"), F.lit("P1").alias("load_id"))
+    again = F.struct(F.col("txn_date").alias("txn_date"), lower.alias("net_amount"), F.date_add("txn_date", 1).alias("drop_date"),
+                     F.lit("P2").alias("load_id"))
+    copies = F.when(F.col("k") % 7 == 0, F.array(first, again)).otherwise(F.array(first))
+    sent = base.withColumn("__copy", F.explode(copies))
+    return sent.select("txn_id", "__copy.txn_date", "store_code", "sku", "qty", "gross_amount", "__copy.net_amount", "__copy.drop_date",
+                       "__copy.load_id")
 
 
 # Fixed finance labels by order priority (exercise the KPI-category classifier).
