@@ -412,19 +412,24 @@ def operations_rates(shipments: DataFrame, inventory: DataFrame, labor: DataFram
                     ratio("labor_cost_amount", "net_sales_amount").alias("labor_cost_pct_net_sales"))
 
 
-def anomaly_flags(series: dict[str, DataFrame], lookback: int = 7, z_threshold: float = 2.0) -> DataFrame:
-    """Z-score of each metric value against the previous ``lookback`` values of its location.
-
-    ``series``: metric name -> (date_key, location_key, value), one row per day and location. Baselines are the mean and
-    sample deviation of the earlier values; a value is an anomaly if |z| > ``z_threshold``.
-    """
+def metric_series(series: dict[str, DataFrame]) -> DataFrame:
+    """Metric name -> (date_key, location_key, value) as one long frame (metric_name, date_key, location_key, value)."""
     out = None
     for name, df in series.items():
         d = df.select(F.lit(name).alias("metric_name"), "date_key", F.col("location_key").cast("string").alias("location_key"),
                       F.col("value").cast("double").alias("value"))
         out = d if out is None else out.unionByName(d)
+    return out
+
+
+def anomaly_flags(series: DataFrame, lookback: int = 7, z_threshold: float = 2.0) -> DataFrame:
+    """Z-score of each metric value against the previous ``lookback`` values of its location.
+
+    ``series``: (metric_name, date_key, location_key, value), one row per metric, day and location. Baselines are the mean
+    and sample deviation of the earlier values; a value is an anomaly if |z| > ``z_threshold``.
+    """
     w = Window.partitionBy("metric_name", "location_key").orderBy("date_key").rowsBetween(-lookback, -1)
-    out = out.withColumns({"baseline_avg": F.avg("value").over(w), "__sd": F.stddev_samp("value").over(w)})
+    out = series.withColumns({"baseline_avg": F.avg("value").over(w), "__sd": F.stddev_samp("value").over(w)})
     z = F.when(F.col("__sd") > 1e-9, (F.col("value") - F.col("baseline_avg")) / F.col("__sd"))  # a constant series has none
     return out.withColumns({"z_score": z, "is_anomaly": F.coalesce(F.abs(z) > z_threshold, F.lit(False))}).drop("__sd")
 

@@ -195,6 +195,12 @@ def unified_controls(controls: dict[str, tuple[DataFrame, str, Sequence[str]]])
     return out
 
 
+def confidence(controls: DataFrame, grain: Sequence[str], passing: str, status_col: str = "status") -> DataFrame:
+    """Share of the control rows of each group that pass (a row without status does not)."""
+    return controls.groupBy(*grain).agg(
+        ratio(F.count_if(F.col(status_col) == passing), F.count(F.lit(1))).alias("data_confidence_score"))
+
+
 def bridge_tieout(bridge: DataFrame, tol: float = 0.01) -> DataFrame:
     """Q36: forecast + volume + price + residual must equal actual within rounding."""
     explained = (F.col("forecast_net_sales") + F.col("volume_effect") + F.col("price_effect")

@@ -9,6 +9,7 @@ from ..functions import clean as C
 from ..functions.clean import hash_key, hash_key_nullsafe, round_to
 from ..operators import dedup, dq, staging
 from ..operators import emissions as E
+from ..session import materialized
 from ..sources.testdata import Tables
 from . import ghg, model, raw
 from .oracle import GHG, INVENTORY, SALES_LINES
@@ -122,27 +123,28 @@ FROM det JOIN gt ON det.source_system = gt.source_system AND det.duplicate_busin
 
 
 def duplicate_source_records(t):
-    """Q29: duplicate business keys per source (C31 null-safe hash, A10 HAVING), detail rows with
-    group totals joined back by key (not a window over a possibly hot group)."""
-    act = E.union_activity(ghg.activity_sources(t))
-    c = act.withColumn("duplicate_business_key", hash_key_nullsafe(
+    """Q29: duplicate business keys per source (C31 null-safe hash, A10 HAVING), detail rows with group totals joined back
+    by key (not a window over a possibly hot group). The emissions fact carries the activity's own columns: it is written once
+    and keys, totals and details are read from it; a record id that stands in several fact rows gives a detail row for each."""
+    record, keys = ["source_system", "source_record_id"], ["source_system", "duplicate_business_key"]
+    fact = materialized(ghg.fact(t).select(
+        *record, "activity_id", "activity_month", "facility_id", "factor_type", "activity_amount", "activity_unit", "cost_usd",
+        "metric_tons_co2e", "is_reportable_emissions_row"), "emissions_fact")
+    c = fact.drop("metric_tons_co2e", "is_reportable_emissions_row").withColumn("duplicate_business_key", hash_key_nullsafe(
         "source_system", "activity_month", "facility_id", "factor_type", _amount_key(F.col("activity_amount")),
         "activity_unit"))
-    g = c.groupBy("source_system", "duplicate_business_key").agg(
+    g = c.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("duplicate_record_count"), F.min("activity_month").alias("first_activity_month"),
         F.max("activity_month").alias("last_activity_month"),
         F.sum("activity_amount").alias("duplicate_group_activity_amount"),
         F.sum("cost_usd").alias("duplicate_group_cost_usd")).filter(F.col("duplicate_record_count") > 1)
-    fact = ghg.fact(t).select("source_system", "source_record_id", "metric_tons_co2e", "is_reportable_emissions_row")
-    det = c.join(g, ["source_system", "duplicate_business_key"]).join(fact, ["source_system", "source_record_id"], "left")
-    gt = det.groupBy("source_system", "duplicate_business_key").agg(
-        F.sum("metric_tons_co2e").alias("duplicate_group_metric_tons_co2e"))
-    out = det.join(gt, ["source_system", "duplicate_business_key"])
-    return out.select("source_system", "duplicate_business_key", "duplicate_record_count", "first_activity_month",
-                              "last_activity_month", "duplicate_group_activity_amount", "duplicate_group_cost_usd",
-                              "duplicate_group_metric_tons_co2e", "source_record_id", "activity_id", "activity_month",
-                              "facility_id", "factor_type", "activity_amount", "metric_tons_co2e",
-                              "is_reportable_emissions_row")
+    det = materialized(c.join(g, keys).join(fact.select(*record, "metric_tons_co2e", "is_reportable_emissions_row"), record, "left"),
+                       "duplicates")
+    gt = det.groupBy(*keys).agg(F.sum("metric_tons_co2e").alias("duplicate_group_metric_tons_co2e"))
+    return det.join(gt, keys).select(
+        *keys, "duplicate_record_count", "first_activity_month", "last_activity_month", "duplicate_group_activity_amount",
+        "duplicate_group_cost_usd", "duplicate_group_metric_tons_co2e", "source_record_id", "activity_id", "activity_month",
+        "facility_id", "factor_type", "activity_amount", "metric_tons_co2e", "is_reportable_emissions_row")
 
 
 @query("q29_duplicate_source_records", Q29_SQL)

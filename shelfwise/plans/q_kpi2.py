@@ -7,11 +7,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.clean import ratio
-from ..operators import history, kpi, staging
+from ..operators import history, kpi, recon, staging
 from ..sources.testdata import Tables
 from . import ghg, model, raw
 from .oracle import GHG, INVENTORY, SALES_LINES
 from .q_facts import dist_daily
+from .q_recon import Q21_SQL, q21_frame
 from .registry import query, rounded
 from .sql_facts import DIST_CTE, FIN_CTE
 
@@ -288,14 +289,20 @@ FROM z
 @query("k28_anomaly_flags", K28_SQL)
 def q_k28(spark, d):
     t = Tables(spark, d)
-    s = model.sales_lines(t)
-    margin = s.groupBy(F.col("sale_date").alias("date_key"), F.col("store_id").alias("location_key")).agg(
-        ratio(F.sum(F.col("net_sales") - F.col("cogs")), F.sum("net_sales")).alias("value"))
+    # One pass over the sales for both of their metrics: grouping sets by account and by punch store.
+    s = model.sales_lines(t).select(F.col("sale_date").alias("date_key"), F.col("store_id").cast("string").alias("account"),
+                                    model.punch_store_of(F.col("store_id")).alias("store_code"), "net_sales", "cogs")
+    by = s.groupingSets([["date_key", "account"], ["date_key", "store_code"]], "date_key", "account", "store_code").agg(
+        (F.grouping("account") == 0).alias("is_margin"), F.sum("net_sales").alias("net_sales"),
+        F.sum(F.col("net_sales") - F.col("cogs")).alias("margin"))
+    hours = _labor_day(t).select(F.col("work_date").alias("date_key"), "store_code", "labor_hours", F.lit(True).alias("has_labor"))
+    sales = by.join(hours, ["date_key", "store_code"], "left").filter(F.col("is_margin") | F.col("has_labor")).select(
+        F.when(F.col("is_margin"), F.lit("gross_margin_pct")).otherwise(F.lit("net_sales_per_labor_hour")).alias("metric_name"),
+        "date_key", F.when(F.col("is_margin"), F.col("account")).otherwise(F.col("store_code")).alias("location_key"),
+        F.when(F.col("is_margin"), ratio("margin", "net_sales")).otherwise(ratio("net_sales", "labor_hours")).alias("value"))
     out = model.inventory(t).groupBy(F.col("snapshot_date").alias("date_key"), F.col("site_id").alias("location_key")).agg(
         (F.count_if(F.col("on_hand_units") <= 0) / F.count(F.lit(1))).alias("value"))
-    productivity = _sales_day(t).join(_labor_day(t), ["work_date", "store_code"]).select(
-        F.col("work_date").alias("date_key"), F.col("store_code").alias("location_key"), ratio("net_sales", "labor_hours").alias("value"))
-    return rounded(kpi.anomaly_flags({"gross_margin_pct": margin, "stockout_rate": out, "net_sales_per_labor_hour": productivity}))
+    return rounded(kpi.anomaly_flags(kpi.metric_series({"stockout_rate": out}).unionByName(sales)))
 
 
 K29_SQL = f"""
@@ -319,18 +326,25 @@ def q_k29(spark, d):
     return rounded(kpi.mom_anomaly_status(s, ["source_system", "scope"], "activity_month", "metric_tons_co2e"))
 
 
+# Role mapping of K31: punch stores belong to the region whose key is their number modulo 5. The data confidence score is the
+# share of the distributor-against-POS control rows (Q21, a store and day each) that pass.
 K31_SQL = f"""
-WITH {SALES_LINES}, {INVENTORY},
+WITH {SALES_LINES}, {INVENTORY}, {ALIGNED_PAIRS},
 w AS (SELECT week_start, region, SUM(net_sales) AS net_sales, SUM(net_sales - cogs) AS gm FROM sales_lines GROUP BY 1, 2),
 i AS (SELECT CAST(date_trunc('week', snapshot_date) AS DATE) AS week_start, r.r_name AS region,
              CAST(count(*) FILTER (WHERE on_hand_units <= 0) AS DOUBLE) / COUNT(*) AS stockout_rate
       FROM inventory JOIN nation n ON inventory.state = n.n_name JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY 1, 2),
-q AS (SELECT week_start, region,
-             CAST(count(*) FILTER (WHERE NOT (net_sales < 0 OR net_sales > gross_sales + 0.01)) AS DOUBLE) / COUNT(*)
-               AS data_confidence_score FROM sales_lines GROUP BY 1, 2)
+l AS (SELECT CAST(date_trunc('week', work_date) AS DATE) AS week_start, r_name AS region, SUM(labor_hours) AS labor_hours
+      FROM lab JOIN region ON CAST(substr(store_code, 2) AS INTEGER) % 5 = r_regionkey GROUP BY 1, 2),
+q AS (SELECT CAST(date_trunc('week', c.sale_date) AS DATE) AS week_start, r_name AS region,
+             CAST(count(*) FILTER (WHERE c.status = 'Pass') AS DOUBLE) / COUNT(*) AS data_confidence_score
+      FROM ({Q21_SQL}) c JOIN customer ON c.store_code = CAST(c_custkey AS VARCHAR)
+      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2)
 SELECT w.week_start, w.region, round(net_sales, 4) AS net_sales, round(gm / NULLIF(net_sales, 0), 4) AS gross_margin_pct,
-       round(stockout_rate, 4) AS stockout_rate, round(data_confidence_score, 4) AS data_confidence_score
+       round(stockout_rate, 4) AS stockout_rate, round(net_sales / NULLIF(labor_hours, 0), 4) AS revenue_per_labor_hour,
+       round(data_confidence_score, 4) AS data_confidence_score
 FROM w LEFT JOIN i ON w.week_start = i.week_start AND w.region = i.region
+LEFT JOIN l ON w.week_start = l.week_start AND w.region = l.region
 LEFT JOIN q ON w.week_start = q.week_start AND w.region = q.region
 """
 
@@ -338,15 +352,18 @@ LEFT JOIN q ON w.week_start = q.week_start AND w.region = q.region
 @query("k31_weekly_regional_export", K31_SQL)
 def q_k31(spark, d):
     t = Tables(spark, d)
-    s = model.sales_lines(t)
-    w = s.groupBy("week_start", "region").agg(F.sum("net_sales").alias("net_sales"),
-                                              F.sum(F.col("net_sales") - F.col("cogs")).alias("__gm"))
-    geo = model.geography(t).select("state", "region")
-    inv = model.inventory(t).join(F.broadcast(geo), "state") \
-        .groupBy(F.date_trunc("week", "snapshot_date").cast("date").alias("week_start"), "region") \
+    grain = ["week_start", "region"]
+    week = lambda c: F.date_trunc("week", c).cast("date").alias("week_start")
+    w = model.sales_lines(t).groupBy(*grain).agg(F.sum("net_sales").alias("net_sales"),
+                                                 F.sum(F.col("net_sales") - F.col("cogs")).alias("__gm"))
+    inv = model.inventory(t).join(model.geography(t).select("state", "region"), "state") \
+        .groupBy(week("snapshot_date"), "region") \
         .agg(ratio(F.count_if(F.col("on_hand_units") <= 0), F.count(F.lit(1))).alias("stockout_rate"))
-    ok = ~((F.col("net_sales") < 0) | (F.col("net_sales") > F.col("gross_sales") + 0.01))
-    q = s.groupBy("week_start", "region").agg(ratio(F.count_if(ok), F.count(F.lit(1))).alias("data_confidence_score"))
-    out = w.join(inv, ["week_start", "region"], "left").join(q, ["week_start", "region"], "left")
-    return rounded(out.select("week_start", "region", "net_sales", ratio("__gm", "net_sales").alias("gross_margin_pct"),
-                              "stockout_rate", "data_confidence_score"))
+    regions = t.region.select(F.col("r_regionkey").alias("__key"), F.col("r_name").alias("region"))
+    hours = _labor_day(t).withColumn("__key", F.substring("store_code", 2, 9).cast("long") % 5).join(regions, "__key") \
+        .groupBy(week("work_date"), "region").agg(F.sum("labor_hours").alias("labor_hours"))
+    stores = model.stores(t).select(F.col("store_id").cast("string").alias("store_code"), "region")
+    score = recon.confidence(q21_frame(t).join(stores, "store_code").select(week("sale_date"), "region", "status"), grain, "Pass")
+    out = w.join(inv, grain, "left").join(hours, grain, "left").join(score, grain, "left")
+    return rounded(out.select(*grain, "net_sales", ratio("__gm", "net_sales").alias("gross_margin_pct"), "stockout_rate",
+                              ratio("net_sales", "labor_hours").alias("revenue_per_labor_hour"), "data_confidence_score"))

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import dedup, facts, history, recon, staging, variance
+from ..session import materialized
 from ..sources.testdata import Tables
 from . import model, raw
 from .oracle import FORECAST_EXTRACT, INVENTORY, PUNCHES, SALES_LINES
@@ -19,8 +20,8 @@ from .sql_facts import DIST_CTE, FIN_CTE, POS_CTE
 AS_OF = "2001-08-31"
 
 
-def q21_frame(t):
-    return recon.recon_distributor_vs_pos(dist_daily(t), pos_day(t))
+def q21_frame(t, dist=None, pos=None):
+    return recon.recon_distributor_vs_pos(dist or dist_daily(t), pos or pos_day(t))
 
 
 Q21_CORE = f"""
@@ -108,7 +109,7 @@ def q_q22(spark, d):
     return rounded(q22_frame(Tables(spark, d)))
 
 
-def _store_flags(t):
+def _store_flags(t, dist=None, pos=None):
     """Fact models with the flags of rows that have no partner in the store and product dimensions."""
     st = model.stores(t).select(F.col("store_id").cast("string").alias("__store"))
     pr = t.part.select(F.col("p_partkey").cast("string").alias("__sku"))
@@ -119,7 +120,7 @@ def _store_flags(t):
         df = df.join(stores, df["store_code"] == stores["__store"], "left")
         return df.join(products, df["sku"] == products["__sku"], "left") if products is not None else df
     labor = history.labor_store_daily(history.labor_daily_employee(model.punches(t)))
-    return flagged(dist_daily(t), st, pr), flagged(labor, ps), flagged(pos_day(t), st)
+    return flagged(dist or dist_daily(t), st, pr), flagged(labor, ps), flagged(pos or pos_day(t), st)
 
 
 Q21R_DAYS = 90
@@ -137,9 +138,9 @@ def q_q21_recent(spark, d):
     return rounded(recon.recon_distributor_vs_pos(dist_daily(t), pos_day(t), start=start))
 
 
-def q16_frame(t):
+def q16_frame(t, dist=None, pos=None):
     no_store = F.col("__store").isNull()
-    dist, labor, pos = _store_flags(t)
+    dist, labor, pos = _store_flags(t, dist, pos)
     return recon.missing_dim_control([
         ("mart.fact_sales_distributor_daily", dist, "sale_date", "dim_store", no_store),
         ("mart.fact_labor_daily", labor, "work_date", "dim_store", no_store),
@@ -266,10 +267,13 @@ def q_q20(spark, d):
 
 
 def q23_frame(t):
+    # Both daily facts feed two controls: each is built once.
+    dist = materialized(dist_daily(t).select("sale_date", "store_code", "sku", "net_sales", "gross_sales", "units"), "dist_daily")
+    pos = materialized(pos_day(t).select("sale_date", "store_code", "net_sales", "gross_sales", "units"), "pos_daily")
     return recon.unified_controls({
-        "recon_distributor_vs_pos": (q21_frame(t), "status", ["sale_date", "store_code"]),
+        "recon_distributor_vs_pos": (q21_frame(t, dist, pos), "status", ["sale_date", "store_code"]),
         "recon_sales_to_ledger": (q22_frame(t), "status", ["period_month", "metric"]),
-        "missing_dim_joins": (q16_frame(t), "status", ["model_name", "dim_name", "grain_date"]),
+        "missing_dim_joins": (q16_frame(t, dist, pos), "status", ["model_name", "dim_name", "grain_date"]),
     })
 
 

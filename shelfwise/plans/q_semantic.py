@@ -281,19 +281,19 @@ LEFT JOIN l USING (month_start)
 @query("x20_exec_monthly_totals", X20_SQL)
 def q_x20(spark, d):
     t = Tables(spark, d)
-    s = model.sales_lines(t)
-    sm = s.groupBy("month_start").agg(F.sum("net_sales").alias("net_sales"), F.sum("units").alias("units"),
-                                      F.sum(F.col("net_sales") - F.col("cogs")).alias("gross_margin"))
-    md = s.groupBy("month_start", "sale_date").agg(F.sum("net_sales").alias("day_sales")) \
-        .groupBy("month_start").agg(F.median("day_sales").alias("median_daily_sales"))
+    # Sales by day first: month totals and the median of the days come from that one pass.
+    daily = model.sales_lines(t).groupBy("month_start", "sale_date").agg(
+        F.sum("net_sales").alias("day_sales"), F.sum("units").alias("units"),
+        F.sum(F.col("net_sales") - F.col("cogs")).alias("gross_margin"))
+    sm = daily.groupBy("month_start").agg(
+        F.sum("day_sales").alias("net_sales"), F.sum("units").alias("units"), F.sum("gross_margin").alias("gross_margin"),
+        F.median("day_sales").alias("median_daily_sales"))
     inv = model.inventory(t).groupBy("month_start").agg(
         ratio(F.count_if(F.col("on_hand_units") > 0), F.count(F.lit(1))).alias("instock_rate"),
         F.sum(F.greatest("on_hand_units", F.lit(0.0))).alias("on_hand"))
     lab = history.pair_events(model.punches(t)).groupBy(F.trunc("work_date", "month").alias("month_start")) \
         .agg((F.sum("minutes_worked") / 60.0).alias("labor_hours"))
-    keys = sm.select("month_start").union(inv.select("month_start")).union(lab.select("month_start")).distinct()
-    j = keys.join(sm, "month_start", "left").join(md, "month_start", "left").join(inv, "month_start", "left") \
-        .join(lab, "month_start", "left")
+    j = sm.join(inv, "month_start", "full").join(lab, "month_start", "full")
     return rounded(j.select("month_start", "net_sales", "gross_margin", "median_daily_sales", "labor_hours",
                             ratio("net_sales", "labor_hours").alias("sales_per_labor_hour"), "instock_rate",
                             ratio("on_hand", ratio("units", F.dayofmonth(F.last_day("month_start")))).alias("days_of_supply")))

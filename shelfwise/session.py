@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +88,18 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def materialized(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read back.
+
+    For a staged or conformed frame that several branches of one query read: its joins and parsing run once, and every
+    branch reads only its own columns. The files survive lost executors.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{tag}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
