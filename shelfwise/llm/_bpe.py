@@ -8,13 +8,18 @@ compatible with the last token of the prefix before it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 from ._common import mixed
 
 NONE = np.int64(1) << np.int64(40)
-# Words longer than this are relaxed one by one.
+# Longer words are relaxed in windows of so many symbols, which overlap by the widest token and SLACK.
 LONG_WORD = 400
+WINDOW = 256
+SLACK = 64
+WINDOWS_AT_ONCE = 1024
 
 
 class HashIndex:
@@ -85,6 +90,8 @@ class Merges:
         return ok
 
     def compatible_one(self, a: int, b: int) -> bool:
+        if a == self.unknown or b == self.unknown:
+            return True
         known = self._known.get((a, b))
         if known is None:
             if len(self._known) > 500_000:
@@ -106,13 +113,12 @@ def relax(tokens: np.ndarray, starts: np.ndarray, lengths: np.ndarray, merges: M
     """Relax all words together, position by position.
 
     ``tokens[n, e]`` is the token of n symbols that ends with symbol e (-1: none); words are the symbols
-    starts[w] to starts[w] + lengths[w] - 1.
+    starts[w] to starts[w] + lengths[w] - 1. Long words go through :func:`relax_long`.
     """
     out = Relaxed(tokens.shape[1])
     widest = tokens.shape[0] - 1
-    short = lengths <= LONG_WORD
-    order = np.argsort(-lengths[short], kind="stable")
-    begin, size = starts[short][order], lengths[short][order]
+    order = np.argsort(-lengths, kind="stable")
+    begin, size = starts[order], lengths[order]
     for k in range(int(size[0]) if len(size) else 0):
         m = int(np.searchsorted(-size, -k, "left"))  # words with more than k symbols
         open_ends = begin[:m] + k
@@ -132,19 +138,54 @@ def relax(tokens: np.ndarray, starts: np.ndarray, lengths: np.ndarray, merges: M
             open_ends = np.delete(open_ends, has)
             if not len(open_ends):
                 break
-    for s, size in zip(starts[~short].tolist(), lengths[~short].tolist(), strict=True):
-        for e in range(s, s + size):
-            for n in range(min(e - s + 1, widest), 0, -1):
-                t = int(tokens[n, e])
-                if t >= 0 and (e - n < s or self_compatible(merges, int(out.last[e - n]), t)):
-                    out.last[e], out.came[e] = t, e - n + 1
-                    out.count[e] = 1 if e - n < s else out.count[e - n] + 1
-                    break
     return out
 
 
-def self_compatible(merges: Merges, a: int, b: int) -> bool:
-    return a == merges.unknown or b == merges.unknown or merges.compatible_one(a, b)
+def relax_long(size: int, widest: int, edges: Callable[[np.ndarray, np.ndarray], np.ndarray], merges: Merges) -> Relaxed:
+    """Relax one long word: windows of it are relaxed together, each as if it were a word, and joined in order.
+
+    What follows a position depends on the ``widest`` positions up to it alone. So where a window and the word so far give
+    the same last tokens for that many positions in a row (and counts that differ by one number), the rest of the window is
+    the word's own. Windows overlap for that; where the overlap does not bring them together, positions are relaxed one by
+    one until they meet. ``edges(starts, lengths)`` gives the tokens of some windows, laid end to end.
+    """
+    out = Relaxed(size)
+    overlap = widest + SLACK
+    done = 0
+    for group in range(0, size, WINDOWS_AT_ONCE * WINDOW):
+        begins = np.arange(group, min(size, group + WINDOWS_AT_ONCE * WINDOW), WINDOW)
+        lengths = np.minimum(WINDOW + overlap, size - begins)
+        tokens = edges(begins, lengths)
+        places = np.cumsum(lengths) - lengths
+        part = relax(tokens, places, lengths, merges)
+        for b, length, at in zip(begins.tolist(), lengths.tolist(), places.tolist(), strict=True):
+            if done >= b + length:
+                continue
+            shift, same = 0, 0 if done else widest
+            near = slice(max(done - widest, b), done)
+            if near.stop - near.start == widest:
+                here = slice(at + near.start - b, at + near.stop - b)
+                apart = out.count[near] - part.count[here]
+                if (out.last[near] == part.last[here]).all() and (apart == apart[0]).all():
+                    shift, same = int(apart[0]), widest
+            while same < widest and done < b + length:
+                e = at + done - b
+                for n in range(widest, 0, -1):
+                    t = int(tokens[n, e])
+                    if t >= 0 and merges.compatible_one(int(out.last[done - n]), t):
+                        out.last[done], out.came[done], out.count[done] = t, done - n + 1, out.count[done - n] + 1
+                        break
+                gap = int(out.count[done]) - int(part.count[e])
+                met = out.last[done] == part.last[e]
+                same = (same + 1 if same and gap == shift else 1) if met else 0
+                shift = gap
+                done += 1
+            rest = slice(at + done - b, at + length)
+            out.last[done:b + length] = part.last[rest]
+            out.count[done:b + length] = part.count[rest] + shift
+            out.came[done:b + length] = part.came[rest] + (b - at)
+            done = b + length
+    return out
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -20,12 +20,14 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from ._bpe import Merges, ragged, relax
+from ._bpe import LONG_WORD, Merges, ragged, relax, relax_long
 from ._common import arrow_text, mixed, span_hashes, steps
 
 SPACE = 0x2581
 UNKNOWN = 0
+# Words and ids that a worker keeps between batches (about 100 MB); beyond, it starts anew.
 KEPT_WORDS = 2_000_000
+KEPT_IDS = 8_000_000
 # Code points below this are told apart where words are cut; the last two numbers are for spaces and all others.
 LATIN = 0x250
 # Symbols of new words that one suffix array indexes.
@@ -165,6 +167,9 @@ class PieceTokenizer:
 
     def encode_words(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per word) of words that are symbol spans of ``codes``, apart from each other."""
+        long = lengths > LONG_WORD
+        if long.any():
+            return self._encode_long(codes, starts, lengths, long)
         done = relax(self.lattice(codes), starts, lengths, self.merges)
         end = starts + lengths - 1
         # Bytes of characters without a piece.
@@ -183,13 +188,42 @@ class PieceTokenizer:
         to = np.cumsum(sizes)
         for word, at in path:
             to[word] -= width[at]
-            plain = ~unknown[at]
-            ids[to[word[plain]]] = done.last[at[plain]]
-            for w, e in zip(word[~plain].tolist(), at[~plain].tolist(), strict=True):
-                raw = list(chr(codes[e]).encode())
-                ids[to[w]:to[w] + len(raw)] = self.byte[raw]
+            self._write(ids, to[word], codes[at], done.last[at], unknown[at])
         return ids, sizes
 
+    def _write(self, ids: np.ndarray, to: np.ndarray, codes: np.ndarray, pieces: np.ndarray, unknown: np.ndarray) -> None:
+        ids[to[~unknown]] = pieces[~unknown]
+        for w, c in zip(to[unknown].tolist(), codes[unknown].tolist(), strict=True):
+            raw = list(chr(c).encode())
+            ids[w:w + len(raw)] = self.byte[raw]
+
+    def _encode_long(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`encode_words` where some words are long: those are relaxed in windows, with a lattice of some windows at a time."""
+        some = np.flatnonzero(~long)
+        flat, to = apart(codes, starts[some], lengths[some])
+        ids, sizes = self.encode_words(flat, to, lengths[some])
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        out = dict(zip(some.tolist(), (ids[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)), strict=True))
+
+        def edges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+            flat, to = apart(codes, starts, lengths)
+            return self.lattice(flat)[:, ragged(to, lengths)]
+
+        for w in np.flatnonzero(long).tolist():
+            s, size = int(starts[w]), int(lengths[w])
+            done = relax_long(size, self.widest, lambda b, k, s=s: edges(s + b, k), self.merges)
+            came, path, at = done.came.tolist(), [], size - 1
+            while at >= 0:
+                path.append(at)
+                at = came[at] - 1
+            path = np.array(path[::-1])
+            own, last = codes[s + path], done.last[path]
+            unknown = (last == UNKNOWN) | (last >= self.real)
+            width = np.where(unknown, _utf8_width(own), 1)
+            out[w] = np.zeros(int(width.sum()), np.int32)
+            self._write(out[w], np.cumsum(width) - width, own, last, unknown)
+        return np.concatenate([out[w] for w in range(len(starts))]), np.array([len(out[w]) for w in range(len(starts))], np.int64)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): text i has ids[bounds[i]:bounds[i + 1]]."""
         # Every text is a line of its own; a space is put before it, as the model's format asks.
@@ -216,7 +250,7 @@ class PieceTokenizer:
     def _lookup(self, codes: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h = span_hashes(mixed(codes.astype(np.uint64) + np.uint64(1)), begin, begin + length)
         distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > KEPT_WORDS:
+        if len(self.known) + len(distinct) > KEPT_WORDS or len(self.known_ids) > KEPT_IDS:
             self.forget()
         at = np.searchsorted(self.known, distinct)
         at[at == len(self.known)] = 0
@@ -229,10 +263,7 @@ class PieceTokenizer:
             lo = 0
             while lo < len(fresh):
                 hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + SYMBOLS_AT_ONCE, "right")))
-                # A mark after every word, which no piece holds, keeps the words apart.
-                to = np.cumsum(n[lo:hi] + 1) - (n[lo:hi] + 1)
-                flat = np.zeros(int(n[lo:hi].sum()) + hi - lo, np.uint32)
-                flat[ragged(to, n[lo:hi])] = codes[ragged(s[lo:hi], n[lo:hi])]
+                flat, to = apart(codes, s[lo:hi], n[lo:hi])
                 got, per_word = self.encode_words(flat, to, n[lo:hi])
                 ids.append(got)
                 sizes.append(per_word)
@@ -261,6 +292,14 @@ class PieceTokenizer:
         return data[keep], kept[running]
 
 
+def apart(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, new starts) of some spans with a mark after each, which no piece holds and which keeps them apart."""
+    to = np.cumsum(lengths + 1) - (lengths + 1)
+    flat = np.zeros(int(lengths.sum()) + len(lengths), np.uint32)
+    flat[ragged(to, lengths)] = codes[ragged(starts, lengths)]
+    return flat, to
+
+
 def _narrow(code: int) -> int:
     return LATIN - 2 if code == SPACE else min(code, LATIN - 1)
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._bpe import HashIndex, Merges, Relaxed, ragged, relax
+from ._bpe import LONG_WORD, HashIndex, Merges, Relaxed, ragged, relax, relax_long
 from ._common import arrow_text, mixed, span_hashes, steps
 
 KEPT_WORDS = 2_000_000
@@ -121,29 +121,41 @@ class WordTokenizer:
         """(relaxation, counts): the token count of every word, or with ``every`` of every prefix taken as a word."""
         data = np.frombuffer(words, np.uint8)
         n = len(data)
-        tokens = np.full((self.widest + 1, n), -1, np.int32)
-        closing = np.full((self.widest + 1, n), -1, np.int32)
+        hashes = _Prefix(data)
+
+        def edges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+            at = ragged(starts, lengths)
+            depth = at - np.repeat(starts, lengths)
+            tokens = np.full((self.widest + 1, len(at)), -1, np.int32)
+            for size, index in self.inner.items():
+                own = np.flatnonzero(depth >= size - 1)
+                tokens[size, own] = index.get(hashes.span(at[own] - size + 1, size))
+            return tokens
+
+        done = Relaxed(n)
+        long = lengths > LONG_WORD
+        some, sizes = starts[~long], lengths[~long]
+        at = ragged(some, sizes)
+        flat = np.cumsum(sizes) - sizes
+        part = relax(edges(some, sizes), flat, sizes, self.merges)
+        done.last[at], done.count[at], done.came[at] = part.last, part.count, part.came + np.repeat(some - flat, sizes)
+        for s, size in zip(starts[long].tolist(), lengths[long].tolist(), strict=True):
+            part = relax_long(size, self.widest, lambda b, k, s=s: edges(s + b, k), self.merges)
+            done.last[s:s + size], done.count[s:s + size], done.came[s:s + size] = part.last, part.count, part.came + s
         word_start = np.zeros(n, np.int64)
         at = ragged(starts, lengths)
         word_start[at] = np.repeat(starts, lengths)
-        ends = at if every else starts + lengths - 1
-        hashes = _Prefix(data)
-        for size in range(1, self.widest + 1):
-            e = at[at - word_start[at] >= size - 1]
-            if size in self.inner and len(e):
-                tokens[size, e] = self.inner[size].get(hashes.span(e - size + 1, size))
-            e = ends[ends - word_start[ends] >= size - 1]
-            if size in self.closing and len(e):
-                closing[size, e] = self.closing[size].get(hashes.span(e - size + 1, size))
-        done = relax(tokens, starts, lengths, self.merges)
+        open_ends = at if every else starts + lengths - 1
         counts = np.zeros(n, np.int32)
-        open_ends = ends
         for size in range(self.widest, 0, -1):
-            t = closing[size, open_ends]
-            has = np.flatnonzero(t >= 0)
+            able = np.flatnonzero(open_ends - word_start[open_ends] >= size - 1) if size in self.closing else []
+            if not len(able):
+                continue
+            t = self.closing[size].get(hashes.span(open_ends[able] - size + 1, size))
+            has, t = able[t >= 0], t[t >= 0]
             if not len(has):
                 continue
-            e, t = open_ends[has], t[has]
+            e = open_ends[has]
             inside = e - size >= word_start[e]
             ok = ~inside
             ok[inside] = self.merges.compatible(done.last[e[inside] - size], t[inside])
