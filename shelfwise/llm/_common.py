@@ -43,6 +43,14 @@ def removed(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def in_ranges(df: DataFrame, order: list[str], name: str, tag: str) -> DataFrame:
+    """``df`` cut into ranges of a whole order, numbered by ``name`` from the lowest, and written.
+
+    The range partitioning samples the whole order, so the ranges are even whatever value a leading column repeats.
+    """
+    return written(df.repartitionByRange(*order).withColumn(name, F.spark_partition_id()), tag)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

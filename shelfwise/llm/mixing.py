@@ -6,10 +6,11 @@ divided by the source's target; copies of all sources are served in order of fin
 until the total budget is spent. At finish time 1 each source has its target, so the
 served prefix keeps every source near it.
 
-Cumulative sums never gather a source in one task: a source's order is cut into hash
-ranges of about ``ROWS_PER_BUCKET`` rows, ranges are summed first and rows are then summed
-inside their range. The global order is cut in the same way into ranges of finish time,
-and rows are sorted and summed inside their range.
+Cumulative sums never gather a source in one task: Spark's range partitioning cuts the
+queues by their whole order, so that neither a large source nor one id with very many rows
+fills a range; ranges are summed first and rows are then summed inside their range. The
+global order is cut into ranges of finish time of about ``ROWS_PER_BUCKET`` rows, and rows
+are sorted and summed inside their range. Only one row per range meets in one task.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import ROWS_PER_BUCKET, shuffle_key, written
+from ._common import ROWS_PER_BUCKET, in_ranges, shuffle_key, written
 
 SEED = "mix-1"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -60,9 +61,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], max_repeats: int) -
 
 
 def mix(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int = 3, seed: str = SEED) -> DataFrame:
-    """Mix rows (row, doc_id, source, size) and say how much of each the mix takes.
+    """Mix rows (row, doc_id, source, size, tie) and say how much of each the mix takes.
 
-    ``row`` identifies a row, so repeated rows and ids are mixed row by row. Returns the rows
+    ``row`` identifies a row, so repeated rows and ids are mixed row by row. Rows of one id are queued by ``tie``, a hash of
+    their content, so that reruns on other files or cores choose the same contents; only equal contents are told
+    apart by ``row``. Returns the rows
     with ``source_size``, ``target`` (double), ``copies`` and ``taken`` (long, copies * size).
     A null source is a source of its own, null ids hash like empty text, rows of size 0 use no
     budget and are taken once, and an empty table gives no rows.
@@ -72,25 +75,24 @@ def mix(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int =
     rows = sizes.join(src, sizes["source"].eqNullSafe(src["t_source"])).drop("t_source")
     copies = rows.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1)))) \
         .withColumn("h", shuffle_key(F.lit(seed), F.col("epoch"), F.col("doc_id")))
-    # Ranges of the seeded order inside each source and epoch.
-    per_source = F.ceil(F.col("n") / ROWS_PER_BUCKET)
-    copies = copies.withColumn("b", F.floor(F.col("h") / F.lit(float(1 << 52)) * per_source))
-    part = ["source_rank", "epoch", "b"]
-    before = Window.partitionBy("source_rank").orderBy("epoch", "b").rowsBetween(Window.unboundedPreceding, -1)
+    # Ranges of the seeded order: a partition holds neighbours of the queues.
+    order = ["epoch", "h", "doc_id", "tie", "row"]
+    copies = in_ranges(copies.select("source_rank", *order, "size", "target", "total", "all_rows"), ["source_rank", *order], "b", "copies")
+    part = ["source_rank", "b"]
+    before = Window.partitionBy("source_rank").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     starts = copies.groupBy(*part).agg(F.sum("size").alias("range_size")) \
         .select(*part, F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("range_start"))
-    inside = Window.partitionBy(*part).orderBy("h", "doc_id", "row").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     finish = F.coalesce((F.col("range_start") + F.sum("size").over(inside)) / F.col("target"), F.lit(0.0))
     # Ranges of finish time over the whole queue; time 1 is where every source has its target.
     ranges_to_one = F.ceil(F.col("all_rows") * max_repeats / ROWS_PER_BUCKET)
     queue = copies.join(starts, part).withColumn("finish", finish).withColumn("t", F.floor(ranges_to_one * F.when(
         F.col("finish") < 1, F.col("finish")).otherwise(1 + F.ln("finish"))))
-    queue = written(queue.select("row", "source_rank", "total", "size", "epoch", "h", "doc_id", "finish", "t"), "queue")
+    queue = written(queue.select("source_rank", *order, "total", "size", "finish", "t"), "queue")
     served = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
     ranges = queue.groupBy("t").agg(F.sum("size").alias("t_size")) \
         .select("t", F.coalesce(F.sum("t_size").over(served), F.lit(0)).alias("t_start"))
-    in_order = Window.partitionBy("t").orderBy("finish", "source_rank", "epoch", "h", "doc_id", "row") \
-        .rowsBetween(Window.unboundedPreceding, 0)
+    in_order = Window.partitionBy("t").orderBy("finish", "source_rank", *order).rowsBetween(Window.unboundedPreceding, 0)
     taken = queue.join(ranges, "t") \
         .withColumn("served", F.col("t_start") + F.sum("size").over(in_order) <= F.col("total")) \
         .groupBy("row").agg(F.count_if("served").alias("served"))
@@ -102,26 +104,24 @@ def mix(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int =
 
 def mix_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int = 3, seed: str = SEED) -> DataFrame:
     """The mix decision of every document row (see :func:`mix`); sizes are word counts."""
-    sizes = docs.select("doc_id", "source", word_count().alias("size"), F.monotonically_increasing_id().alias("row"))
+    sizes = docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("tie"),
+                        F.monotonically_increasing_id().alias("row"))
     return mix(written(sizes, "sizes"), weights, max_repeats, seed)
 
 
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int = 3, seed: str = SEED) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as the mix takes it.
 
-    Rows of equal (doc_id, source, text) are told apart by a number only, as they are interchangeable.
+    Rows are numbered once, in a written table, and the plan meets them by that number: no key of the documents is joined,
+    so rows of one id or equal rows never gather. Rows of equal (doc_id, source, text) are interchangeable.
     """
-    key = ["doc_id", "source", F.xxhash64("text").alias("_mix_text")]
-    twin = Window.partitionBy("doc_id", "source", "_mix_text").orderBy("_mix_text")
-    sizes = written(docs.select(*key, word_count().alias("size"), F.monotonically_increasing_id().alias("row")), "sizes")
-    ranked = sizes.withColumn("_mix_twin", F.row_number().over(twin))
-    plan = mix(sizes.select("row", "doc_id", "source", "size"), weights, max_repeats, seed) \
-        .filter("copies > 0").select("row", "copies")
-    plan = ranked.join(plan, "row").select(
-        F.col("doc_id").alias("_p_id"), F.col("source").alias("_p_source"), F.col("_mix_text").alias("_p_text"),
-        F.col("_mix_twin").alias("_p_twin"), F.col("copies").alias("_p_copies"))
-    rows = docs.withColumn("_mix_text", F.xxhash64("text")).withColumn("_mix_twin", F.row_number().over(twin))
-    on = rows["doc_id"].eqNullSafe(plan["_p_id"]) & rows["source"].eqNullSafe(plan["_p_source"]) \
-        & (rows["_mix_text"] == plan["_p_text"]) & (rows["_mix_twin"] == plan["_p_twin"])
-    return rows.join(plan, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_p_copies").cast("int")))) \
-        .select(*[rows[c] for c in docs.columns])
+    at = "_mix_row"
+    while at in docs.columns:
+        at += "_"
+    rows = written(docs.withColumn(at, F.monotonically_increasing_id()), "rows")
+    sizes = written(rows.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("tie"),
+                                F.col(at).alias("row")), "sizes")
+    plan = mix(sizes, weights, max_repeats, seed).filter("copies > 0").select("row", "copies")
+    kept = rows.join(plan, rows[at] == plan["row"])
+    times = F.sequence(F.lit(1), plan["copies"].cast("int"))
+    return kept.select(*[rows[c] for c in docs.columns], F.explode(times).alias(at)).drop(at)

@@ -2,11 +2,13 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 from llm_fixtures import SCHEMA, awkward, empty, rows
+from pyspark.sql import functions as F
 
 from shelfwise.llm import _common, mixing, sharding
 
@@ -132,3 +134,45 @@ def test_written_shards_hold_the_documents(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert Counter(r.shard for r in back.collect()) == {0: 10, 1: 10, 2: 10, 3: 10}
     assert {r.text for r in back.collect()} == {f"text {i}" for i in range(40)}
+
+
+def _hot(spark, seed, parts):
+    """A third of the rows under one id with texts of their own, some of them equal; the order and files change with the seed."""
+    texts = [" ".join(["w"] * (1 + i % 9)) + f" {i % 150}" for i in range(600)]
+    out = [((7 if i < 200 else 1000 + i), t, "ab"[i % 3 > 1]) for i, t in enumerate(texts)]
+    random.Random(seed).shuffle(out)
+    return spark.createDataFrame(out, "doc_id long, text string, source string").repartition(parts)
+
+
+def test_reruns_agree_on_rows_of_one_id(spark):
+    mixes = [Counter((r.doc_id, r.text, r.source) for r in mixing.mixed_rows(_hot(spark, i, p)).collect()) for i, p in enumerate((1, 3, 8))]
+    assert mixes[0] == mixes[1] == mixes[2] and max(mixes[0].values()) > 1
+    plans = [Counter((r.doc_id, r.size, r.source, r.taken) for r in mixing.mix_documents(_hot(spark, i, p)).collect()) for i, p in enumerate((1, 5))]
+    assert plans[0] == plans[1]
+    shards = [Counter((r.doc_id, r.text_crc32, r.shard, r.slot) for r in sharding.shard_documents(_hot(spark, i, p), 16).collect())
+              for i, p in enumerate((1, 3, 8))]
+    # Equal documents of two ids never trade places; equal rows of one id are one content.
+    assert shards[0] == shards[1] == shards[2]
+
+
+def test_one_id_fills_several_ranges(spark):
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = _hot(spark, 1, 4).select("doc_id", "text", F.lit(5).alias("h"), F.monotonically_increasing_id().alias("row"))
+        got = _common.in_ranges(rows, ["h", "doc_id", "text", "row"], "b", "ranges").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    n = Counter(r.b for r in got)
+    assert len(n) >= 4 and max(n.values()) <= 600 / 2
+    assert len({r.b for r in got if r.doc_id == 7}) >= 2
+    order = [r.b for r in sorted(got, key=lambda r: (r.h, r.doc_id, r.text, r.row))]
+    assert order == sorted(order)
+
+
+def test_mixed_rows_keep_columns_of_the_same_names(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", 5, "x", 9, 2), (2, "c", None, 6, "y", 8, 3)],
+                                 "doc_id long, text string, source string, row long, _mix_row string, copies int, tie int")
+    got = mixing.mixed_rows(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.collect()} <= {tuple(r) for r in docs.collect()}
