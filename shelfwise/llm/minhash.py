@@ -409,6 +409,6 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int,
     if twice.isEmpty():
         return left
     marked = left.join(twice, same, "left")
-    again = marked.filter("_id is not null") \
-        .withColumn("_row", F.row_number().over(Window.partitionBy("_id", "_text").orderBy("text"))).filter("_row = 1")
+    # One row of each, combined before the shuffle: an id of very many equal rows never gathers with its texts.
+    again = marked.filter("_id is not null").dropDuplicates(["_id", "_text"])
     return marked.filter("_id is null").select(*docs.columns).unionByName(again.select(*docs.columns))

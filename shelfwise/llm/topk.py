@@ -4,7 +4,8 @@ Vectors are dealt to shards of about ``SHARD_ROWS`` rows, each indexed by a ball
 and radius r holds no score above q.c + |q| r; nodes are visited in falling order of that bound, and the search
 of a shard ends when the best bound left is below the query's current kth score.
 
-Queries (a stated set) meet all shards in blocks of ``QUERY_ROWS``. They first search one shard, which gives every
+Queries (a stated set) meet all shards; those of a shard are read in its task block by block of about ``QUERY_ROWS``, so
+that they are never held together. They first search one shard, which gives every
 query a kth score to start from; that score travels with the query to all other shards, whose searches therefore
 prune from the beginning. Only the best k rows per query and shard are moved.
 """
@@ -63,8 +64,9 @@ def search(x: np.ndarray, ids: np.ndarray, keys: np.ndarray, tree: Node, q: np.n
     norm = float(np.sqrt(q @ q))
 
     def bound(node: Node) -> float:
-        b = float(q @ node.centre) + norm * node.radius
-        return b + 1e-9 * abs(b) + 1e-6
+        # The rounding of q.c and of |q| r grows with their factors, not with the bound, which may be near zero.
+        reach = norm * node.radius
+        return float(q @ node.centre) + reach + 1e-9 * (reach + norm * float(np.sqrt(node.centre @ node.centre))) + 1e-6
 
     best: list[tuple[float, int, int]] = []  # heap of (score, -id, index): the worst first
     heap = [(-bound(tree), 0, tree)]

@@ -105,3 +105,15 @@ def test_cover_tree_groups_a_dense_cluster():
     linker.traverse(tree, tree)
     want = (x @ x.T >= 0.95).sum(1) - 1
     assert (linker.links == want).all()
+
+
+def test_ball_bounds_hold_where_products_cancel():
+    """Nearly parallel vectors with components near 2**25 and a query across them: q.c cancels to a few units."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    base = np.repeat([[1 << 25, -(1 << 25)]], 400, 0).astype(float)
+    x = base + rng.integers(-3, 4, base.shape)
+    tree = topk.ball_tree(x)
+    ids = np.arange(len(x))
+    for q in (np.array([1 << 25, 1 << 25], float), np.array([(1 << 25) - 1, 1 << 25], float), np.array([-5.0, -5.0])):
+        got = sorted((-s, ids[r]) for s, r in topk.search(x, ids, ids, tree, q, -1, 10, -np.inf))
+        assert got == sorted((-float(a @ q), i) for i, a in enumerate(x))[:10]
