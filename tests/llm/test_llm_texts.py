@@ -383,3 +383,42 @@ def test_statistics_agree_with_plain_counting():
 def test_isotonic_is_the_monotone_fit():
     y = quality.isotonic(np.array([1.0, 0.0, 2.0, 1.5, 3.0]), np.array([1.0, 1, 1, 3, 1]))
     assert y.tolist() == [0.5, 0.5, 1.625, 1.625, 3.0]
+
+
+def test_quality_scores_equal_a_plain_fit(spark):
+    """Moments, features, normal equations, isotonic levels and knots in plain numpy over the same rows."""
+    rng = random.Random(1)  # of no two pools that are equal but for their last bit, which keep a knot each
+    good, bad = ["the", "river", "was", "calm.", "People", "walked", "home,"], ["BUY", "now!!!", "$$$", "x", "http://a", "1234"]
+    n = 300
+    y = [rng.random() < 0.5 for _ in range(n)]
+    texts = [" ".join(rng.choice(good if (rng.random() < 0.6) == k else bad) for _ in range(rng.randint(3, 30))) for k in y]
+    y = [k != (rng.random() < 0.2) for k in y]  # labels with noise: several isotonic levels
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k)) for i, k in enumerate(y)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.classify(docs, labels, waves=48).collect()}
+    x = quality.statistics(pa.array(texts))
+    target = np.array(y, float)
+    train = np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i in range(n)])
+    scale = x.std(0)
+    z = np.clip((x - x.mean(0)) / np.where(scale > 1e-9, scale, 1.0), -8, 8)
+    seeded = np.random.Generator(np.random.PCG64(11))
+    frequencies, phases = seeded.normal(0.0, 0.1, (x.shape[1], 48)), seeded.uniform(0.0, 2 * np.pi, 48)
+    features = np.hstack([np.cos(z @ frequencies + phases) * np.sqrt(2 / 48), np.ones((n, 1))])
+    a = features[train]
+    raw = features @ np.linalg.solve(a.T @ a + 1e-6 * len(a) * np.eye(49), a.T @ target[train])
+    cell = np.floor((np.clip(raw, -1, 2) + 1) / 3 * (quality.GRID - 1)).astype(int)
+    cells = sorted(set(cell[train]))
+    members = [train & (cell == c) for c in cells]
+    size = np.array([m.sum() for m in members], float)
+    mean_y = np.array([target[m].mean() for m in members])
+    mean_raw = np.array([np.clip(raw[m], -1, 2).mean() for m in members])
+    # Least squares under order by its min-max formula.
+    k = len(cells)
+    level = np.array([max(min(np.average(mean_y[i:j + 1], weights=size[i:j + 1]) for j in range(b, k)) for i in range(b + 1)) for b in range(k)])
+    groups = np.split(np.arange(k), np.flatnonzero(np.diff(level) > 1e-12) + 1)
+    knots = [np.average(mean_raw[g], weights=size[g]) for g in groups]
+    want = np.clip(np.interp(raw, knots, [level[g[0]] for g in groups]), 0, 1)
+    assert len(groups) > 3
+    for i in range(n):
+        assert got[i].held_out == (not train[i]) and abs(got[i].score - want[i]) < 1e-6
+        assert got[i].predicted == int(got[i].score >= 0.3)
