@@ -258,3 +258,27 @@ def test_a_killed_micro_batch_of_first_arrivals_is_run_again(spark, tmp_path):
     commits[-1].with_name(f".{commits[-1].name}.crc").unlink()
     out = _land(spark, root, 2, ARRIVALS[2])
     assert sorted((r["id"], r["v"]) for r in out.rows.collect()) == [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]
+
+
+def test_control_confidence_is_the_share_of_passing_rows(spark):
+    rows = spark.createDataFrame([("w1", "Pass"), ("w1", "Fail"), ("w1", None), ("w1", "Pass"), ("w2", None)], "week string, status string")
+    got = {r["week"]: r["data_confidence_score"] for r in recon.confidence(rows, ["week"], "Pass").collect()}
+    assert got == {"w1": 0.5, "w2": 0.0}
+
+
+def test_lineage_matrix_tells_where_a_column_ends(spark):
+    layers = {"raw": spark.range(1).selectExpr("id AS a", "id AS b"), "stg": spark.range(1).selectExpr("id AS a", "id AS c"),
+              "mart": spark.range(1).selectExpr("id AS a")}
+    got = {r["column_name"]: r for r in recon.lineage_matrix(layers).collect()}
+    flags = lambda c: (got[c]["raw"], got[c]["stg"], got[c]["mart"], got[c]["reaches_last_layer"], got[c]["dropped_after_first"])
+    assert flags("a") == (True, True, True, True, False)
+    assert flags("b") == (True, False, False, False, True)
+    assert flags("c") == (False, True, False, False, False)
+
+
+def test_materialized_frames_are_written_once(spark):
+    from shelfwise.session import materialized
+    df = spark.createDataFrame([(1, None), (2, "x")], "k int, v string")
+    back = materialized(df, "t")
+    assert back.schema == df.schema and sorted(map(tuple, back.collect())) == [(1, None), (2, "x")]
+    assert materialized(df.filter("k > 5"), "t").count() == 0
