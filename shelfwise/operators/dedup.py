@@ -46,16 +46,22 @@ def _desc_form(df: DataFrame, expr: Column, direction: str, dtype: T.DataType) -
 
 
 def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Pref] = (),
-              count_col: str | None = "dup_group_size", tie_break: Sequence[str] | None = None) -> DataFrame:
+              count_col: str | None = "dup_group_size", tie_break: Sequence[str] | None = None,
+              columns: Sequence[str] | None = None) -> DataFrame:
     """One row per ``keys`` chosen by ordered preferences (nulls last).
 
     ``prefer`` items are ``(column, "desc"|"asc")``; columns may be expressions.
     Ties are broken by ``tie_break`` (default: every other column, descending,
-    in frame order).  Output: the frame's columns plus ``count_col``.
+    in frame order).  Output: the frame's columns plus ``count_col``; with ``columns`` only those of the winner.
     """
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
     tb = payload if tie_break is None else list(tie_break)
+    order = [*tb, *[c for c in payload if c not in tb]]
+    if columns is not None:
+        # What stands behind the last wanted column decides only between rows that agree in all wanted ones.
+        order = order[:max((i + 1 for i, c in enumerate(order) if c in columns), default=0)]
+        payload = [c for c in payload if c in columns]
     fields = []
     exprs = [F.col(c) if isinstance(c, str) else c for c, _ in prefer]
     # One analysis pass for every preference type (each schema probe re-analyses the plan).
@@ -63,7 +69,7 @@ def keep_best(df: DataFrame, keys: Sequence[str], prefer: Sequence[Pref] = (),
     for i, ((_, direction), expr) in enumerate(zip(prefer, exprs)):
         fields.append(_desc_form(df, expr, direction, types[f"__x{i}"].dataType).alias(f"__p{i}"))
     # The row itself, tie-break columns first: each column is in the struct once.
-    fields += [F.col(c) for c in [*tb, *[c for c in payload if c not in tb]]]
+    fields += [F.col(c) for c in order]
     aggs = [F.max(F.struct(*fields)).alias("__best")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
@@ -94,10 +100,10 @@ def complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def distributor_sales(staged: DataFrame, grain: Sequence[str]) -> DataFrame:
+def distributor_sales(staged: DataFrame, grain: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """D1 on distributor sales: complete grain; clean keys, then clean amounts, then the newest load."""
     return keep_best(complete(staged, grain), grain,
-                     [*clean_first(staged, "is_missing_key", "is_bad_amount"), *newest_first(staged)])
+                     [*clean_first(staged, "is_missing_key", "is_bad_amount"), *newest_first(staged)], columns=columns)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], date_expr: Column,
@@ -115,15 +121,22 @@ def latest_complete(df: DataFrame, keys: Sequence[str], required: Sequence[str],
     return keep_best(df, keys, prefer, count_col=count_col)
 
 
-def one_per_grain(df: DataFrame, grain: Sequence[str], count_col: str = "dup_group_size") -> DataFrame:
+def one_per_grain(df: DataFrame, grain: Sequence[str], count_col: str | None = "dup_group_size",
+                  columns: Sequence[str] | None = None) -> DataFrame:
     """One row per complete grain: clean keys first, then the newest load."""
-    return keep_best(complete(df, grain), grain, [*clean_first(df, "is_missing_key"), *newest_first(df)], count_col=count_col)
+    return keep_best(complete(df, grain), grain, [*clean_first(df, "is_missing_key"), *newest_first(df)], count_col=count_col,
+                     columns=columns)
 
 
-def pos_transactions(df: DataFrame, key: str = "txn_id", ts: str = "txn_date") -> DataFrame:
-    """One row per transaction: a readable timestamp, store and SKU first (in this order), then the newest load."""
-    return keep_best(complete(df, [key]), [key], [(F.col(c).isNotNull(), "desc") for c in (ts, "store_code", "sku")]
-                     + newest_first(df), count_col=None)
+def pos_transactions(df: DataFrame, key: str = "txn_id", ts: str = "txn_date", within: Sequence[str] = ()) -> DataFrame:
+    """One row per transaction: a readable timestamp, store and SKU first (in this order), then the newest load.
+
+    ``within`` names columns that follow from the key (the order of a transaction): the groups stay the same, and rows
+    that a join has dealt by such a column are grouped where they are.
+    """
+    out = keep_best(complete(df, [key]), [key, *within], [(F.col(c).isNotNull(), "desc") for c in (ts, "store_code", "sku")]
+                    + newest_first(df), count_col=None)
+    return out.drop(*within)
 
 
 def dedup_with_id(df: DataFrame, grain: Sequence[str], id_col: str = "record_id",

@@ -16,10 +16,15 @@ from ..functions.clean import MONEY, ratio
 from .dedup import clean_first, complete, keep_best, last_value_per_key, newest_first
 
 
-def pos_daily(pos: DataFrame, date: str = "txn_date", keys: Sequence[str] = ("store_code", "sku")) -> DataFrame:
-    """POS lines → (day, store, sku): lines, distinct transactions, units, sales."""
+def pos_daily(pos: DataFrame, date: str = "txn_date", keys: Sequence[str] = ("store_code", "sku"),
+              deduplicated: bool = False) -> DataFrame:
+    """POS lines → (day, store, sku): lines, distinct transactions, units, sales.
+
+    ``deduplicated`` says that a transaction id stands in one row only (D5): distinct ids are then plainly counted.
+    """
+    ids = F.count("txn_id") if deduplicated else F.count_distinct("txn_id")
     return pos.groupBy(date, *keys).agg(
-        F.count(F.lit(1)).alias("pos_lines"), F.count_distinct("txn_id").alias("pos_transactions"),
+        F.count(F.lit(1)).alias("pos_lines"), ids.alias("pos_transactions"),
         F.sum("qty").alias("units"), F.sum("gross_amount").alias("gross_sales"), F.sum("net_amount").alias("net_sales"))
 
 
@@ -42,6 +47,13 @@ def distributor_daily(dist: DataFrame, grain: Sequence[str] = ("sale_date", "sto
     }).drop("__lp_q", "__q_lp", "__np_q")
 
 
+def distributor_sums(dist: DataFrame, measures: Sequence[str],
+                     grain: Sequence[str] = ("sale_date", "store_code", "sku", "channel")) -> DataFrame:
+    """M7 with some of its sums only (units, orders, customers or amounts), from rows that hold just their columns."""
+    value = {"units": F.col("qty"), **{c: F.coalesce(c, F.lit(0)) for c in ("orders", "customers")}}
+    return dist.groupBy(*grain).agg(*[F.sum(value.get(m, F.col(m))).alias(m) for m in measures])
+
+
 def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFrame, stores: DataFrame,
                     grain: Sequence[str] = ("sale_date", "store_code", "sku", "channel")) -> DataFrame:
     """Distributor daily ∪ POS daily with a source label, product label, store context and
@@ -72,7 +84,9 @@ def store_day_agg(conformed: DataFrame, date: str = "sale_date", store: str = "s
         total("units").alias("units"), total("orders").alias("orders"), total("cogs").alias("cogs"), F.count("cogs").alias("rows_with_cogs"),
         F.sum(F.when(src == "distributor", F.col("net_sales"))).alias("distributor_net_sales"),
         F.sum(F.when(src == "pos", F.col("net_sales"))).alias("pos_net_sales"),
-        F.count_distinct("sku").alias("distinct_skus"), F.count_distinct("channel").alias("distinct_channels"),
+        F.count_distinct("sku").alias("distinct_skus"),
+        # A few words: as a set, a second distinct count would send every row three times.
+        F.size(F.collect_set("channel")).cast("long").alias("distinct_channels"),
         F.count(F.lit(1)).alias("fact_rows"))
     profit = F.col("net_sales") - F.col("cogs")
     return g.withColumns({"gross_profit": profit, "gross_margin_pct": ratio(profit, "net_sales")})

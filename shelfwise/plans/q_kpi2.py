@@ -66,7 +66,7 @@ FROM e
 @query("k15_breakeven_monthly", K15_SQL)
 def q_k15(spark, d):
     t = Tables(spark, d)
-    return rounded(kpi.breakeven_monthly(_fin(t), dist_daily(t)))
+    return rounded(kpi.breakeven_monthly(_fin(t), dist_daily(t, ["net_sales"])))
 
 
 ALIGNED_PAIRS = f"""

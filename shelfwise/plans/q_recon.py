@@ -21,7 +21,7 @@ AS_OF = "2001-08-31"
 
 
 def q21_frame(t, dist=None, pos=None):
-    return recon.recon_distributor_vs_pos(dist or dist_daily(t), pos or pos_day(t))
+    return recon.recon_distributor_vs_pos(dist or dist_daily(t, ["net_sales", "gross_sales", "units"]), pos or pos_day(t))
 
 
 Q21_CORE = f"""
@@ -268,7 +268,7 @@ def q_q20(spark, d):
 
 def q23_frame(t):
     # Both daily facts feed two controls: each is built once.
-    dist = materialized(dist_daily(t).select("sale_date", "store_code", "sku", "net_sales", "gross_sales", "units"), "dist_daily")
+    dist = materialized(dist_daily(t, ["net_sales", "gross_sales", "units"]).drop("channel"), "dist_daily")
     pos = materialized(pos_day(t).select("sale_date", "store_code", "net_sales", "gross_sales", "units"), "pos_daily")
     return recon.unified_controls({
         "recon_distributor_vs_pos": (q21_frame(t, dist, pos), "status", ["sale_date", "store_code"]),
