@@ -174,5 +174,8 @@ FROM c LEFT JOIN d3 ON c.store_code = d3.store_code LEFT JOIN d2 ON c.store_code
 @query("m12_coverage_conformed", M12_SQL)
 def q_m12(spark, d):
     t = Tables(spark, d)
-    out = history.coverage_conformed(status_dedup(t), stores=latest_master(t), accounts=current_status(t))
+    # Only the winning status goes on: neither the duplicate flag nor the columns behind the status decide which one that is.
+    staged = staging.stage_distribution_status(raw.distribution_status_extract(t), flag_duplicates=False)
+    status = dedup.one_per_grain(staged, ["as_of_date", "store_code", "sku"], count_col=None, columns=["distribution_status"])
+    out = history.coverage_conformed(status, stores=latest_master(t), accounts=current_status(t))
     return out.select(*M12_COLS)
