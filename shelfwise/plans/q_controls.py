@@ -126,25 +126,34 @@ def duplicate_source_records(t):
     """Q29: duplicate business keys per source (C31 null-safe hash, A10 HAVING), detail rows with group totals joined back
     by key (not a window over a possibly hot group). The emissions fact carries the activity's own columns: it is written once
     and keys, totals and details are read from it; a record id that stands in several fact rows gives a detail row for each."""
-    record, keys = ["source_system", "source_record_id"], ["source_system", "duplicate_business_key"]
+    record, keys = ["source_system", "source_record_id"], ["source_system", "__key"]
+    own = ["metric_tons_co2e", "is_reportable_emissions_row"]
     fact = materialized(ghg.fact(t).select(
-        *record, "activity_id", "activity_month", "facility_id", "factor_type", "activity_amount", "activity_unit", "cost_usd",
-        "metric_tons_co2e", "is_reportable_emissions_row"), "emissions_fact")
-    c = fact.drop("metric_tons_co2e", "is_reportable_emissions_row").withColumn("duplicate_business_key", hash_key_nullsafe(
-        "source_system", "activity_month", "facility_id", "factor_type", _amount_key(F.col("activity_amount")),
-        "activity_unit"))
+        *record, "activity_month", "facility_id", "factor_type", "activity_amount", "activity_unit", "cost_usd", *own), "emissions_fact")
+    # A record that stands once is its own fact row; only the others are met with all rows of their record.
+    repeated = materialized(fact.filter(F.col("source_record_id").isNotNull()).groupBy(*record).agg(
+        F.count(F.lit(1)).alias("__rows"), F.sum("metric_tons_co2e").alias("__tons")).filter("__rows > 1"), "repeated_records")
+    known, more = F.col("source_record_id").isNotNull(), F.col("__rows").isNotNull()
+    # The business key moves as 16 bytes; the activity id follows from the record (E1) and is made at the end.
+    c = materialized(fact.join(repeated, record, "left").withColumns({
+        "__key": F.unhex(hash_key_nullsafe("source_system", "activity_month", "facility_id", "factor_type",
+                                           _amount_key(F.col("activity_amount")), "activity_unit")),
+        **{x: F.when(known, F.col(x)) for x in own}}), "keyed")
     g = c.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("duplicate_record_count"), F.min("activity_month").alias("first_activity_month"),
         F.max("activity_month").alias("last_activity_month"),
         F.sum("activity_amount").alias("duplicate_group_activity_amount"),
-        F.sum("cost_usd").alias("duplicate_group_cost_usd")).filter(F.col("duplicate_record_count") > 1)
-    det = materialized(c.join(g, keys).join(fact.select(*record, "metric_tons_co2e", "is_reportable_emissions_row"), record, "left"),
-                       "duplicates")
-    gt = det.groupBy(*keys).agg(F.sum("metric_tons_co2e").alias("duplicate_group_metric_tons_co2e"))
-    return det.join(gt, keys).select(
-        *keys, "duplicate_record_count", "first_activity_month", "last_activity_month", "duplicate_group_activity_amount",
-        "duplicate_group_cost_usd", "duplicate_group_metric_tons_co2e", "source_record_id", "activity_id", "activity_month",
-        "facility_id", "factor_type", "activity_amount", "metric_tons_co2e", "is_reportable_emissions_row")
+        F.sum("cost_usd").alias("duplicate_group_cost_usd"),
+        F.sum(F.when(more, F.col("__tons")).otherwise(F.col("metric_tons_co2e"))).alias("duplicate_group_metric_tons_co2e")) \
+        .filter(F.col("duplicate_record_count") > 1)
+    det = c.drop("cost_usd", "__tons").join(g, keys)
+    if not repeated.isEmpty():
+        det = det.filter(~more).unionByName(det.filter(more).drop(*own).join(c.filter(more).select(*record, *own), record))
+    return det.select(
+        "source_system", F.lower(F.hex("__key")).alias("duplicate_business_key"), "duplicate_record_count", "first_activity_month",
+        "last_activity_month", "duplicate_group_activity_amount", "duplicate_group_cost_usd", "duplicate_group_metric_tons_co2e",
+        "source_record_id", hash_key(*record).alias("activity_id"), "activity_month", "facility_id", "factor_type", "activity_amount",
+        "metric_tons_co2e", "is_reportable_emissions_row")
 
 
 @query("q29_duplicate_source_records", Q29_SQL)
