@@ -236,9 +236,10 @@ FROM x LEFT JOIN log USING (exception_id) GROUP BY 1
 def q_q35(spark, d):
     """Q35: exception hash ids (C30) vs a resolution log; the log here marks pre-1998 negative-unit
     exceptions as resolved (derived from the data)."""
-    exc = dq.exceptions(staged_retail(Tables(spark, d)), RETAIL_RULES, run_id=1)
-    exc = exc.withColumn("exception_id", hash_key(F.col("rule_id").cast("string"),
-                                                  F.coalesce("quarter_id", F.lit("<null>")), F.col("record_key")))
+    # The rules read the staged text once parsed; the exceptions are found once, for themselves and for the log.
+    exc = dq.exceptions(materialized(staged_retail(Tables(spark, d)), "staged_retail"), RETAIL_RULES, run_id=1)
+    exc = materialized(exc.select("rule_id", "quarter_id", hash_key(
+        F.col("rule_id").cast("string"), F.coalesce("quarter_id", F.lit("<null>")), F.col("record_key")).alias("exception_id")), "exceptions")
     log = exc.filter((F.col("rule_id") == 4) & (F.col("quarter_id") < "1998")) \
         .select("exception_id", F.lit("resolved").alias("resolution_status"))
     return rounded(dq.resolution_status(exc, log))
