@@ -100,9 +100,11 @@ def complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def distributor_sales(staged: DataFrame, grain: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """D1 on distributor sales: complete grain; clean keys, then clean amounts, then the newest load."""
-    return keep_best(complete(staged, grain), grain,
+def distributor_sales(staged: DataFrame, grain: Sequence[str], columns: Sequence[str] | None = None,
+                      within: Sequence[str] = ()) -> DataFrame:
+    """D1 on distributor sales: complete grain; clean keys, then clean amounts, then the newest load. ``within`` names columns
+    that follow from the grain: they stay, and rows dealt by one of them are grouped where they are."""
+    return keep_best(complete(staged, grain), [*within, *grain],
                      [*clean_first(staged, "is_missing_key", "is_bad_amount"), *newest_first(staged)], columns=columns)
 
 

@@ -16,6 +16,10 @@ from ..functions.clean import MONEY, ratio
 from .dedup import clean_first, complete, keep_best, last_value_per_key, newest_first
 
 
+# The type of a sum of amounts (MONEY).
+DAY_SUM = "decimal(28,4)"
+
+
 def pos_daily(pos: DataFrame, date: str = "txn_date", keys: Sequence[str] = ("store_code", "sku"),
               deduplicated: bool = False) -> DataFrame:
     """POS lines → (day, store, sku): lines, distinct transactions, units, sales.
@@ -49,26 +53,37 @@ def distributor_daily(dist: DataFrame, grain: Sequence[str] = ("sale_date", "sto
 
 def distributor_sums(dist: DataFrame, measures: Sequence[str],
                      grain: Sequence[str] = ("sale_date", "store_code", "sku", "channel")) -> DataFrame:
-    """M7 with some of its sums only (units, orders, customers or amounts), from rows that hold just their columns."""
+    """M7 with some of its sums only (units, orders, customers or amounts), from deduplicated rows (D1) that hold just their
+    columns: with one row per grain, a sum is the row's value in the sum's type."""
     value = {"units": F.col("qty"), **{c: F.coalesce(c, F.lit(0)) for c in ("orders", "customers")}}
-    return dist.groupBy(*grain).agg(*[F.sum(value.get(m, F.col(m))).alias(m) for m in measures])
+    cast = {c: "long" for c in ("units", "orders", "customers")}
+    return dist.select(*grain, *[value.get(m, F.col(m)).cast(cast.get(m, DAY_SUM)).alias(m) for m in measures])
+
 
+def store_lists(stores: DataFrame) -> DataFrame:
+    """One row per store: a list of its rows' context (repeated stores have several), for rows to carry."""
+    return stores.filter(F.col("store_code").isNotNull()).groupBy("store_code").agg(F.collect_list(F.struct("state")).alias("stores"))
 
-def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFrame, stores: DataFrame,
-                    grain: Sequence[str] = ("sale_date", "store_code", "sku", "channel")) -> DataFrame:
+
+def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFrame,
+                    grain: Sequence[str] = ("sale_date", "store_code", "sku", "channel"), key: str = "sku_key") -> DataFrame:
     """Distributor daily ∪ POS daily with a source label, product label, store context and
-    missing-dimension flags (J15)."""
+    missing-dimension flags (J15).
+
+    Both facts carry their store's rows (``stores`` of ``store_lists``, null without one), put to the orders before their lines
+    multiply, and the stored product ``key``, by which they may already be dealt: neither lookup moves the facts again.
+    """
     d = distributor.select(*grain, "units", "gross_sales", "discount_amount", "net_sales", "cogs", "orders",
-                           F.lit("distributor").alias("source_system"))
+                           F.lit("distributor").alias("source_system"), key, "stores")
     # POS lines carry no cost; what the net amount leaves of the gross one is their discount, a transaction is an order.
     p = pos_day.select("sale_date", "store_code", "sku", F.lit("retail").alias("channel"), "units", "gross_sales",
                        (F.col("gross_sales") - F.col("net_sales")).alias("discount_amount"), "net_sales",
-                       F.lit(None).cast(MONEY).alias("cogs"), F.col("pos_transactions").alias("orders"), F.lit("pos").alias("source_system"))
-    u = d.unionByName(p)
-    prod = products.select("sku", "product_name", F.lit(True).alias("__p"))
-    st = stores.select("store_code", "state", F.lit(True).alias("__s"))
-    j = u.join(prod, "sku", "left").join(st, "store_code", "left")
-    return j.withColumns({
+                       F.lit(None).cast(MONEY).alias("cogs"), F.col("pos_transactions").alias("orders"), F.lit("pos").alias("source_system"),
+                       key, "stores")
+    prod = products.select(key, "product_name", F.lit(True).alias("__p"))
+    u = d.join(prod, key, "left").unionByName(p.join(prod, key, "left"))
+    j = u.select("*", F.explode_outer("stores").alias("__st")).withColumns({"state": F.col("__st.state"), "__s": F.col("stores")})
+    return j.select("store_code", "sku", *[c for c in u.columns if c not in ("store_code", "sku", key, "stores")], "state", "__s").withColumns({
         "product_label": F.coalesce(F.col("product_name"), F.concat(F.lit("Unknown "), F.col("sku"))),
         "is_missing_date": F.col("sale_date").isNull(), "is_missing_store": F.col("__s").isNull(),
         "is_missing_sku": F.col("__p").isNull(), "is_missing_channel": F.col("channel").isNull(),
@@ -84,8 +99,8 @@ def store_day_agg(conformed: DataFrame, date: str = "sale_date", store: str = "s
         total("units").alias("units"), total("orders").alias("orders"), total("cogs").alias("cogs"), F.count("cogs").alias("rows_with_cogs"),
         F.sum(F.when(src == "distributor", F.col("net_sales"))).alias("distributor_net_sales"),
         F.sum(F.when(src == "pos", F.col("net_sales"))).alias("pos_net_sales"),
-        F.count_distinct("sku").alias("distinct_skus"),
-        # A few words: as a set, a second distinct count would send every row three times.
+        # As sets (what one store sells in a day): two distinct counts would send every row three times.
+        F.size(F.collect_set("sku")).cast("long").alias("distinct_skus"),
         F.size(F.collect_set("channel")).cast("long").alias("distinct_channels"),
         F.count(F.lit(1)).alias("fact_rows"))
     profit = F.col("net_sales") - F.col("cogs")

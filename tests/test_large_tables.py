@@ -138,3 +138,24 @@ def test_store_day_counts_distinct_words_without_copies_of_rows(spark):
     out = facts.store_day_agg(df.withColumn("source_system", F.lit("pos")))
     assert "Expand" not in _plan(out)
     assert sorted((r["store_code"] or "", r["distinct_skus"], r["distinct_channels"]) for r in out.collect()) == [("", 1, 0), ("s", 2, 2)]
+
+
+def test_facts_do_not_move_for_their_labels(spark, small, dealt):
+    """The store context goes along from the orders and the lines are dealt by product once."""
+    plan = _plan(REGISTRY["m1_conformed_sales"](spark, small))
+    assert "hashpartitioning(store_code" not in plan and "hashpartitioning(sale_date" not in plan
+
+
+def test_repeated_and_unknown_stores_of_conformed_sales(spark):
+    stores = spark.createDataFrame([("1", "A"), ("1", None), ("2", "B"), (None, "C")], "store_code string, state string")
+    lists = facts.store_lists(stores)
+    num = {c: F.lit(1).cast("decimal(28,4)") for c in ("gross_sales", "discount_amount", "net_sales", "cogs")}
+    rows = spark.createDataFrame([("1", "7", 7), ("3", "7", 7), (None, "8", 8)], "store_code string, sku string, sku_key long") \
+        .withColumns({"sale_date": F.lit(dt.date(2000, 1, 1)), "channel": F.lit("club"), "units": F.lit(1.0), "orders": F.lit(1), **num}) \
+        .join(lists, "store_code", "left")
+    prods = spark.createDataFrame([(7, "bolt")], "sku_key long, product_name string")
+    out = facts.conformed_sales(rows, rows.withColumn("pos_transactions", F.lit(1)), prods)
+    got = _sorted(out.filter("source_system = 'pos'"), "store_code", "state", "product_label", "is_missing_store", "is_missing_sku")
+    assert got == ["('1', 'A', 'bolt', False, False)", "('1', None, 'bolt', False, False)", "('3', None, 'bolt', True, False)",
+                   "(None, None, 'Unknown 8', True, True)"]
+    assert out.count() == 8
