@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import dedup, emissions as E, facts, staging
+from shelfwise.operators import dedup, emissions as E, facts, kpi, staging
 from shelfwise.plans import ghg, model, q_controls, q_dq, q_facts, raw
 from shelfwise.plans.catalog import REGISTRY
 from shelfwise.sources.testdata import Tables
@@ -159,3 +159,23 @@ def test_repeated_and_unknown_stores_of_conformed_sales(spark):
     assert got == ["('1', 'A', 'bolt', False, False)", "('1', None, 'bolt', False, False)", "('3', None, 'bolt', True, False)",
                    "(None, None, 'Unknown 8', True, True)"]
     assert out.count() == 8
+
+
+def test_inventory_health_dealt_once_to_counted_tasks(spark, dealt):
+    """K6: the sides meet where they were dealt; grouped rows are not dealt again, and the tasks do not depend on run-time sizes."""
+    inv = spark.createDataFrame(
+        [("m1", 1, 1, "ASIA", "bolt", 4.0, True), ("m1", 1, 1, "ASIA", "bolt", 2.0, None), ("m1", 1, 1, "ASIA", "ring", 6.0, None),
+         ("m1", 2, 1, "ASIA", "bolt", -1.0, None), (None, 2, 1, "ASIA", "bolt", 3.0, False), ("m2", 3, 2, None, "bolt", 5.0, True)],
+        "m string, sku long, site_id long, state string, category string, on_hand_units double, in_stock_flag boolean") \
+        .withColumn("month_start", F.when(F.col("m") == "m1", F.lit("1997-01-01")).when(F.col("m") == "m2", F.lit("1997-02-01")).cast("date"))
+    sales = spark.createDataFrame([("1997-01-01", 1, 1, 3.0), ("1997-01-01", 1, 1, 4.0), (None, 2, 1, 9.0), ("1997-02-01", 4, 2, 1.0)],
+                                  "d string, sku long, site_id long, units double").withColumn("month_start", F.col("d").cast("date"))
+    some = kpi.inventory_health(inv, sales, tasks=3)
+    plan = _plan(some)
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("ENSURE_REQUIREMENTS") == 1
+    assert _sorted(some) == _sorted(kpi.inventory_health(inv, sales))
+    assert len(_sorted(some)) == 4
+
+
+def test_inventory_health_query_is_dealt(spark, small, dealt):
+    assert _plan(REGISTRY["k6_inventory_health"](spark, small)).count("REPARTITION_BY_NUM") == 2
