@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import dedup, emissions as E, facts, kpi, staging
+from shelfwise.operators import dedup, dq, emissions as E, facts, kpi, staging
 from shelfwise.plans import ghg, model, q_controls, q_dq, q_facts, raw
 from shelfwise.plans.catalog import REGISTRY
 from shelfwise.sources.testdata import Tables
@@ -179,3 +179,18 @@ def test_inventory_health_dealt_once_to_counted_tasks(spark, dealt):
 
 def test_inventory_health_query_is_dealt(spark, small, dealt):
     assert _plan(REGISTRY["k6_inventory_health"](spark, small)).count("REPARTITION_BY_NUM") == 2
+
+
+def test_open_exceptions_are_not_dealt_by_rule_or_quarter(spark, dealt):
+    """Q10, Q11: all exceptions of a rule or a quarter would be one task's work."""
+    exc = spark.createDataFrame([(2, "1997Q1", 4, "t", "k1", "v", "d", "a", "open"), (2, "1997Q1", 9, "t", "k2", "v", "d", "a", "open"),
+                                 (2, "1997Q2", 4, "t", "k3", "v", "d", "a", "open"), (2, None, 4, "t", "k4", "v", "d", "a", "open"),
+                                 (2, "1997Q1", 4, "t", "k5", "v", "d", "a", "closed")],
+                                "run_id long, quarter_id string, rule_id long, target_table string, record_key string, issue_value string, "
+                                "issue_description string, assigned_team string, remediation_status string")
+    log = spark.createDataFrame([("1997Q1", 1, "completed", None), ("1997Q1", 2, "started", None), ("1997Q2", 1, "completed", None)],
+                                "quarter_id string, run_id long, run_status string, run_ts timestamp_ntz")
+    found = dq.open_exceptions(exc, dq.rules_df(spark, q_dq.RETAIL_RULES), log)
+    assert _sorted(found, "quarter_id", "rule_id", "severity", "record_key") == ["('1997Q1', 4, 'high', 'k1')"]
+    plan = _plan(found)
+    assert "hashpartitioning(rule_id" not in plan and "SortMergeJoin" not in plan
