@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +15,8 @@ from ..session import checkpoint_dir, ship_package
 
 # Bytes of text that one vectorised step holds at a time; a single longer text is one step.
 STEP_BYTES = 2 << 20
+# The same for steps that hash words or take statistics: their arrays take up to 60 bytes for a byte of text.
+HASH_STEP_BYTES = 512 << 10
 
 # Rows that a window of a distributed prefix sum or rank sorts at a time (on average).
 ROWS_PER_BUCKET = 20_000
@@ -89,7 +92,15 @@ def steps(batch: pa.RecordBatch, text_col: str, max_bytes: int = STEP_BYTES) ->
         hi = max(lo + 1, int(np.searchsorted(size, size[lo] + max_bytes, "right")) - 1)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    give_back()
+
+
+def give_back() -> None:
+    """Return what a Python worker has freed to the system: an idle worker keeps it while later stages run beside it."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))

@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import BLANK_WORD, arrow_text, byte_values, combined, mixed, span_hashes, steps, word_spans, written
+from ._common import (
+    BLANK_WORD, HASH_STEP_BYTES, arrow_text, byte_values, combined, give_back, mixed, span_hashes, steps, word_spans, written,
+)
 from ._bpe import ragged
 from .graph import components
 
@@ -111,17 +113,22 @@ def _bytes_rows(matrix: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(matrix), [None, offsets, pa.py_buffer(np.ascontiguousarray(matrix).tobytes())])
 
 
+def signature_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``signature_table`` for batches of (doc_id, text_hash, text), a step of text at a time."""
+    for batch in batches:
+        for part in steps(batch, "text", HASH_STEP_BYTES):
+            hashes, bounds = shingle_sets(part.column("text"), words)
+            a, b = _set_key(hashes, bounds)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"),
+                "n_shingles": np.diff(bounds), "set_a": a, "set_b": b,
+                "sig": _bytes_rows(signatures(hashes, bounds))})
+
+
 def signature_table(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, text_hash, n_shingles, set_a, set_b, sig) of every row of docs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in steps(batch, "text"):
-                hashes, bounds = shingle_sets(part.column("text"), words)
-                a, b = _set_key(hashes, bounds)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"),
-                    "n_shingles": np.diff(bounds), "set_a": a, "set_b": b,
-                    "sig": _bytes_rows(signatures(hashes, bounds))})
+        yield from signature_rows(batches, words)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text") \
         .mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, sig binary")
@@ -170,6 +177,8 @@ def _in_groups(grouped: DataFrame, schema: str, answer) -> DataFrame:
                 yield from answer(t.slice(0, bounds[-2]), bounds[:-1])
         if rest is not None and rest.num_rows:
             yield from answer(rest, _group_bounds(rest))
+        rest = None
+        give_back()
 
     return dealt.mapInArrow(run, schema)
 
@@ -293,7 +302,7 @@ def _sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", HASH_STEP_BYTES):
                 hashes, bounds = shingle_sets(part.column("text"), words)
                 own = np.diff(bounds) == part.column("n_shingles").to_numpy(False)
                 for c, x in zip(("set_a", "set_b"), _set_key(hashes, bounds), strict=True):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BLANK_WORD, arrow_text, byte_class, byte_values, mixed, span_hashes, steps, word_spans, written
+from ._common import BLANK_WORD, HASH_STEP_BYTES, arrow_text, byte_class, byte_values, mixed, span_hashes, steps, word_spans, written
 
 STATISTICS = (
     "log_bytes", "log_words", "log_lines", "upper", "lower", "digit", "blank", "newline", "period", "comma", "shout",
@@ -92,7 +92,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, stats array<double>) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", HASH_STEP_BYTES):
                 x = statistics(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(x)], names=["doc_id", "stats"])
 
@@ -249,7 +249,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **fit_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", HASH_STEP_BYTES):
                 yield part.filter(pa.array(model.score(statistics(part.column(at))) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import unicodedata
 import zlib
 
@@ -13,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import SCHEMA, awkward, empty, rows
 
-from shelfwise.llm import chat, graph, licenses, minhash, pieces, quality, token_counts
+from shelfwise.llm import _common, chat, graph, licenses, minhash, pieces, quality, token_counts
 from shelfwise.llm.queries import vocabulary
 
 
@@ -422,3 +423,24 @@ def test_quality_scores_equal_a_plain_fit(spark):
     for i in range(n):
         assert got[i].held_out == (not train[i]) and abs(got[i].score - want[i]) < 1e-6
         assert got[i].predicted == int(got[i].score >= 0.3)
+
+
+def test_hashing_steps_hold_little_memory():
+    """The near-duplicate and quality tasks of the pipeline: arrays of a few steps of 512 KB, whatever the batch's size."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(3000)) for _ in range(300)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_pydict({"doc_id": np.arange(n), "text_hash": np.arange(n), "text": texts})
+    assert sum(map(len, texts)) > 5_000_000
+    _common._powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    tracemalloc.start()
+    try:
+        parts = [p.select(["doc_id", "n_shingles", "set_a"]) for p in minhash.signature_rows(iter([batch]), 5)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 50 << 20, peak
+    assert sum(p.num_rows for p in parts) == n and len(parts) > 8
+    hashes, bounds = minhash.shingle_sets(batch.column("text"), 5)
+    assert [x for p in parts for x in p.column("n_shingles").to_pylist()] == np.diff(bounds).tolist()
+    assert [x for p in parts for x in p.column("set_a").to_pylist()] == minhash._set_key(hashes, bounds)[0].tolist()
