@@ -60,6 +60,16 @@ def distributor_sums(dist: DataFrame, measures: Sequence[str],
     return dist.select(*grain, *[value.get(m, F.col(m)).cast(cast.get(m, DAY_SUM)).alias(m) for m in measures])
 
 
+# Rows up to which a lookup table may be sent whole to every executor by way of the driver (some 30 MB of products).
+LOOKUP_ROWS = 500_000
+
+
+def lookup(table: DataFrame) -> DataFrame:
+    """A stored ``table`` to join on its key. Spark weighs it by its compressed bytes and the types of the columns that are left, so
+    that millions of narrow rows can pass for a table to broadcast: beyond a counted bound its joins are dealt by key and merged."""
+    return table.hint("merge") if table.count() > LOOKUP_ROWS else table
+
+
 def store_lists(stores: DataFrame) -> DataFrame:
     """One row per store: a list of its rows' context (repeated stores have several), for rows to carry."""
     return stores.filter(F.col("store_code").isNotNull()).groupBy("store_code").agg(F.collect_list(F.struct("state")).alias("stores"))

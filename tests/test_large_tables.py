@@ -1,6 +1,7 @@
 """Steps that keep shuffles, skew and repeated work down on large tables, on rows of their own."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -161,6 +162,18 @@ def test_repeated_and_unknown_stores_of_conformed_sales(spark):
     assert out.count() == 8
 
 
+@pytest.mark.parametrize("name", ["m1_conformed_sales", "m10_store_day_sales"])
+def test_many_products_and_accounts_are_not_sent_through_the_driver(spark, small, monkeypatch, name):
+    """Beyond a counted bound, a table whose few columns look small enough to be broadcast is dealt by its key."""
+    sent = r"BroadcastHashJoin \[(sku_key|l_partkey|o_custkey#\d+L?\], \[store_id)#"
+    few = REGISTRY[name](spark, small)
+    assert len(re.findall(sent, _plan(few))) == 4
+    monkeypatch.setattr(facts, "LOOKUP_ROWS", 1, raising=False)
+    many = REGISTRY[name](spark, small)
+    assert not re.findall(sent, _plan(many)) and len(re.findall(r"SortMergeJoin \[sku_key#", _plan(many))) == 2
+    assert _sorted(many) == _sorted(few) and many.count() > 0
+
+
 def test_inventory_health_dealt_once_to_counted_tasks(spark, dealt):
     """K6: the sides meet where they were dealt; grouped rows are not dealt again, and the tasks do not depend on run-time sizes."""
     inv = spark.createDataFrame(
