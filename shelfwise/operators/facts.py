@@ -81,7 +81,8 @@ def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFr
     missing-dimension flags (J15).
 
     Both facts carry their store's rows (``stores`` of ``store_lists``, null without one), put to the orders before their lines
-    multiply, and the stored product ``key``, by which they may already be dealt: neither lookup moves the facts again.
+    multiply, and the stored product ``key``, by which they may already be dealt: neither lookup moves the facts again. A union of
+    facts that are dealt alike stays so, and one task has both facts' rows of a product.
     """
     d = distributor.select(*grain, "units", "gross_sales", "discount_amount", "net_sales", "cogs", "orders",
                            F.lit("distributor").alias("source_system"), key, "stores")
@@ -91,7 +92,7 @@ def conformed_sales(distributor: DataFrame, pos_day: DataFrame, products: DataFr
                        F.lit(None).cast(MONEY).alias("cogs"), F.col("pos_transactions").alias("orders"), F.lit("pos").alias("source_system"),
                        key, "stores")
     prod = products.select(key, "product_name", F.lit(True).alias("__p"))
-    u = d.join(prod, key, "left").unionByName(p.join(prod, key, "left"))
+    u = d.unionByName(p).join(prod, key, "left")
     j = u.select("*", F.explode_outer("stores").alias("__st")).withColumns({"state": F.col("__st.state"), "__s": F.col("stores")})
     return j.select("store_code", "sku", *[c for c in u.columns if c not in ("store_code", "sku", key, "stores")], "state", "__s").withColumns({
         "product_label": F.coalesce(F.col("product_name"), F.concat(F.lit("Unknown "), F.col("sku"))),

@@ -167,13 +167,20 @@ def test_many_products_and_accounts_are_not_sent_through_the_driver(spark, small
     """Beyond a counted bound, a table whose few columns look small enough to be broadcast is dealt by its key."""
     sent = r"BroadcastHashJoin \[(sku_key|l_partkey|o_custkey#\d+L?\], \[store_id)#"
     few = REGISTRY[name](spark, small)
-    assert len(re.findall(sent, _plan(few))) == 4
+    assert len(re.findall(sent, _plan(few))) == 3
     monkeypatch.setattr(facts, "LOOKUP_ROWS", 1, raising=False)
     many = REGISTRY[name](spark, small)
-    assert not re.findall(sent, _plan(many)) and len(re.findall(r"SortMergeJoin \[sku_key#", _plan(many))) == 2
+    assert not re.findall(sent, _plan(many)) and len(re.findall(r"SortMergeJoin \[sku_key#", _plan(many))) == 1
     assert _sorted(many) == _sorted(few) and many.count() > 0
 
 
+def test_both_facts_of_a_product_meet_in_one_task(spark, small, dealt):
+    """One label join above the union, whose sides are dealt by product already: a store's day is summed over both sources there."""
+    plan = _plan(REGISTRY["m10_store_day_sales"](spark, small))
+    above = plan.split("Union")[0]
+    assert "SortMergeJoin [sku_key#" in above and above.count("Exchange") == 1 and "Exchange hashpartitioning(sale_date" in above
+
+
 def test_inventory_health_dealt_once_to_counted_tasks(spark, dealt):
     """K6: the sides meet where they were dealt; grouped rows are not dealt again, and the tasks do not depend on run-time sizes."""
     inv = spark.createDataFrame(
